@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions._cols import as_col
-from quire.functions.text import py_strip
+from quire.functions.text import WHITESPACE_CLASS, py_strip
 
 # Spellings that mark a stored answer as an error. The strict
 # form only accepts the bare word; the taxonomy accepts every spelling the
@@ -118,18 +118,26 @@ def retry_class(message) -> Column:
 
 
 def strip_fences(reply) -> Column:
-    """Strip; drop a leading ```json or ``` fence and a trailing ``` fence."""
+    """Strip; drop a leading ```json and/or ``` fence (and the whitespace after
+    it), then one trailing ``` fence. Two anchored regex replaces: each input
+    is scanned a fixed number of times (no nested re-evaluation)."""
     s = py_strip(as_col(reply))
-    s = F.when(s.startswith("```json"), py_strip(F.substring(s, 8, 1 << 30))).otherwise(s)
-    s = F.when(s.startswith("```"), py_strip(F.substring(s, 4, 1 << 30))).otherwise(s)
-    return F.when(s.endswith("```"),
-                  F.substring(s, F.lit(1), F.length(s) - F.lit(3))).otherwise(s)
+    s = F.regexp_replace(s, f"^(?:```json{WHITESPACE_CLASS}*)?(?:```{WHITESPACE_CLASS}*)?", "")
+    return F.regexp_replace(s, "```\\z", "")
 
 
-def _is_json_object(s: Column, parsed: Column) -> Column:
-    # json_object_keys is NULL for anything but an object; the corrupt-record
-    # field catches what strict JSON rejects (single quotes, broken text).
-    return F.json_object_keys(s).isNotNull() & parsed[_CORRUPT].isNull()
+def _is_json_object(parsed: Column) -> Column:
+    # With the corrupt-record field, from_json marks everything that is not
+    # a JSON object (arrays, scalars, null, broken or single-quoted text) as
+    # corrupt, and gives NULL for empty text.
+    return parsed.isNotNull() & parsed[_CORRUPT].isNull()
+
+
+def _bool_field(s: Column, parsed: Column, name: str) -> Column:
+    # The STRING-typed parse reads both true and "true" as 'true'; only then
+    # is the field parsed again as BOOLEAN (lazy CASE branch) to tell them apart.
+    return F.when(parsed[name] == F.lit("true"),
+                  F.coalesce(_json_flag(s, name), F.lit(False))).otherwise(F.lit(False))
 
 
 def parse_reply(reply) -> Column:
@@ -140,17 +148,16 @@ def parse_reply(reply) -> Column:
     Missing or NULL ``context`` / ``explanation`` take the error texts;
     ``is_contextual`` is true only for a real JSON boolean true.
     """
-    r = as_col(reply)
-    s = strip_fences(r)
+    s = strip_fences(reply)
     parsed = F.from_json(s, _with_corrupt(CONTEXT_SCHEMA), _JSON_OPTS)
-    ok = r.isNotNull() & (py_strip(r) != F.lit("")) & _is_json_object(s, parsed)
     good = F.struct(
         F.coalesce(parsed["context"], F.lit(PARSE_ERROR_CONTEXT)).alias("context"),
-        F.coalesce(_json_flag(s, "is_contextual"), F.lit(False)).alias("is_contextual"),
+        _bool_field(s, parsed, "is_contextual").alias("is_contextual"),
         F.coalesce(parsed["explanation"], F.lit(PARSE_ERROR_EXPLANATION)).alias("explanation"),
         parsed["corrected_question"].alias("corrected_question"),
     )
-    return F.when(F.coalesce(ok, F.lit(False)), good).otherwise(parse_error_struct())
+    return F.when(F.coalesce(_is_json_object(parsed), F.lit(False)), good) \
+        .otherwise(parse_error_struct())
 
 
 def parse_error_struct() -> Column:
@@ -172,9 +179,9 @@ def parse_verdict(reply) -> Column:
     r = as_col(reply)
     s = py_strip(r)
     parsed = F.from_json(s, _with_corrupt(VERDICT_SCHEMA), _JSON_OPTS)
-    ok = F.coalesce(r.isNotNull() & _is_json_object(s, parsed), F.lit(False))
+    ok = F.coalesce(_is_json_object(parsed), F.lit(False))
     good = F.struct(
-        F.coalesce(_json_flag(s, "is_supported"), F.lit(False)).alias("is_supported"),
+        _bool_field(s, parsed, "is_supported").alias("is_supported"),
         F.coalesce(parsed["explanation"], F.lit(VERDICT_NO_EXPLANATION)).alias("explanation"),
     )
     bad = F.struct(

@@ -12,9 +12,11 @@ helpers below number rows in a range-partitioned, per-partition way instead:
    bounded by the partition count (plus the group count), yields offsets;
 4. offsets join back (AQE broadcasts the table when its measured size allows).
 
-The count table and the rows read the same (reused) range shuffle, so the
-numbering is consistent, and it stays a valid dense numbering when a task is
-re-run after an executor loss (only rows with equal order keys may swap).
+The range-sorted rows with their ids are written once with a reliable
+``checkpoint()`` (in the shared ``spark.checkpoint.dir``): the count table and
+the rows then read the same files, so partition bounds cannot differ between
+the two branches, and an executor loss re-reads the checkpoint instead of
+re-sampling the range bounds.
 """
 
 from __future__ import annotations
@@ -37,14 +39,19 @@ def _cols(cols) -> list[Column]:
     return [c if isinstance(c, Column) else F.col(c) for c in cols]
 
 
+def _ranged(df: DataFrame, n: int, order_cols: list[Column]) -> DataFrame:
+    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = ranged.checkpoint(eager=True)
+    return ranged.withColumn("_pid", F.shiftrightunsigned(F.col("_mid"), _LOCAL_BITS))
+
+
 def global_index(df: DataFrame, order: Sequence, col: str = "idx",
                  partitions: int | None = None) -> DataFrame:
     """Add a dense 0-based row number in ``order`` without a single-task window."""
     n = _n_parts(df, partitions)
     order_cols = _cols(order)
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftrightunsigned(F.col("_mid"), _LOCAL_BITS)))
+    ranged = _ranged(df, n, order_cols)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # At most `n` rows: one per range partition, so this window and the
     # broadcast below are bounded by the partition count, not by the data.
@@ -66,9 +73,7 @@ def group_index(df: DataFrame, group: Sequence[str], order: Sequence, col: str =
     n = _n_parts(df, partitions)
     group = list(group)
     order_cols = _cols([*group, *order])
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftrightunsigned(F.col("_mid"), _LOCAL_BITS)))
+    ranged = _ranged(df, n, order_cols)
     # One row per (partition, group): a group spanning k partitions has k rows.
     stats = ranged.groupBy("_pid", *group).agg(F.min("_mid").alias("_first"),
                                                F.count(F.lit(1)).alias("_n"))

@@ -59,16 +59,20 @@ def answer_run(spark: SparkSession, sf_dir: str, log_path: str | None = None,
     retry = retry_factory or inf.PrefixResponder("A: ", 20)
     # Round 0: everything not yet in the log; failures become error rows.
     answer_round(spark, q, log_path, first, run_id=0, max_retries=0)
-    log = io.load_log(spark, log_path, LOG_SCHEMA)
-    orig = rs.latest(log.filter(F.col("run_id") == 0), order=["seq"], values=["prediction"])
-    failed = rs.error_ids(orig, "prediction", key="qid")
-    # Round 1: only the failed ids.
+    # Round 1: only the ids whose current answer (round 0 overlaid with any
+    # earlier retry) is still an error.
+    failed = rs.error_ids(current_answers(spark, log_path), "prediction", key="qid")
     answer_round(spark, q, log_path, retry, run_id=1, ids=failed)
-    log = io.load_log(spark, log_path, LOG_SCHEMA)
-    orig = rs.latest(log.filter(F.col("run_id") == 0), order=["seq"], values=["prediction"])
-    again = rs.latest(log.filter(F.col("run_id") == 1), order=["seq"], values=["prediction"])
-    final = rs.overlay(orig, again, key="qid", value_col="prediction")
+    final = current_answers(spark, log_path)
     sub = rs.to_input_order(q.select("qid", "conv_id", "turn"), final, key="qid",
                             value_col="prediction", pos=["conv_id", "turn"])
     return sub.select("qid", "conv_id", "turn",
                       F.coalesce(py_strip("prediction"), F.lit("")).alias("pred"))
+
+
+def current_answers(spark: SparkSession, log_path: str) -> DataFrame:
+    """Latest original answer per id, overlaid with the latest retry answer."""
+    log = io.load_log(spark, log_path, LOG_SCHEMA)
+    orig = rs.latest(log.filter(F.col("run_id") == 0), order=["seq"], values=["prediction"])
+    again = rs.latest(log.filter(F.col("run_id") == 1), order=["seq"], values=["prediction"])
+    return rs.overlay(orig, again, key="qid", value_col="prediction")
