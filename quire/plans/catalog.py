@@ -500,6 +500,30 @@ def q_answer_run(spark, d):
     return answer_run(spark, d)
 
 
+def q_two_step_answer(spark, d):
+    from quire.plans.runs import two_step_answer
+
+    return two_step_answer(spark, d)
+
+
+def q_context_run(spark, d):
+    from quire.plans.runs import context_run
+
+    return context_run(spark, d)
+
+
+def q_fact_check_run(spark, d):
+    from quire.plans.runs import fact_check_run
+
+    return fact_check_run(spark, d)
+
+
+def q_rewrite_run(spark, d):
+    from quire.plans.runs import rewrite_run
+
+    return rewrite_run(spark, d)
+
+
 def q_stream_resume(spark, d):
     from quire.streaming.resume import demo_resume
 
@@ -555,4 +579,8 @@ QUERIES = {
     "infer_replay": q_infer_replay,
     "answer_run": q_answer_run,
     "stream_resume": q_stream_resume,
+    "two_step_answer": q_two_step_answer,
+    "context_run": q_context_run,
+    "fact_check_run": q_fact_check_run,
+    "rewrite_run": q_rewrite_run,
 }

@@ -327,3 +327,89 @@ SQL["rewrite_summary"] = (
     "count(*) FILTER (WHERE rewrite_status = 'unchanged') AS n_unchanged, "
     "count(*) FILTER (WHERE rewrite_status = 'empty') AS n_empty, "
     "count(*) FILTER (WHERE rewrite_status <> 'changed') AS n_failed FROM x")
+
+
+def _lit(text: str) -> str:
+    """A SQL expression for a Python string (newlines as chr(10))."""
+    parts = text.split("\n")
+    pieces = []
+    for i, p in enumerate(parts):
+        if p:
+            pieces.append("'" + p.replace("'", "''") + "'")
+        if i < len(parts) - 1:
+            pieces.append("chr(10)")
+    return " || ".join(pieces) if pieces else "''"
+
+
+def template_sql(template: str, **slots: str) -> str:
+    """The template as one SQL concatenation, slots replaced by expressions."""
+    import string
+
+    out = []
+    for literal, field, _, _ in string.Formatter().parse(template):
+        if literal:
+            out.append(_lit(literal))
+        if field is not None:
+            out.append(f"coalesce(CAST({slots[field]} AS VARCHAR), '')")
+    return "(" + " || ".join(out) + ")"
+
+
+def _run_sql():
+    from quire.functions.prompts import (CANDIDATES_TEMPLATE, CONTEXT_TEMPLATE,
+                                         FACT_CHECK_TEMPLATE, REWRITE_TEMPLATE)
+
+    qs = strip("question")
+    cand = template_sql(CANDIDATES_TEMPLATE, question=qs, n="4")
+    two_step = (
+        f"WITH {Q}, p AS (SELECT qid, length({cand}) AS L FROM q), "
+        "c AS (SELECT qid, t.i AS pos, substr('ABCDE', CAST((L + t.i * t.i) % 5 AS INTEGER) + 1, 1) AS label "
+        "FROM p CROSS JOIN (SELECT range AS i FROM range(4)) t), "
+        "per AS (SELECT qid, label, count(*) AS votes, min(pos) AS first_pos FROM c GROUP BY 1, 2), "
+        "st AS (SELECT qid, sum(votes) AS n_candidates, max(votes) FILTER (WHERE label <> 'E') AS top "
+        "FROM per GROUP BY 1), "
+        "nt AS (SELECT per.qid, count(*) FILTER (WHERE per.label <> 'E' AND per.votes = st.top) AS n_top "
+        "FROM per JOIN st ON st.qid = per.qid GROUP BY 1), "
+        "best AS (SELECT qid, label, votes FROM (SELECT *, row_number() OVER (PARTITION BY qid "
+        "ORDER BY votes DESC, first_pos ASC) AS rn FROM per WHERE label <> 'E') WHERE rn = 1) "
+        "SELECT st.qid, best.label AS winner, coalesce(best.votes, 0) AS votes, st.n_candidates, "
+        "CASE WHEN best.qid IS NULL THEN 'all_none' WHEN nt.n_top > 1 THEN 'tie' ELSE 'ok' END AS status "
+        "FROM st JOIN nt ON nt.qid = st.qid LEFT JOIN best ON best.qid = st.qid")
+    header = len(CONTEXT_TEMPLATE.split("{question}", 1)[0])
+    ctx = template_sql(CONTEXT_TEMPLATE, question=qs)
+    context = (
+        f"WITH {Q}, p AS (SELECT qid, conv_id, turn, {ctx} AS prompt FROM q) "
+        f"SELECT qid, conv_id, turn, substr(prompt, {header + 1}, 30) AS context, "
+        "length(prompt) % 2 = 0 AS is_contextual, 'len ' || CAST(length(prompt) AS VARCHAR) AS explanation, "
+        "CAST(NULL AS VARCHAR) AS corrected_question FROM p")
+    fc = template_sql(FACT_CHECK_TEMPLATE, question=qs, answer=strip("a.answer"))
+    fact = (
+        f"WITH {Q}, {A}, p AS (SELECT q.qid, length({fc}) AS L FROM q JOIN a ON a.qid = q.qid) "
+        "SELECT qid, CASE WHEN L % 5 = 0 THEN false ELSE L % 2 = 0 END AS is_supported, "
+        "CASE WHEN L % 5 = 0 THEN 'Error during fact check: Failed to parse JSON from model. Raw reply:' "
+        "|| chr(10) || 'I think so.' ELSE 'checked ' || CAST(L AS VARCHAR) END AS explanation FROM p")
+    bullets = "array_to_string(list_transform(ch, lambda x: '- ' || x), chr(10))"
+    rw = template_sql(REWRITE_TEMPLATE, context=bullets, question="qs")
+    cleaned = ("CASE WHEN lower(left(r, 19)) = 'rewritten question:' THEN "
+               "regexp_replace(substr(r, 20), '^[ \"\\n]+|[ \"\\n]+$', '', 'g') ELSE r END")
+    rewrite = (
+        f"WITH {Q}, {A}, i AS (SELECT q.qid, {qs} AS qs, a.answer AS context, "
+        f"list_filter(list_transform(string_split(a.answer, '.'), lambda x: {strip('x')}), "
+        "lambda x: x <> '') AS ch FROM q LEFT JOIN a ON a.qid = q.qid), "
+        "v AS (SELECT *, CASE WHEN qs IS NULL THEN 'missing_question' WHEN context IS NULL THEN "
+        "'null_context' WHEN len(ch) = 0 THEN 'no_chunks' END AS skip_reason FROM i), "
+        f"p AS (SELECT qid, qs, length({rw}) AS L FROM v WHERE skip_reason IS NULL), "
+        "r AS (SELECT qid, qs, CASE L % 3 WHEN 0 THEN 'Rewritten question: \"' || qs || ' (in the clip)\"' "
+        "WHEN 1 THEN lower(qs) ELSE '' END AS reply FROM p), "
+        f"c AS (SELECT qid, qs, {strip('reply')} AS r FROM r), "
+        f"d AS (SELECT qid, qs, {cleaned} AS rr FROM c), "
+        "s AS (SELECT qid, qs, rr, CASE WHEN rr IS NULL OR rr = '' THEN 'empty' WHEN lower(rr) = lower(qs) "
+        "THEN 'unchanged' ELSE 'changed' END AS st FROM d) "
+        "SELECT qid, CAST(NULL AS VARCHAR) AS skip_reason, CASE WHEN st = 'changed' THEN rr ELSE qs END "
+        "AS final_question, st AS rewrite_status FROM s "
+        "UNION ALL SELECT qid, skip_reason, qs AS final_question, 'skipped' AS rewrite_status FROM v "
+        "WHERE skip_reason IS NOT NULL")
+    return {"two_step_answer": two_step, "context_run": context, "fact_check_run": fact,
+            "rewrite_run": rewrite}
+
+
+SQL.update(_run_sql())

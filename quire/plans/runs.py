@@ -76,3 +76,134 @@ def current_answers(spark: SparkSession, log_path: str) -> DataFrame:
     orig = rs.latest(log.filter(F.col("run_id") == 0), order=["seq"], values=["prediction"])
     again = rs.latest(log.filter(F.col("run_id") == 1), order=["seq"], values=["prediction"])
     return rs.overlay(orig, again, key="qid", value_col="prediction")
+
+
+# --- Two-step answer: candidates as rows, then a table vote -------------------
+
+def two_step_answer(spark: SparkSession, sf_dir: str, n: int = 4,
+                    responder_factory=None) -> DataFrame:
+    """Step 1 asks for ``n`` candidate answers per question; the candidate
+    lines become rows and the final answer is the vote among them (option E,
+    "none of the above", only when nothing else was proposed)."""
+    from quire.functions.prompts import CANDIDATES_TEMPLATE, render
+    from quire.operators import vote as vo
+    from quire.operators.responders import CandidateResponder
+
+    q = sh.questions(spark, sf_dir).select(
+        "qid", "conv_id",
+        render(CANDIDATES_TEMPLATE, question=py_strip("question"), n=n).alias("prompt"))
+    step1 = inf.infer(q, "prompt", responder_factory or CandidateResponder(n), keep=["qid"],
+                      group_col="conv_id")
+    cands = vo.candidate_rows(step1.filter(F.col("error").isNull()), key="qid", reply_col="reply")
+    v = vo.vote(cands, key="qid", none_label="E", expected=q.select("qid"))
+    return v.select("qid", "winner", "votes", "n_candidates", "status")
+
+
+# --- Context run: extract, parse, retry the failures, lay on the questions ----
+
+CONTEXT_LOG_SCHEMA = ("run_id INT, seq LONG, qid STRING, prediction STRUCT<context: STRING, "
+                      "is_contextual: BOOLEAN, explanation: STRING, corrected_question: STRING>")
+
+
+def _context_round(todo: DataFrame, factory, run_id: int, log_path: str) -> None:
+    from quire.functions.replies import parse_reply
+
+    out = inf.infer(todo, "prompt", factory, keep=["qid"], group_col="conv_id", max_retries=0)
+    io.append_log(out.select(F.lit(run_id).alias("run_id"),
+                             F.monotonically_increasing_id().alias("seq"), "qid",
+                             parse_reply("reply").alias("prediction")), log_path)
+
+
+def current_contexts(spark: SparkSession, log_path: str) -> DataFrame:
+    """Original contexts overlaid with retried ones where the original failed
+    (a context starting with ``Error:``)."""
+    from quire.functions.replies import is_error
+
+    log = io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA)
+    orig = rs.latest(log.filter(F.col("run_id") == 0), order=["seq"], values=["prediction"])
+    again = rs.latest(log.filter(F.col("run_id") == 1), order=["seq"], values=["prediction"])
+    return rs.overlay(orig, again, key="qid", value_col="prediction",
+                      error_test=lambda c: is_error(c["context"], mode="prefix"))
+
+
+def context_run(spark: SparkSession, sf_dir: str, log_path: str | None = None,
+                first_factory=None, retry_factory=None) -> DataFrame:
+    """Context extraction for every user turn with one retry round, then the
+    contexts flattened onto the question rows (left join: every question kept)."""
+    from quire.functions.prompts import CONTEXT_TEMPLATE, render
+    from quire.functions.replies import is_error
+    from quire.operators.enrich import enrich
+    from quire.operators.responders import ContextResponder
+
+    header = len(CONTEXT_TEMPLATE.split("{question}", 1)[0])
+    log_path = log_path or scratch_path(spark, "context-log")
+    questions = sh.questions(spark, sf_dir)
+    q = questions.select("qid", "conv_id",
+                         render(CONTEXT_TEMPLATE, question=py_strip("question")).alias("prompt"))
+    log = io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA)
+    _context_round(rs.unanswered(q, log), first_factory or ContextResponder(header, fail_mod=7),
+                   0, log_path)
+    state = current_contexts(spark, log_path)
+    failed = state.filter(is_error(F.col("prediction")["context"], mode="prefix")).select("qid")
+    _context_round(rs.only_ids(q, failed), retry_factory or ContextResponder(header), 1, log_path)
+    final = current_contexts(spark, log_path).select("qid", "prediction")
+    out = enrich(questions.select("qid", "conv_id", "turn"), final, key="qid", how="left",
+                 question=None, prompt=None)
+    return out.select("qid", "conv_id", "turn", "context", "is_contextual", "explanation",
+                      "corrected_question")
+
+
+# --- Fact check over (question, answer) pairs ---------------------------------
+
+def fact_check_run(spark: SparkSession, sf_dir: str, responder_factory=None) -> DataFrame:
+    from quire.functions.prompts import FACT_CHECK_TEMPLATE, render
+    from quire.functions.replies import parse_verdict
+    from quire.operators.responders import VerdictResponder
+
+    pairs = sh.questions(spark, sf_dir).join(sh.answers(spark, sf_dir), on="qid", how="inner")
+    p = pairs.select("qid", "conv_id", render(FACT_CHECK_TEMPLATE, question=py_strip("question"),
+                                             answer=py_strip("answer")).alias("prompt"))
+    out = inf.infer(p, "prompt", responder_factory or VerdictResponder(), keep=["qid"],
+                    group_col="conv_id", max_retries=0)
+    v = out.select("qid", parse_verdict("reply").alias("v"))
+    return v.select("qid", "v.is_supported", "v.explanation")
+
+
+# --- Rewrite run: validate, chunk, prompt, rewrite, clean, fall back ----------
+
+REWRITE_START = "Original question:\n"
+REWRITE_END = "\n\nRewrite the question"
+
+
+def rewrite_run(spark: SparkSession, sf_dir: str, responder_factory=None) -> DataFrame:
+    """Rewrite each user turn with the following assistant turn as its context.
+
+    Rows without a question, without context or whose context has no chunk
+    are kept with their ``skip_reason`` (status ``skipped``); the others get
+    the cleaned rewrite, or the question when the rewrite is empty or only
+    differs in case."""
+    from quire.functions.prompts import REWRITE_TEMPLATE, render
+    from quire.functions.text import (bullet_list, clean_rewrite, context_chunks,
+                                      rewrite_or_fallback, rewrite_status)
+    from quire.operators.responders import RewriteResponder
+
+    items = sh.questions(spark, sf_dir).join(sh.answers(spark, sf_dir), on="qid", how="left") \
+        .select("qid", "conv_id", py_strip("question").alias("q"), F.col("answer").alias("context"))
+    items = items.withColumn("chunks", context_chunks("context"))
+    reason = (F.when(F.col("q").isNull(), F.lit("missing_question"))
+              .when(F.col("context").isNull(), F.lit("null_context"))
+              .when(F.size("chunks") == 0, F.lit("no_chunks")))
+    items = items.withColumn("skip_reason", reason)
+    valid = items.filter(F.col("skip_reason").isNull()).select(
+        "qid", "conv_id", "q",
+        render(REWRITE_TEMPLATE, context=bullet_list("chunks"), question=F.col("q")).alias("prompt"))
+    out = inf.infer(valid, "prompt", responder_factory or RewriteResponder(REWRITE_START, REWRITE_END),
+                    keep=["qid", "q"], group_col="conv_id", max_retries=0)
+    cleaned = out.select("qid", "q", clean_rewrite("reply").alias("r"))
+    done = cleaned.select("qid", F.lit(None).cast("string").alias("skip_reason"),
+                          rewrite_or_fallback("r", "q").alias("final_question"),
+                          rewrite_status("r", "q").alias("rewrite_status"))
+    skipped = items.filter(F.col("skip_reason").isNotNull()).select(
+        "qid", "skip_reason", F.col("q").alias("final_question"),
+        F.lit("skipped").alias("rewrite_status"))
+    return done.unionByName(skipped)
