@@ -524,6 +524,30 @@ def q_rewrite_run(spark, d):
     return rewrite_run(spark, d)
 
 
+def q_snapshot_run(spark, d):
+    from quire.plans.runs import snapshot_run
+
+    return snapshot_run(spark, d)
+
+
+def q_one_group_check(spark, d):
+    from quire.plans.runs import one_group_check
+
+    return one_group_check(spark, d, ONE_GROUP)
+
+
+def q_compare_modes(spark, d):
+    from quire.plans.runs import compare_modes
+
+    return compare_modes(spark, d)
+
+
+def q_three_step_run(spark, d):
+    from quire.plans.runs import three_step_run
+
+    return three_step_run(spark, d)
+
+
 def q_stream_resume(spark, d):
     from quire.streaming.resume import demo_resume
 
@@ -583,4 +607,8 @@ QUERIES = {
     "context_run": q_context_run,
     "fact_check_run": q_fact_check_run,
     "rewrite_run": q_rewrite_run,
+    "snapshot_run": q_snapshot_run,
+    "one_group_check": q_one_group_check,
+    "compare_modes": q_compare_modes,
+    "three_step_run": q_three_step_run,
 }

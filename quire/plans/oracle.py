@@ -413,3 +413,40 @@ def _run_sql():
 
 
 SQL.update(_run_sql())
+
+
+def _more_run_sql():
+    from quire.functions.prompts import CANDIDATES_TEMPLATE, CONTEXT_TEMPLATE
+
+    qs = strip("q.question")
+    header = len(CONTEXT_TEMPLATE.split("{question}", 1)[0])
+    ctx = template_sql(CONTEXT_TEMPLATE, question=qs)
+    combined = (f"CASE WHEN s.question_prompt IS NOT NULL AND {strip('s.question_prompt')} <> '' THEN "
+                f"coalesce({qs}, '') || chr(10) || {strip('s.question_prompt')} ELSE coalesce({qs}, '') END")
+    snapshot = (
+        f"WITH {Q}, {S}, p AS (SELECT q.qid, {combined} AS question_with_prompt, {ctx} AS prompt "
+        "FROM q LEFT JOIN s ON s.conv_id = q.conv_id) "
+        f"SELECT qid, question_with_prompt, substr(prompt, {header + 1}, 30) AS context, "
+        "length(prompt) % 2 = 0 AS is_contextual, 'len ' || CAST(length(prompt) AS VARCHAR) AS explanation "
+        "FROM p")
+    one_group = (
+        f"WITH {Q}, p AS (SELECT q.qid, {ctx} AS prompt FROM q WHERE q.conv_id = 7) "
+        f"SELECT qid, left(substr(prompt, {header + 1}, 30), 150) || '...' AS preview FROM p")
+    one = template_sql(CANDIDATES_TEMPLATE, question=qs, n="1")
+    compare = (
+        f"WITH two AS ({SQL['two_step_answer']}), {Q}, "
+        f"one AS (SELECT q.qid, substr('ABCDE', CAST(length({one}) % 5 AS INTEGER) + 1, 1) AS p FROM q), "
+        "j AS (SELECT one.qid AS a, one.p AS ap, two.qid AS b, two.winner AS bp FROM one "
+        "FULL JOIN two ON two.qid = one.qid) "
+        f"SELECT CASE WHEN b IS NULL THEN 'only_a' WHEN a IS NULL THEN 'only_b' "
+        f"WHEN {is_err('ap')} AND {is_err('bp')} THEN 'both_error' WHEN {is_err('ap')} THEN 'a_error' "
+        f"WHEN {is_err('bp')} THEN 'b_error' WHEN ap IS NOT DISTINCT FROM bp THEN 'agree' ELSE 'changed' END "
+        "AS outcome, count(*) AS n FROM j GROUP BY 1")
+    three = (
+        f"WITH rw AS ({SQL['rewrite_run']}) SELECT qid, "
+        f"{strip(chr(39) + 'A: ' + chr(39) + ' || left(' + strip('final_question') + ', 20)')} AS pred FROM rw")
+    return {"snapshot_run": snapshot, "one_group_check": one_group, "compare_modes": compare,
+            "three_step_run": three}
+
+
+SQL.update(_more_run_sql())

@@ -126,18 +126,15 @@ def current_contexts(spark: SparkSession, log_path: str) -> DataFrame:
                       error_test=lambda c: is_error(c["context"], mode="prefix"))
 
 
-def context_run(spark: SparkSession, sf_dir: str, log_path: str | None = None,
-                first_factory=None, retry_factory=None) -> DataFrame:
-    """Context extraction for every user turn with one retry round, then the
-    contexts flattened onto the question rows (left join: every question kept)."""
+def context_rounds(spark: SparkSession, questions: DataFrame, log_path: str,
+                   first_factory=None, retry_factory=None) -> DataFrame:
+    """Context extraction with one retry round over ``questions`` (``qid``,
+    ``conv_id``, ``question``); returns the current (overlaid) contexts."""
     from quire.functions.prompts import CONTEXT_TEMPLATE, render
     from quire.functions.replies import is_error
-    from quire.operators.enrich import enrich
     from quire.operators.responders import ContextResponder
 
     header = len(CONTEXT_TEMPLATE.split("{question}", 1)[0])
-    log_path = log_path or scratch_path(spark, "context-log")
-    questions = sh.questions(spark, sf_dir)
     q = questions.select("qid", "conv_id",
                          render(CONTEXT_TEMPLATE, question=py_strip("question")).alias("prompt"))
     log = io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA)
@@ -146,13 +143,59 @@ def context_run(spark: SparkSession, sf_dir: str, log_path: str | None = None,
     state = current_contexts(spark, log_path)
     failed = state.filter(is_error(F.col("prediction")["context"], mode="prefix")).select("qid")
     _context_round(rs.only_ids(q, failed), retry_factory or ContextResponder(header), 1, log_path)
-    final = current_contexts(spark, log_path).select("qid", "prediction")
-    out = enrich(questions.select("qid", "conv_id", "turn"), final, key="qid", how="left",
-                 question=None, prompt=None)
+    return current_contexts(spark, log_path)
+
+
+def context_run(spark: SparkSession, sf_dir: str, log_path: str | None = None,
+                first_factory=None, retry_factory=None) -> DataFrame:
+    """Context extraction for every user turn with one retry round, then the
+    contexts flattened onto the question rows (left join: every question kept)."""
+    from quire.operators.enrich import enrich
+
+    log_path = log_path or scratch_path(spark, "context-log")
+    questions = sh.questions(spark, sf_dir)
+    final = context_rounds(spark, questions, log_path, first_factory, retry_factory)
+    out = enrich(questions.select("qid", "conv_id", "turn"), final.select("qid", "prediction"),
+                 key="qid", how="left", question=None, prompt=None)
     return out.select("qid", "conv_id", "turn", "context", "is_contextual", "explanation",
                       "corrected_question")
 
 
+def snapshot_run(spark: SparkSession, sf_dir: str, log_path: str | None = None) -> DataFrame:
+    """Snapshot of the answered questions: last-wins contexts, retry overlay
+    that also adds retry-only ids, inner join with the questions, combined
+    question text, prediction flattened, NaN as NULL."""
+    from quire.functions.replies import is_error
+    from quire.operators.enrich import enrich
+
+    log_path = log_path or scratch_path(spark, "snapshot-log")
+    questions = sh.questions(spark, sf_dir)
+    context_rounds(spark, questions, log_path)
+    log = io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA)
+    orig = rs.latest(log.filter(F.col("run_id") == 0), order=["seq"], values=["prediction"])
+    again = rs.latest(log.filter(F.col("run_id") == 1), order=["seq"], values=["prediction"])
+    final = rs.overlay(orig, again, key="qid", value_col="prediction", add_new=True,
+                       error_test=lambda c: is_error(c["context"], mode="prefix"))
+    q = questions.join(sh.prompts(spark, sf_dir), on="conv_id", how="left")
+    out = enrich(q.select("qid", "question", "question_prompt"), final.select("qid", "prediction"),
+                 key="qid", how="inner")
+    return out.select("qid", "question_with_prompt", "context", "is_contextual", "explanation")
+
+
+def one_group_check(spark: SparkSession, sf_dir: str, conv_id: int, log_path: str | None = None
+                    ) -> DataFrame:
+    """Context run for one conversation (equality filter on the group key, pushed to
+    the scan), then a preview of each context."""
+    from quire.functions.text import preview
+
+    log_path = log_path or scratch_path(spark, "one-group-log")
+    questions = sh.questions(spark, sf_dir).filter(F.col("conv_id") == conv_id)
+    final = context_rounds(spark, questions, log_path)
+    ids = questions.select("qid")
+    return rs.only_ids(final, ids, key="qid").select(
+        "qid", preview(F.col("prediction")["context"]).alias("preview"))
+
+
 # --- Fact check over (question, answer) pairs ---------------------------------
 
 def fact_check_run(spark: SparkSession, sf_dir: str, responder_factory=None) -> DataFrame:
@@ -207,3 +250,43 @@ def rewrite_run(spark: SparkSession, sf_dir: str, responder_factory=None) -> Dat
         "qid", "skip_reason", F.col("q").alias("final_question"),
         F.lit("skipped").alias("rewrite_status"))
     return done.unionByName(skipped)
+
+
+# --- Compare single-shot and two-step answers --------------------------------
+
+def compare_modes(spark: SparkSession, sf_dir: str, n: int = 4) -> DataFrame:
+    """Single-shot answer (one candidate) against the two-step vote winner,
+    per question; one row per outcome with its count."""
+    from quire.functions.prompts import CANDIDATES_TEMPLATE, render
+    from quire.functions.replies import option_label
+    from quire.operators.evaluate import compare_runs
+    from quire.operators.responders import CandidateResponder
+
+    q = sh.questions(spark, sf_dir).select(
+        "qid", "conv_id", render(CANDIDATES_TEMPLATE, question=py_strip("question"), n=1).alias("prompt"))
+    single = inf.infer(q, "prompt", CandidateResponder(1), keep=["qid"], group_col="conv_id")
+    single = single.select("qid", option_label("reply").alias("prediction"))
+    two = two_step_answer(spark, sf_dir, n=n).select("qid", F.col("winner").alias("prediction"))
+    return compare_runs(single, two, key="qid", value_col="prediction")
+
+
+# --- Three steps: context, rewrite, answer -----------------------------------
+
+def three_step_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context run, then rewrite run, then the answer input (rewritten question,
+    falling back to the question; a context is required), then the answer."""
+    from quire.operators.enrich import prepare_answer_input
+
+    questions = sh.questions(spark, sf_dir)
+    contexts = context_rounds(spark, questions, scratch_path(spark, "three-step-context"))
+    contexts = contexts.select("qid", F.col("prediction")["context"].alias("context"))
+    rewrites = rewrite_run(spark, sf_dir).select(
+        "qid", F.col("final_question").alias("corrected_question"))
+    inputs = prepare_answer_input(questions.select("qid", "conv_id", "turn", "question"),
+                                  rewrites, contexts, key="qid", strict=True)
+    prompts = inputs.select("qid", "conv_id", "turn",
+                            py_strip("corrected_question").alias("prompt"))
+    out = inf.infer(prompts, "prompt", inf.PrefixResponder("A: ", 20), keep=["qid"],
+                    group_col="conv_id", max_retries=0)
+    return out.select("qid", F.coalesce(py_strip(reply_status("reply", "error")), F.lit(""))
+                      .alias("pred"))
