@@ -73,16 +73,25 @@ def repeat_passes(df: DataFrame, n: int, col: str = "pass_idx") -> DataFrame:
 
 
 def spread_for_inference(df: DataFrame, key: str, partitions: int, salt_buckets: int = 8,
-                         salt_on: str = "qid") -> DataFrame:
+                         salt_on: str = "qid", rows_per_task: int | None = None) -> DataFrame:
     """Partition questions for the model call.
 
     Questions of a group are kept together (media prepared once per task),
-    but each group is split into ``salt_buckets`` sub-groups by a hash of the
-    id, so one huge group does not land in one task. Nothing downstream needs
-    the group co-located.
+    but a group is split into sub-groups by a hash of the id, so one huge
+    group does not land in one task. With ``rows_per_task`` the number of
+    sub-groups follows each group's size (``ceil(rows / rows_per_task)``, from
+    a partial count with one row per group); otherwise every group gets
+    ``salt_buckets``. Nothing downstream needs the group co-located.
     """
-    salt = F.pmod(F.xxhash64(salt_on), F.lit(salt_buckets))
+    if rows_per_task:
+        sizes = df.groupBy(key).agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).cast("long").alias("_buckets"))
+        df = df.join(sizes, on=key, how="left")
+        buckets = F.greatest(F.col("_buckets"), F.lit(1))
+    else:
+        buckets = F.lit(salt_buckets)
+    salt = F.pmod(F.xxhash64(salt_on), buckets)
     return (df.withColumn("_salt", salt)
             .repartition(partitions, key, "_salt")
             .sortWithinPartitions(key)
-            .drop("_salt"))
+            .drop("_salt", "_buckets"))

@@ -101,6 +101,7 @@ def _call_with_retry(responder: Responder, prompt: str, bucket: _TokenBucket,
 def infer(df: DataFrame, prompt_col: str, responder_factory: ResponderFactory,
           keep: Sequence[str] = ("qid",), partitions: int | None = None,
           group_col: str | None = None, salt_on: str = "qid", salt_buckets: int = 8,
+          rows_per_task: int | None = None,
           max_in_flight: int = 5, rate_per_sec: float | None = None, max_retries: int = 3,
           initial_backoff: float = BACKOFF_REWRITE[0], jitter: float = BACKOFF_REWRITE[1],
           retry_other: bool = False) -> DataFrame:
@@ -109,7 +110,8 @@ def infer(df: DataFrame, prompt_col: str, responder_factory: ResponderFactory,
 
     Only ``keep`` and the prompt are shipped to Python (column pruning stops
     at ``mapInPandas``). With ``group_col`` rows of a group share tasks, split
-    into ``salt_buckets`` sub-groups so one big group cannot stall the job.
+    into sub-groups (``salt_buckets`` each, or sized by ``rows_per_task``) so
+    one big group cannot stall the job.
     """
     keep = list(keep)
     spark = df.sparkSession
@@ -117,7 +119,7 @@ def infer(df: DataFrame, prompt_col: str, responder_factory: ResponderFactory,
     cols = list(dict.fromkeys(keep + [prompt_col] + ([group_col] if group_col else [])))
     src = df.select(*cols)
     if group_col:
-        src = spread_for_inference(src, group_col, n, salt_buckets, salt_on)
+        src = spread_for_inference(src, group_col, n, salt_buckets, salt_on, rows_per_task)
     else:
         src = src.repartition(n, F.xxhash64(*[F.col(k) for k in keep]))
     in_schema = src.schema

@@ -201,3 +201,16 @@ def test_progress_and_overlay_counts(spark):
     o = spark.createDataFrame([("1", "Error"), ("2", "Error"), ("3", "A")], "qid string, prediction string")
     r = spark.createDataFrame([("1", "B"), ("2", "Error"), ("9", "C")], "qid string, prediction string")
     assert rows(ev.overlay_counts(o, r)) == [(3, 3, 2, 1, 1, 1)]
+
+
+def test_spread_for_inference_splits_hot_group(spark):
+    # A third of the rows in one group: sized salting spreads it over tasks.
+    data = [(f"q{i}", 0 if i % 3 == 0 else i % 50 + 1) for i in range(3000)]
+    df = spark.createDataFrame(data, "qid string, g long")
+    out = gr.spread_for_inference(df, "g", partitions=16, rows_per_task=100)
+    per_task = out.filter("g = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    # Hashing the sub-groups onto partitions may collide, but no task holds
+    # anywhere near the whole group any more.
+    assert len(per_task) >= 4 and max(r["count"] for r in per_task) <= 400
+    assert sum(r["count"] for r in per_task) == 1000
+    assert out.count() == 3000 and set(out.columns) == {"qid", "g"}
