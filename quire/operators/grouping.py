@@ -33,10 +33,15 @@ def group_summary(df: DataFrame, key: str, pos: str = "pos", qid: str = "qid") -
     )
 
 
-def first_of_group(df: DataFrame, key: str, pos: str, cols: Sequence[str]) -> DataFrame:
-    """Values of the first row (smallest ``pos``) of each group."""
-    first = F.min_by(F.struct(*cols), pos).alias("_first")
-    return df.groupBy(key).agg(first).select(key, *[F.col("_first")[c].alias(c) for c in cols])
+def first_of_group(df: DataFrame, key: str, pos: str, cols: Sequence[str],
+                   count_col: str | None = None) -> DataFrame:
+    """Values of the first row (smallest ``pos``) of each group, optionally
+    with the group's row count (same aggregate, no second shuffle)."""
+    aggs = [F.min_by(F.struct(*cols), pos).alias("_first")]
+    if count_col:
+        aggs.append(F.count(F.lit(1)).alias(count_col))
+    return df.groupBy(key).agg(*aggs).select(
+        key, *[F.col("_first")[c].alias(c) for c in cols], *([count_col] if count_col else []))
 
 
 def order_groups(df: DataFrame, key: str, pos: str = "pos", qid: str = "qid",

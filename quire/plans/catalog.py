@@ -375,12 +375,12 @@ def q_answer_format(spark, d):
 def q_media_lookup(spark, d):
     pages = sh.table(spark, d, "pages").select("page_id", "url")
     p = pages.withColumn("host", F.split_part("url", F.lit("/"), F.lit(3)))
-    first = gr.first_of_group(p, key="host", pos="page_id", cols=["page_id", "url"]) \
+    first = gr.first_of_group(p, key="host", pos="page_id", cols=["page_id", "url"],
+                              count_col="n_pages") \
         .withColumnRenamed("page_id", "first_page_id").withColumnRenamed("url", "first_url")
-    counts = p.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     media = p.filter(F.col("url").endswith(".html")).select("host").distinct() \
         .withColumn("_m", F.lit(True))
-    j = first.join(counts, on="host").join(media, on="host", how="left")
+    j = first.join(media, on="host", how="left")
     has = F.coalesce("_m", F.lit(False))
     return j.select("host", "first_page_id", "first_url", "n_pages", has.alias("has_media"),
                     F.when(has, F.concat(F.lit("media/"), "host", F.lit(".mp4"))).alias("media_path"))
