@@ -548,6 +548,27 @@ def q_three_step_run(spark, d):
     return three_step_run(spark, d)
 
 
+def q_csv_roundtrip(spark, d):
+    """The user turns written as a question CSV (quoted text with real
+    newlines and quotes) and read back with the question-CSV reader."""
+    from quire.session import scratch_path
+    from quire.sources import io
+
+    path = scratch_path(spark, "questions-csv")
+    q = sh.questions(spark, d).select("qid", "conv_id", "turn", "question")
+    io.write_questions_csv(q, path)
+    back = io.read_questions_csv(spark, path, schema=io.csv_schema(q.schema), with_pos=False)
+    return back.select("qid", "question")
+
+
+def q_replay_recorded(spark, d):
+    """Offline inference: the assistant turns are the recorded replies of the
+    user turns; questions without a recording get an error row."""
+    q = sh.questions(spark, d).select("qid")
+    rec = sh.answers(spark, d).select("qid", F.col("answer").alias("reply"))
+    return inf.replay(q, rec, key=["qid"]).select("qid", "reply", "error", "attempts")
+
+
 def q_stream_resume(spark, d):
     from quire.streaming.resume import demo_resume
 
@@ -611,4 +632,6 @@ QUERIES = {
     "one_group_check": q_one_group_check,
     "compare_modes": q_compare_modes,
     "three_step_run": q_three_step_run,
+    "csv_roundtrip": q_csv_roundtrip,
+    "replay_recorded": q_replay_recorded,
 }

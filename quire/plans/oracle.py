@@ -450,3 +450,9 @@ def _more_run_sql():
 
 
 SQL.update(_more_run_sql())
+
+
+SQL["csv_roundtrip"] = f"WITH {Q} SELECT qid, question FROM q"
+SQL["replay_recorded"] = (
+    f"WITH {Q}, {A} SELECT q.qid, a.answer AS reply, CASE WHEN a.qid IS NULL THEN "
+    "'Error: No recorded reply' END AS error, 1 AS attempts FROM q LEFT JOIN a ON a.qid = q.qid")

@@ -27,11 +27,27 @@ def read_questions_csv(spark: SparkSession, path: str, schema: T.StructType = QU
     multi-line CSV is read unsplit, so convert it once to Parquet at scale.
     """
     df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("escape", '"').option("mode", "FAILFAST").csv(path))
+          .option("escape", '"').option("mode", "FAILFAST")
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+          .csv(path))
     df = df.drop(*[c for c in _INDEX_COLUMNS if c in df.columns])
     return with_source_pos(df) if with_pos else df
 
 
+def csv_schema(schema: T.StructType) -> T.StructType:
+    """The reading schema of a CSV written by :func:`write_questions_csv`."""
+    return T.StructType([T.StructField("_c0", T.StringType())] + list(schema.fields))
+
+
+def write_questions_csv(df: DataFrame, path: str) -> None:
+    """A question table as CSV with a leading index column (like the source
+    files): quotes doubled, text with newlines quoted, whitespace kept."""
+    out = df.select(F.lit("").alias("_c0"), *df.columns)
+    (out.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("quoteAll", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType,
                     required: tuple[str, ...] = ("qid",)) -> DataFrame:
     """A table stored as JSON array files. Items that are not objects are

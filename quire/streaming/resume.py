@@ -78,7 +78,7 @@ def demo_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.repartitionByRange(4, "conv_id").write.mode("append").parquet(source)
     # Arrival 2: the opening questions of each conversation are sent again.
     q.join(sh.questions(spark, sf_dir).filter(F.col("turn") == 0).select("qid"), on="qid",
-           how="left_semi").write.mode("append").parquet(source)
+           how="left_semi").repartitionByRange(2, "conv_id").write.mode("append").parquet(source)
     query = resume_stream(spark, source, log_path, ckpt, inf.PrefixResponder("A: ", 20),
                           files_per_batch=2)
     query.awaitTermination()
