@@ -155,6 +155,14 @@ def infer(df: DataFrame, prompt_col: str, responder_factory: ResponderFactory,
     return src.mapInPandas(run, out_schema)
 
 
+def durable(df: DataFrame) -> DataFrame:
+    """Materialize model output once (reliable checkpoint in the shared
+    ``spark.checkpoint.dir``) before anything shuffles or reuses it: a lost
+    executor then re-reads the files instead of calling the model again and
+    possibly getting a different answer for rows other tasks already used."""
+    return df.checkpoint(eager=True)
+
+
 def replay(df: DataFrame, recorded: DataFrame, key: Sequence[str] = ("qid",),
            reply_col: str = "reply",
            missing_error: str = "Error: No recorded reply") -> DataFrame:

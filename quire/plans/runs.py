@@ -92,8 +92,8 @@ def two_step_answer(spark: SparkSession, sf_dir: str, n: int = 4,
     q = sh.questions(spark, sf_dir).select(
         "qid", "conv_id",
         render(CANDIDATES_TEMPLATE, question=py_strip("question"), n=n).alias("prompt"))
-    step1 = inf.infer(q, "prompt", responder_factory or CandidateResponder(n), keep=["qid"],
-                      group_col="conv_id")
+    step1 = inf.durable(inf.infer(q, "prompt", responder_factory or CandidateResponder(n),
+                                  keep=["qid"], group_col="conv_id"))
     cands = vo.candidate_rows(step1.filter(F.col("error").isNull()), key="qid", reply_col="reply")
     v = vo.vote(cands, key="qid", none_label="E", expected=q.select("qid"))
     return v.select("qid", "winner", "votes", "n_candidates", "status")
@@ -206,8 +206,8 @@ def fact_check_run(spark: SparkSession, sf_dir: str, responder_factory=None) ->
     pairs = sh.questions(spark, sf_dir).join(sh.answers(spark, sf_dir), on="qid", how="inner")
     p = pairs.select("qid", "conv_id", render(FACT_CHECK_TEMPLATE, question=py_strip("question"),
                                              answer=py_strip("answer")).alias("prompt"))
-    out = inf.infer(p, "prompt", responder_factory or VerdictResponder(), keep=["qid"],
-                    group_col="conv_id", max_retries=0)
+    out = inf.durable(inf.infer(p, "prompt", responder_factory or VerdictResponder(),
+                                keep=["qid"], group_col="conv_id", max_retries=0))
     v = out.select("qid", parse_verdict("reply").alias("v"))
     return v.select("qid", "v.is_supported", "v.explanation")
 
@@ -240,8 +240,9 @@ def rewrite_run(spark: SparkSession, sf_dir: str, responder_factory=None) -> Dat
     valid = items.filter(F.col("skip_reason").isNull()).select(
         "qid", "conv_id", "q",
         render(REWRITE_TEMPLATE, context=bullet_list("chunks"), question=F.col("q")).alias("prompt"))
-    out = inf.infer(valid, "prompt", responder_factory or RewriteResponder(REWRITE_START, REWRITE_END),
-                    keep=["qid", "q"], group_col="conv_id", max_retries=0)
+    out = inf.durable(inf.infer(
+        valid, "prompt", responder_factory or RewriteResponder(REWRITE_START, REWRITE_END),
+        keep=["qid", "q"], group_col="conv_id", max_retries=0))
     cleaned = out.select("qid", "q", clean_rewrite("reply").alias("r"))
     done = cleaned.select("qid", F.lit(None).cast("string").alias("skip_reason"),
                           rewrite_or_fallback("r", "q").alias("final_question"),
@@ -264,7 +265,8 @@ def compare_modes(spark: SparkSession, sf_dir: str, n: int = 4) -> DataFrame:
 
     q = sh.questions(spark, sf_dir).select(
         "qid", "conv_id", render(CANDIDATES_TEMPLATE, question=py_strip("question"), n=1).alias("prompt"))
-    single = inf.infer(q, "prompt", CandidateResponder(1), keep=["qid"], group_col="conv_id")
+    single = inf.durable(inf.infer(q, "prompt", CandidateResponder(1), keep=["qid"],
+                                   group_col="conv_id"))
     single = single.select("qid", option_label("reply").alias("prediction"))
     two = two_step_answer(spark, sf_dir, n=n).select("qid", F.col("winner").alias("prediction"))
     return compare_runs(single, two, key="qid", value_col="prediction")
@@ -286,7 +288,7 @@ def three_step_run(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   rewrites, contexts, key="qid", strict=True)
     prompts = inputs.select("qid", "conv_id", "turn",
                             py_strip("corrected_question").alias("prompt"))
-    out = inf.infer(prompts, "prompt", inf.PrefixResponder("A: ", 20), keep=["qid"],
-                    group_col="conv_id", max_retries=0)
+    out = inf.durable(inf.infer(prompts, "prompt", inf.PrefixResponder("A: ", 20), keep=["qid"],
+                                group_col="conv_id", max_retries=0))
     return out.select("qid", F.coalesce(py_strip(reply_status("reply", "error")), F.lit(""))
                       .alias("pred"))
