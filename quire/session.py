@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() or spark.conf.get(_CHECKPOINT_KEY, None) \
         or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not current:
-        # Local runs only: a cluster launcher always names a shared folder.
+        # Local runs (tests, benches) only: on a cluster a machine-local folder
+        # would be invisible to the other executors, so a shared one must be named.
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a shared folder for master {sc.master}")
         current = tempfile.mkdtemp(prefix="quire-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, current)
     if not sc.getCheckpointDir():

@@ -145,3 +145,22 @@ def test_media_listing(spark):
     got = {r["qid"]: r["has_media"] for r in io.attach_media(q, media).collect()}
     assert got == {"a": True, "b": False}
     assert media.filter(F.col("media_id") == "notes").count() == 0
+
+
+def test_context_run_retries_only_failures(spark):
+    from quire.plans.runs import CONTEXT_LOG_SCHEMA, context_run
+
+    log_path = scratch_path(spark, "test-context-log")
+    out = context_run(spark, SF_SMALL, log_path=log_path).collect()
+    assert out and all(not r["context"].startswith("Error:") for r in out)
+    log = io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA)
+    first = log.filter("run_id = 0")
+    failed = first.filter(F.col("prediction.context").startswith("Error:")).count()
+    assert failed > 0 and log.filter("run_id = 1").count() == failed
+
+
+def test_checkpoint_dir_is_read_from_session(spark):
+    from quire.session import checkpoint_dir
+
+    d = checkpoint_dir(spark)
+    assert d and spark.sparkContext.getCheckpointDir()
