@@ -164,3 +164,14 @@ def test_checkpoint_dir_is_read_from_session(spark):
 
     d = checkpoint_dir(spark)
     assert d and spark.sparkContext.getCheckpointDir()
+
+
+def test_corrupt_log_fails_loudly(spark):
+    # A corrupt log is an error, not an empty log (which would re-answer everything).
+    import pytest
+
+    d = tempfile.mkdtemp(prefix="quire-badlog-")
+    with open(os.path.join(d, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        io.load_log(spark, d, LOG_SCHEMA).count()

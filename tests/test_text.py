@@ -78,3 +78,11 @@ def test_minutes_seconds(spark):
     df = spark.createDataFrame([(125.7,)], "s double")
     m, s = tx.minutes_seconds("s")
     assert tuple(df.select(m, s).first()) == (2, 5)
+
+
+def test_clean_rewrite_prefix_list(spark):
+    # The prefix list is a parameter; by default "Revised Question:" survives.
+    vals = ["Revised Question: x", "Rewritten question: y"]
+    assert _one(spark, vals, tx.clean_rewrite) == ["Revised Question: x", "y"]
+    both = lambda c: tx.clean_rewrite(c, prefixes=("rewritten question:", "revised question:"))
+    assert _one(spark, vals, both) == ["x", "y"]
