@@ -71,11 +71,10 @@ def answer_run(spark: SparkSession, sf_dir: str, log_path: str | None = None,
 
 
 def current_answers(spark: SparkSession, log_path: str) -> DataFrame:
-    """Latest original answer per id, overlaid with the latest retry answer."""
+    """Latest original answer per id, overlaid with the latest retry answer
+    (one aggregate over the log)."""
     log = io.load_log(spark, log_path, LOG_SCHEMA)
-    orig = rs.latest(log.filter(F.col("run_id") == 0), order=["seq"], values=["prediction"])
-    again = rs.latest(log.filter(F.col("run_id") == 1), order=["seq"], values=["prediction"])
-    return rs.overlay(orig, again, key="qid", value_col="prediction")
+    return rs.overlay_runs(log, key="qid", value_col="prediction")
 
 
 # --- Two-step answer: candidates as rows, then a table vote -------------------
@@ -114,16 +113,14 @@ def _context_round(todo: DataFrame, factory, run_id: int, log_path: str) -> None
                              parse_reply("reply").alias("prediction")), log_path)
 
 
-def current_contexts(spark: SparkSession, log_path: str) -> DataFrame:
+def current_contexts(spark: SparkSession, log_path: str, add_new: bool = False) -> DataFrame:
     """Original contexts overlaid with retried ones where the original failed
-    (a context starting with ``Error:``)."""
+    (a context starting with ``Error:``); one aggregate over the log."""
     from quire.functions.replies import is_error
 
     log = io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA)
-    orig = rs.latest(log.filter(F.col("run_id") == 0), order=["seq"], values=["prediction"])
-    again = rs.latest(log.filter(F.col("run_id") == 1), order=["seq"], values=["prediction"])
-    return rs.overlay(orig, again, key="qid", value_col="prediction",
-                      error_test=lambda c: is_error(c["context"], mode="prefix"))
+    return rs.overlay_runs(log, key="qid", value_col="prediction", add_new=add_new,
+                           error_test=lambda c: is_error(c["context"], mode="prefix"))
 
 
 def context_rounds(spark: SparkSession, questions: DataFrame, log_path: str,
@@ -171,11 +168,8 @@ def snapshot_run(spark: SparkSession, sf_dir: str, log_path: str | None = None)
     log_path = log_path or scratch_path(spark, "snapshot-log")
     questions = sh.questions(spark, sf_dir)
     context_rounds(spark, questions, log_path)
-    log = io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA)
-    orig = rs.latest(log.filter(F.col("run_id") == 0), order=["seq"], values=["prediction"])
-    again = rs.latest(log.filter(F.col("run_id") == 1), order=["seq"], values=["prediction"])
-    final = rs.overlay(orig, again, key="qid", value_col="prediction", add_new=True,
-                       error_test=lambda c: is_error(c["context"], mode="prefix"))
+    # Last-wins per run, retry overlay that also adds retry-only ids.
+    final = current_contexts(spark, log_path, add_new=True)
     q = questions.join(sh.prompts(spark, sf_dir), on="conv_id", how="left")
     out = enrich(q.select("qid", "question", "question_prompt"), final.select("qid", "prediction"),
                  key="qid", how="inner")

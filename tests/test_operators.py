@@ -214,3 +214,18 @@ def test_spread_for_inference_splits_hot_group(spark):
     assert len(per_task) >= 4 and max(r["count"] for r in per_task) <= 400
     assert sum(r["count"] for r in per_task) == 1000
     assert out.count() == 3000 and set(out.columns) == {"qid", "g"}
+
+
+def test_overlay_runs_matches_two_log_overlay(spark):
+    log = spark.createDataFrame(
+        [(0, 1, "1", "Error"), (0, 2, "2", "Error"), (0, 3, "3", "A"), (0, 4, "4", "B"),
+         (0, 5, "1", "Error"), (1, 10, "1", "C"), (1, 11, "2", "Error: again"), (1, 12, "3", "D"),
+         (1, 13, "4", "Error"), (1, 14, "5", "E"), (1, 15, "1", "F")],
+        "run_id int, seq long, qid string, prediction string")
+    for add_new in (False, True):
+        o = rs.latest(log.filter("run_id = 0"), values=["prediction"])
+        r = rs.latest(log.filter("run_id = 1"), values=["prediction"])
+        two = sorted(rows(rs.overlay(o, r, add_new=add_new)))
+        one = sorted(rows(rs.overlay_runs(log, add_new=add_new)))
+        assert one == two
+    assert dict((r[0], r[1]) for r in one)["1"] == "F"
