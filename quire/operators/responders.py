@@ -85,3 +85,19 @@ class RewriteResponder:
             return ""
 
         return respond
+
+
+class FirstCandidateResponder:
+    """Step 2 of the two-step answer: picks the first candidate line of the
+    aggregation prompt that carries an option letter."""
+
+    def __call__(self):
+        import re
+
+        pattern = re.compile(r"^\s*\d+[.)]\s*\(?([A-E])\b", re.MULTILINE)
+
+        def respond(prompt: str) -> str:
+            m = pattern.search(prompt)
+            return m.group(1) if m else ""
+
+        return respond

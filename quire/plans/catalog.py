@@ -506,6 +506,12 @@ def q_two_step_answer(spark, d):
     return two_step_answer(spark, d)
 
 
+def q_two_step_model(spark, d):
+    from quire.plans.runs import two_step_model
+
+    return two_step_model(spark, d)
+
+
 def q_context_run(spark, d):
     from quire.plans.runs import context_run
 
@@ -625,6 +631,7 @@ QUERIES = {
     "answer_run": q_answer_run,
     "stream_resume": q_stream_resume,
     "two_step_answer": q_two_step_answer,
+    "two_step_model": q_two_step_model,
     "context_run": q_context_run,
     "fact_check_run": q_fact_check_run,
     "rewrite_run": q_rewrite_run,

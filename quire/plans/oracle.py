@@ -456,3 +456,16 @@ SQL["csv_roundtrip"] = f"WITH {Q} SELECT qid, question FROM q"
 SQL["replay_recorded"] = (
     f"WITH {Q}, {A} SELECT q.qid, a.answer AS reply, CASE WHEN a.qid IS NULL THEN "
     "'Error: No recorded reply' END AS error, 1 AS attempts FROM q LEFT JOIN a ON a.qid = q.qid")
+
+
+
+def _two_step_model_sql():
+    from quire.functions.prompts import CANDIDATES_TEMPLATE
+
+    cand = template_sql(CANDIDATES_TEMPLATE, question=strip("question"), n="4")
+    # The first candidate line carries letter (len(step-1 prompt) + 0) % 5.
+    return (f"WITH {Q} SELECT qid, substr('ABCDE', CAST(length({cand}) % 5 AS INTEGER) + 1, 1) "
+            "AS answer FROM q")
+
+
+SQL["two_step_model"] = _two_step_model_sql()

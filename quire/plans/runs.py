@@ -83,7 +83,8 @@ def two_step_answer(spark: SparkSession, sf_dir: str, n: int = 4,
                     responder_factory=None) -> DataFrame:
     """Step 1 asks for ``n`` candidate answers per question; the candidate
     lines become rows and the final answer is the vote among them (option E,
-    "none of the above", only when nothing else was proposed)."""
+    "none of the above", only when nothing else was proposed). See
+    :func:`two_step_model` for the variant where the model aggregates."""
     from quire.functions.prompts import CANDIDATES_TEMPLATE, render
     from quire.operators import vote as vo
     from quire.operators.responders import CandidateResponder
@@ -98,6 +99,26 @@ def two_step_answer(spark: SparkSession, sf_dir: str, n: int = 4,
     return v.select("qid", "winner", "votes", "n_candidates", "status")
 
 
+def two_step_model(spark: SparkSession, sf_dir: str, n: int = 4, candidates_factory=None,
+                   aggregate_factory=None) -> DataFrame:
+    """Two model steps: ``n`` candidates, then an aggregation prompt holding the
+    question, the candidate text, ``n`` and the rules; the second reply is the
+    answer (blank → ``Error: No response from step 2``)."""
+    from quire.functions.prompts import AGGREGATE_TEMPLATE, CANDIDATES_TEMPLATE, render
+    from quire.operators.responders import CandidateResponder, FirstCandidateResponder
+
+    q = sh.questions(spark, sf_dir).select("qid", "conv_id", py_strip("question").alias("q"))
+    step1_in = q.select("qid", "conv_id", "q",
+                        render(CANDIDATES_TEMPLATE, question=F.col("q"), n=n).alias("prompt"))
+    step1 = inf.durable(inf.infer(step1_in, "prompt", candidates_factory or CandidateResponder(n),
+                                  keep=["qid", "conv_id", "q"], group_col="conv_id"))
+    step2_in = step1.select("qid", "conv_id", render(
+        AGGREGATE_TEMPLATE, question=F.col("q"), candidates=F.col("reply"), n=n).alias("prompt"))
+    step2 = inf.infer(step2_in, "prompt", aggregate_factory or FirstCandidateResponder(),
+                      keep=["qid"], group_col="conv_id")
+    return step2.select("qid", reply_status("reply", "error", step="step 2").alias("answer"))
+
+
 # --- Context run: extract, parse, retry the failures, lay on the questions ----
 
 CONTEXT_LOG_SCHEMA = ("run_id INT, seq LONG, qid STRING, prediction STRUCT<context: STRING, "
