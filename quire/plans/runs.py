@@ -221,8 +221,9 @@ def fact_check_run(spark: SparkSession, sf_dir: str, responder_factory=None) ->
     pairs = sh.questions(spark, sf_dir).join(sh.answers(spark, sf_dir), on="qid", how="inner")
     p = pairs.select("qid", "conv_id", render(FACT_CHECK_TEMPLATE, question=py_strip("question"),
                                              answer=py_strip("answer")).alias("prompt"))
-    out = inf.durable(inf.infer(p, "prompt", responder_factory or VerdictResponder(),
-                                keep=["qid"], group_col="conv_id", max_retries=0))
+    # Consumed once by a projection: no shuffle re-reads the model output.
+    out = inf.infer(p, "prompt", responder_factory or VerdictResponder(), keep=["qid"],
+                    group_col="conv_id", max_retries=0)
     v = out.select("qid", parse_verdict("reply").alias("v"))
     return v.select("qid", "v.is_supported", "v.explanation")
 
@@ -303,7 +304,7 @@ def three_step_run(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   rewrites, contexts, key="qid", strict=True)
     prompts = inputs.select("qid", "conv_id", "turn",
                             py_strip("corrected_question").alias("prompt"))
-    out = inf.durable(inf.infer(prompts, "prompt", inf.PrefixResponder("A: ", 20), keep=["qid"],
-                                group_col="conv_id", max_retries=0))
+    out = inf.infer(prompts, "prompt", inf.PrefixResponder("A: ", 20), keep=["qid"],
+                    group_col="conv_id", max_retries=0)
     return out.select("qid", F.coalesce(py_strip(reply_status("reply", "error")), F.lit(""))
                       .alias("pred"))

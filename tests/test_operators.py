@@ -229,3 +229,13 @@ def test_overlay_runs_matches_two_log_overlay(spark):
         one = sorted(rows(rs.overlay_runs(log, add_new=add_new)))
         assert one == two
     assert dict((r[0], r[1]) for r in one)["1"] == "F"
+
+
+def test_batches_unordered_by_hash(spark):
+    q = spark.createDataFrame([(f"g{i % 10}", i, f"q{i}") for i in range(40)],
+                              "g string, pos long, qid string")
+    b = gr.batches(q, "g", 3, ordered=False, n_batches=4)
+    got = rows(b, "g", "batch_idx")
+    assert len(got) == 10 and all(0 <= r[1] < 4 for r in got)
+    with pytest.raises(ValueError):
+        gr.batches(q, "g", 3, ordered=False)

@@ -175,3 +175,13 @@ def test_corrupt_log_fails_loudly(spark):
         f.write("not parquet")
     with pytest.raises(Exception):
         io.load_log(spark, d, LOG_SCHEMA).count()
+
+
+def test_rate_limit_spreads_calls():
+    import time as _t
+
+    bucket = inf._TokenBucket(20.0)
+    t0 = _t.monotonic()
+    for _ in range(6):
+        bucket.take()
+    assert _t.monotonic() - t0 >= 0.2  # 6 calls at 20/s need at least 5 gaps of 50 ms
