@@ -47,3 +47,33 @@ def cache_key(mode, url, question, n=None):
     if n is not None:
         cols.append(n.alias("n"))
     return cols
+
+
+CACHE_SCHEMA = "mode STRING, url STRING, question STRING, n INT, answer STRING"
+CACHE_KEY = ("mode", "url", "question", "n")
+
+
+def answer_with_cache(requests: DataFrame, cache_path: str, answer_fn,
+                      key=CACHE_KEY) -> DataFrame:
+    """Answers for ``requests`` (key columns plus anything else).
+
+    Cache hits are joined; the distinct missing keys are answered once by
+    ``answer_fn`` (``keys -> keys + answer``). That model output is written
+    once (a hidden batch folder next to the cache, so a lost executor never
+    asks the model again), its non-error answers are appended to the cache,
+    and every request gets its answer (errors too, but they are not cached).
+    """
+    import uuid
+
+    from quire.sources.io import load_log
+
+    key = list(key)
+    spark = requests.sparkSession
+    # The file listing is taken here: hits come from the cache as it was.
+    cache = load_log(spark, cache_path, CACHE_SCHEMA)
+    hits, misses = split_cached(requests, cache, key)
+    batch_path = f"{cache_path.rstrip('/')}/_batch-{uuid.uuid4().hex[:12]}"
+    answer_fn(misses).select(*key, "answer").write.parquet(batch_path)
+    fresh = spark.read.schema(CACHE_SCHEMA).parquet(batch_path)
+    cacheable(fresh).write.mode("append").parquet(cache_path)
+    return hits.unionByName(requests.join(fresh, on=key, how="inner"))

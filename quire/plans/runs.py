@@ -16,6 +16,7 @@ from quire.functions.replies import reply_status
 from quire.functions.text import py_strip
 from quire.operators import infer as inf
 from quire.operators import resume as rs
+from quire.operators import vote as vo
 from quire.plans import shapes as sh
 from quire.session import scratch_path
 from quire.sources import io
@@ -271,21 +272,50 @@ def rewrite_run(spark: SparkSession, sf_dir: str, responder_factory=None) -> Dat
 
 # --- Compare single-shot and two-step answers --------------------------------
 
-def compare_modes(spark: SparkSession, sf_dir: str, n: int = 4) -> DataFrame:
-    """Single-shot answer (one candidate) against the two-step vote winner,
-    per question; one row per outcome with its count."""
+def compare_modes(spark: SparkSession, sf_dir: str, n: int = 4,
+                  cache_path: str | None = None) -> DataFrame:
+    """Single-shot answer (one candidate) against the two-step vote winner per
+    question, both through the answer cache keyed ``(mode, url, question, n)``
+    (here the conversation stands for the media url); one row per outcome."""
     from quire.functions.prompts import CANDIDATES_TEMPLATE, render
     from quire.functions.replies import option_label
+    from quire.operators import cache as ca
     from quire.operators.evaluate import compare_runs
     from quire.operators.responders import CandidateResponder
 
+    cache_path = cache_path or scratch_path(spark, "answer-cache")
     q = sh.questions(spark, sf_dir).select(
-        "qid", "conv_id", render(CANDIDATES_TEMPLATE, question=py_strip("question"), n=1).alias("prompt"))
-    single = inf.durable(inf.infer(q, "prompt", CandidateResponder(1), keep=["qid"],
-                                   group_col="conv_id"))
-    single = single.select("qid", option_label("reply").alias("prediction"))
-    two = two_step_answer(spark, sf_dir, n=n).select("qid", F.col("winner").alias("prediction"))
-    return compare_runs(single, two, key="qid", value_col="prediction")
+        "qid", F.col("conv_id").cast("string").alias("url"), py_strip("question").alias("question"))
+
+    def single(keys: DataFrame) -> DataFrame:
+        p = keys.select("*", F.col("url").alias("conv_id"),
+                        render(CANDIDATES_TEMPLATE, question=F.col("question"), n=1).alias("prompt"))
+        out = inf.infer(p, "prompt", CandidateResponder(1), keep=list(ca.CACHE_KEY),
+                        group_col="conv_id", salt_on="question")
+        return out.select(*ca.CACHE_KEY, option_label("reply").alias("answer"))
+
+    def two_step(keys: DataFrame) -> DataFrame:
+        p = keys.select("*", F.col("url").alias("conv_id"),
+                        render(CANDIDATES_TEMPLATE, question=F.col("question"), n=n).alias("prompt"))
+        step1 = inf.durable(inf.infer(p, "prompt", CandidateResponder(n),
+                                      keep=list(ca.CACHE_KEY), group_col="conv_id",
+                                      salt_on="question"))
+        cands = vo.candidate_rows(step1.withColumn("k", F.to_json(F.struct(*ca.CACHE_KEY))),
+                                  key="k", reply_col="reply")
+        v = vo.vote(cands, key="k", none_label="E")
+        keys_k = step1.select(*ca.CACHE_KEY, F.to_json(F.struct(*ca.CACHE_KEY)).alias("k"))
+        return keys_k.join(v, on="k", how="left").select(*ca.CACHE_KEY,
+                                                           F.col("winner").alias("answer"))
+
+    req1 = q.select("qid", F.lit("single").alias("mode"), "url", "question",
+                    F.lit(1).alias("n"))
+    req2 = q.select("qid", F.lit("two_step").alias("mode"), "url", "question",
+                    F.lit(n).alias("n"))
+    a = ca.answer_with_cache(req1, cache_path, single).select(
+        "qid", F.col("answer").alias("prediction"))
+    b = ca.answer_with_cache(req2, cache_path, two_step).select(
+        "qid", F.col("answer").alias("prediction"))
+    return compare_runs(a, b, key="qid", value_col="prediction")
 
 
 # --- Three steps: context, rewrite, answer -----------------------------------

@@ -185,3 +185,27 @@ def test_rate_limit_spreads_calls():
     for _ in range(6):
         bucket.take()
     assert _t.monotonic() - t0 >= 0.2  # 6 calls at 20/s need at least 5 gaps of 50 ms
+
+
+def test_answer_with_cache_reuses_answers_but_not_errors(spark):
+    import glob
+
+    from quire.operators import cache as ca
+
+    path = scratch_path(spark, "test-cache")
+    req = spark.createDataFrame([("1", "m", "u", "q1", 1), ("2", "m", "u", "q1", 1),
+                                 ("3", "m", "u", "q2", 1)],
+                                "qid string, mode string, url string, question string, n int")
+
+    def answer(keys):
+        return keys.withColumn("answer", F.when(F.col("question") == "q2", F.lit("Error"))
+                               .otherwise(F.concat(F.lit("a:"), "question")))
+
+    first = sorted(rows(ca.answer_with_cache(req, path, answer), "qid", "answer"))
+    assert first == [("1", "a:q1"), ("2", "a:q1"), ("3", "Error")]
+    second = sorted(rows(ca.answer_with_cache(req, path, answer), "qid", "answer"))
+    assert second == first
+    batches = sorted(glob.glob(path.replace("file:", "") + "/_batch-*"), key=lambda p: __import__("os").path.getmtime(p))
+    sizes = [spark.read.parquet(b).count() for b in batches]
+    # First call: the two distinct keys; second call: only the error key again.
+    assert sorted(sizes) == [1, 2]
