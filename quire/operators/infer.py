@@ -183,8 +183,10 @@ def replay(df: DataFrame, recorded: DataFrame, key: Sequence[str] = ("qid",),
 
 
 class PrefixResponder:
-    """A deterministic text responder (tests, benches, offline runs):
-    ``prefix`` + the first ``n_chars`` of the stripped prompt."""
+    """A deterministic text responder (tests, benches, offline runs): ``prefix``
+    + the first ``n_chars`` of the stripped prompt + ``' #'`` + the first 8 hex
+    digits of the MD5 of the whole stripped prompt (so the reply depends on
+    the entire text, not only its head)."""
 
     def __init__(self, prefix: str = "A: ", n_chars: int = 20, fail_when=None):
         self.prefix = prefix
@@ -192,11 +194,15 @@ class PrefixResponder:
         self.fail_when = fail_when
 
     def __call__(self) -> Responder:
+        import hashlib
+
         prefix, n, fail_when = self.prefix, self.n_chars, self.fail_when
 
         def respond(prompt: str) -> str:
             if fail_when is not None and fail_when(prompt):
                 raise RuntimeError("503 service unavailable")
-            return prefix + (prompt or "").strip()[:n]
+            text = (prompt or "").strip()
+            digest = hashlib.md5(text.encode("utf-8")).hexdigest()[:8]
+            return f"{prefix}{text[:n]} #{digest}"
 
         return respond

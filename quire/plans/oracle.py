@@ -20,6 +20,11 @@ def strip(e: str) -> str:
     return f"regexp_replace({e}, '^{_WS}+|{_WS}+$', '', 'g')"
 
 
+def echo(text: str) -> str:
+    """Reply of the offline prefix responder for an already stripped text."""
+    return f"('A: ' || left({text}, 20) || ' #' || left(md5({text}), 8))"
+
+
 def is_err(e: str) -> str:
     return f"coalesce(regexp_matches({e}, '{_ERR}'), false)"
 
@@ -313,12 +318,12 @@ SQL = {
         f"AS delay_s FROM c CROSS JOIN range(3) a"),
     "preview_text": "SELECT doc_id, left(text, 150) || '...' AS preview FROM documents",
     "infer_replay": (
-        f"WITH {Q} SELECT qid, 'A: ' || left({strip('question')}, 20) AS reply, CAST(NULL AS VARCHAR) AS error, "
+        f"WITH {Q} SELECT qid, {echo(strip('question'))} AS reply, CAST(NULL AS VARCHAR) AS error, "
         f"1 AS attempts FROM q"),
     "answer_run": (
-        f"WITH {Q} SELECT qid, conv_id, turn, {strip("'A: ' || left(" + strip('question') + ", 20)")} AS pred FROM q"),
+        f"WITH {Q} SELECT qid, conv_id, turn, {echo(strip('question'))} AS pred FROM q"),
     "stream_resume": (
-        f"WITH {Q} SELECT qid, 'A: ' || left({strip('question')}, 20) AS reply FROM q"),
+        f"WITH {Q} SELECT qid, {echo(strip('question'))} AS reply FROM q"),
 }
 
 SQL["rewrite_summary"] = (
@@ -444,7 +449,7 @@ def _more_run_sql():
         "AS outcome, count(*) AS n FROM j GROUP BY 1")
     three = (
         f"WITH rw AS ({SQL['rewrite_run']}) SELECT qid, "
-        f"{strip(chr(39) + 'A: ' + chr(39) + ' || left(' + strip('final_question') + ', 20)')} AS pred FROM rw")
+        f"{echo(strip('final_question'))} AS pred FROM rw")
     return {"snapshot_run": snapshot, "one_group_check": one_group, "compare_modes": compare,
             "three_step_run": three}
 

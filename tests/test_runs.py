@@ -12,6 +12,12 @@ from quire.streaming.resume import STREAM_LOG_SCHEMA, resume_stream
 from conftest import SF_SMALL, rows
 
 
+def _echo(text, n=20):
+    import hashlib
+
+    return f"A: {text[:n]} #{hashlib.md5(text.encode()).hexdigest()[:8]}"
+
+
 def _flaky():
     """Fails with a retryable message on the first call per prompt (in one task)."""
     def factory():
@@ -51,7 +57,7 @@ def test_infer_grouped_and_empty(spark):
     df = spark.createDataFrame([(str(i), i % 2, f"p{i}") for i in range(20)],
                                "qid string, g long, prompt string")
     out = inf.infer(df, "prompt", inf.PrefixResponder("A: ", 2), group_col="g", partitions=4)
-    assert sorted(r["reply"] for r in out.collect()) == sorted(f"A: p{i}"[:5] for i in range(20))
+    assert sorted(r["reply"] for r in out.collect()) == sorted(_echo(f"p{i}", 2) for i in range(20))
     assert inf.infer(df.limit(0), "prompt", _broken()).count() == 0
 
 
@@ -95,7 +101,8 @@ def test_stream_resume_answers_each_question_once(spark):
     b.write.mode("append").parquet(src)
     resume_stream(spark, src, log_path, ckpt, inf.PrefixResponder()).awaitTermination()
     log = io.load_log(spark, log_path, STREAM_LOG_SCHEMA)
-    assert sorted(rows(log, "qid", "reply")) == [("1", "A: p1"), ("2", "A: p2"), ("3", "A: p3")]
+    assert sorted(rows(log, "qid", "reply")) == [("1", _echo("p1")), ("2", _echo("p2")),
+                                                 ("3", _echo("p3"))]
     # No new files → no new rows.
     resume_stream(spark, src, log_path, ckpt, inf.PrefixResponder()).awaitTermination()
     assert io.load_log(spark, log_path, STREAM_LOG_SCHEMA).count() == 3
