@@ -49,3 +49,22 @@ def test_model_input_is_pruned(spark):
     assert m is not None
     shipped = {c.split("#")[0].strip() for c in m.group(1).split(",")}
     assert shipped <= {"qid", "prompt", "conv_id"}
+
+
+@pytest.mark.parametrize("name,partial", [("latest_prediction", "partial_max_by"),
+                                          ("candidate_vote", "partial_count"),
+                                          ("group_questions", "partial_min_by"),
+                                          ("error_ids", "partial_count")])
+def test_hot_keys_fold_map_side(spark, name, partial):
+    # A key holding a third of the rows is reduced before the shuffle.
+    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    assert partial in plan
+
+
+def test_only_bounded_broadcast_hint(spark):
+    # The offsets table of the distributed ordinals has one row per range partition.
+    from quire.operators.ordering import global_index
+
+    df = spark.range(1000).withColumnRenamed("id", "o")
+    plan = global_index(df, ["o"], partitions=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("broadcast") <= 1
