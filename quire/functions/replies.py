@@ -106,14 +106,22 @@ def is_error(c, mode: str = "taxonomy", missing_is_error: bool = False) -> Colum
     return F.coalesce(hit, F.lit(False))
 
 
+def _fragment_re(fragments) -> str:
+    # Status codes must stand alone ("took 4001 ms" is not a 400); phrases
+    # match anywhere. Same pattern in Java (rlike) and Python (re).
+    return "|".join(rf"\b{x}\b" if x.isdigit() else _regex_quote(x) for x in fragments)
+
+
+FATAL_RE = _fragment_re(FATAL_FRAGMENTS)
+RETRYABLE_RE = _fragment_re(RETRYABLE_FRAGMENTS)
+
+
 def retry_class(message) -> Column:
     """'fatal', 'retryable' or 'other' for a failure message; NULL when there is none."""
     m = F.lower(as_col(message))
-    fatal = "|".join(_regex_quote(x) for x in FATAL_FRAGMENTS)
-    retry = "|".join(_regex_quote(x) for x in RETRYABLE_FRAGMENTS)
     return (F.when(m.isNull(), F.lit(None).cast("string"))
-            .when(m.rlike(fatal), F.lit("fatal"))
-            .when(m.rlike(retry), F.lit("retryable"))
+            .when(m.rlike(FATAL_RE), F.lit("fatal"))
+            .when(m.rlike(RETRYABLE_RE), F.lit("retryable"))
             .otherwise(F.lit("other")))
 
 

@@ -24,7 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.replies import FATAL_FRAGMENTS, RETRYABLE_FRAGMENTS
+import re
+
+from quire.functions.replies import FATAL_RE, RETRYABLE_RE
+
+_FATAL = re.compile(FATAL_RE)
+_RETRYABLE = re.compile(RETRYABLE_RE)
 from quire.operators.grouping import spread_for_inference
 
 Responder = Callable[[str], str]
@@ -46,9 +51,9 @@ def classify_failure(message: str) -> str:
     """Python twin of :func:`quire.functions.replies.retry_class` for use
     inside the task (the decision must be taken between attempts)."""
     m = (message or "").lower()
-    if any(x in m for x in FATAL_FRAGMENTS):
+    if _FATAL.search(m):
         return "fatal"
-    if any(x in m for x in RETRYABLE_FRAGMENTS):
+    if _RETRYABLE.search(m):
         return "retryable"
     return "other"
 

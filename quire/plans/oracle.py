@@ -12,8 +12,9 @@ _WS = (r"[\t\n\x{0B}\x{0C}\r\x{1C}\x{1D}\x{1E}\x{1F} \x{85}\x{A0}\x{1680}"
        r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 _ERR = r"^Error(?:$|:| during (?:processing|fact check):| \([^)]*\):)"
 _LABEL = r"^\s*(?:\d+[.)]\s*)?\(?([A-E])(?:[).:]|\s*$)"
-_FATAL = r"401|403|404|422|400|authentication|permission|not found|invalid request"
-_RETRY = r"429|rate limit|server error|connection error|unavailable|timeout|timed out|500|502|503|504"
+_FATAL = r"\b401\b|\b403\b|\b404\b|\b422\b|\b400\b|authentication|permission|not found|invalid request"
+_RETRY = (r"\b429\b|rate limit|server error|connection error|unavailable|timeout|timed out|"
+          r"\b500\b|\b502\b|\b503\b|\b504\b")
 
 
 def strip(e: str) -> str:

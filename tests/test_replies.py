@@ -28,9 +28,12 @@ def test_is_error_never_null(spark):
 
 def test_retry_class(spark):
     msgs = ["HTTP 429 Too Many Requests", "Rate limit hit", "503 Service Unavailable",
-            "403 Permission denied", "Bad input (422)", "weird", None]
+            "403 Permission denied", "Bad input (422)", "weird", None, "took 4001 ms"]
     got = _col(spark, msgs, rp.retry_class("v"))
-    assert got == ["retryable", "retryable", "retryable", "fatal", "fatal", "other", None]
+    assert got == ["retryable", "retryable", "retryable", "fatal", "fatal", "other", None, "other"]
+    from quire.operators.infer import classify_failure
+
+    assert [classify_failure(m) for m in msgs[:6] + msgs[7:]] == [g for g in got if g]
 
 
 P15 = [
