@@ -121,3 +121,87 @@ def replies(draw):
 def test_parse_reply_equals_model(spark, values):
     got = [tuple(r) for r in _col(spark, values, rp.parse_reply)]
     assert got == [_parse_model(v) for v in values]
+
+
+def _vote_model(cands, none="E", tie_policy="first"):
+    """qid -> (winner, votes, n_candidates, status) from (qid, pos, label) rows."""
+    out = {}
+    by_q = {}
+    for q, pos, label in cands:
+        if label is not None:
+            by_q.setdefault(q, []).append((pos, label))
+    for q, rows_ in by_q.items():
+        counts, first = {}, {}
+        for pos, label in rows_:
+            counts[label] = counts.get(label, 0) + 1
+            first[label] = min(first.get(label, pos), pos)
+        real = {k: v for k, v in counts.items() if k != none}
+        n = sum(counts.values())
+        if not real:
+            out[q] = (None, 0, n, "all_none")
+            continue
+        top = max(real.values())
+        tied = [k for k, v in real.items() if v == top]
+        best = min(tied, key=lambda k: first[k])
+        status = "tie" if len(tied) > 1 else "ok"
+        winner = none if (status == "tie" and tie_policy == "none_of_above") else best
+        out[q] = (winner, top, n, status)
+    return out
+
+
+cand_rows = st.lists(st.tuples(st.sampled_from(["q1", "q2", "q3", "q4"]),
+                               st.sampled_from(["A", "B", "C", "E", None])), min_size=1, max_size=80)
+
+
+@SETTINGS
+@given(cand_rows, st.sampled_from(["first", "none_of_above"]))
+def test_vote_equals_model(spark, raw, policy):
+    from quire.operators import vote as vo
+
+    cands = [(q, i, label) for i, (q, label) in enumerate(raw)]
+    df = spark.createDataFrame(cands, "qid string, pos long, label string")
+    got = {r["qid"]: (r["winner"], r["votes"], r["n_candidates"], r["status"])
+           for r in vo.vote(df, tie_policy=policy).collect()}
+    assert got == _vote_model(cands, tie_policy=policy)
+
+
+def _overlay_model(log, add_new):
+    """J7 rules on a log of (run_id, seq, qid, value): last-wins per run, then
+    the retry value replaces an original error only with a non-error."""
+    import re
+
+    err = re.compile(rp.ERROR_TAXONOMY_RE)
+    last = {}
+    for run, seq, q, v in sorted(log, key=lambda r: r[1]):
+        last[(run, q)] = v
+    out = {}
+    qids = {q for _, _, q, _ in log}
+    for q in qids:
+        o, r = last.get((0, q), "<none>"), last.get((1, q), "<none>")
+        if o == "<none>":
+            if add_new and r != "<none>":
+                out[q] = (r, "retry_only")
+            continue
+        is_e = lambda v: v is not None and bool(err.match(v))
+        if r != "<none>" and is_e(o) and not is_e(r):
+            out[q] = (r, "retry")
+        else:
+            out[q] = (o, "original")
+    return out
+
+
+log_rows = st.lists(st.tuples(st.sampled_from([0, 1]), st.sampled_from(["a", "b", "c", "d"]),
+                              st.sampled_from(["Error", "Error: x", "ok", "Errors here", None])),
+                    min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(log_rows, st.booleans())
+def test_overlay_runs_equals_model(spark, raw, add_new):
+    from quire.operators import resume as rs
+
+    log = [(run, i, q, v) for i, (run, q, v) in enumerate(raw)]
+    df = spark.createDataFrame(log, "run_id int, seq long, qid string, prediction string")
+    got = {r["qid"]: (r["prediction"], r["source"])
+           for r in rs.overlay_runs(df, add_new=add_new).collect()}
+    assert got == _overlay_model(log, add_new)
