@@ -80,6 +80,6 @@ def demo_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.join(sh.questions(spark, sf_dir).filter(F.col("turn") == 0).select("qid"), on="qid",
            how="left_semi").repartitionByRange(2, "conv_id").write.mode("append").parquet(source)
     query = resume_stream(spark, source, log_path, ckpt, inf.PrefixResponder("A: ", 20),
-                          files_per_batch=2)
+                          files_per_batch=3)
     query.awaitTermination()
     return io.load_log(spark, log_path, STREAM_LOG_SCHEMA).select("qid", "reply")
