@@ -59,7 +59,10 @@ def batches(df: DataFrame, key: str, batch_size: int, pos: str = "pos", qid: str
     """
     if ordered:
         g = order_groups(df, key, pos, qid)
-        return g.withColumn("batch_idx", F.floor(F.col("group_order") / F.lit(batch_size)))
+        g = g.withColumn("batch_idx", F.floor(F.col("group_order") / F.lit(batch_size)))
+        # Groups per batch: one row per batch, joined back on the batch number.
+        sizes = g.groupBy("batch_idx").agg(F.count(F.lit(1)).alias("n_in_batch"))
+        return g.join(sizes, on="batch_idx", how="inner")
     if not n_batches:
         raise ValueError("unordered batches need n_batches")
     g = group_summary(df, key, pos, qid)

@@ -236,8 +236,9 @@ SQL = {
     "video_batches": (
         f"WITH {Q}, g AS (SELECT conv_id, count(*) AS n_questions, min(turn) AS first_pos, max(turn) AS last_pos, "
         f"arg_min(qid, turn) AS first_qid FROM q GROUP BY 1), "
-        f"o AS (SELECT *, row_number() OVER (ORDER BY first_pos, conv_id) - 1 AS group_order FROM g) "
-        f"SELECT *, CAST(group_order // 7 AS BIGINT) AS batch_idx FROM o"),
+        f"o AS (SELECT *, row_number() OVER (ORDER BY first_pos, conv_id) - 1 AS group_order FROM g), "
+        f"b AS (SELECT *, CAST(group_order // 7 AS BIGINT) AS batch_idx FROM o) "
+        f"SELECT *, count(*) OVER (PARTITION BY batch_idx) AS n_in_batch FROM b"),
     "filter_group": "SELECT conv_id, turn, role, text FROM conversations WHERE conv_id = 7",
     "candidate_rows": (
         "WITH r AS (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), "
