@@ -99,3 +99,14 @@ def with_source_pos(df: DataFrame, col: str = "pos") -> DataFrame:
     Convert such inputs once to Parquet with this column and run from that.
     """
     return df.withColumn(col, F.monotonically_increasing_id())
+
+
+def checkpoint_marks(log: DataFrame, order: Sequence, every: int, col: str = "is_checkpoint"
+                     ) -> DataFrame:
+    """Running count of log entries in ``order`` and whether a save falls on the
+    entry (every ``every``-th one, the source's checkpoint cadence). The
+    running count is a distributed ordinal, not a one-task window."""
+    out = global_index(log, order, col="_idx")
+    return (out.withColumn("running_count", F.col("_idx") + 1)
+            .withColumn(col, (F.col("running_count") % F.lit(every)) == 0)
+            .drop("_idx"))

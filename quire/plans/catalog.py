@@ -455,6 +455,18 @@ def q_cache_misses(spark, d):
     return misses
 
 
+# Answers between two saves of the log.
+SAVE_EVERY = 50
+
+
+def q_checkpoint_marks(spark, d):
+    from quire.operators.ordering import checkpoint_marks
+
+    log = sh.event_log(spark, d).select("qid", "seq")
+    return checkpoint_marks(log, ["seq"], SAVE_EVERY).select("seq", "running_count",
+                                                             "is_checkpoint")
+
+
 def q_repeat_passes(spark, d):
     q = sh.questions(spark, d).select("qid")
     return gr.repeat_passes(q, N_PASSES).withColumn("pass_idx", F.col("pass_idx").cast("long"))
@@ -624,6 +636,7 @@ QUERIES = {
     "cache_hits": q_cache_hits,
     "cache_misses": q_cache_misses,
     "repeat_passes": q_repeat_passes,
+    "checkpoint_marks": q_checkpoint_marks,
     "append_log": q_append_log,
     "backoff_schedule": q_backoff_schedule,
     "preview_text": q_preview_text,

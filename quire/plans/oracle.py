@@ -476,3 +476,7 @@ def _two_step_model_sql():
 
 
 SQL["two_step_model"] = _two_step_model_sql()
+
+SQL["checkpoint_marks"] = (
+    "WITH r AS (SELECT event_id AS seq, row_number() OVER (ORDER BY event_id) AS running_count "
+    "FROM events) SELECT seq, running_count, running_count % 50 = 0 AS is_checkpoint FROM r")
