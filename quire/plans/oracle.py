@@ -471,8 +471,10 @@ def _two_step_model_sql():
 
     cand = template_sql(CANDIDATES_TEMPLATE, question=strip("question"), n="4")
     # The first candidate line carries letter (len(step-1 prompt) + 0) % 5.
-    return (f"WITH {Q} SELECT qid, substr('ABCDE', CAST(length({cand}) % 5 AS INTEGER) + 1, 1) "
-            "AS answer FROM q")
+    letter = "substr('ABCDE', CAST((L + {k}) % 5 AS INTEGER) + 1, 1)"
+    thoughts = " || chr(10) || ".join(f"'{i + 1}. ' || " + letter.format(k=i * i) for i in range(4))
+    return (f"WITH {Q}, p AS (SELECT qid, length({cand}) AS L FROM q) "
+            f"SELECT qid, {letter.format(k=0)} AS answer, {thoughts} AS thoughts FROM p")
 
 
 SQL["two_step_model"] = _two_step_model_sql()

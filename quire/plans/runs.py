@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.replies import reply_status
+from quire.functions.replies import NO_CANDIDATES_THOUGHTS, reply_status
 from quire.functions.text import py_strip
 from quire.operators import infer as inf
 from quire.operators import resume as rs
@@ -117,7 +117,15 @@ def two_step_model(spark: SparkSession, sf_dir: str, n: int = 4, candidates_fact
         AGGREGATE_TEMPLATE, question=F.col("q"), candidates=F.col("reply"), n=n).alias("prompt"))
     step2 = inf.infer(step2_in, "prompt", aggregate_factory or FirstCandidateResponder(),
                       keep=["qid"], group_col="conv_id")
-    return step2.select("qid", reply_status("reply", "error", step="step 2").alias("answer"))
+    # The (answer, thoughts) pair of each question: thoughts are the step-1
+    # candidates, or the fixed text when there were none.
+    thoughts = step1.select("qid", F.coalesce(F.nullif(py_strip("reply"), F.lit("")),
+                                              F.lit(NO_CANDIDATES_THOUGHTS)).alias("thoughts"))
+    pair = step2.join(thoughts, on="qid").select(
+        "qid", F.struct(reply_status("reply", "error", step="step 2").alias("answer"),
+                        F.col("thoughts")).alias("result"))
+    return pair.select("qid", F.col("result.answer").alias("answer"),
+                       F.col("result.thoughts").alias("thoughts"))
 
 
 # --- Context run: extract, parse, retry the failures, lay on the questions ----
