@@ -60,7 +60,7 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType,
     missing = [c for c in required if c not in schema.fieldNames()]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     arrays = raw.select(F.from_json("value", T.ArrayType(T.StringType())).alias("items"))
     if arrays.filter(F.col("items").isNull()).limit(1).count():
         raise ValueError(f"{path}: not a JSON array")
@@ -112,7 +112,7 @@ def write_json_rows(df: DataFrame, path: str) -> None:
 
 def read_template(spark: SparkSession, path: str) -> str:
     """A prompt template: read once on the driver (it becomes a literal)."""
-    rows = spark.read.option("wholetext", True).text(path).collect()
+    rows = spark.read.text(path, wholetext=True).collect()
     if len(rows) != 1:
         raise ValueError(f"{path}: expected one template file")
     return rows[0][0]
