@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions._cols import as_col
-from quire.functions.text import WHITESPACE_CLASS, py_strip
+from quire.functions.text import WHITESPACE_CLASS, py_strip, strip_or_null
 
 # Spellings that mark a stored answer as an error. The strict
 # form only accepts the bare word; the taxonomy accepts every spelling the
@@ -207,7 +207,7 @@ def reply_status(reply, error_message=None, step: str = "step 2") -> Column:
     characters. Otherwise a blank reply gives ``'Error: No response from <step>'``
     and a real reply is returned stripped.
     """
-    text = F.nullif(py_strip(as_col(reply)), F.lit(""))
+    text = strip_or_null(reply)
     out = F.when(text.isNull(), F.lit(NO_RESPONSE_PREFIX + step)).otherwise(text)
     if error_message is not None:
         err = as_col(error_message)

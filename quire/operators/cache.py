@@ -40,15 +40,6 @@ def refresh(cache: DataFrame, results: DataFrame, key: Sequence[str],
     return cache.select(*key, value_col).unionByName(new)
 
 
-def cache_key(mode, url, question, n=None):
-    """Key columns of a request; ``n`` only for the multi-candidate mode."""
-    cols = [F.lit(mode).alias("mode") if isinstance(mode, str) else mode.alias("mode"),
-            url.alias("url"), question.alias("question")]
-    if n is not None:
-        cols.append(n.alias("n"))
-    return cols
-
-
 CACHE_SCHEMA = "mode STRING, url STRING, question STRING, n INT, answer STRING"
 CACHE_KEY = ("mode", "url", "question", "n")
 

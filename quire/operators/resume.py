@@ -179,16 +179,7 @@ def repeat_rows(df: DataFrame, n: int, col: str = "pass_idx") -> DataFrame:
     return df.withColumn(col, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 
-def keys_in(df: DataFrame, key="qid") -> DataFrame:
-    return df.select(*_keys(key)).distinct()
-
-
-def missing_keys(expected: DataFrame, present: DataFrame, key="qid") -> DataFrame:
-    keys = _keys(key)
-    return expected.select(*keys).join(present.select(*keys), on=keys, how="left_anti")
-
-
 __all__: Iterable[str] = [
     "unanswered", "only_ids", "latest", "error_ids", "overlay", "overlay_runs", "complete",
-    "to_input_order", "append_log", "repeat_rows", "keys_in", "missing_keys",
+    "to_input_order", "append_log", "repeat_rows",
 ]

@@ -239,3 +239,10 @@ def test_batches_unordered_by_hash(spark):
     assert len(got) == 10 and all(0 <= r[1] < 4 for r in got)
     with pytest.raises(ValueError):
         gr.batches(q, "g", 3, ordered=False)
+
+
+def test_index_in_group(spark):
+    q = spark.createDataFrame([("u", 5, "a"), ("v", 1, "b"), ("u", 2, "d"), ("u", 9, "e")],
+                              "g string, pos long, qid string")
+    got = sorted(rows(gr.index_in_group(q, "g"), "qid", "idx_in_group"))
+    assert got == [("a", 1), ("b", 0), ("d", 0), ("e", 2)]
