@@ -255,3 +255,32 @@ def test_json_array_source_pretty_printed(spark):
     schema = spark.createDataFrame([], "qid string, prediction string").schema
     assert sorted(rows(io.read_json_array(spark, path, schema))) == [("0008-0", "A"),
                                                                      ("0008-1", None)]
+
+
+def _peak_tracker():
+    def factory():
+        import threading
+        import time as _time
+
+        lock = threading.Lock()
+        state = {"now": 0, "peak": 0}
+
+        def respond(p):
+            with lock:
+                state["now"] += 1
+                state["peak"] = max(state["peak"], state["now"])
+            _time.sleep(0.02)
+            with lock:
+                state["now"] -= 1
+                return str(state["peak"])
+
+        return respond
+
+    return factory
+
+
+def test_infer_caps_calls_in_flight(spark):
+    df = spark.createDataFrame([(str(i), f"p{i}") for i in range(60)], "qid string, prompt string")
+    peaks = [int(r["reply"]) for r in inf.infer(df, "prompt", _peak_tracker(), partitions=2,
+                                                 max_in_flight=3).collect()]
+    assert max(peaks) <= 3 and max(peaks) >= 2
