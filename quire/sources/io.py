@@ -91,10 +91,12 @@ def append_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def submission(predictions: DataFrame, key: str = "qid", value_col: str = "prediction") -> DataFrame:
-    """``qid, pred``: both stripped; a missing prediction is the empty string."""
+def submission(predictions: DataFrame, key: str = "qid", value_col: str = "prediction",
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    """``qid, pred``: both stripped; a missing prediction is the empty string.
+    ``keep`` carries extra columns (e.g. ``pos`` for the write order)."""
     return predictions.select(py_strip(F.col(key).cast("string")).alias("qid"),
-                              F.coalesce(py_strip(value_col), F.lit("")).alias("pred"))
+                              F.coalesce(py_strip(value_col), F.lit("")).alias("pred"), *keep)
 
 
 def write_submission(sub: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
