@@ -92,9 +92,11 @@ def spread_for_inference(df: DataFrame, key: str, partitions: int, salt_buckets:
     ``salt_buckets``. Nothing downstream needs the group co-located.
     """
     if rows_per_task:
-        sizes = df.groupBy(key).agg(
+        # Null-safe: rows without a group key (a NULL group) are sized and
+        # split like any other group.
+        sizes = df.groupBy(F.col(key).alias("_gkey")).agg(
             F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).cast("long").alias("_buckets"))
-        df = df.join(sizes, on=key, how="left")
+        df = df.join(sizes, on=F.col(key).eqNullSafe(F.col("_gkey")), how="left").drop("_gkey")
         buckets = F.greatest(F.col("_buckets"), F.lit(1))
     else:
         buckets = F.lit(salt_buckets)

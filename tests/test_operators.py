@@ -246,3 +246,11 @@ def test_index_in_group(spark):
                               "g string, pos long, qid string")
     got = sorted(rows(gr.index_in_group(q, "g"), "qid", "idx_in_group"))
     assert got == [("a", 1), ("b", 0), ("d", 0), ("e", 2)]
+
+
+def test_spread_for_inference_splits_null_group(spark):
+    data = [(f"q{i}", None if i % 2 else i % 7) for i in range(2000)]
+    df = spark.createDataFrame(data, "qid string, g long")
+    out = gr.spread_for_inference(df, "g", partitions=16, rows_per_task=100)
+    per_task = out.filter("g IS NULL").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_task) >= 4 and sum(r["count"] for r in per_task) == 1000
