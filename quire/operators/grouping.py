@@ -101,7 +101,10 @@ def spread_for_inference(df: DataFrame, key: str, partitions: int, salt_buckets:
     else:
         buckets = F.lit(salt_buckets)
     salt = F.pmod(F.xxhash64(salt_on), buckets)
-    return (df.withColumn("_salt", salt)
-            .repartition(partitions, key, "_salt")
-            .sortWithinPartitions(key)
-            .drop("_salt", "_buckets"))
+    # Range bounds over (hash of group, salt), not a hash of the pair: a big
+    # group's sub-groups are adjacent in this order, so the sampled bounds cut
+    # it into even slices over consecutive tasks (hashing the pairs lets them
+    # collide), and small groups are packed together.
+    salted = (df.withColumn("_salt", salt)
+              .repartitionByRange(partitions, F.xxhash64(key), "_salt"))
+    return salted.sortWithinPartitions(key).drop("_salt", "_buckets")
