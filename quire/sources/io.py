@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from quire.functions.text import py_strip
 from quire.operators.ordering import with_source_pos
@@ -73,15 +72,20 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType,
     return rec.filter(ok).select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the path's own filesystem (local, HDFS,
+    object store) through Hadoop, without reading it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def load_log(spark: SparkSession, path: str, schema) -> DataFrame:
     """The answer log; a missing path is an empty log. A corrupt log fails
     loudly (re-answering everything silently would be worse)."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def append_log(rows: DataFrame, path: str) -> None:
