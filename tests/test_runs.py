@@ -284,3 +284,42 @@ def test_infer_caps_calls_in_flight(spark):
     peaks = [int(r["reply"]) for r in inf.infer(df, "prompt", _peak_tracker(), partitions=2,
                                                  max_in_flight=3).collect()]
     assert max(peaks) <= 3 and max(peaks) >= 2
+
+
+def test_checkpoint_dir_never_local_on_a_cluster():
+    import pytest
+
+    from quire.session import ensure_checkpoint_dir
+
+    class _Conf(dict):
+        def get(self, k, default=None):
+            return dict.get(self, k, default)
+
+        def set(self, k, v):
+            self[k] = v
+
+    class _Sc:
+        master = "spark://cluster:7077"
+
+        def __init__(self, d=None):
+            self.d = d
+
+        def getCheckpointDir(self):
+            return self.d
+
+        def getConf(self):
+            return _Conf()
+
+        def setCheckpointDir(self, d):
+            self.d = d
+
+    class _Spark:
+        def __init__(self, sc, conf):
+            self.sparkContext, self.conf = sc, conf
+
+    with pytest.raises(RuntimeError, match="shared folder"):
+        ensure_checkpoint_dir(_Spark(_Sc(), _Conf()))
+    # A named shared folder is read, never replaced.
+    shared = _Spark(_Sc(), _Conf({"spark.checkpoint.dir": "hdfs://nn/ckpt"}))
+    assert ensure_checkpoint_dir(shared) == "hdfs://nn/ckpt"
+    assert shared.sparkContext.d == "hdfs://nn/ckpt"
