@@ -101,3 +101,17 @@ class FirstCandidateResponder:
             return m.group(1) if m else ""
 
         return respond
+
+
+class LetterResponder:
+    """One option letter per prompt, chosen from the first hex digit of the
+    prompt's MD5 (so different passes of a question can disagree)."""
+
+    def __call__(self):
+        import hashlib
+
+        def respond(prompt: str) -> str:
+            digit = hashlib.md5(prompt.encode("utf-8")).hexdigest()[0]
+            return OPTION_LETTERS[ord(digit) % 5]
+
+        return respond

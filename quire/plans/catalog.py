@@ -524,6 +524,12 @@ def q_two_step_model(spark, d):
     return two_step_model(spark, d)
 
 
+def q_repeat_vote(spark, d):
+    from quire.plans.runs import repeat_vote
+
+    return repeat_vote(spark, d, passes=N_PASSES)
+
+
 def q_context_run(spark, d):
     from quire.plans.runs import context_run
 
@@ -645,6 +651,7 @@ QUERIES = {
     "stream_resume": q_stream_resume,
     "two_step_answer": q_two_step_answer,
     "two_step_model": q_two_step_model,
+    "repeat_vote": q_repeat_vote,
     "context_run": q_context_run,
     "fact_check_run": q_fact_check_run,
     "rewrite_run": q_rewrite_run,

@@ -482,3 +482,18 @@ SQL["two_step_model"] = _two_step_model_sql()
 SQL["checkpoint_marks"] = (
     "WITH r AS (SELECT event_id AS seq, row_number() OVER (ORDER BY event_id) AS running_count "
     "FROM events) SELECT seq, running_count, running_count % 50 = 0 AS is_checkpoint FROM r")
+
+SQL["repeat_vote"] = (
+    f"WITH {Q}, c AS (SELECT q.qid, t.i AS pos, substr('ABCDE', CAST(unicode(left(md5({strip('q.question')} "
+    "|| chr(10) || '(pass ' || CAST(t.i AS VARCHAR) || ')'), 1)) % 5 AS INTEGER) + 1, 1) AS label "
+    "FROM q CROSS JOIN (SELECT range AS i FROM range(3)) t), "
+    "per AS (SELECT qid, label, count(*) AS votes, min(pos) AS first_pos FROM c GROUP BY 1, 2), "
+    "st AS (SELECT qid, sum(votes) AS n_candidates, max(votes) FILTER (WHERE label <> 'E') AS top "
+    "FROM per GROUP BY 1), "
+    "nt AS (SELECT per.qid, count(*) FILTER (WHERE per.label <> 'E' AND per.votes = st.top) AS n_top "
+    "FROM per JOIN st ON st.qid = per.qid GROUP BY 1), "
+    "best AS (SELECT qid, label, votes FROM (SELECT *, row_number() OVER (PARTITION BY qid "
+    "ORDER BY votes DESC, first_pos ASC) AS rn FROM per WHERE label <> 'E') WHERE rn = 1) "
+    "SELECT st.qid, best.label AS winner, coalesce(best.votes, 0) AS votes, st.n_candidates, "
+    "CASE WHEN best.qid IS NULL THEN 'all_none' WHEN nt.n_top > 1 THEN 'tie' ELSE 'ok' END AS status "
+    "FROM st JOIN nt ON nt.qid = st.qid LEFT JOIN best ON best.qid = st.qid")

@@ -346,3 +346,24 @@ def three_step_run(spark: SparkSession, sf_dir: str) -> DataFrame:
                     group_col="conv_id", max_retries=0)
     return out.select("qid", F.coalesce(py_strip(reply_status("reply", "error")), F.lit(""))
                       .alias("pred"))
+
+
+# --- Repeated passes feeding the vote -----------------------------------------
+
+def repeat_vote(spark: SparkSession, sf_dir: str, passes: int = 3) -> DataFrame:
+    """Every question asked ``passes`` times (``pass_idx`` in the prompt); all
+    passes are kept and vote, instead of keeping only the first pass."""
+    from quire.functions.replies import option_label
+    from quire.operators.grouping import repeat_passes
+    from quire.operators.responders import LetterResponder
+
+    q = sh.questions(spark, sf_dir).select("qid", "conv_id", py_strip("question").alias("q"))
+    asked = repeat_passes(q, passes).select(
+        "qid", "conv_id", "pass_idx",
+        F.concat("q", F.lit("\n(pass "), F.col("pass_idx").cast("string"), F.lit(")")).alias("prompt"))
+    out = inf.durable(inf.infer(asked, "prompt", LetterResponder(), keep=["qid", "pass_idx"],
+                                group_col="conv_id", salt_on="prompt"))
+    cands = out.select("qid", F.col("pass_idx").cast("long").alias("pos"),
+                       option_label("reply").alias("label"))
+    v = vo.vote(cands, key="qid", none_label="E")
+    return v.select("qid", "winner", "votes", "n_candidates", "status")

@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 
 # Queries that call the model (mapInPandas) or run a stream.
 MODEL_QUERIES = {"infer_replay", "answer_run", "stream_resume", "two_step_answer", "context_run",
-                 "fact_check_run", "rewrite_run", "two_step_model", "snapshot_run", "one_group_check",
+                 "fact_check_run", "rewrite_run", "two_step_model", "repeat_vote", "snapshot_run", "one_group_check",
                  "compare_modes", "three_step_run"}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF")
