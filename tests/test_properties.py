@@ -205,3 +205,21 @@ def test_overlay_runs_equals_model(spark, raw, add_new):
     got = {r["qid"]: (r["prediction"], r["source"])
            for r in rs.overlay_runs(df, add_new=add_new).collect()}
     assert got == _overlay_model(log, add_new)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from([None, 1, 2, 3]), st.integers(0, 50)), min_size=1,
+                max_size=120))
+def test_group_index_equals_window(spark, raw):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from quire.operators.ordering import group_index
+
+    data = [(g, o, i) for i, (g, o) in enumerate(raw)]
+    df = spark.createDataFrame(data, "g long, o long, id long")
+    got = {r["id"]: r["k"] for r in group_index(df, ["g"], ["o", "id"], col="k",
+                                                partitions=3).collect()}
+    w = Window.partitionBy("g").orderBy("o", "id")
+    exp = {r["id"]: r["rn"] - 1 for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+    assert got == exp
