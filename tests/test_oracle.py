@@ -5,11 +5,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from quire.plans.catalog import QUERIES
 from tools.compare import TABLES, digest
 
 from conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
