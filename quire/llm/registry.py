@@ -3,14 +3,20 @@ express over the driver tables."""
 
 from __future__ import annotations
 
+from .chat import OP5_SQL, op5_chat
 from .decontaminate import OP2_SQL, op2_decontamination
 from .hilbert import op3_hilbert
+from .warc import OP8_SQL, op8_warc
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_hilbert": op3_hilbert,
+    "op5_chat": op5_chat,
+    "op8_warc": op8_warc,
 }
 
 SQL = {
     "op2_decontamination": OP2_SQL,
+    "op5_chat": OP5_SQL,
+    "op8_warc": OP8_SQL,
 }
