@@ -7,6 +7,7 @@ over all documents of a slice at once.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def process_cache(name: str, make):
+    """One object per Python worker process: code shipped by value is unpickled
+    anew for every task, what is kept on ``sys`` outlives the task."""
+    store = sys.__dict__.setdefault("_quire_process_cache", {})
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, filled on first sight and bounded."""
 

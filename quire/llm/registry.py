@@ -6,11 +6,13 @@ from __future__ import annotations
 from .chat import OP5_SQL, op5_chat
 from .decontaminate import OP2_SQL, op2_decontamination
 from .hilbert import op3_hilbert
+from .packing import op4_bm25_packing
 from .warc import OP8_SQL, op8_warc
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_hilbert": op3_hilbert,
+    "op4_bm25_packing": op4_bm25_packing,
     "op5_chat": op5_chat,
     "op8_warc": op8_warc,
 }
