@@ -7,9 +7,11 @@ from .chat import OP5_SQL, op5_chat
 from .decontaminate import OP2_SQL, op2_decontamination
 from .hilbert import op3_hilbert
 from .packing import op4_bm25_packing
+from .quality import op1_quality
 from .warc import OP8_SQL, op8_warc
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
     "op3_hilbert": op3_hilbert,
     "op4_bm25_packing": op4_bm25_packing,
