@@ -8,6 +8,7 @@ from .decontaminate import OP2_SQL, op2_decontamination
 from .hilbert import op3_hilbert
 from .packing import op4_bm25_packing
 from .quality import op1_quality
+from .toxicity import op6_toxicity
 from .warc import OP8_SQL, op8_warc
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_hilbert": op3_hilbert,
     "op4_bm25_packing": op4_bm25_packing,
     "op5_chat": op5_chat,
+    "op6_toxicity": op6_toxicity,
     "op8_warc": op8_warc,
 }
 
