@@ -8,6 +8,7 @@ from .decontaminate import OP2_SQL, op2_decontamination
 from .hilbert import op3_hilbert
 from .packing import op4_bm25_packing
 from .quality import op1_quality
+from .substrings import OP10_SQL, op10_substrings
 from .toxicity import op6_toxicity
 from .warc import OP8_SQL, op8_warc
 
@@ -19,10 +20,12 @@ QUERIES = {
     "op5_chat": op5_chat,
     "op6_toxicity": op6_toxicity,
     "op8_warc": op8_warc,
+    "op10_substrings": op10_substrings,
 }
 
 SQL = {
     "op2_decontamination": OP2_SQL,
     "op5_chat": OP5_SQL,
     "op8_warc": OP8_SQL,
+    "op10_substrings": OP10_SQL,
 }
