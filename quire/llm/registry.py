@@ -6,6 +6,7 @@ from __future__ import annotations
 from .chat import OP5_SQL, op5_chat
 from .decontaminate import OP2_SQL, op2_decontamination
 from .hilbert import op3_hilbert
+from .jaccard import OP7_SQL, op7_jaccard
 from .packing import op4_bm25_packing
 from .quality import op1_quality
 from .substrings import OP10_SQL, op10_substrings
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_bm25_packing": op4_bm25_packing,
     "op5_chat": op5_chat,
     "op6_toxicity": op6_toxicity,
+    "op7_jaccard": op7_jaccard,
     "op8_warc": op8_warc,
     "op10_substrings": op10_substrings,
 }
@@ -26,6 +28,7 @@ QUERIES = {
 SQL = {
     "op2_decontamination": OP2_SQL,
     "op5_chat": OP5_SQL,
+    "op7_jaccard": OP7_SQL,
     "op8_warc": OP8_SQL,
     "op10_substrings": OP10_SQL,
 }
