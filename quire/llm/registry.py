@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from .chat import OP5_SQL, op5_chat
 from .decontaminate import OP2_SQL, op2_decontamination
+from .fingerprints import op9_fingerprints
 from .hilbert import op3_hilbert
 from .jaccard import OP7_SQL, op7_jaccard
 from .packing import op4_bm25_packing
@@ -22,6 +23,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_jaccard": op7_jaccard,
     "op8_warc": op8_warc,
+    "op9_fingerprints": op9_fingerprints,
     "op10_substrings": op10_substrings,
 }
 
