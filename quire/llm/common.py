@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +20,6 @@ from quire.session import scratch_path
 
 #: Text bytes that a task turns into arrays at a time.
 SLICE_BYTES = 3 << 20
-#: Distinct words remembered per task.
-MAX_CACHED = 1 << 19
 #: An odd multiplier of the polynomial window hash and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 BASE_INV = pow(BASE, -1, 1 << 64)
@@ -47,16 +46,6 @@ def process_cache(name: str, make):
     return store[name]
 
 
-class WordHashes(dict):
-    """word (bytes) -> 64-bit hash, filled on first sight and bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MAX_CACHED:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def text_bytes(column) -> list:
     """A text column as a list of UTF-8 bytes (NULL: None)."""
     return column.cast(pa.binary()).to_pylist()
@@ -75,16 +64,29 @@ def slices(batch: pa.RecordBatch, text: str = "text",
             start, size = i + 1, 0
 
 
-def hashed_words(words: list[list[bytes]], cache: dict) -> tuple[np.ndarray, np.ndarray]:
-    """All documents' words in one array of hashes, and the words per document."""
-    lens = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    out = np.empty(int(lens.sum()), dtype=np.uint64)
-    at = 0
-    for ws in words:
-        out[at:at + len(ws)] = np.fromiter(map(cache.__getitem__, ws), dtype=np.uint64,
-                                           count=len(ws))
-        at += len(ws)
-    return out, lens
+def split_words(texts: list) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The texts (UTF-8 bytes or None) cut at ASCII white space: the code of each
+    word, all texts one after the other; the words per text; and the distinct
+    words, in the order of their codes."""
+    column = pa.array([t or b"" for t in texts], pa.binary()).cast(pa.large_string())
+    parts = pc.ascii_split_whitespace(column)
+    coded = parts.values.dictionary_encode()
+    codes = coded.indices.to_numpy().astype(np.int64)
+    bounds = parts.offsets.to_numpy().astype(np.int64)
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    if b"" in words:  # an empty text, or white space at an edge
+        full = codes != words.index(b"")
+        bounds = np.concatenate([[0], np.cumsum(full)])[bounds]
+        codes = codes[full]
+    return codes, np.diff(bounds), words
+
+
+def hashed_words(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words, one text after the other, and the words per
+    text."""
+    codes, lens, words = split_words(texts)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return hashes[codes] if len(codes) else np.zeros(0, np.uint64), lens
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Windows, inside, slices, table, text_bytes, written
+from .common import Windows, inside, slices, split_words, table, text_bytes, written
 
 WINDOW = 13
 #: Benchmark words per broadcast block (about 100 bytes each in a task).
@@ -53,16 +53,14 @@ class WindowSet:
             h = Windows(spread(flat.ravel())).of(length)[::length]
             self.hashes[length] = np.sort(h)
 
-    def scan(self, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, list[set]]:
-        """Words per document, which words are hit, and the items found."""
-        lens = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        get, at, found = self.vocabulary.get, 0, [set() for _ in words]
-        ids = np.empty(int(lens.sum()), dtype=np.uint64)
-        for ws in words:
-            ids[at:at + len(ws)] = np.fromiter((get(w, 0) for w in ws), np.uint64, len(ws))
-            at += len(ws)
+    def scan(self, texts: list) -> tuple[np.ndarray, np.ndarray, list[set]]:
+        """Words per text, which words are hit, and the items found per text."""
+        codes, lens, words = split_words([t.translate(_FOLD) if t else t for t in texts])
+        found = [set() for _ in texts]
+        known_id = np.array([self.vocabulary.get(w, 0) for w in words] or [0], dtype=np.uint64)
+        ids = known_id[codes]
         cover = np.zeros(len(ids) + 1, dtype=np.int64)
-        doc_of = np.repeat(np.arange(len(words)), lens)
+        doc_of = np.repeat(np.arange(len(texts)), lens)
         unknown = np.concatenate([[0], np.cumsum(ids == 0)])
         windows = Windows(spread(ids))
         for length, known in self.by_length.items():
@@ -128,7 +126,7 @@ def scan_documents(docs: DataFrame, windows, text: str = "text", cut: bool = Fal
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in slices(batch, text):
-                lens, hit, found = windows.value.scan([fold_words(t) for t in texts])
+                lens, hit, found = windows.value.scan(texts)
                 ends = np.cumsum(lens)
                 sums = np.concatenate([[0], np.cumsum(hit)])
                 n_hit = sums[ends] - sums[ends - lens]
@@ -177,7 +175,7 @@ def _apply(docs: DataFrame, windows, mode: str) -> DataFrame:
         for batch in batches:
             at = batch.schema.get_field_index("text")
             for rows, texts in slices(batch):
-                lens, hit, _ = windows.value.scan([fold_words(t) for t in texts])
+                lens, hit, _ = windows.value.scan(texts)
                 ends = np.cumsum(lens)
                 sums = np.concatenate([[0], np.cumsum(hit)])
                 n_hit = sums[ends] - sums[ends - lens]
@@ -207,7 +205,7 @@ def _blockwise(docs: DataFrame, blocks: list[WindowSet], mode: str) -> DataFrame
         def scan(batches, windows=windows):
             for batch in batches:
                 for part, texts in slices(batch):
-                    lens, hit, found = windows.value.scan([fold_words(t) for t in texts])
+                    lens, hit, found = windows.value.scan(texts)
                     ends, names = np.cumsum(lens), part.schema.names
                     old_hit, old = part.column("_hit").to_pylist(), part.column("_items").to_pylist()
                     hits = [sorted({*h, *np.flatnonzero(hit[e - k:e]).tolist()})

@@ -19,15 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (Windows, WordHashes, hashed_words, inside, mixed, process_cache, slices, table,
-                     written)
+from .common import Windows, hashed_words, mixed, slices, table, written
 from .graph import connected_components
 
 WORDS = 5
 #: Similarity of at least NUM / DEN.
 NUM, DEN = 75, 100
 #: Counters of the shingle frequency sketch (a power of two) and per block.
-SKETCH, BLOCK = 1 << 21, 1 << 16
+SKETCH, BLOCK = 1 << 21, 1 << 13
 
 
 def needed(n):
@@ -47,9 +46,7 @@ def pair_overlap(n, m):
 def shingle_sets(texts: list[bytes | None], width: int = WORDS) -> list[np.ndarray]:
     """Each text's set of shingle hashes, sorted. A text of fewer words has its
     whole sequence as one shingle, one without words the empty set."""
-    cache = process_cache("words", WordHashes)
-    words = [t.lower().split() if t else [] for t in texts]
-    hashes, lens = hashed_words(words, cache)
+    hashes, lens = hashed_words([t.lower() if t else t for t in texts])
     windows = Windows(hashes)
     grams = windows.of(width)
     ends = np.cumsum(lens)
@@ -110,17 +107,34 @@ def first_pass(docs: DataFrame, width: int) -> DataFrame:
 
 
 def sketch_rows(counts: np.ndarray, kind) -> pa.RecordBatch:
-    """The counters by block, saturated at a byte, without empty blocks."""
+    """The counters by block, saturated at a byte: a byte each, or where few are
+    set three bytes for each of those (its place, then its count)."""
     small = np.minimum(counts, 255).astype(np.uint8).reshape(-1, BLOCK)
     blocks = np.flatnonzero(small.any(axis=1))
+    packed = []
+    for b in blocks.tolist():
+        at = np.flatnonzero(small[b])
+        packed.append(small[b].tobytes() if 3 * len(at) >= BLOCK else
+                      at.astype("<u2").tobytes() + small[b][at].tobytes())
     n = len(blocks)
     return pa.RecordBatch.from_arrays(
         [pa.nulls(n, kind), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-         pa.array(blocks.astype(np.int32)), pa.array([small[b].tobytes() for b in blocks],
-                                                     pa.binary())],
+         pa.array(blocks.astype(np.int32)), pa.array(packed, pa.binary())],
         names=["doc_id", "n", "key", "block", "counts"])
 
 
+def unpacked(raw: bytes) -> np.ndarray:
+    """A block's counters from any of its forms (four bytes each: sums)."""
+    if len(raw) == BLOCK:
+        return np.frombuffer(raw, np.uint8).astype(np.uint32)
+    if len(raw) == 4 * BLOCK:
+        return np.frombuffer(raw, np.uint32)
+    n = len(raw) // 3
+    out = np.zeros(BLOCK, np.uint32)
+    out[np.frombuffer(raw[:2 * n], "<u2")] = np.frombuffer(raw[2 * n:], np.uint8)
+    return out
+
+
 def frequency_levels(sketch: DataFrame) -> np.ndarray:
     """Half-logarithmic level of every counter over all documents: SKETCH bytes,
     whatever the number of documents."""
@@ -129,12 +143,12 @@ def frequency_levels(sketch: DataFrame) -> np.ndarray:
         for batch in batches:
             for b, raw in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(),
                               strict=True):
-                part = np.frombuffer(raw, np.uint8 if len(raw) == BLOCK else np.uint32)
-                sums[b] = sums.get(b, 0) + part.astype(np.uint32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()),
-             pa.array([s.astype(np.uint32).tobytes() for s in sums.values()], pa.binary())],
-            names=["block", "counts"])
+                sums[b] = sums.get(b, 0) + unpacked(raw)
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.int32()),
+                 pa.array([s.astype(np.uint32).tobytes() for s in sums.values()], pa.binary())],
+                names=["block", "counts"])
 
     def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in add(batches):
@@ -146,7 +160,7 @@ def frequency_levels(sketch: DataFrame) -> np.ndarray:
 
     kind = "block int, counts binary"
     partial = sketch.select("block", "counts").mapInArrow(add, kind)
-    rows = partial.repartition(SKETCH // BLOCK, "block").mapInArrow(level, kind).collect()
+    rows = partial.repartition(32, "block").mapInArrow(level, kind).collect()
     out = np.zeros((SKETCH // BLOCK, BLOCK), dtype=np.uint8)
     for r in rows:
         out[r["block"]] = np.frombuffer(r["counts"], np.uint8)
@@ -385,8 +399,8 @@ def near_duplicates(docs: DataFrame, width: int = WORDS) -> DataFrame:
     Documents with equal sets are one vertex. Documents without words have the
     empty set and stay alone. Rows that repeat a doc_id are rows of one
     document with a set each; their component is the smallest id either
-    reaches. A NULL doc_id never becomes a component's id unless no other is in
-    it. An empty table gives an empty table.
+    reaches. Rows with a NULL doc_id have a set, but are linked only through
+    rows of equal sets that have an id. An empty table gives an empty table.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -428,11 +442,18 @@ def keys_of(lists: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = WORDS) -> DataFrame:
-    """``docs`` with one document of each component: the smallest doc_id."""
-    groups = near_duplicates(docs, width).select(
-        F.col("doc_id").alias("_doc"), "component_id").distinct()
-    gone = groups.where("NOT _doc <=> component_id").select("_doc").distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_doc"), "left_anti")
+    """``docs`` with one document of each component: the smallest doc_id. Rows
+    that repeat an id and its text are kept once; rows without an id and
+    documents without words are all kept."""
+    groups = near_duplicates(docs, width).select(F.col("doc_id").alias("_doc"), "component_id")
+    groups = written(groups, "components-of-documents")
+    kept = docs.join(groups.where("_doc <> component_id").select("_doc").distinct(),
+                     F.col("doc_id") == F.col("_doc"), "left_anti")
+    again = groups.where("_doc IS NOT NULL").groupBy("_doc").count().where("count > 1")
+    if not again.limit(1).count():
+        return kept
+    once = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(kept.where("doc_id IS NULL"))
 
 
 def op7_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -12,8 +12,10 @@ sequence of a shard is padded.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, process_cache, slices, table, written
+from .common import mixed, process_cache, slices, split_words, table, written
 
 WINDOW = 4096
 TOKENIZER = "word_bpe_49k.json"
@@ -32,7 +34,7 @@ SHARD_TOKENS = 2_000_000
 QUERY_TERMS, NEIGHBOURS = 16, 64
 K1, B = 1.2, 0.75
 #: Words whose ids a worker process remembers.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 
 PIECES = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
@@ -44,42 +46,79 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: Texts of these characters only are plain: white space and printable ASCII but the apostrophe, and
+#: letters below U+0250 that keep their form under NFC and lower-case one by one.
+_PLAIN = re.compile("[\t-\r -&(-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]*")
+_MARKS = re.compile(rb"([!-&(-/:-@\[-`{-~]+)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with: printable
+    Latin-1 stands for itself, the others follow from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordTokenizer:
     """Token ids of whole texts through a cache of words.
 
     The tokenizer normalises and splits each stretch between white space by
-    itself, so a text's ids are its words' ids one after the other.
+    itself, so a text's ids are its words' ids one after the other. In a plain
+    text it also cuts marks from letters and digits, so those are parted first
+    and far fewer words differ.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, eos: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = False
-        self.known: dict[bytes, list[int]] = {}
-
-    def encode(self, texts: list[bytes | None], eos: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and the ids per text."""
-        words = [t.split() if t else [] for t in texts]
-        known = self.known
-        missing = list({w for ws in words for w in ws if w not in known})
-        new = {}
-        if missing:
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in missing],
-                                                     add_special_tokens=False)
-            new = {w: c.ids for w, c in zip(missing, coded, strict=True)}
-            room = CACHED_WORDS - len(known)
-            if room > 0:
-                known.update(list(new.items())[:room])
-        out, lens = [], np.empty(len(texts), dtype=np.int64)
-        at = 0
-        for i, ws in enumerate(words):
-            for w in ws:
-                out += known[w] if w in known else new[w]
-            out.append(eos)
-            lens[i], at = len(out) - at, len(out)
-        return np.array(out, dtype=np.uint32), lens
+        self.tokenizer, self.eos = Tokenizer.from_file(path), eos
+        self.letters = str.maketrans(byte_letters())
+        self._reset()
+
+    def _reset(self) -> None:
+        #: word -> row; row r has the ids flat[start[r]:start[r + 1]].
+        self.rows: dict[bytes, int] = {}
+        self.flat, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _parted(self, text: bytes | None) -> bytes:
+        if text and b"<|" not in text and _PLAIN.fullmatch(text.decode()):
+            return _MARKS.sub(rb" \1 ", text).lower()
+        return text or b""
+
+    def _word(self, word: bytes) -> list[int]:
+        text = word.decode()
+        if text.isalpha() and _PLAIN.fullmatch(text):  # one run of letters: the model alone
+            text = text.lower().encode().decode("latin-1").translate(self.letters)
+            return [t.id for t in self.tokenizer.model.tokenize(text)]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, each text's followed by the end mark, and
+        the ids per text."""
+        codes, lens, words = split_words([self._parted(t) for t in texts])
+        if len(self.rows) > CACHED_WORDS:
+            self._reset()
+        new = [w for w in words if w not in self.rows]
+        if new:
+            ids = [self._word(w) for w in new]
+            self.rows.update(zip(new, range(len(self.start) - 1, len(self.start) - 1 + len(new)),
+                                 strict=True))
+            self.flat = np.concatenate([self.flat, np.array(list(chain(*ids)), np.uint32)])
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(list(map(len, ids)))])
+        rows = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+        begin, size = self.start[rows], self.start[rows + 1] - self.start[rows]
+        # The ids of the slice's distinct words and of the end mark, then every
+        # text's words and its end mark as rows of these.
+        begin, size = np.append(begin, len(self.flat)), np.append(size, 1)
+        flat = np.append(self.flat, np.uint32(self.eos))
+        ends = np.cumsum(lens)
+        row = np.insert(codes, ends, len(rows))
+        width = size[row]
+        until = np.cumsum(width)
+        out = flat[np.repeat(begin[row] - (until - width), width) + np.arange(width.sum())]
+        return out, np.diff(np.concatenate([[0], until[ends + np.arange(len(texts))]]))
 
 
 def signature(ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -95,11 +134,11 @@ def tokenized(docs: DataFrame, path: str, eos: int) -> DataFrame:
     """doc_id, n (ids with the end mark), ids (binary, uint16 where the
     vocabulary allows, else uint32) and signature, written once."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = process_cache(f"tokenizer:{path}", lambda: WordTokenizer(path))
+        coder = process_cache(f"tokenizer:{path}:{eos}", lambda: WordTokenizer(path, eos))
         kind = id_type(coder.tokenizer.get_vocab_size())
         for batch in batches:
             for rows, texts in slices(batch):
-                ids, lens = coder.encode(texts, eos)
+                ids, lens = coder.encode(texts)
                 ends, data = np.cumsum(lens), ids.astype(kind)
                 cuts = zip((ends - lens).tolist(), ends.tolist(), strict=True)
                 yield pa.RecordBatch.from_arrays(

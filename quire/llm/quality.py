@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import BASE, inside, mixed, process_cache, slices, table
+from .common import BASE, inside, mixed, process_cache, slices, split_words, table
 from .labelled import SAMPLE_ROWS, held_out, training_sample
 
 BITS = 18
@@ -64,19 +64,12 @@ class Features:
         it belongs to. Every text also has one constant feature."""
         if len(self.at) > CACHED_WORDS:
             self.__init__(self.bits)
-        words = [t.split() if t else [] for t in texts]
-        lens = np.fromiter(map(len, words), np.int64, len(words))
-        known = self.at
-        for w in {w for ws in words for w in ws if w not in known}:
-            self._index(w)
-        at = np.empty(int(lens.sum()), dtype=np.int64)
-        p = 0
-        for ws in words:
-            at[p:p + len(ws)] = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
-            p += len(ws)
-        owner = np.repeat(np.arange(len(words)), lens)
+        codes, lens, words = split_words(texts)
+        rows = np.array([self._index(w) for w in words] or [0], dtype=np.int64)
+        at = rows[codes]
+        owner = np.repeat(np.arange(len(texts)), lens)
         mask = np.uint64((1 << self.bits) - 1)
-        out = [(np.zeros(len(words), np.int64), np.arange(len(words)))]
+        out = [(np.zeros(len(texts), np.int64), np.arange(len(texts)))]
         for stream, lengths in enumerate((WORD_GRAMS, SHAPE_GRAMS)):
             code = self.codes[stream][at]
             for n in lengths:

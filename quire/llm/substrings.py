@@ -21,12 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import (Windows, WordHashes, hashed_words, inside, mixed, process_cache, slices, table,
-                     text_bytes)
+from .common import Windows, hashed_words, inside, mixed, slices, table, text_bytes
 
-K, MINIMIZER = 20, 10
-#: Words a task turns into windows at a time; repeats inside are settled there.
-CHUNK_WORDS = 1_500_000
+K, MINIMIZER = 20, 6
+#: Text a task turns into windows at a time; repeats inside are settled there.
+CHUNK_BYTES = 6 << 20
 #: Bytes of a window's hash that travel beside its minimizer's 8.
 WINDOW_BYTES = 5
 
@@ -83,12 +82,11 @@ def first_of_equal(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def chunk_rows(ids: np.ndarray, words: list[list[bytes]], cache: dict, k: int, m: int
-               ) -> pa.RecordBatch | None:
+def chunk_rows(ids: list[int], texts: list, k: int, m: int) -> pa.RecordBatch | None:
     """SUPERKMERS rows of a chunk of documents (sorted by id here)."""
-    order = np.argsort(ids, kind="stable")
-    ids, words = ids[order], [words[i] for i in order.tolist()]
-    hashes, lens = hashed_words(words, cache)
+    order = np.argsort(np.array(ids, dtype=np.int64), kind="stable")
+    ids = np.array(ids, dtype=np.int64)[order]
+    hashes, lens = hashed_words([texts[i] for i in order.tolist()])
     if len(hashes) < k:
         return None
     windows = Windows(hashes)
@@ -131,30 +129,27 @@ def chunk_rows(ids: np.ndarray, words: list[list[bytes]], cache: dict, k: int, m
         [pa.array(np.where(settled, scattered, key[first]).view(np.int64)),
          pa.array(ids[doc[first]]), pa.array(position[first]),
          pa.array(np.where(settled, count, 0).astype(np.int32)),
-         pa.array(ids[doc[from_]]), pa.array(position[from_]), binary],
+         pa.array(np.where(settled, ids[doc[from_]], 0)),
+         pa.array(np.where(settled, position[from_], 0).astype(np.int32)), binary],
         names=[f.split()[0] for f in SUPERKMERS.split(", ")])
 
 
 def super_kmers(batches: Iterator[pa.RecordBatch], k: int, m: int) -> Iterator[pa.RecordBatch]:
-    cache = process_cache("words", WordHashes)
-    ids, words, n = [], [], 0
+    ids, texts, size = [], [], 0
+
+    def chunk():
+        out = chunk_rows(ids, texts, k, m) if ids else None
+        return [] if out is None else [out]
+
     for batch in batches:
-        for rows, texts in slices(batch):
-            for i, t in zip(rows.column("doc").to_pylist(), texts, strict=True):
-                ws = t.split() if t else []
-                if len(ws) >= k:
-                    ids.append(i)
-                    words.append(ws)
-                    n += len(ws)
-            if n >= CHUNK_WORDS:
-                out = chunk_rows(np.array(ids, dtype=np.int64), words, cache, k, m)
-                ids, words, n = [], [], 0
-                if out is not None:
-                    yield out
-    if ids:
-        out = chunk_rows(np.array(ids, dtype=np.int64), words, cache, k, m)
-        if out is not None:
-            yield out
+        for rows, part in slices(batch):
+            ids += rows.column("doc").to_pylist()
+            texts += part
+            size += sum(len(t) for t in part if t)
+            if size >= CHUNK_BYTES:
+                yield from chunk()
+                ids, texts, size = [], [], 0
+    yield from chunk()
 
 
 class FirstSeen:

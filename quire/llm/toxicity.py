@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .common import process_cache, slices, table, written
+from .common import process_cache, slices, split_words, table, written
 from .labelled import SAMPLE_ROWS, held_out, training_sample
 
 #: Entries of the mined lexicon, documents an entry must occur in, and the
@@ -121,16 +121,17 @@ class Reader:
     def of(self, texts: list[bytes | None]) -> np.ndarray:
         if len(self.codes) > 400_000:
             self.codes.clear()
-        words = [t.split() if t else [] for t in texts]
+        codes, lens, words = split_words(texts)
         known = self.codes
-        for w in {w for ws in words for w in ws if w not in known}:
-            known[w] = self.code(w)
-        out = np.zeros((len(texts), FEATURES))
-        for i, (ws, t) in enumerate(zip(words, texts, strict=True)):
-            if not ws:
+        for w in words:
+            if w not in known:
+                known[w] = self.code(w)
+        marks_of = np.array([known[w] for w in words] or [0], dtype=np.int64)[codes]
+        out, ends = np.zeros((len(texts), FEATURES)), np.cumsum(lens)
+        for i, (t, n, end) in enumerate(zip(texts, lens.tolist(), ends.tolist(), strict=True)):
+            if not n:
                 continue
-            code = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
-            n, size = len(ws), len(t)
+            code, size = marks_of[end - n:end], len(t)
             weight = (code >> 7) / 100
             hit = np.flatnonzero(code & 3)
             person = np.flatnonzero(code & 4)
