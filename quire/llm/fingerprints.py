@@ -18,6 +18,8 @@ from quire.operators.ordering import global_index
 from .common import table, written
 
 BINS, LANES = 64, 4
+#: Stands for a NULL doc_id in join keys (the smallest long: last in falling order).
+NO_ID = -(1 << 63)
 #: Characters of text per partition of the term counting (bounds its memory).
 PARTITION_CHARS = 4_000_000
 
@@ -107,51 +109,47 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     (each row is returned); a NULL doc_id comes last. A single document is its
     own next. An empty table gives an empty table.
     """
-    text = F.coalesce("text", F.lit(""))
-    base = docs.select("doc_id", text.alias("text")).withColumn("h", F.xxhash64("text"))
-    rows = written(base.select("doc_id", "h", F.length("text").alias("n_chars")), "fingerprint-keys")
+    text, key = F.coalesce("text", F.lit("")), ["id", "h"]
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
+                       text.alias("text")).withColumn("h", F.xxhash64("text"))
+    rows = written(base.select(*key, F.length("text").alias("n_chars")), "fingerprint-keys")
     unique = rows.distinct()
     n, chars = unique.agg(F.count(F.lit(1)), F.sum("n_chars")).first()
-    total = rows.count()
-    if total != n:
-        base = base.dropDuplicates(["doc_id", "h"])
-    order = written(global_index(unique, [F.col("doc_id").desc_nulls_last(), F.col("h")], "at"),
+    repeated = rows.count() != n
+    if repeated:
+        base = base.dropDuplicates(key)
+    order = written(global_index(unique, [F.col("id").desc(), F.col("h")], "at"),
                     "fingerprint-order")
     following = order.select(F.pmod(F.col("at") - 1, F.lit(max(n, 1))).alias("at"),
-                             F.col("doc_id").alias("next_id"), F.col("h").alias("next_h"))
+                             F.col("id").alias("next_id"), F.col("h").alias("next_h"))
     links = written(order.join(following, "at"), "fingerprint-links")
 
+    # Texts are dealt once, by key; each document then sends the start of its
+    # text to the one it follows, and all the rest stays in place.
     parts = max(1, -(-(chars or 0) // PARTITION_CHARS))
-    dealt = base.repartition(parts, "doc_id", "h")
-    donors = links.select("next_id", "next_h", F.col("doc_id").alias("to_id"),
-                          F.col("h").alias("to_h"), F.floor(F.col("n_chars") / 3).alias("k"))
-    donors = donors.repartition(parts, "next_id", "next_h")
-    pieces = dealt.join(donors, F.col("doc_id").eqNullSafe(F.col("next_id")) &
-                        (F.col("h") == F.col("next_h"))).select(
-        "to_id", "to_h", "k", F.substring("text", F.lit(1), F.col("k")).alias("piece"))
-    pieces = pieces.repartition(parts, "to_id", "to_h")
-    edited = dealt.join(pieces, F.col("doc_id").eqNullSafe(F.col("to_id")) &
-                        (F.col("h") == F.col("to_h"))).select(
-        "doc_id", "h", "text", F.length("text").alias("n_chars"),
+    dealt = base.repartition(parts, *key)
+    donors = links.select(F.col("next_id").alias("id"), F.col("next_h").alias("h"),
+                          F.col("id").alias("to_id"), F.col("h").alias("to_h"),
+                          F.floor(F.col("n_chars") / 3).alias("k")).repartition(parts, *key)
+    pieces = dealt.join(donors, key).select(
+        F.col("to_id").alias("id"), F.col("to_h").alias("h"), "k",
+        F.substring("text", F.lit(1), F.col("k")).alias("piece")).repartition(parts, *key)
+    edited = dealt.join(pieces, key).select(
+        *key, "text", F.length("text").alias("n_chars"),
         F.concat(F.substring("text", F.lit(1), F.length("text") - F.col("k")), "piece")
         .alias("edited"))
-    found = fingerprints(edited, ["doc_id", "h"], ["text", "edited"])
-    digests = edited.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "n_chars",
-                            F.sha2("edited", 256).alias("edited_sha256"))
-    every = written(found.join(digests, F.col("doc_id").eqNullSafe(F.col("_id")) &
-                               (F.col("h") == F.col("_h"))).drop("_id", "_h"), "fingerprints")
-    nexts = links.select("doc_id", "h", "next_id", "next_h").join(
-        every.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"),
-                     F.col("f0").alias("next_f")),
-        F.col("next_id").eqNullSafe(F.col("_id")) & (F.col("next_h") == F.col("_h"))).select(
-        F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "next_f")
-    out = every.join(nexts, F.col("doc_id").eqNullSafe(F.col("_id")) &
-                     (F.col("h") == F.col("_h"))).drop("_id", "_h")
-    if total != n:
-        again = rows.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
-        out = out.join(again, F.col("doc_id").eqNullSafe(F.col("_id")) &
-                       (F.col("h") == F.col("_h"))).drop("_id", "_h")
-    return out.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
+    found = fingerprints(edited, key, ["text", "edited"])
+    digests = edited.select(*key, "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
+    every = written(found.join(digests, key), "fingerprints")
+    nexts = links.select(F.col("id").alias("own_id"), F.col("h").alias("own_h"),
+                         F.col("next_id").alias("id"), F.col("next_h").alias("h")).join(
+        every.select(*key, F.col("f0").alias("next_f")), key).select(
+        F.col("own_id").alias("id"), F.col("own_h").alias("h"), "next_f")
+    out = every.join(nexts, key)
+    if repeated:
+        out = out.join(rows.select(*key), key)
+    return out.select(F.nullif(F.col("id"), F.lit(NO_ID)).alias("doc_id"),
+                      F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
                       F.col("f0").alias("fingerprint"), F.col("f1").alias("edited_fingerprint"),
                       likeness(F.col("f0"), F.col("f1")).alias("near_edited"),
                       likeness(F.col("f0"), F.col("next_f")).alias("near_next"))
