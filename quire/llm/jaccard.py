@@ -284,8 +284,8 @@ SHORT = 6
 
 def first_pairs(lists: DataFrame) -> DataFrame:
     """Pairs of keys: all feasible ones of short lists; in longer lists each set
-    with the next one and with the list's leader (the next leader starts where
-    sizes leave the range of the last)."""
+    with the leader of its range of sizes (the smallest key, so that lists of
+    one group agree on few leaders)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
@@ -298,12 +298,11 @@ def first_pairs(lists: DataFrame) -> DataFrame:
                     leaders, at = [], 0
                     while at < len(k):
                         end = int(np.searchsorted(n, n[at] * DEN // NUM, side="right"))
-                        leaders += [at] * (end - at)
+                        leaders += [at + int(np.argmin(k[at:end]))] * (end - at)
                         at = end
-                    every = np.arange(len(k))
-                    i = np.concatenate([every[:-1], np.array(leaders)])
-                    j = np.concatenate([every[1:], every])
-                ok = (i != j) & (n[j] * NUM <= n[i] * DEN)
+                    j = np.arange(len(k))
+                    i = np.array(leaders)
+                ok = (i != j) & (np.maximum(n[i], n[j]) * NUM <= np.minimum(n[i], n[j]) * DEN)
                 a.append(k[i[ok]])
                 b.append(k[j[ok]])
             yield pair_batch(a, b)
@@ -318,9 +317,10 @@ def pair_batch(a: list, b: list) -> pa.RecordBatch:
                                       names=["a", "b"])
 
 
-def remaining_pairs(lists: DataFrame, components: DataFrame, tried: DataFrame) -> DataFrame:
-    """Feasible pairs of longer lists whose sets are in different components
-    and were not compared before."""
+def mixed_lists(lists: DataFrame, components: DataFrame) -> DataFrame:
+    """Longer lists whose sets are in more than one component, each as an array
+    of (n, key, component). Lists inside one component have all their answers
+    already."""
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column("keys").to_pylist()
@@ -335,13 +335,16 @@ def remaining_pairs(lists: DataFrame, components: DataFrame, tried: DataFrame) -
     members = long_.mapInArrow(unpack, "list long, key long, n int").join(
         components, F.col("key") == F.col("id"), "left").select(
         "list", "key", "n", F.coalesce("component", "key").alias("component"))
-    # Lists inside one component have all their answers already.
-    mixed_lists = members.groupBy("list").agg(
+    several = members.groupBy("list").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    grouped = (members.join(mixed_lists.select("list"), "list")
-               .groupBy("list").agg(F.sort_array(F.collect_list(
-                   F.struct("n", "key", "component"))).alias("m")))
+    grouped = members.join(several.select("list"), "list").groupBy("list").agg(
+        F.sort_array(F.collect_list(F.struct("n", "key", "component"))).alias("m"))
+    return written(grouped.select("m"), "mixed-lists")
 
+
+def pairs_across(mixed: DataFrame, neighbours: bool) -> DataFrame:
+    """Feasible pairs of sets of different components in the same list: only of
+    sets that stand next to each other there, or all."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for m in batch.column("m"):
@@ -350,15 +353,14 @@ def remaining_pairs(lists: DataFrame, components: DataFrame, tried: DataFrame) -
                            for f in ("n", "key", "component"))
                 hi = np.searchsorted(n, n * DEN // NUM, side="right")
                 a, b = [], []
-                for i in range(len(k)):
-                    j = np.arange(i + 1, hi[i])
+                for i in range(len(k) - 1):
+                    j = np.arange(i + 1, min(hi[i], i + 2) if neighbours else hi[i])
                     j = j[c[j] != c[i]]
                     a.append(np.full(len(j), k[i]))
                     b.append(k[j])
                 yield pair_batch(a, b)
 
-    pairs = grouped.select("m").mapInArrow(run, "a long, b long").distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    return mixed.mapInArrow(run, "a long, b long").distinct()
 
 
 def linked(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -417,10 +419,16 @@ def near_duplicates(docs: DataFrame, width: int = WORDS) -> DataFrame:
                     "partner-texts")
     links = linked(pairs, texts, width)
     components = connected_components(links)
-    more = written(remaining_pairs(lists, components, pairs), "pairs")
-    found = linked(more, texts, width)
-    if found.limit(1).count():
-        components = connected_components(links.unionByName(found))
+    for neighbours in (True, False):
+        mixed = mixed_lists(lists, components)
+        if not mixed.limit(1).count():
+            break
+        more = written(pairs_across(mixed, neighbours).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        found = linked(more, texts, width)
+        pairs = pairs.unionByName(more)
+        if found.limit(1).count():
+            links = links.unionByName(found)
+            components = connected_components(links)
     # Component of every set, then its smallest document.
     sets = classes.join(components, F.col("key") == F.col("id"), "left").select(
         "key", "rep", F.coalesce("component", "key").alias("component"))
