@@ -19,15 +19,25 @@ CANDIDATES_TEMPLATE = (
     "Question:\n{question}\n\n"
     "Write {n} different candidate answers, one per line. For a multiple-choice "
     "question start each line with the option letter; use E only when no other "
-    "option fits."
+    "option fits.\n"
+    "Answer within what the clip means, not only what a frame shows: someone held up to "
+    "a hoop is pretending to score. Look for causes outside the picture before calling "
+    "something a trick. Tie every word of the question to what is going on: a shot that "
+    "flies past has not hit. Use details beyond the question when they change the answer: "
+    "a costumed person does not count as an animal. Repeat a candidate if it is the most "
+    "likely one again."
 )
 
 AGGREGATE_TEMPLATE = (
     "Question:\n{question}\n\n"
     "Candidate answers ({n} were requested):\n{candidates}\n\n"
-    "Pick the single best answer. Rules: if every candidate says E, ignore the "
-    "candidates and answer from the clip; treat E as a last resort; if only one "
-    "option appears, return it. Reply with the answer only."
+    "Pick or write the single best answer. For a multiple-choice question: if only one "
+    "option was proposed, watch the clip and return it if you agree; if every candidate "
+    "says E, ignore the candidates and answer from the clip; before settling on E look "
+    "again, and prefer the next plausible option; otherwise choose among the candidates "
+    "that are not E after checking the clip; if several options hold at once, E is the "
+    "answer. For an open question: combine the candidates, take the most logical one, or "
+    "build the answer from them. Reply with the answer only, without reasons."
 )
 
 REWRITE_TEMPLATE = (
@@ -43,6 +53,18 @@ CONTEXT_TEMPLATE = (
     "is_contextual (true or false), explanation and corrected_question."
 )
 
+ANSWER_TEMPLATE = (
+    "Context notes:\n{context}\n\n"
+    "Question:\n{question}\n\n"
+    "Answer from the clip, using the notes where they help."
+)
+
+VALIDATION_TEMPLATE = (
+    "Question about the clip:\n{question}\n\nContext found so far:\n{context}\n\n"
+    "Check the context against the clip and correct it. Reply in JSON with the keys "
+    "context, is_contextual (true or false), explanation and corrected_question."
+)
+
 FACT_CHECK_TEMPLATE = (
     "Question:\n{question}\n\nProposed answer:\n{answer}\n\n"
     "Is the answer supported by the question's premises? Reply in JSON with "

@@ -24,23 +24,35 @@ ERROR_CONTEXT_PREFIX = "Error:"
 
 # Message fragments that make a failure retryable, and the ones
 # that make it final (checked first).
-RETRYABLE_FRAGMENTS = ("429", "rate limit", "server error", "connection error",
-                       "unavailable", "timeout", "timed out", "500", "502", "503", "504")
-FATAL_FRAGMENTS = ("401", "403", "404", "422", "400", "authentication",
-                   "permission", "not found", "invalid request")
+# A status code counts wherever no further digit touches it.
+RETRYABLE_FRAGMENTS = ("rate limit", "server error", "connection error",
+                       "unavailable", "timeout", "timed out")
+RETRYABLE_CODES = ("429", "5[0-9][0-9]")
+FATAL_FRAGMENTS = ("authentication", "permission", "not found", "invalid request")
+FATAL_CODES = ("400", "401", "403", "404", "422")
 
 # The error record a reply parser falls back to.
 PARSE_ERROR_CONTEXT = "Error: Failed to parse response"
 PARSE_ERROR_EXPLANATION = "Could not decode or extract valid fields from the model output."
 
+# The error records of a context step that failed before its
+# reply could be parsed, by what failed: (context, text before the message).
+CALL_FAILED = ("Error: Processing failed after retries", "Failed after {retries} retries. Last error: ")
+TASK_FAILED = ("Error: Task failed during concurrent execution",
+               "Result was missing after asyncio.gather, likely due to an unhandled exception.")
+BATCH_FAILED = ("Error: Batch processing failed", "Error during batch processing: ")
+ROW_FAILED = ("Error", "Error during processing: ")
+
 # Fact-check reply defaults.
 VERDICT_NO_EXPLANATION = "No explanation provided."
 VERDICT_ERROR_PREFIX = "Error during fact check: "
 VERDICT_PARSE_FAILURE = "Failed to parse JSON from model. Raw reply:\n"
 
 # Status texts for a step that produced nothing or failed.
-NO_CANDIDATES_THOUGHTS = "No candidate answers were produced."
-NO_RESPONSE_PREFIX = "Error: No response from "
+NO_CANDIDATES_THOUGHTS = ("Step 1 (Thought Process): No detailed candidate answers were generated "
+                          "or output was empty.")
+NO_RESPONSE_BEST = "Error: No response from best-answer selection (Step 2)."
+NO_RESPONSE_SINGLE = "Error: No response from single-shot QA."
 PROCESSING_ERROR_PREFIX = "Error during processing: "
 ERROR_MESSAGE_CHARS = 100
 
@@ -106,14 +118,15 @@ def is_error(c, mode: str = "taxonomy", missing_is_error: bool = False) -> Colum
     return F.coalesce(hit, F.lit(False))
 
 
-def _fragment_re(fragments) -> str:
-    # Status codes must stand alone ("took 4001 ms" is not a 400); phrases
-    # match anywhere. Same pattern in Java (rlike) and Python (re).
-    return "|".join(rf"\b{x}\b" if x.isdigit() else _regex_quote(x) for x in fragments)
+def _failure_re(fragments, codes) -> str:
+    # "took 4001 ms" is not a 400, "http_429" is a 429; phrases match anywhere.
+    # Same pattern in Java (rlike) and Python (re).
+    return "|".join([_regex_quote(x) for x in fragments]
+                    + [rf"(?:^|[^0-9]){x}(?:[^0-9]|$)" for x in codes])
 
 
-FATAL_RE = _fragment_re(FATAL_FRAGMENTS)
-RETRYABLE_RE = _fragment_re(RETRYABLE_FRAGMENTS)
+FATAL_RE = _failure_re(FATAL_FRAGMENTS, FATAL_CODES)
+RETRYABLE_RE = _failure_re(RETRYABLE_FRAGMENTS, RETRYABLE_CODES)
 
 
 def retry_class(message) -> Column:
@@ -168,17 +181,56 @@ def parse_reply(reply) -> Column:
         .otherwise(parse_error_struct())
 
 
-def parse_error_struct() -> Column:
+def error_struct(context: str, explanation) -> Column:
+    """A context record that stands for a failure."""
     return F.struct(
-        F.lit(PARSE_ERROR_CONTEXT).alias("context"),
+        F.lit(context).alias("context"),
         F.lit(False).alias("is_contextual"),
-        F.lit(PARSE_ERROR_EXPLANATION).alias("explanation"),
+        as_col(explanation).alias("explanation"),
         F.lit(None).cast("string").alias("corrected_question"),
     )
 
 
-def parse_verdict(reply) -> Column:
-    """Parse a fact-check reply into ``STRUCT<is_supported, explanation>``.
+def parse_error_struct() -> Column:
+    return error_struct(PARSE_ERROR_CONTEXT, F.lit(PARSE_ERROR_EXPLANATION))
+
+
+def call_error_struct(error, retries: int) -> Column:
+    """The model call failed after its retries; the last message is kept."""
+    context, text = CALL_FAILED
+    return error_struct(context, F.concat(F.lit(text.format(retries=retries)), as_col(error)))
+
+
+def task_error_struct() -> Column:
+    """No result came back for a question that was asked."""
+    return error_struct(TASK_FAILED[0], F.lit(TASK_FAILED[1]))
+
+
+def batch_error_struct(error) -> Column:
+    """The whole batch of a question failed."""
+    return error_struct(BATCH_FAILED[0], F.concat(F.lit(BATCH_FAILED[1]), as_col(error)))
+
+
+def row_error_struct(error) -> Column:
+    """A question's own processing failed outside the model call."""
+    return error_struct(ROW_FAILED[0], F.concat(F.lit(ROW_FAILED[1]), as_col(error)))
+
+
+def context_failed(context) -> Column:
+    """A context record of a failure: the bare word, or a text that starts with
+    ``Error:``."""
+    return is_error(context, "prefix") | is_error(context, "exact")
+
+
+def context_prediction(reply, error, retries: int) -> Column:
+    """The record of a context step: the failed call's, or the parsed reply."""
+    return F.when(as_col(error).isNotNull(), call_error_struct(error, retries)).otherwise(
+        parse_reply(reply))
+
+
+def parse_verdict(reply, error=None) -> Column:
+    """Parse a fact-check reply into ``STRUCT<is_supported, explanation>``; a
+    failed call (``error``) gives ``(false, 'Error during fact check: <error>')``.
 
     The flag is true only for a real JSON boolean true; a missing explanation
     takes the default text; text that is not a JSON object gives
@@ -197,18 +249,23 @@ def parse_verdict(reply) -> Column:
         F.concat(F.lit(VERDICT_ERROR_PREFIX + VERDICT_PARSE_FAILURE),
                  F.coalesce(s, F.lit(""))).alias("explanation"),
     )
-    return F.when(ok, good).otherwise(bad)
+    out = F.when(ok, good).otherwise(bad)
+    if error is None:
+        return out
+    failed = F.struct(F.lit(False).alias("is_supported"),
+                      F.concat(F.lit(VERDICT_ERROR_PREFIX), as_col(error)).alias("explanation"))
+    return F.when(as_col(error).isNotNull(), failed).otherwise(out)
 
 
-def reply_status(reply, error_message=None, step: str = "step 2") -> Column:
+def reply_status(reply, error_message=None, no_response: str = NO_RESPONSE_BEST) -> Column:
     """Final answer text of one model step.
 
     An exception message wins: ``'Error during processing: '`` + its first 100
-    characters. Otherwise a blank reply gives ``'Error: No response from <step>'``
-    and a real reply is returned stripped.
+    characters. Otherwise a blank reply gives the fixed text ``no_response`` and
+    a real reply is returned stripped.
     """
     text = strip_or_null(reply)
-    out = F.when(text.isNull(), F.lit(NO_RESPONSE_PREFIX + step)).otherwise(text)
+    out = F.when(text.isNull(), F.lit(no_response)).otherwise(text)
     if error_message is not None:
         err = as_col(error_message)
         out = F.when(err.isNotNull(),
@@ -234,6 +291,16 @@ def option_label(line) -> Column:
     return F.nullif(F.regexp_extract(as_col(line), OPTION_LABEL_RE, 1), F.lit(""))
 
 
+def is_multiple_choice(question, question_type=None) -> Column:
+    """A question is multiple choice if its type says so, or if it lists at
+    least two options on lines of their own (``A. x``, ``(B) y``)."""
+    lines = F.split(F.coalesce(as_col(question), F.lit("")), "\n", -1)
+    listed = F.size(F.filter(lines, lambda x: option_label(x).isNotNull())) >= 2
+    if question_type is None:
+        return listed
+    return F.coalesce(F.lower(as_col(question_type)).contains("multiple choice"), F.lit(False)) | listed
+
+
 def answer_format(answer, is_multiple_choice) -> Column:
     """``STRUCT<checked, valid, normalized>`` for an answer.
 

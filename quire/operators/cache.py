@@ -15,14 +15,31 @@ from pyspark.sql import functions as F
 from quire.functions.replies import is_error
 
 
+def _same(left: DataFrame, right: DataFrame, key: Sequence[str]):
+    """Null-safe equality of the key columns; ``right`` has them as ``_k0`` ..."""
+    cond = None
+    for i, k in enumerate(key):
+        c = left[k].eqNullSafe(right[f"_k{i}"])
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def _renamed(df: DataFrame, key: Sequence[str], *cols: str) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], *cols)
+
+
 def split_cached(requests: DataFrame, cache: DataFrame, key: Sequence[str],
                  value_col: str = "answer") -> tuple[DataFrame, DataFrame]:
     """``(hits, misses)``: requests with their cached answer, and the distinct
-    request keys that still need an answer. ``cache`` holds one row per key."""
+    request keys that still need an answer. A NULL in the key is a value like
+    any other; keys stored more than once (by concurrent runs) have one answer."""
     key = list(key)
-    c = cache.select(*key, value_col)
-    hits = requests.join(c, on=key, how="inner")
-    misses = requests.join(c.select(*key), on=key, how="left_anti").select(*key).dropDuplicates(key)
+    one = cache.groupBy(*key).agg(F.min(value_col).alias(value_col))
+    c = _renamed(one, key, value_col)
+    names = [f"_k{i}" for i in range(len(key))]
+    hits = requests.join(c, _same(requests, c, key), "inner").drop(*names)
+    bare = _renamed(one, key)
+    misses = requests.join(bare, _same(requests, bare, key), "left_anti").select(*key).distinct()
     return hits, misses
 
 
@@ -36,7 +53,8 @@ def refresh(cache: DataFrame, results: DataFrame, key: Sequence[str],
     """Cache plus new non-error results; an existing key keeps its entry."""
     key = list(key)
     new = cacheable(results, value_col).select(*key, value_col).dropDuplicates(key)
-    new = new.join(cache.select(*key), on=key, how="left_anti")
+    old = _renamed(cache, key)
+    new = new.join(old, _same(new, old, key), "left_anti")
     return cache.select(*key, value_col).unionByName(new)
 
 
@@ -66,5 +84,7 @@ def answer_with_cache(requests: DataFrame, cache_path: str, answer_fn,
     batch_path = f"{cache_path.rstrip('/')}/_batch-{uuid.uuid4().hex[:12]}"
     answer_fn(misses).select(*key, "answer").write.parquet(batch_path)
     fresh = spark.read.schema(CACHE_SCHEMA).parquet(batch_path)
-    cacheable(fresh).write.mode("append").parquet(cache_path)
-    return hits.unionByName(requests.join(fresh, on=key, how="inner"))
+    refresh(cache.limit(0), fresh, key).write.mode("append").parquet(cache_path)
+    got = _renamed(fresh, key, "answer")
+    late = requests.join(got, _same(requests, got, key), "inner")
+    return hits.unionByName(late.drop(*[f"_k{i}" for i in range(len(key))]))

@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.text import combine_question
-
-# Cap on how many missing ids an error message lists (the count is exact).
-_MISSING_IDS_SHOWN = 20
+from quire.session import scratch_path
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -67,26 +65,51 @@ def enrich(questions: DataFrame, predictions: DataFrame, key: str = "qid",
     return nan_to_null(flatten_prediction(joined, pred_col, matched_col="_matched"))
 
 
-def prepare_answer_input(questions: DataFrame, rewrites: DataFrame, contexts: DataFrame,
+def validate_rows(df: DataFrame, question: str = "question", context: str = "context",
+                  reason_col: str = "skip_reason") -> DataFrame:
+    """Add why a row cannot be rewritten (NULL: it can): ``missing_question``,
+    ``null_context``, ``wrong_type`` (the context is neither text nor an array
+    of texts) or ``no_chunks``. Filter on the column to split the table."""
+    from quire.functions.text import context_chunks
+
+    kind = df.schema[context].dataType
+    is_list = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType)
+    reason = (F.when(F.col(question).isNull(), F.lit("missing_question"))
+              .when(F.col(context).isNull(), F.lit("null_context")))
+    if not (is_list or isinstance(kind, T.StringType)):
+        reason = reason.otherwise(F.lit("wrong_type"))
+    else:
+        reason = reason.when(F.size(context_chunks(context, is_array=is_list)) == 0,
+                             F.lit("no_chunks"))
+    return df.withColumn(reason_col, reason)
+
+
+def prepare_answer_input(questions: DataFrame, rewrites: DataFrame | None, contexts: DataFrame,
                          key: str = "qid", strict: bool = True) -> DataFrame:
     """Input of the answer step: ``corrected_question`` falls back to the
-    question, ``context`` is required.
+    question (also when there are no rewrites or they lack the column),
+    ``context`` is required.
 
-    With ``strict=True`` a missing context raises (listing the first ids and
-    the exact count, from one aggregate); otherwise ``missing_context`` flags it.
+    With ``strict=True`` a missing context raises: all ids without one are
+    written to a table in the shared folder, which the message names with
+    their number. Otherwise ``missing_context`` flags them.
     """
-    rw = rewrites.select(key, F.col("corrected_question").alias("_cq"))
     ctx = contexts.select(key, F.col("context").alias("_ctx"))
-    out = (questions.join(rw, on=key, how="left").join(ctx, on=key, how="left")
+    if rewrites is not None and "corrected_question" in rewrites.columns:
+        rw = rewrites.select(key, F.col("corrected_question").alias("_cq"))
+        joined = questions.join(rw, on=key, how="left")
+    else:
+        joined = questions.withColumn("_cq", F.lit(None).cast("string"))
+    out = (joined.join(ctx, on=key, how="left")
            .withColumn("corrected_question", F.coalesce("_cq", "question"))
            .withColumn("context", F.col("_ctx"))
            .withColumn("missing_context", F.col("_ctx").isNull())
            .drop("_cq", "_ctx"))
     if strict:
         missing = out.filter("missing_context").select(key)
-        n = missing.count()
-        if n:
-            # Only a handful of example ids reach the driver for the message.
-            shown = [r[0] for r in missing.limit(_MISSING_IDS_SHOWN).collect()]
-            raise ValueError(f"{n} questions lack a context, e.g. {shown}")
+        if missing.limit(1).count():
+            path = scratch_path(out.sparkSession, "missing-context")
+            missing.write.parquet(path)
+            n = out.sparkSession.read.parquet(path).count()
+            raise ValueError(f"{n} questions lack a context; their ids are in {path}")
     return out

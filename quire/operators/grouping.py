@@ -80,31 +80,14 @@ def repeat_passes(df: DataFrame, n: int, col: str = "pass_idx") -> DataFrame:
     return df.withColumn(col, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 
-def spread_for_inference(df: DataFrame, key: str, partitions: int, salt_buckets: int = 8,
-                         salt_on: str = "qid", rows_per_task: int | None = None) -> DataFrame:
-    """Partition questions for the model call.
-
-    Questions of a group are kept together (media prepared once per task),
-    but a group is split into sub-groups by a hash of the id, so one huge
-    group does not land in one task. With ``rows_per_task`` the number of
-    sub-groups follows each group's size (``ceil(rows / rows_per_task)``, from
-    a partial count with one row per group); otherwise every group gets
-    ``salt_buckets``. Nothing downstream needs the group co-located.
+def spread_for_inference(df: DataFrame, key: str, partitions: int, salt_on: str = "qid"
+                         ) -> DataFrame:
+    """Deal questions to ``partitions`` tasks for the model call.
+
+    One hash shuffle on the group and the id, so tasks are even whatever the
+    groups' sizes (one may hold a third of all rows, or be the rows without a
+    group); within a task a group's rows stand together. Nothing is sized or
+    sampled first: the input is read once.
     """
-    if rows_per_task:
-        # Null-safe: rows without a group key (a NULL group) are sized and
-        # split like any other group.
-        sizes = df.groupBy(F.col(key).alias("_gkey")).agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(rows_per_task)).cast("long").alias("_buckets"))
-        df = df.join(sizes, on=F.col(key).eqNullSafe(F.col("_gkey")), how="left").drop("_gkey")
-        buckets = F.greatest(F.col("_buckets"), F.lit(1))
-    else:
-        buckets = F.lit(salt_buckets)
-    salt = F.pmod(F.xxhash64(salt_on), buckets)
-    # Range bounds over (hash of group, salt), not a hash of the pair: a big
-    # group's sub-groups are adjacent in this order, so the sampled bounds cut
-    # it into even slices over consecutive tasks (hashing the pairs lets them
-    # collide), and small groups are packed together.
-    salted = (df.withColumn("_salt", salt)
-              .repartitionByRange(partitions, F.xxhash64(key), "_salt"))
-    return salted.sortWithinPartitions(key).drop("_salt", "_buckets")
+    return (df.repartition(partitions, F.xxhash64(F.col(key)), F.xxhash64(salt_on))
+            .sortWithinPartitions(key))

@@ -14,6 +14,7 @@ output to the log before using it, and dedupe the log last-wins.
 from __future__ import annotations
 
 import random
+import re
 import threading
 import time
 from collections.abc import Callable, Iterator, Sequence
@@ -24,15 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import re
-
 from quire.functions.replies import FATAL_RE, RETRYABLE_RE
+from quire.operators.grouping import spread_for_inference
 
 _FATAL = re.compile(FATAL_RE)
 _RETRYABLE = re.compile(RETRYABLE_RE)
-from quire.operators.grouping import spread_for_inference
 
-Responder = Callable[[str], str]
+#: ``prompt -> reply``, or ``(prompt, row) -> reply`` where ``infer`` is given
+#: ``context_cols`` (such as the media address and path): ``row`` maps them.
+Responder = Callable[..., str]
 ResponderFactory = Callable[[], Responder]
 
 # Backoff schedules (initial seconds, jitter bound, retries).
@@ -58,9 +59,15 @@ def classify_failure(message: str) -> str:
     return "other"
 
 
+def backoff_delay(initial, attempt):
+    """Delay before retry ``attempt`` (0-based), without jitter; numbers or
+    columns."""
+    return initial * 2.0 ** attempt if not hasattr(initial, "alias") else \
+        initial * F.pow(F.lit(2.0), attempt)
+
+
 def backoff_delays(initial: float, retries: int) -> list[float]:
-    """Delay before retry k (k = 0..retries-1), without jitter: initial * 2**k."""
-    return [initial * (2 ** k) for k in range(retries)]
+    return [backoff_delay(initial, k) for k in range(retries)]
 
 
 class _TokenBucket:
@@ -80,7 +87,7 @@ class _TokenBucket:
             time.sleep(wait)
 
 
-def _call_with_retry(responder: Responder, prompt: str, bucket: _TokenBucket,
+def _call_with_retry(responder: Responder, args: tuple, bucket: _TokenBucket,
                      max_retries: int, initial_backoff: float, jitter: float,
                      retry_other: bool) -> tuple[str | None, str | None, int, float]:
     start = time.monotonic()
@@ -89,7 +96,7 @@ def _call_with_retry(responder: Responder, prompt: str, bucket: _TokenBucket,
         attempts += 1
         bucket.take()
         try:
-            reply = responder(prompt)
+            reply = responder(*args)
             return (None if reply is None else str(reply)), None, attempts, time.monotonic() - start
         except Exception as exc:  # the row records the failure
             msg = f"{type(exc).__name__}: {exc}"
@@ -97,7 +104,7 @@ def _call_with_retry(responder: Responder, prompt: str, bucket: _TokenBucket,
             retry = kind == "retryable" or (retry_other and kind == "other")
             if not retry or attempts > max_retries:
                 return None, msg, attempts, time.monotonic() - start
-            delay = initial_backoff * (2 ** (attempts - 1))
+            delay = backoff_delay(initial_backoff, attempts - 1)
             if jitter:
                 delay += random.uniform(0, jitter)
             time.sleep(delay)
@@ -105,32 +112,34 @@ def _call_with_retry(responder: Responder, prompt: str, bucket: _TokenBucket,
 
 def infer(df: DataFrame, prompt_col: str, responder_factory: ResponderFactory,
           keep: Sequence[str] = ("qid",), partitions: int | None = None,
-          group_col: str | None = None, salt_on: str = "qid", salt_buckets: int = 8,
-          rows_per_task: int | None = 1000,
+          group_col: str | None = None, salt_on: str = "qid",
+          rows_per_task: int | None = 1000, context_cols: Sequence[str] = (),
           max_in_flight: int = 5, rate_per_sec: float | None = None, max_retries: int = 3,
           initial_backoff: float = BACKOFF_REWRITE[0], jitter: float = BACKOFF_REWRITE[1],
           retry_other: bool = False) -> DataFrame:
     """Answer ``prompt_col`` for every row; output ``keep`` columns plus
     ``reply, error, attempts, elapsed_s``.
 
-    Only ``keep`` and the prompt are shipped to Python (column pruning stops
-    at ``mapInPandas``). With ``group_col`` rows of a group share tasks, split
-    into sub-groups sized by ``rows_per_task`` (or ``salt_buckets`` each when
-    it is None) so one big group cannot stall the job: model time per row
-    dwarfs the small extra aggregate that sizes the groups.
+    Only ``keep``, the prompt and ``context_cols`` are shipped to Python (column
+    pruning stops at ``mapInPandas``). Rows are dealt by one hash shuffle to as
+    many tasks as ``rows_per_task`` asks for (model time per row dwarfs the
+    count), or to ``partitions``; with ``group_col`` a group's rows of a task
+    stand together. ``rate_per_sec`` is shared by the tasks that can run at once.
     """
     keep = list(keep)
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = list(dict.fromkeys(keep + [prompt_col] + ([group_col] if group_col else [])))
+    cols = list(dict.fromkeys([*keep, prompt_col, *context_cols,
+                               *([group_col] if group_col else [])]))
     src = df.select(*cols)
+    n = partitions or task_count(src, rows_per_task)
     if group_col:
-        src = spread_for_inference(src, group_col, n, salt_buckets, salt_on, rows_per_task)
+        src = spread_for_inference(src, group_col, n, salt_on)
     else:
         src = src.repartition(n, F.xxhash64(*[F.col(k) for k in keep]))
     in_schema = src.schema
     out_schema = T.StructType([in_schema[k] for k in keep] + OUTPUT_FIELDS)
-    per_task_rate = (rate_per_sec / n) if rate_per_sec else None
+    slots = max(1, min(n, spark.sparkContext.defaultParallelism))
+    per_task_rate = (rate_per_sec / slots) if rate_per_sec else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         responder = None
@@ -143,11 +152,14 @@ def infer(df: DataFrame, prompt_col: str, responder_factory: ResponderFactory,
                 if responder is None:  # built lazily: no rows, no client
                     responder = responder_factory()
                     pool = ThreadPoolExecutor(max_workers=max(1, max_in_flight))
-                prompts = pdf[prompt_col].tolist()
+                calls = [(p,) for p in pdf[prompt_col].tolist()]
+                if context_cols:
+                    media = pdf[list(context_cols)].to_dict("records")
+                    calls = [(*p, m) for p, m in zip(calls, media, strict=True)]
                 results = list(pool.map(
-                    lambda p: _call_with_retry(responder, p, bucket, max_retries,
-                                               initial_backoff, jitter, retry_other),
-                    prompts))
+                    lambda args: _call_with_retry(responder, args, bucket, max_retries,
+                                                  initial_backoff, jitter, retry_other),
+                    calls))
                 out = pdf[keep].copy()
                 out["reply"] = [r[0] for r in results]
                 out["error"] = [r[1] for r in results]
@@ -161,6 +173,16 @@ def infer(df: DataFrame, prompt_col: str, responder_factory: ResponderFactory,
     return src.mapInPandas(run, out_schema)
 
 
+def task_count(df: DataFrame, rows_per_task: int | None) -> int:
+    """Tasks for a model step: one per ``rows_per_task`` rows, but enough to use
+    the session's shuffle partitions while there are rows for them."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not rows_per_task:
+        return least
+    rows = df.count()
+    return max(1, -(-rows // rows_per_task), min(least, rows))
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialize model output once (reliable checkpoint in the shared
     ``spark.checkpoint.dir``) before anything shuffles or reuses it: a lost
@@ -193,19 +215,21 @@ class PrefixResponder:
     digits of the MD5 of the whole stripped prompt (so the reply depends on
     the entire text, not only its head)."""
 
-    def __init__(self, prefix: str = "A: ", n_chars: int = 20, fail_when=None):
+    def __init__(self, prefix: str = "A: ", n_chars: int = 20, fail_when=None,
+                 message: str = "503 service unavailable"):
         self.prefix = prefix
         self.n_chars = n_chars
         self.fail_when = fail_when
+        self.message = message
 
     def __call__(self) -> Responder:
         import hashlib
 
-        prefix, n, fail_when = self.prefix, self.n_chars, self.fail_when
+        prefix, n, fail_when, message = self.prefix, self.n_chars, self.fail_when, self.message
 
         def respond(prompt: str) -> str:
             if fail_when is not None and fail_when(prompt):
-                raise RuntimeError("503 service unavailable")
+                raise RuntimeError(message)
             text = (prompt or "").strip()
             digest = hashlib.md5(text.encode("utf-8")).hexdigest()[:8]
             return f"{prefix}{text[:n]} #{digest}"

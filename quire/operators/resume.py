@@ -12,11 +12,12 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions.replies import is_error
 
-# Lists of ids given on the driver up to this size become an IN list; larger
-# ones must be passed as a DataFrame (they are then semi-joined).
+# Lists of ids given on the driver up to this size become an IN list (which can
+# be pushed to the scan); longer ones become a table and are semi-joined.
 MAX_INLINE_IDS = 1000
 
 
@@ -39,7 +40,7 @@ def only_ids(df: DataFrame, ids, key="qid") -> DataFrame:
     """Keep the rows whose key is in ``ids``.
 
     ``None`` means no filter; an empty collection means no rows. ``ids`` may be
-    a DataFrame (left semi join) or a short driver-side collection.
+    a DataFrame (left semi join) or a driver-side collection of any length.
     """
     keys = _keys(key)
     if ids is None:
@@ -50,7 +51,9 @@ def only_ids(df: DataFrame, ids, key="qid") -> DataFrame:
     if len(keys) != 1:
         raise ValueError("a driver-side id list needs a single key column")
     if len(ids) > MAX_INLINE_IDS:
-        raise ValueError(f"{len(ids)} ids: pass them as a DataFrame instead")
+        kind = df.schema[keys[0]]
+        table = df.sparkSession.createDataFrame([(i,) for i in set(ids)], T.StructType([kind]))
+        return df.join(table, on=keys, how="left_semi")
     if not ids:
         return df.limit(0)
     return df.filter(F.col(keys[0]).isin(ids))
@@ -113,32 +116,39 @@ def overlay(original: DataFrame, retry: DataFrame, key="qid", value_col: str = "
 
 
 def overlay_runs(log: DataFrame, key="qid", value_col: str = "prediction",
-                 run_col: str = "run_id", original=0, retry=1, order: str = "seq",
+                 run_col: str = "run_id", original: int | None = 0, order: str = "seq",
                  error_test: Callable[[Column], Column] | None = None, add_new: bool = False,
-                 order_col: str = "first_seq") -> DataFrame:
-    """:func:`overlay` of two runs stored in one log, in a single aggregate.
-
-    ``max_by`` skips NULL orderings, so masking ``seq`` by run gives the
-    last-wins value of each run in one pass over the log (one shuffle, with
-    map-side partial aggregation) instead of two aggregates and a join.
+                 order_col: str = "first_seq", won_col: str | None = None) -> DataFrame:
+    """:func:`overlay` of any number of rounds stored in one log.
+
+    A round's value is that of its greatest ``order``; rounds apply one after
+    the other by ``run_col``, so an error gives way to the first later round
+    that is none. The original is the round ``original`` (an id without it is
+    dropped, or added when ``add_new``), or with ``None`` the first round an id
+    occurs in. ``won_col`` names an output column for the round that won.
+    ``order`` need only grow within a round.
     """
     keys = _keys(key)
     test = error_test or (lambda c: is_error(c))
-    is_o = F.col(run_col) == F.lit(original)
-    is_r = F.col(run_col) == F.lit(retry)
-    agg = log.groupBy(*keys).agg(
-        F.max_by(F.col(value_col), F.when(is_o, F.col(order))).alias("_o"),
-        F.max_by(F.col(value_col), F.when(is_r, F.col(order))).alias("_r"),
-        F.min(F.when(is_o, F.col(order))).alias("_oo"),
-        F.min(F.when(is_r, F.col(order))).alias("_ro"))
-    in_o, in_r = F.col("_oo").isNotNull(), F.col("_ro").isNotNull()
-    replace = in_o & in_r & test(F.col("_o")) & ~test(F.col("_r"))
+    rounds = log.groupBy(*keys, run_col).agg(
+        F.max_by(F.struct(F.col(value_col).alias("v")), F.col(order)).alias("_v"),
+        F.min(order).alias("_s"))
+    value = F.col("_v")["v"]
+    good = F.when(~test(value), F.col(run_col))
+    at = F.col(run_col)
+    agg = rounds.groupBy(*keys).agg(
+        F.min_by("_v", at).alias("_first"), F.min_by("_s", at).alias("_fs"), F.min(at).alias("_fr"),
+        F.min_by("_v", good).alias("_good"), F.min(good).alias("_gr"))
+    in_o = F.lit(True) if original is None else F.col("_fr") == F.lit(original)
+    replace = test(F.col("_first")["v"]) & F.col("_gr").isNotNull()
     source = (F.when(~in_o, F.lit("retry_only"))
               .when(replace, F.lit("retry")).otherwise(F.lit("original")))
-    value = F.when(~in_o | replace, F.col("_r")).otherwise(F.col("_o"))
-    out = agg if add_new else agg.filter(in_o)
-    return out.select(*keys, value.alias(value_col), source.alias("source"),
-                      F.coalesce(F.col("_oo"), F.col("_ro")).alias(order_col))
+    out = agg if add_new or original is None else agg.filter(in_o)
+    picked = F.when(replace, F.col("_good")).otherwise(F.col("_first"))["v"]
+    won = [] if won_col is None else [
+        F.when(replace, F.col("_gr")).otherwise(F.col("_fr")).alias(won_col)]
+    return out.select(*keys, picked.alias(value_col), source.alias("source"),
+                      F.col("_fs").alias(order_col), *won)
 
 
 def complete(expected: DataFrame, results: DataFrame, key="qid", value_col: str = "prediction",
@@ -174,12 +184,7 @@ def append_log(log: DataFrame | None, batch: DataFrame) -> DataFrame:
     return batch if log is None else log.unionByName(batch, allowMissingColumns=True)
 
 
-def repeat_rows(df: DataFrame, n: int, col: str = "pass_idx") -> DataFrame:
-    """Each row ``n`` times with ``pass_idx`` 0..n-1 (per-row explode, no join)."""
-    return df.withColumn(col, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-
-
 __all__: Iterable[str] = [
     "unanswered", "only_ids", "latest", "error_ids", "overlay", "overlay_runs", "complete",
-    "to_input_order", "append_log", "repeat_rows",
+    "to_input_order", "append_log",
 ]

@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions.replies import NONE_OF_ABOVE, option_label
-from quire.functions.text import nonblank
+from quire.functions.text import nonblank, py_strip
 
 
 def candidate_rows(replies: DataFrame, key: str = "qid", reply_col: str = "reply") -> DataFrame:
     """One row per non-blank line of each reply: ``(key, pos, text, label)``.
 
     ``pos`` is the line number in the reply; ``label`` the leading option
-    letter or NULL. A per-row explode: no shuffle.
+    letter or NULL (an open-ended candidate). A per-row explode: no shuffle.
     """
     lines = replies.select(key, F.posexplode(F.split(F.col(reply_col), "\n", -1))
                            .alias("pos", "text"))
@@ -27,6 +27,14 @@ def candidate_rows(replies: DataFrame, key: str = "qid", reply_col: str = "reply
             .select(key, "pos", "text", option_label("text").alias("label")))
 
 
+def open_labels(candidates: DataFrame, label: str = "label", text: str = "text") -> DataFrame:
+    """Candidates of open questions vote by their text: where there is no option
+    letter, the label is the candidate's text without its line number, spaces
+    around it or letter case."""
+    bare = F.lower(py_strip(F.regexp_replace(F.col(text), r"^\s*\d+[.)]\s*", "")))
+    return candidates.withColumn(label, F.coalesce(F.col(label), F.nullif(bare, F.lit(""))))
+
+
 def vote(candidates: DataFrame, key: str = "qid", label: str = "label", pos: str = "pos",
          none_label: str = NONE_OF_ABOVE, tie_policy: str = "first",
          expected: DataFrame | None = None) -> DataFrame:

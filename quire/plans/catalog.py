@@ -24,6 +24,10 @@ from quire.operators import infer as inf
 from quire.operators import resume as rs
 from quire.operators import vote as vo
 from quire.operators.ordering import group_index
+from quire.operators.responders import (CandidateResponder, ContextResponder, FailingResponder,
+                                        FlakyResponder, MediaResponder, RewriteResponder,
+                                        VerdictResponder)
+from quire.plans import runs
 from quire.plans import shapes as sh
 
 # Placeholder of a requested id that got no result.
@@ -166,17 +170,26 @@ def q_prepare_answer_input(spark, d):
 
 
 def q_reorder_to_input(spark, d):
-    q = group_index(sh.questions(spark, d), ["conv_id"], ["turn"], col="pos")
+    q = group_index(sh.questions(spark, d).select("qid", "conv_id", "turn"), ["conv_id"], ["turn"],
+                    col="pos")
     a = sh.answers(spark, d).select("qid", F.col("answer").alias("pred"))
     out = rs.to_input_order(q, a, key="qid", value_col="pred", pos=["conv_id", "pos"])
     return out.select("qid", "conv_id", "pos", "pred")
 
 
 def q_submission_rows(spark, d):
-    q = sh.questions(spark, d).select("qid")
-    a = sh.answers(spark, d)
-    j = q.join(a, on="qid", how="left")
-    return j.select("qid", F.coalesce(tx.py_strip("answer"), F.lit("")).alias("pred"))
+    """The submission written as CSV in input order and read back."""
+    from quire.session import scratch_path
+    from quire.sources import io
+
+    q = sh.questions(spark, d).select("qid", "conv_id", "turn")
+    j = q.join(sh.answers(spark, d), on="qid", how="left")
+    sub = io.submission(j, value_col="answer", keep=("conv_id", "turn"))
+    path = scratch_path(spark, "submission")
+    io.write_submission(sub, path, order=("conv_id", "turn"))
+    return spark.read.schema("qid STRING, pred STRING").option("header", True) \
+        .option("multiLine", True).option("escape", '"').option("nullValue", "\x00") \
+        .option("emptyValue", "").csv(path)
 
 
 def _questions_with_prompt(spark, d):
@@ -204,10 +217,7 @@ def _chunks(spark, d):
 
 
 def q_context_chunks(spark, d):
-    c = _chunks(spark, d)
-    return c.select("doc_id", F.size("chunks").alias("n_chunks"),
-                    F.get("chunks", 0).alias("first_chunk"),
-                    F.get("chunks", F.size("chunks") - 1).alias("last_chunk"))
+    return _chunks(spark, d).select("doc_id", F.posexplode("chunks").alias("pos", "chunk"))
 
 
 def q_bullet_context(spark, d):
@@ -299,7 +309,7 @@ def q_reply_status(spark, d):
              .when(et == "error", F.lit(None).cast("string"))
              .otherwise(F.concat(F.lit(" answer "), et, F.lit(" "))))
     err = F.when(et == "error", F.concat(F.lit("RuntimeError: "), F.repeat("props", 10)))
-    return e.select("event_id", rp.reply_status(reply, err, step="step 2").alias("status"))
+    return e.select("event_id", rp.reply_status(reply, err).alias("status"))
 
 
 def failure_message(event_type="event_type"):
@@ -317,13 +327,13 @@ def q_retry_class(spark, d):
 
 
 def q_validate_rows(spark, d):
+    """Every document as a rewrite row (its source stands for the question),
+    with some questions and contexts taken away."""
     docs = sh.table(spark, d, "documents").select("doc_id", "source", "text")
-    chunks = tx.context_chunks("text")
-    reason = (F.when(F.col("source").isNull(), F.lit("missing_question"))
-              .when(F.col("text").isNull(), F.lit("null_context"))
-              .when(F.size(chunks) == 0, F.lit("no_chunks"))
-              .otherwise(F.lit("ok")))
-    return docs.groupBy(reason.alias("skip_reason")).agg(F.count(F.lit(1)).alias("n"))
+    k = F.col("doc_id") % 7
+    rows = docs.select("doc_id", F.when(k != 3, F.col("source")).alias("question"),
+                       F.when(k == 5, F.lit(" . .")).when(k != 4, F.col("text")).alias("context"))
+    return en.validate_rows(rows).select("doc_id", "skip_reason")
 
 
 def q_group_questions(spark, d):
@@ -353,9 +363,7 @@ def _candidate_replies(spark, d):
 
 
 def q_candidate_rows(spark, d):
-    rows = vo.candidate_rows(_candidate_replies(spark, d), key="doc_id", reply_col="reply")
-    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_rows"),
-                                      F.count("label").alias("n_labeled"))
+    return vo.candidate_rows(_candidate_replies(spark, d), key="doc_id", reply_col="reply")
 
 
 def q_answer_format(spark, d):
@@ -491,7 +499,7 @@ def q_backoff_schedule(spark, d):
     n = inf.BACKOFF_REWRITE[2]
     s = retryable.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     return s.select("event_id", F.col("attempt").cast("long").alias("attempt"),
-                    (F.col("initial_s") * F.pow(F.lit(2.0), F.col("attempt"))).alias("delay_s"))
+                    inf.backoff_delay(F.col("initial_s"), F.col("attempt")).alias("delay_s"))
 
 
 def q_preview_text(spark, d):
@@ -507,69 +515,143 @@ def q_infer_replay(spark, d):
 
 
 def q_answer_run(spark, d):
-    from quire.plans.runs import answer_run
-
-    return answer_run(spark, d)
+    return runs.answer_run(spark, d).select("qid", "conv_id", "turn", "pred")
 
 
 def q_two_step_answer(spark, d):
-    from quire.plans.runs import two_step_answer
-
-    return two_step_answer(spark, d)
+    return runs.two_step_answer(spark, d)
 
 
 def q_two_step_model(spark, d):
-    from quire.plans.runs import two_step_model
-
-    return two_step_model(spark, d)
+    return runs.two_step_model(spark, d)
 
 
 def q_repeat_vote(spark, d):
-    from quire.plans.runs import repeat_vote
-
-    return repeat_vote(spark, d, passes=N_PASSES)
+    return runs.repeat_vote(spark, d, passes=N_PASSES)
 
 
 def q_context_run(spark, d):
-    from quire.plans.runs import context_run
-
-    return context_run(spark, d)
+    return runs.context_run(spark, d)
 
 
 def q_fact_check_run(spark, d):
-    from quire.plans.runs import fact_check_run
-
-    return fact_check_run(spark, d)
+    return runs.fact_check_run(spark, d)
 
 
 def q_rewrite_run(spark, d):
-    from quire.plans.runs import rewrite_run
-
-    return rewrite_run(spark, d)
+    return runs.rewrite_run(spark, d).withColumn("context", F.array_join("context", "|"))
 
 
 def q_snapshot_run(spark, d):
-    from quire.plans.runs import snapshot_run
-
-    return snapshot_run(spark, d)
+    return runs.snapshot_run(spark, d)
 
 
 def q_one_group_check(spark, d):
-    from quire.plans.runs import one_group_check
-
-    return one_group_check(spark, d, ONE_GROUP)
+    return runs.one_group_check(spark, d, ONE_GROUP)
 
 
 def q_compare_modes(spark, d):
-    from quire.plans.runs import compare_modes
-
-    return compare_modes(spark, d)
+    return runs.compare_modes(spark, d)
 
 
 def q_three_step_run(spark, d):
-    from quire.plans.runs import three_step_run
+    return runs.three_step_run(spark, d)
+
+
+def q_three_rounds(spark, d):
+    return runs.three_rounds(spark, d)
+
+
+# Runs against a model that refuses some prompts for good.
+
+
+def q_two_step_failures(spark, d):
+    return runs.two_step_model(spark, d, candidates_factory=FailingResponder(CandidateResponder(4)))
+
+
+def q_context_failures(spark, d):
+    failing = FailingResponder(ContextResponder(), message="529 overloaded")
+    return runs.context_run(spark, d, first_factory=failing, retry_factory=failing,
+                            retry=(0.001, 0.0, 2)).drop("corrected_question")
+
+
+def q_fact_check_failures(spark, d):
+    return runs.fact_check_run(spark, d, FailingResponder(VerdictResponder()))
+
+
+def q_rewrite_failures(spark, d):
+    failing = FailingResponder(RewriteResponder(runs.REWRITE_START, runs.REWRITE_END))
+    return runs.rewrite_run(spark, d, failing).withColumn("context", F.array_join("context", "|"))
+
+
+def q_infer_attempts(spark, d):
+    """A model that is overloaded at the first call of some prompts."""
+    q = sh.questions(spark, d).select("qid", "conv_id", tx.py_strip("question").alias("prompt"))
+    out = inf.infer(q, "prompt", FlakyResponder(inf.PrefixResponder("A: ", 20)), keep=["qid"],
+                    group_col="conv_id", initial_backoff=0.001, jitter=0.0)
+    return out.select("qid", "reply", "error", "attempts")
+
+
+def q_error_structs(spark, d):
+    """Each event as a context step that failed in one of the five ways."""
+    e = sh.table(spark, d, "events").select("event_id", failure_message().alias("m"))
+    k = F.col("event_id") % 5
+    record = (F.when(k == 0, rp.call_error_struct("m", 3)).when(k == 1, rp.task_error_struct())
+              .when(k == 2, rp.batch_error_struct("m")).when(k == 3, rp.row_error_struct("m"))
+              .otherwise(rp.parse_error_struct()))
+    e = e.select("event_id", record.alias("r"))
+    return e.select("event_id", "r.context", "r.is_contextual", "r.explanation",
+                    rp.context_failed("r.context").alias("failed"))
+
+
+def q_open_vote(spark, d):
+    """Lines of the documents as candidates of open questions."""
+    docs = sh.table(spark, d, "documents").select("doc_id", F.col("text").alias("reply"))
+    rows = vo.open_labels(vo.candidate_rows(docs, key="doc_id", reply_col="reply"))
+    return vo.vote(rows, key="doc_id").select("doc_id", F.md5("winner").alias("winner_md5"), "votes",
+                                              "n_candidates", "n_labels")
+
+
+def q_media_answers(spark, d):
+    """The model is given the address of each question's media, and the path of
+    the local file where the listing has one (files written here, one per
+    even conversation)."""
+    from quire.session import scratch_path
+    from quire.sources import io
+
+    folder = scratch_path(spark, "media")
+    q = sh.questions(spark, d).withColumn("video_id", F.col("conv_id").cast("string"))
+    (q.where("conv_id % 2 = 0").select("video_id").distinct()
+     .select(F.col("video_id").alias("id"), F.col("video_id").alias("v"))
+     .write.partitionBy("id").parquet(folder))
+    media = io.media_files(spark, f"{folder}/*", "*.parquet")
+    media = media.select(F.regexp_extract("media_path", r"/id=(\d+)/", 1).alias("media_id"),
+                         "media_path").groupBy("media_id").agg(F.min("media_path").alias("media_path"))
+    asked = io.attach_media(q, media).select(
+        "qid", "conv_id", F.concat(F.lit("https://v/"), "video_id").alias("url"),
+        F.when(F.col("has_media"), F.concat(F.lit("file "), "video_id")).alias("media_path"),
+        tx.py_strip("question").alias("prompt"))
+    out = inf.infer(asked, "prompt", MediaResponder(), keep=["qid"], group_col="conv_id",
+                    context_cols=["url", "media_path"], max_retries=0)
+    return out.select("qid", "reply", "error")
+
+
+def q_json_tables(spark, d):
+    """User turns written as JSON rows with explicit nulls and read back."""
+    from quire.session import scratch_path
+    from quire.sources import io
+
+    path = scratch_path(spark, "json")
+    q = sh.questions(spark, d).join(sh.answers(spark, d), on="qid", how="left").select(
+        "qid", "question", "answer")
+    io.write_json_rows(q, path)
+    return spark.read.schema(q.schema).json(path)
+
 
-    return three_step_run(spark, d)
+def q_multiple_choice(spark, d):
+    """Which candidate replies list options, and their answers' format."""
+    r = _candidate_replies(spark, d)
+    return r.select("doc_id", rp.is_multiple_choice("reply").alias("is_mc"))
 
 
 def q_csv_roundtrip(spark, d):
@@ -661,4 +743,15 @@ QUERIES = {
     "three_step_run": q_three_step_run,
     "csv_roundtrip": q_csv_roundtrip,
     "replay_recorded": q_replay_recorded,
+    "three_rounds": q_three_rounds,
+    "two_step_failures": q_two_step_failures,
+    "context_failures": q_context_failures,
+    "fact_check_failures": q_fact_check_failures,
+    "rewrite_failures": q_rewrite_failures,
+    "infer_attempts": q_infer_attempts,
+    "error_structs": q_error_structs,
+    "open_vote": q_open_vote,
+    "media_answers": q_media_answers,
+    "json_tables": q_json_tables,
+    "multiple_choice": q_multiple_choice,
 }

@@ -12,9 +12,10 @@ _WS = (r"[\t\n\x{0B}\x{0C}\r\x{1C}\x{1D}\x{1E}\x{1F} \x{85}\x{A0}\x{1680}"
        r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 _ERR = r"^Error(?:$|:| during (?:processing|fact check):| \([^)]*\):)"
 _LABEL = r"^\s*(?:\d+[.)]\s*)?\(?([A-E])(?:[).:]|\s*$)"
-_FATAL = r"\b401\b|\b403\b|\b404\b|\b422\b|\b400\b|authentication|permission|not found|invalid request"
-_RETRY = (r"\b429\b|rate limit|server error|connection error|unavailable|timeout|timed out|"
-          r"\b500\b|\b502\b|\b503\b|\b504\b")
+_FATAL = (r"(?:^|[^0-9])(?:400|401|403|404|422)(?:[^0-9]|$)|authentication|permission|not found|"
+          r"invalid request")
+_RETRY = (r"(?:^|[^0-9])(?:429|5[0-9][0-9])(?:[^0-9]|$)|rate limit|server error|connection error|"
+          r"unavailable|timeout|timed out")
 
 
 def strip(e: str) -> str:
@@ -56,11 +57,6 @@ RETRY_CLASS = (f"CASE WHEN m IS NULL THEN NULL WHEN regexp_matches(lower(m), '{_
                f"WHEN regexp_matches(lower(m), '{_RETRY}') THEN 'retryable' ELSE 'other' END")
 PARSE_DEFAULT_CTX = "Error: Failed to parse response"
 PARSE_DEFAULT_EXPL = "Could not decode or extract valid fields from the model output."
-CANDIDATES_PROMPT = (
-    "'Watch the clip and answer the question below.' || chr(10) || 'Question:' || chr(10) || "
-    "{q} || chr(10) || chr(10) || 'Write 8 different candidate answers, one per line. For a "
-    "multiple-choice question start each line with the option letter; use E only when no other "
-    "option fits.'")
 VOTE_BASE = (
     "per AS (SELECT user_id AS qid, event_type AS label, count(*) AS votes, min(event_id) AS first_pos "
     "FROM events GROUP BY 1, 2), "
@@ -153,14 +149,11 @@ SQL = {
         f"CASE WHEN s.question_prompt IS NOT NULL THEN 'prompt' ELSE 'question' END AS prompt_source "
         f"FROM q LEFT JOIN s ON s.conv_id = q.conv_id"),
     "context_chunks": (
-        f"WITH {CHUNKS} SELECT doc_id, CAST(len(ch) AS INTEGER) AS n_chunks, ch[1] AS first_chunk, "
-        f"ch[-1] AS last_chunk FROM c"),
+        f"WITH {CHUNKS} SELECT doc_id, CAST(unnest(range(len(ch))) AS INTEGER) AS pos, "
+        "unnest(ch) AS chunk FROM c"),
     "bullet_context": (
         f"WITH {CHUNKS}, b AS (SELECT doc_id, array_to_string(list_transform(ch, lambda x: '- ' || x), chr(10)) "
         f"AS b FROM c) SELECT doc_id, CAST(length(b) AS INTEGER) AS bullet_len, md5(b) AS bullet_md5 FROM b"),
-    "render_prompt": (
-        f"WITH {Q}, p AS (SELECT qid, {CANDIDATES_PROMPT.format(q=strip('question'))} AS p FROM q) "
-        f"SELECT qid, CAST(length(p) AS INTEGER) AS prompt_len, md5(p) AS prompt_md5 FROM p"),
     "clean_rewrite": (
         "WITH b AS (SELECT item_id, CASE item_id % 4 WHEN 0 THEN 'REWRITTEN question: \"' || text || '\"' "
         "WHEN 1 THEN 'Rewritten Question:' || chr(10) || text || chr(10) WHEN 2 THEN '\"' || text || '\"' "
@@ -223,13 +216,15 @@ SQL = {
         "THEN NULL ELSE ' answer ' || event_type || ' ' END AS reply, CASE WHEN event_type = 'error' THEN "
         "'RuntimeError: ' || repeat(props, 10) END AS err FROM events) "
         "SELECT event_id, CASE WHEN err IS NOT NULL THEN 'Error during processing: ' || left(err, 100) "
-        f"WHEN nullif({strip('reply')}, '') IS NULL THEN 'Error: No response from step 2' "
+        f"WHEN nullif({strip('reply')}, '') IS NULL THEN 'Error: No response from best-answer selection (Step 2).' "
         f"ELSE {strip('reply')} END AS status FROM r"),
     "retry_class": f"SELECT event_id, {RETRY_CLASS} AS retry_class FROM (SELECT event_id, {MESSAGE} AS m FROM events)",
     "validate_rows": (
-        f"WITH {CHUNKS} SELECT CASE WHEN d.source IS NULL THEN 'missing_question' WHEN d.text IS NULL THEN "
-        f"'null_context' WHEN len(c.ch) = 0 THEN 'no_chunks' ELSE 'ok' END AS skip_reason, count(*) AS n "
-        f"FROM documents d JOIN c ON c.doc_id = d.doc_id GROUP BY 1"),
+        "WITH r AS (SELECT doc_id, CASE WHEN doc_id % 7 <> 3 THEN source END AS q, CASE doc_id % 7 "
+        "WHEN 4 THEN NULL WHEN 5 THEN ' . .' ELSE text END AS c FROM documents) "
+        "SELECT doc_id, CASE WHEN q IS NULL THEN 'missing_question' WHEN c IS NULL THEN 'null_context' "
+        "WHEN len(list_filter(string_split(c, '.'), "
+        f"lambda x: {strip('x')} <> '')) = 0 THEN 'no_chunks' END AS skip_reason FROM r"),
     "group_questions": (
         f"WITH {Q} SELECT conv_id, count(*) AS n_questions, min(turn) AS first_pos, max(turn) AS last_pos, "
         f"arg_min(qid, turn) AS first_qid FROM q GROUP BY 1"),
@@ -244,9 +239,10 @@ SQL = {
         "WITH r AS (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), "
         "lambda x, i: CASE (i - 1) % 4 WHEN 0 THEN '1. ' || x WHEN 1 THEN 'A) ' || x "
         "WHEN 2 THEN '(B) ' || x ELSE x END), chr(10)) AS reply FROM documents), "
-        "l AS (SELECT doc_id, unnest(string_split(reply, chr(10))) AS line FROM r) "
-        f"SELECT doc_id, count(*) AS n_rows, count(nullif(regexp_extract(line, '{_LABEL}', 1), '')) "
-        f"AS n_labeled FROM l WHERE {strip('line')} <> '' GROUP BY 1"),
+        "l AS (SELECT doc_id, unnest(string_split(reply, chr(10))) AS line, "
+        "unnest(range(len(string_split(reply, chr(10))))) AS pos FROM r) "
+        "SELECT doc_id, CAST(pos AS INTEGER) AS pos, line AS text, "
+        f"nullif(regexp_extract(line, '{_LABEL}', 1), '') AS label FROM l WHERE {strip('line')} <> ''"),
     "answer_format": (
         "WITH e AS (SELECT event_id, value >= 25 AS mc, CASE event_type WHEN 'click' THEN 'A' WHEN 'purchase' "
         "THEN 'B' WHEN 'signup' THEN 'C' WHEN 'view' THEN 'D' ELSE 'E' END AS l FROM events), "
@@ -325,7 +321,51 @@ SQL = {
     "answer_run": (
         f"WITH {Q} SELECT qid, conv_id, turn, {echo(strip('question'))} AS pred FROM q"),
     "stream_resume": (
-        f"WITH {Q} SELECT qid, {echo(strip('question'))} AS reply FROM q"),
+        f"WITH {Q}, t AS (SELECT *, length({strip('question')}) % 4 = 0 AND turn <> 0 AS lost FROM q) "
+        f"SELECT qid, CASE WHEN NOT lost THEN {echo(strip('question'))} END AS reply, "
+        "CASE WHEN lost THEN 'RuntimeError: 403 permission denied' END AS error FROM t"),
+    "infer_attempts": (
+        f"WITH {Q} SELECT qid, {echo(strip('question'))} AS reply, CAST(NULL AS VARCHAR) AS error, "
+        f"CASE WHEN unicode(left(md5({strip('question')}), 1)) % 2 = 0 THEN 2 ELSE 1 END AS attempts FROM q"),
+    "three_rounds": (
+        f"WITH {Q}, t AS (SELECT qid, {strip('question')} AS s FROM q), "
+        "r AS (SELECT *, CASE WHEN length(s) % 2 <> 0 THEN 0 WHEN length(s) % 4 <> 0 THEN 1 ELSE 2 END "
+        "AS round_no FROM t) SELECT qid, substr('ABC', round_no + 1, 1) || substr("
+        f"{echo('s')}, 2) AS prediction, round_no FROM r"),
+    "error_structs": (
+        f"WITH e AS (SELECT event_id, {MESSAGE} AS m, event_id % 5 AS k FROM events) "
+        "SELECT event_id, CASE k WHEN 0 THEN 'Error: Processing failed after retries' "
+        "WHEN 1 THEN 'Error: Task failed during concurrent execution' "
+        "WHEN 2 THEN 'Error: Batch processing failed' WHEN 3 THEN 'Error' "
+        f"ELSE '{PARSE_DEFAULT_CTX}' END AS context, false AS is_contextual, "
+        "CASE k WHEN 0 THEN 'Failed after 3 retries. Last error: ' || m "
+        "WHEN 1 THEN 'Result was missing after asyncio.gather, likely due to an unhandled exception.' "
+        "WHEN 2 THEN 'Error during batch processing: ' || m WHEN 3 THEN 'Error during processing: ' || m "
+        f"ELSE '{PARSE_DEFAULT_EXPL}' END AS explanation, true AS failed FROM e"),
+    "media_answers": (
+        f"WITH {Q}, t AS (SELECT qid, conv_id, {strip('question')} AS s FROM q) "
+        "SELECT qid, CASE WHEN conv_id % 2 = 0 THEN 'file ' || conv_id ELSE 'https://v/' || conv_id END "
+        "|| ': ' || left(md5(s), 8) AS reply, CAST(NULL AS VARCHAR) AS error FROM t"),
+    "json_tables": f"WITH {Q}, {A} SELECT q.qid, q.question, a.answer FROM q LEFT JOIN a ON a.qid = q.qid",
+    "open_vote": (
+        "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, "
+        "unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents), "
+        f"c AS (SELECT doc_id, pos, coalesce(nullif(regexp_extract(line, '{_LABEL}', 1), ''), nullif(lower("
+        + strip(r"regexp_replace(line, '^\s*\d+[.)]\s*', '')") +
+        f"), '')) AS label FROM l WHERE {strip('line')} <> ''), "
+        "per AS (SELECT doc_id, label, count(*) AS votes, min(pos) AS first_pos FROM c "
+        "WHERE label IS NOT NULL GROUP BY ALL), "
+        "best AS (SELECT doc_id, label, votes FROM (SELECT *, row_number() OVER (PARTITION BY doc_id "
+        "ORDER BY votes DESC, first_pos, label DESC) AS rn FROM per WHERE label <> 'E') WHERE rn = 1), "
+        "st AS (SELECT doc_id, CAST(sum(votes) AS BIGINT) AS n_candidates, count(*) AS n_labels FROM per "
+        "GROUP BY 1) SELECT st.doc_id, md5(best.label) AS winner_md5, coalesce(best.votes, 0) AS votes, "
+        "n_candidates, n_labels FROM st LEFT JOIN best ON best.doc_id = st.doc_id"),
+    "multiple_choice": (
+        "WITH r AS (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), "
+        "lambda x, i: CASE (i - 1) % 4 WHEN 0 THEN '1. ' || x WHEN 1 THEN 'A) ' || x "
+        "WHEN 2 THEN '(B) ' || x ELSE x END), chr(10)) AS reply FROM documents) "
+        "SELECT doc_id, len(list_filter(string_split(coalesce(reply, ''), chr(10)), "
+        f"lambda x: regexp_extract(x, '{_LABEL}', 1) <> '')) >= 2 AS is_mc FROM r"),
 }
 
 SQL["rewrite_summary"] = (
@@ -361,123 +401,168 @@ def template_sql(template: str, **slots: str) -> str:
     return "(" + " || ".join(out) + ")"
 
 
-def _run_sql():
-    from quire.functions.prompts import (CANDIDATES_TEMPLATE, CONTEXT_TEMPLATE,
-                                         FACT_CHECK_TEMPLATE, REWRITE_TEMPLATE)
+#: Character i (from 0) of a prompt digest as a number; the prompt of a model that
+#: refuses for good; and what the call's failure says.
+def _at(digest: str, i: int) -> str:
+    return f"unicode(substr({digest}, {i + 1}, 1))"
+
+
+REFUSED = "RuntimeError: 403 permission denied"
+VOTE = (
+    "per AS (SELECT qid, label, count(*) AS votes, min(pos) AS first_pos FROM c GROUP BY 1, 2), "
+    "st AS (SELECT qid, sum(votes) AS n_candidates, max(votes) FILTER (WHERE label <> 'E') AS top "
+    "FROM per GROUP BY 1), "
+    "nt AS (SELECT per.qid, count(*) FILTER (WHERE per.label <> 'E' AND per.votes = st.top) AS n_top "
+    "FROM per JOIN st ON st.qid = per.qid GROUP BY 1), "
+    "best AS (SELECT qid, label, votes FROM (SELECT *, row_number() OVER (PARTITION BY qid "
+    "ORDER BY votes DESC, first_pos ASC) AS rn FROM per WHERE label <> 'E') WHERE rn = 1) "
+    "SELECT st.qid, best.label AS winner, coalesce(best.votes, 0) AS votes, st.n_candidates, "
+    "CASE WHEN best.qid IS NULL THEN 'all_none' WHEN nt.n_top > 1 THEN 'tie' ELSE 'ok' END AS status "
+    "FROM st JOIN nt ON nt.qid = st.qid LEFT JOIN best ON best.qid = st.qid")
+
+
+def _letter(digest: str, i: int) -> str:
+    return f"substr('ABCDE', CAST({_at(digest, i)} % 5 AS INTEGER) + 1, 1)"
+
+
+def _context_sql(d: str) -> str:
+    """Columns of the parsed context reply to a prompt of digest ``d``."""
+    return (f"'seen ' || repeat({d} || ' ', 5) || {d} AS context, {_at(d, 1)} % 2 = 0 AS is_contextual, "
+            "'len ' || CAST(length(prompt) AS VARCHAR) AS explanation")
+
+
+def _rewrite_sql(items: str, failing: bool) -> str:
+    """Rewrites of ``items`` (a CTE i with qid, qs, context)."""
+    from quire.functions.prompts import REWRITE_TEMPLATE
 
-    qs = strip("question")
-    cand = template_sql(CANDIDATES_TEMPLATE, question=qs, n="4")
-    two_step = (
-        f"WITH {Q}, p AS (SELECT qid, length({cand}) AS L FROM q), "
-        "c AS (SELECT qid, t.i AS pos, substr('ABCDE', CAST((L + t.i * t.i) % 5 AS INTEGER) + 1, 1) AS label "
-        "FROM p CROSS JOIN (SELECT range AS i FROM range(4)) t), "
-        "per AS (SELECT qid, label, count(*) AS votes, min(pos) AS first_pos FROM c GROUP BY 1, 2), "
-        "st AS (SELECT qid, sum(votes) AS n_candidates, max(votes) FILTER (WHERE label <> 'E') AS top "
-        "FROM per GROUP BY 1), "
-        "nt AS (SELECT per.qid, count(*) FILTER (WHERE per.label <> 'E' AND per.votes = st.top) AS n_top "
-        "FROM per JOIN st ON st.qid = per.qid GROUP BY 1), "
-        "best AS (SELECT qid, label, votes FROM (SELECT *, row_number() OVER (PARTITION BY qid "
-        "ORDER BY votes DESC, first_pos ASC) AS rn FROM per WHERE label <> 'E') WHERE rn = 1) "
-        "SELECT st.qid, best.label AS winner, coalesce(best.votes, 0) AS votes, st.n_candidates, "
-        "CASE WHEN best.qid IS NULL THEN 'all_none' WHEN nt.n_top > 1 THEN 'tie' ELSE 'ok' END AS status "
-        "FROM st JOIN nt ON nt.qid = st.qid LEFT JOIN best ON best.qid = st.qid")
-    header = len(CONTEXT_TEMPLATE.split("{question}", 1)[0])
-    ctx = template_sql(CONTEXT_TEMPLATE, question=qs)
-    context = (
-        f"WITH {Q}, p AS (SELECT qid, conv_id, turn, {ctx} AS prompt FROM q) "
-        f"SELECT qid, conv_id, turn, substr(prompt, {header + 1}, 30) AS context, "
-        "length(prompt) % 2 = 0 AS is_contextual, 'len ' || CAST(length(prompt) AS VARCHAR) AS explanation, "
-        "CAST(NULL AS VARCHAR) AS corrected_question FROM p")
-    fc = template_sql(FACT_CHECK_TEMPLATE, question=qs, answer=strip("a.answer"))
-    fact = (
-        f"WITH {Q}, {A}, p AS (SELECT q.qid, length({fc}) AS L FROM q JOIN a ON a.qid = q.qid) "
-        "SELECT qid, CASE WHEN L % 5 = 0 THEN false ELSE L % 2 = 0 END AS is_supported, "
-        "CASE WHEN L % 5 = 0 THEN 'Error during fact check: Failed to parse JSON from model. Raw reply:' "
-        "|| chr(10) || 'I think so.' ELSE 'checked ' || CAST(L AS VARCHAR) END AS explanation FROM p")
     bullets = "array_to_string(list_transform(ch, lambda x: '- ' || x), chr(10))"
     rw = template_sql(REWRITE_TEMPLATE, context=bullets, question="qs")
+    refused = f"{_at('dg', 2)} % 4 = 0" if failing else "false"
     cleaned = ("CASE WHEN lower(left(r, 19)) = 'rewritten question:' THEN "
                "regexp_replace(substr(r, 20), '^[ \"\\n]+|[ \"\\n]+$', '', 'g') ELSE r END")
-    rewrite = (
-        f"WITH {Q}, {A}, i AS (SELECT q.qid, {qs} AS qs, a.answer AS context, "
-        f"list_filter(list_transform(string_split(a.answer, '.'), lambda x: {strip('x')}), "
-        "lambda x: x <> '') AS ch FROM q LEFT JOIN a ON a.qid = q.qid), "
+    return (
+        f"{items}, ch AS (SELECT *, list_filter(list_transform(string_split(context, '.'), "
+        f"lambda x: {strip('x')}), lambda x: x <> '') AS ch FROM i), "
         "v AS (SELECT *, CASE WHEN qs IS NULL THEN 'missing_question' WHEN context IS NULL THEN "
-        "'null_context' WHEN len(ch) = 0 THEN 'no_chunks' END AS skip_reason FROM i), "
-        f"p AS (SELECT qid, qs, length({rw}) AS L FROM v WHERE skip_reason IS NULL), "
-        "r AS (SELECT qid, qs, CASE L % 3 WHEN 0 THEN 'Rewritten question: \"' || qs || ' (in the clip)\"' "
-        "WHEN 1 THEN lower(qs) ELSE '' END AS reply FROM p), "
-        f"c AS (SELECT qid, qs, {strip('reply')} AS r FROM r), "
-        f"d AS (SELECT qid, qs, {cleaned} AS rr FROM c), "
-        "s AS (SELECT qid, qs, rr, CASE WHEN rr IS NULL OR rr = '' THEN 'empty' WHEN lower(rr) = lower(qs) "
-        "THEN 'unchanged' ELSE 'changed' END AS st FROM d) "
-        "SELECT qid, CAST(NULL AS VARCHAR) AS skip_reason, CASE WHEN st = 'changed' THEN rr ELSE qs END "
-        "AS final_question, st AS rewrite_status FROM s "
-        "UNION ALL SELECT qid, skip_reason, qs AS final_question, 'skipped' AS rewrite_status FROM v "
-        "WHERE skip_reason IS NOT NULL")
-    return {"two_step_answer": two_step, "context_run": context, "fact_check_run": fact,
-            "rewrite_run": rewrite}
-
-
-SQL.update(_run_sql())
+        "'null_context' WHEN len(ch) = 0 THEN 'no_chunks' END AS skip_reason FROM ch), "
+        f"p AS (SELECT *, md5({rw}) AS dg FROM v WHERE skip_reason IS NULL), "
+        f"r AS (SELECT *, {refused} AS refused, CASE {_at('dg', 0)} % 3 WHEN 0 THEN 'Rewritten question: \"' "
+        "|| qs || ' (in the clip ' || left(dg, 8) || ')\"' WHEN 1 THEN lower(qs) ELSE '' END AS reply FROM p), "
+        f"c AS (SELECT *, CASE WHEN NOT refused THEN {strip('reply')} END AS r FROM r), "
+        f"d AS (SELECT *, {cleaned} AS rr FROM c), "
+        "s AS (SELECT *, CASE WHEN rr IS NULL OR rr = '' THEN 'empty' WHEN lower(rr) = lower(qs) "
+        "THEN 'unchanged' ELSE 'changed' END AS st FROM d), "
+        "rewritten AS (SELECT qid, CAST(NULL AS VARCHAR) AS skip_reason, array_to_string(ch, '|') AS context, "
+        "CASE WHEN st = 'changed' THEN rr ELSE qs END AS final_question, "
+        "CASE WHEN refused THEN 'error' ELSE st END AS rewrite_status, "
+        f"CASE WHEN refused THEN '{REFUSED}' END AS error FROM s "
+        "UNION ALL SELECT qid, skip_reason, array_to_string(ch, '|') AS context, qs AS final_question, "
+        "'skipped' AS rewrite_status, CAST(NULL AS VARCHAR) AS error FROM v WHERE skip_reason IS NOT NULL)")
 
 
-def _more_run_sql():
-    from quire.functions.prompts import CANDIDATES_TEMPLATE, CONTEXT_TEMPLATE
+def _run_sql():
+    from quire.functions.prompts import (AGGREGATE_TEMPLATE, ANSWER_TEMPLATE, CANDIDATES_TEMPLATE,
+                                         CONTEXT_TEMPLATE, FACT_CHECK_TEMPLATE)
 
     qs = strip("q.question")
-    header = len(CONTEXT_TEMPLATE.split("{question}", 1)[0])
+    cand = template_sql(CANDIDATES_TEMPLATE, question=qs, n="4")
+    two_step = (
+        f"WITH {Q}, p AS (SELECT qid, md5({cand}) AS dg FROM q), "
+        "c AS (SELECT qid, t.i AS pos, substr('ABCDE', CAST(unicode(substr(dg, CAST(t.i + 1 AS BIGINT), 1)) "
+        "% 5 AS INTEGER) + 1, 1) AS label FROM p CROSS JOIN (SELECT range AS i FROM range(4)) t), " + VOTE)
+    lines = " || chr(10) || ".join(f"'{i + 1}. ' || {_letter('dg', i)}" for i in range(4))
+    agg = template_sql(AGGREGATE_TEMPLATE, question="qs", candidates="thoughts", n="4")
+
+    def model(refused: str) -> str:
+        return (
+            f"WITH {Q}, p AS (SELECT qid, {qs} AS qs, md5({cand}) AS dg FROM q), "
+            f"t AS (SELECT qid, qs, dg, {lines} AS thoughts, {refused} AS refused FROM p), "
+            f"g AS (SELECT *, md5({agg}) AS ag FROM t) "
+            f"SELECT qid, CASE WHEN refused THEN 'Error during processing: {REFUSED}' ELSE "
+            f"substr('ABCDE', CAST(unicode(substr(dg, CAST({_at('ag', 0)} % 4 + 1 AS BIGINT), 1)) % 5 AS "
+            "INTEGER) + 1, 1) END AS answer, CASE WHEN NOT refused THEN thoughts END AS thoughts FROM g")
+
     ctx = template_sql(CONTEXT_TEMPLATE, question=qs)
+    seen = f"x AS (SELECT *, md5(prompt) AS dg FROM (SELECT q.*, {ctx} AS prompt FROM q))"
+    context = (f"WITH {Q}, {seen} SELECT qid, conv_id, turn, {_context_sql('dg')}, "
+               "CAST(NULL AS VARCHAR) AS corrected_question FROM x")
+    lost = f"{_at('dg', 2)} % 4 = 0"
+    context_failures = (
+        f"WITH {Q}, {seen}, y AS (SELECT *, {_context_sql('dg')}, {lost} AS lost FROM x) "
+        "SELECT qid, conv_id, turn, CASE WHEN lost THEN 'Error: Processing failed after retries' "
+        "ELSE context END AS context, NOT lost AND is_contextual AS is_contextual, "
+        "CASE WHEN lost THEN 'Failed after 2 retries. Last error: RuntimeError: 529 overloaded' "
+        "ELSE explanation END AS explanation FROM y")
+    fc = template_sql(FACT_CHECK_TEMPLATE, question=qs, answer=strip("a.answer"))
+
+    def fact(refused: str) -> str:
+        return (
+            f"WITH {Q}, {A}, p AS (SELECT q.qid, md5({fc}) AS dg FROM q JOIN a ON a.qid = q.qid), "
+            f"f AS (SELECT *, {refused} AS refused, {_at('dg', 0)} % 5 = 0 AS vague FROM p) "
+            f"SELECT qid, NOT refused AND NOT vague AND {_at('dg', 1)} % 2 = 0 AS is_supported, "
+            f"CASE WHEN refused THEN 'Error during fact check: {REFUSED}' WHEN vague THEN "
+            "'Error during fact check: Failed to parse JSON from model. Raw reply:' || chr(10) "
+            "|| 'I think so.' ELSE 'checked ' || dg END AS explanation FROM f")
+
+    answered = f"i AS (SELECT q.qid, {qs} AS qs, a.answer AS context FROM q LEFT JOIN a ON a.qid = q.qid)"
+
+    def rewrite(failing: bool) -> str:
+        return f"WITH {Q}, {A}, " + _rewrite_sql(answered, failing) + " SELECT * FROM rewritten"
+
     combined = (f"CASE WHEN s.question_prompt IS NOT NULL AND {strip('s.question_prompt')} <> '' THEN "
                 f"coalesce({qs}, '') || chr(10) || {strip('s.question_prompt')} ELSE coalesce({qs}, '') END")
     snapshot = (
         f"WITH {Q}, {S}, p AS (SELECT q.qid, {combined} AS question_with_prompt, {ctx} AS prompt "
-        "FROM q LEFT JOIN s ON s.conv_id = q.conv_id) "
-        f"SELECT qid, question_with_prompt, substr(prompt, {header + 1}, 30) AS context, "
-        "length(prompt) % 2 = 0 AS is_contextual, 'len ' || CAST(length(prompt) AS VARCHAR) AS explanation "
-        "FROM p")
+        "FROM q LEFT JOIN s ON s.conv_id = q.conv_id), x AS (SELECT *, md5(prompt) AS dg FROM p) "
+        f"SELECT qid, question_with_prompt, {_context_sql('dg')} FROM x")
     one_group = (
-        f"WITH {Q}, p AS (SELECT q.qid, {ctx} AS prompt FROM q WHERE q.conv_id = 7) "
-        f"SELECT qid, left(substr(prompt, {header + 1}, 30), 150) || '...' AS preview FROM p")
+        f"WITH {Q}, {seen} SELECT qid, left(context, 150) || '...' AS preview FROM "
+        f"(SELECT qid, conv_id, {_context_sql('dg')} FROM x) WHERE conv_id = 7")
     one = template_sql(CANDIDATES_TEMPLATE, question=qs, n="1")
     compare = (
-        f"WITH two AS ({SQL['two_step_answer']}), {Q}, "
-        f"one AS (SELECT q.qid, substr('ABCDE', CAST(length({one}) % 5 AS INTEGER) + 1, 1) AS p FROM q), "
+        f"WITH two AS ({two_step}), {Q}, "
+        f"one AS (SELECT qid, {_letter('dg', 0)} AS p FROM (SELECT q.qid, md5({one}) AS dg FROM q)), "
         "j AS (SELECT one.qid AS a, one.p AS ap, two.qid AS b, two.winner AS bp FROM one "
         "FULL JOIN two ON two.qid = one.qid) "
         f"SELECT CASE WHEN b IS NULL THEN 'only_a' WHEN a IS NULL THEN 'only_b' "
         f"WHEN {is_err('ap')} AND {is_err('bp')} THEN 'both_error' WHEN {is_err('ap')} THEN 'a_error' "
         f"WHEN {is_err('bp')} THEN 'b_error' WHEN ap IS NOT DISTINCT FROM bp THEN 'agree' ELSE 'changed' END "
         "AS outcome, count(*) AS n FROM j GROUP BY 1")
+    final = template_sql(ANSWER_TEMPLATE, context="z.context", question=strip("w.final_question"))
     three = (
-        f"WITH rw AS ({SQL['rewrite_run']}) SELECT qid, "
-        f"{echo(strip('final_question'))} AS pred FROM rw")
-    return {"snapshot_run": snapshot, "one_group_check": one_group, "compare_modes": compare,
-            "three_step_run": three}
+        f"WITH {Q}, {seen}, z AS (SELECT qid, question, {_context_sql('dg')} FROM x), "
+        + _rewrite_sql(f"i AS (SELECT qid, {strip('question')} AS qs, context FROM z)", False) +
+        f", w AS (SELECT qid, final_question FROM rewritten), "
+        f"o AS (SELECT z.qid, {final} AS s FROM z JOIN w ON w.qid = z.qid) "
+        f"SELECT qid, {strip(echo(strip('s')))} AS pred FROM o")
+    return {"two_step_answer": two_step, "two_step_model": model("false"),
+            "two_step_failures": model(lost), "context_run": context,
+            "context_failures": context_failures, "fact_check_run": fact("false"),
+            "fact_check_failures": fact(lost), "rewrite_run": rewrite(False),
+            "rewrite_failures": rewrite(True), "snapshot_run": snapshot,
+            "one_group_check": one_group, "compare_modes": compare, "three_step_run": three}
 
 
-SQL.update(_more_run_sql())
+SQL.update(_run_sql())
 
 
-SQL["csv_roundtrip"] = f"WITH {Q} SELECT qid, question FROM q"
-SQL["replay_recorded"] = (
-    f"WITH {Q}, {A} SELECT q.qid, a.answer AS reply, CASE WHEN a.qid IS NULL THEN "
-    "'Error: No recorded reply' END AS error, 1 AS attempts FROM q LEFT JOIN a ON a.qid = q.qid")
+def _prompt_sql() -> str:
+    from quire.functions.prompts import CANDIDATES_TEMPLATE
 
+    p = template_sql(CANDIDATES_TEMPLATE, question=strip("question"), n="8")
+    return (f"WITH {Q}, p AS (SELECT qid, {p} AS p FROM q) SELECT qid, "
+            "CAST(length(p) AS INTEGER) AS prompt_len, md5(p) AS prompt_md5 FROM p")
 
 
-def _two_step_model_sql():
-    from quire.functions.prompts import CANDIDATES_TEMPLATE
+SQL["render_prompt"] = _prompt_sql()
+
 
-    cand = template_sql(CANDIDATES_TEMPLATE, question=strip("question"), n="4")
-    # The first candidate line carries letter (len(step-1 prompt) + 0) % 5.
-    letter = "substr('ABCDE', CAST((L + {k}) % 5 AS INTEGER) + 1, 1)"
-    thoughts = " || chr(10) || ".join(f"'{i + 1}. ' || " + letter.format(k=i * i) for i in range(4))
-    return (f"WITH {Q}, p AS (SELECT qid, length({cand}) AS L FROM q) "
-            f"SELECT qid, {letter.format(k=0)} AS answer, {thoughts} AS thoughts FROM p")
+SQL["csv_roundtrip"] = f"WITH {Q} SELECT qid, question FROM q"
+SQL["replay_recorded"] = (
+    f"WITH {Q}, {A} SELECT q.qid, a.answer AS reply, CASE WHEN a.qid IS NULL THEN "
+    "'Error: No recorded reply' END AS error, 1 AS attempts FROM q LEFT JOIN a ON a.qid = q.qid")
 
 
-SQL["two_step_model"] = _two_step_model_sql()
 
 SQL["checkpoint_marks"] = (
     "WITH r AS (SELECT event_id AS seq, row_number() OVER (ORDER BY event_id) AS running_count "

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions.replies import NO_CANDIDATES_THOUGHTS, reply_status
+from quire.functions.replies import NO_CANDIDATES_THOUGHTS, NO_RESPONSE_BEST, reply_status
 from quire.functions.text import py_strip
 from quire.operators import infer as inf
 from quire.operators import resume as rs
@@ -21,32 +21,57 @@ from quire.plans import shapes as sh
 from quire.session import scratch_path
 from quire.sources import io
 
-LOG_SCHEMA = "run_id INT, seq LONG, qid STRING, prediction STRING, attempts INT"
+#: ``run_id`` counts the rounds of a log; ``seq`` orders the rows of one round.
+LOG_SCHEMA = ("run_id INT, seq LONG, qid STRING, prediction STRING, attempts INT, "
+              "elapsed_s DOUBLE")
 
+#: No retry inside a task (a failed call becomes an error row at once).
+NO_RETRY = (0.0, 0.0, 0)
 
-def _answer_round(todo: DataFrame, responder_factory, run_id: int, group_col: str | None,
-                  max_retries: int) -> DataFrame:
-    out = inf.infer(todo, "prompt", responder_factory, keep=["qid"], group_col=group_col,
-                    max_retries=max_retries)
-    return out.select(
-        F.lit(run_id).alias("run_id"), F.monotonically_increasing_id().alias("seq"), "qid",
-        reply_status("reply", "error", step="step 2").alias("prediction"), "attempts")
+
+def retrying(retry: tuple) -> dict:
+    """``infer`` arguments of a retry setting (first delay, jitter, retries)."""
+    initial, jitter, retries = retry
+    return {"initial_backoff": initial, "jitter": jitter, "max_retries": retries}
+
+
+def next_round(log: DataFrame) -> int:
+    """The number of the round about to be written: one above the log's."""
+    last = log.agg(F.max("run_id")).first()[0]
+    return 0 if last is None else last + 1
 
 
 def answer_round(spark: SparkSession, questions: DataFrame, log_path: str, responder_factory,
-                 run_id: int, ids: DataFrame | None = None, group_col: str | None = "conv_id",
-                 max_retries: int = 3) -> None:
+                 ids: DataFrame | None = None, group_col: str | None = "conv_id",
+                 retry: tuple = inf.BACKOFF_REWRITE, no_response: str = NO_RESPONSE_BEST) -> None:
     """One model round over the questions not yet in the log (or only ``ids``);
-    the answers are appended to the log."""
+    the answers are appended to the log under the next round number."""
     log = io.load_log(spark, log_path, LOG_SCHEMA)
+    run_id = next_round(log)
     todo = rs.only_ids(questions, ids, key="qid") if ids is not None else \
         rs.unanswered(questions, log, key="qid")
-    rows = _answer_round(todo, responder_factory, run_id, group_col, max_retries)
-    io.append_log(rows, log_path)
+    out = inf.infer(todo, "prompt", responder_factory, keep=["qid"], group_col=group_col,
+                    **retrying(retry))
+    io.append_log(out.select(
+        F.lit(run_id).alias("run_id"), F.monotonically_increasing_id().alias("seq"), "qid",
+        reply_status("reply", "error", no_response).alias("prediction"), "attempts", "elapsed_s"),
+        log_path)
+
+
+def answer_rounds(spark: SparkSession, questions: DataFrame, log_path: str, first, retries,
+                  retry: tuple = inf.BACKOFF_REWRITE) -> DataFrame:
+    """Answer ``questions`` (qid, conv_id, prompt): a round over what the log
+    lacks, then one round per responder in ``retries`` over the ids whose
+    current answer is an error. Returns the current answers."""
+    answer_round(spark, questions, log_path, first, retry=retry)
+    for responder in retries:
+        failed = rs.error_ids(current_answers(spark, log_path), "prediction", key="qid")
+        answer_round(spark, questions, log_path, responder, ids=failed, retry=retry)
+    return current_answers(spark, log_path)
 
 
 def answer_run(spark: SparkSession, sf_dir: str, log_path: str | None = None,
-               first_factory=None, retry_factory=None) -> DataFrame:
+               first_factory=None, retry_factory=None, retry: tuple = NO_RETRY) -> DataFrame:
     """Batch answering of the user turns with one retry round.
 
     Default responders are deterministic: the first one fails (HTTP 503) on
@@ -57,25 +82,42 @@ def answer_run(spark: SparkSession, sf_dir: str, log_path: str | None = None,
     q = sh.questions(spark, sf_dir).select("qid", "conv_id", "turn",
                                            py_strip("question").alias("prompt"))
     first = first_factory or inf.PrefixResponder("A: ", 20, fail_when=lambda p: len(p) % 4 == 0)
-    retry = retry_factory or inf.PrefixResponder("A: ", 20)
-    # Round 0: everything not yet in the log; failures become error rows.
-    answer_round(spark, q, log_path, first, run_id=0, max_retries=0)
-    # Round 1: only the ids whose current answer (round 0 overlaid with any
-    # earlier retry) is still an error.
-    failed = rs.error_ids(current_answers(spark, log_path), "prediction", key="qid")
-    answer_round(spark, q, log_path, retry, run_id=1, ids=failed)
-    final = current_answers(spark, log_path)
+    final = answer_rounds(spark, q, log_path, first,
+                          [retry_factory or inf.PrefixResponder("A: ", 20)], retry)
     sub = rs.to_input_order(q.select("qid", "conv_id", "turn"), final, key="qid",
                             value_col="prediction", pos=["conv_id", "turn"])
-    return sub.select("qid", "conv_id", "turn",
-                      F.coalesce(py_strip("prediction"), F.lit("")).alias("pred"))
+    return io.submission(sub, keep=("conv_id", "turn"))
 
 
 def current_answers(spark: SparkSession, log_path: str) -> DataFrame:
-    """Latest original answer per id, overlaid with the latest retry answer
-    (one aggregate over the log)."""
+    """The answer of each id after all rounds of the log, and the round it is of
+    (``round_no``)."""
     log = io.load_log(spark, log_path, LOG_SCHEMA)
-    return rs.overlay_runs(log, key="qid", value_col="prediction")
+    return rs.overlay_runs(log, key="qid", value_col="prediction", original=None,
+                           won_col="round_no")
+
+
+def three_rounds(spark: SparkSession, sf_dir: str, log_path: str | None = None) -> DataFrame:
+    """Three rounds whose rows lie differently in each: the first retry mends
+    some failures, the second the others. Every id with its answer and the
+    round that gave it."""
+    log_path = log_path or scratch_path(spark, "rounds-log")
+    q = sh.questions(spark, sf_dir).select("qid", "conv_id", py_strip("question").alias("prompt"))
+    first = inf.PrefixResponder("A: ", 20, fail_when=lambda p: len(p) % 2 == 0)
+    second = inf.PrefixResponder("B: ", 20, fail_when=lambda p: len(p) % 4 == 0)
+    answer_round(spark, q, log_path, first, retry=NO_RETRY)
+    for factory, order in ((second, F.col("qid").desc()), (inf.PrefixResponder("C: ", 20), "conv_id")):
+        failed = rs.error_ids(current_answers(spark, log_path), "prediction", key="qid")
+        answer_round(spark, q.repartitionByRange(3, order), log_path, factory, ids=failed,
+                     retry=NO_RETRY)
+    return current_answers(spark, log_path).select("qid", "prediction", "round_no")
+
+
+def run_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """Calls, attempts and elapsed time per round of an answer log."""
+    return io.load_log(spark, log_path, LOG_SCHEMA).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n_calls"), F.sum("attempts").alias("n_attempts"),
+        F.sum("elapsed_s").alias("total_s"), F.max("elapsed_s").alias("max_s"))
 
 
 # --- Two-step answer: candidates as rows, then a table vote -------------------
@@ -95,34 +137,37 @@ def two_step_answer(spark: SparkSession, sf_dir: str, n: int = 4,
         render(CANDIDATES_TEMPLATE, question=py_strip("question"), n=n).alias("prompt"))
     step1 = inf.durable(inf.infer(q, "prompt", responder_factory or CandidateResponder(n),
                                   keep=["qid"], group_col="conv_id"))
-    cands = vo.candidate_rows(step1.filter(F.col("error").isNull()), key="qid", reply_col="reply")
+    cands = vo.open_labels(vo.candidate_rows(step1.filter(F.col("error").isNull()), key="qid",
+                                             reply_col="reply"))
     v = vo.vote(cands, key="qid", none_label="E", expected=q.select("qid"))
     return v.select("qid", "winner", "votes", "n_candidates", "status")
 
 
 def two_step_model(spark: SparkSession, sf_dir: str, n: int = 4, candidates_factory=None,
-                   aggregate_factory=None) -> DataFrame:
+                   aggregate_factory=None, retry: tuple = inf.BACKOFF_REWRITE) -> DataFrame:
     """Two model steps: ``n`` candidates, then an aggregation prompt holding the
-    question, the candidate text, ``n`` and the rules; the second reply is the
-    answer (blank → ``Error: No response from step 2``)."""
+    question, the candidate text (or the fixed text when there was none), ``n``
+    and the rules; the second reply is the answer. Where step 1 failed its
+    error is the answer and step 2 is not asked. Each step's replies are
+    written before anything shuffles them."""
     from quire.functions.prompts import AGGREGATE_TEMPLATE, CANDIDATES_TEMPLATE, render
-    from quire.operators.responders import CandidateResponder, FirstCandidateResponder
+    from quire.operators.responders import CandidateResponder, PickCandidateResponder
 
     q = sh.questions(spark, sf_dir).select("qid", "conv_id", py_strip("question").alias("q"))
     step1_in = q.select("qid", "conv_id", "q",
                         render(CANDIDATES_TEMPLATE, question=F.col("q"), n=n).alias("prompt"))
     step1 = inf.durable(inf.infer(step1_in, "prompt", candidates_factory or CandidateResponder(n),
-                                  keep=["qid", "conv_id", "q"], group_col="conv_id"))
-    step2_in = step1.select("qid", "conv_id", render(
-        AGGREGATE_TEMPLATE, question=F.col("q"), candidates=F.col("reply"), n=n).alias("prompt"))
-    step2 = inf.infer(step2_in, "prompt", aggregate_factory or FirstCandidateResponder(),
-                      keep=["qid"], group_col="conv_id")
-    # The (answer, thoughts) pair of each question: thoughts are the step-1
-    # candidates, or the fixed text when there were none.
-    thoughts = step1.select("qid", F.coalesce(F.nullif(py_strip("reply"), F.lit("")),
-                                              F.lit(NO_CANDIDATES_THOUGHTS)).alias("thoughts"))
-    pair = step2.join(thoughts, on="qid").select(
-        "qid", F.struct(reply_status("reply", "error", step="step 2").alias("answer"),
+                                  keep=["qid", "conv_id", "q"], group_col="conv_id",
+                                  **retrying(retry)))
+    step1 = step1.withColumn("thoughts", F.when(F.col("error").isNull(), F.coalesce(
+        F.nullif(py_strip("reply"), F.lit("")), F.lit(NO_CANDIDATES_THOUGHTS))))
+    step2_in = step1.where("error IS NULL").select("qid", "conv_id", "thoughts", render(
+        AGGREGATE_TEMPLATE, question=F.col("q"), candidates=F.col("thoughts"), n=n).alias("prompt"))
+    step2 = inf.durable(inf.infer(step2_in, "prompt", aggregate_factory or PickCandidateResponder(),
+                                  keep=["qid", "thoughts"], group_col="conv_id", **retrying(retry)))
+    failed = step1.where("error IS NOT NULL")
+    pair = step2.unionByName(failed.select(*step2.columns)).select(
+        "qid", F.struct(reply_status("reply", "error").alias("answer"),
                         F.col("thoughts")).alias("result"))
     return pair.select("qid", F.col("result.answer").alias("answer"),
                        F.col("result.thoughts").alias("thoughts"))
@@ -134,55 +179,63 @@ CONTEXT_LOG_SCHEMA = ("run_id INT, seq LONG, qid STRING, prediction STRUCT<conte
                       "is_contextual: BOOLEAN, explanation: STRING, corrected_question: STRING>")
 
 
-def _context_round(todo: DataFrame, factory, run_id: int, log_path: str) -> None:
-    from quire.functions.replies import parse_reply
+def _context_round(spark: SparkSession, todo: DataFrame, factory, log_path: str, retry: tuple
+                   ) -> None:
+    from quire.functions.replies import context_prediction
 
-    out = inf.infer(todo, "prompt", factory, keep=["qid"], group_col="conv_id", max_retries=0)
+    run_id = next_round(io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA))
+    out = inf.infer(todo, "prompt", factory, keep=["qid"], group_col="conv_id", **retrying(retry))
     io.append_log(out.select(F.lit(run_id).alias("run_id"),
                              F.monotonically_increasing_id().alias("seq"), "qid",
-                             parse_reply("reply").alias("prediction")), log_path)
+                             context_prediction("reply", "error", retry[2]).alias("prediction")),
+                  log_path)
 
 
-def current_contexts(spark: SparkSession, log_path: str, add_new: bool = False) -> DataFrame:
-    """Original contexts overlaid with retried ones where the original failed
-    (a context starting with ``Error:``); one aggregate over the log."""
-    from quire.functions.replies import is_error
+def current_contexts(spark: SparkSession, log_path: str) -> DataFrame:
+    """The context record of each id after all rounds of the log."""
+    from quire.functions.replies import context_failed
 
     log = io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA)
-    return rs.overlay_runs(log, key="qid", value_col="prediction", add_new=add_new,
-                           error_test=lambda c: is_error(c["context"], mode="prefix"))
+    return rs.overlay_runs(log, key="qid", value_col="prediction", original=None,
+                           error_test=lambda c: context_failed(c["context"]), won_col="round_no")
 
 
 def context_rounds(spark: SparkSession, questions: DataFrame, log_path: str,
-                   first_factory=None, retry_factory=None) -> DataFrame:
+                   first_factory=None, retry_factory=None, retry: tuple = inf.BACKOFF_CONTEXT
+                   ) -> DataFrame:
     """Context extraction with one retry round over ``questions`` (``qid``,
     ``conv_id``, ``question``); returns the current (overlaid) contexts."""
     from quire.functions.prompts import CONTEXT_TEMPLATE, render
-    from quire.functions.replies import is_error
+    from quire.functions.replies import context_failed
     from quire.operators.responders import ContextResponder
 
-    header = len(CONTEXT_TEMPLATE.split("{question}", 1)[0])
     q = questions.select("qid", "conv_id",
                          render(CONTEXT_TEMPLATE, question=py_strip("question")).alias("prompt"))
     log = io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA)
-    _context_round(rs.unanswered(q, log), first_factory or ContextResponder(header, fail_mod=7),
-                   0, log_path)
+    _context_round(spark, rs.unanswered(q, log), first_factory or ContextResponder(fail_mod=7),
+                   log_path, retry)
     state = current_contexts(spark, log_path)
-    failed = state.filter(is_error(F.col("prediction")["context"], mode="prefix")).select("qid")
-    _context_round(rs.only_ids(q, failed), retry_factory or ContextResponder(header), 1, log_path)
+    failed = state.filter(context_failed(F.col("prediction")["context"])).select("qid")
+    _context_round(spark, rs.only_ids(q, failed), retry_factory or ContextResponder(), log_path,
+                   retry)
     return current_contexts(spark, log_path)
 
 
 def context_run(spark: SparkSession, sf_dir: str, log_path: str | None = None,
-                first_factory=None, retry_factory=None) -> DataFrame:
+                first_factory=None, retry_factory=None, retry: tuple = inf.BACKOFF_CONTEXT
+                ) -> DataFrame:
     """Context extraction for every user turn with one retry round, then the
-    contexts flattened onto the question rows (left join: every question kept)."""
+    contexts flattened onto the question rows; a question without a record gets
+    that of a lost task."""
+    from quire.functions.replies import task_error_struct
     from quire.operators.enrich import enrich
 
     log_path = log_path or scratch_path(spark, "context-log")
     questions = sh.questions(spark, sf_dir)
-    final = context_rounds(spark, questions, log_path, first_factory, retry_factory)
-    out = enrich(questions.select("qid", "conv_id", "turn"), final.select("qid", "prediction"),
+    final = context_rounds(spark, questions, log_path, first_factory, retry_factory, retry)
+    full = rs.complete(questions.select("qid"), final.select("qid", "prediction"), key="qid",
+                       placeholder=task_error_struct())
+    out = enrich(questions.select("qid", "conv_id", "turn"), full.select("qid", "prediction"),
                  key="qid", how="left", question=None, prompt=None)
     return out.select("qid", "conv_id", "turn", "context", "is_contextual", "explanation",
                       "corrected_question")
@@ -192,14 +245,12 @@ def snapshot_run(spark: SparkSession, sf_dir: str, log_path: str | None = None)
     """Snapshot of the answered questions: last-wins contexts, retry overlay
     that also adds retry-only ids, inner join with the questions, combined
     question text, prediction flattened, NaN as NULL."""
-    from quire.functions.replies import is_error
     from quire.operators.enrich import enrich
 
     log_path = log_path or scratch_path(spark, "snapshot-log")
     questions = sh.questions(spark, sf_dir)
     context_rounds(spark, questions, log_path)
-    # Last-wins per run, retry overlay that also adds retry-only ids.
-    final = current_contexts(spark, log_path, add_new=True)
+    final = current_contexts(spark, log_path)
     q = questions.join(sh.prompts(spark, sf_dir), on="conv_id", how="left")
     out = enrich(q.select("qid", "question", "question_prompt"), final.select("qid", "prediction"),
                  key="qid", how="inner")
@@ -222,7 +273,8 @@ def one_group_check(spark: SparkSession, sf_dir: str, conv_id: int, log_path: st
 
 # --- Fact check over (question, answer) pairs ---------------------------------
 
-def fact_check_run(spark: SparkSession, sf_dir: str, responder_factory=None) -> DataFrame:
+def fact_check_run(spark: SparkSession, sf_dir: str, responder_factory=None,
+                   retry: tuple = inf.BACKOFF_REWRITE) -> DataFrame:
     from quire.functions.prompts import FACT_CHECK_TEMPLATE, render
     from quire.functions.replies import parse_verdict
     from quire.operators.responders import VerdictResponder
@@ -232,8 +284,8 @@ def fact_check_run(spark: SparkSession, sf_dir: str, responder_factory=None) ->
                                              answer=py_strip("answer")).alias("prompt"))
     # Consumed once by a projection: no shuffle re-reads the model output.
     out = inf.infer(p, "prompt", responder_factory or VerdictResponder(), keep=["qid"],
-                    group_col="conv_id", max_retries=0)
-    v = out.select("qid", parse_verdict("reply").alias("v"))
+                    group_col="conv_id", **retrying(retry))
+    v = out.select("qid", parse_verdict("reply", "error").alias("v"))
     return v.select("qid", "v.is_supported", "v.explanation")
 
 
@@ -243,41 +295,49 @@ REWRITE_START = "Original question:\n"
 REWRITE_END = "\n\nRewrite the question"
 
 
-def rewrite_run(spark: SparkSession, sf_dir: str, responder_factory=None) -> DataFrame:
-    """Rewrite each user turn with the following assistant turn as its context.
+def rewrite_items(spark: SparkSession, items: DataFrame, responder_factory=None,
+                  retry: tuple = inf.BACKOFF_REWRITE) -> DataFrame:
+    """Rewrite each question of ``items`` (qid, conv_id, question, context).
 
     Rows without a question, without context or whose context has no chunk
     are kept with their ``skip_reason`` (status ``skipped``); the others get
-    the cleaned rewrite, or the question when the rewrite is empty or only
-    differs in case."""
+    the cleaned rewrite, or the question when the call failed (``error``) or the
+    rewrite is empty or only differs in case. Output: qid, skip_reason,
+    context (its chunks), final_question, rewrite_status, error."""
     from quire.functions.prompts import REWRITE_TEMPLATE, render
     from quire.functions.text import (bullet_list, clean_rewrite, context_chunks,
                                       rewrite_or_fallback, rewrite_status)
+    from quire.operators.enrich import validate_rows
     from quire.operators.responders import RewriteResponder
 
-    items = sh.questions(spark, sf_dir).join(sh.answers(spark, sf_dir), on="qid", how="left") \
-        .select("qid", "conv_id", py_strip("question").alias("q"), F.col("answer").alias("context"))
-    items = items.withColumn("chunks", context_chunks("context"))
-    reason = (F.when(F.col("q").isNull(), F.lit("missing_question"))
-              .when(F.col("context").isNull(), F.lit("null_context"))
-              .when(F.size("chunks") == 0, F.lit("no_chunks")))
-    items = items.withColumn("skip_reason", reason)
-    valid = items.filter(F.col("skip_reason").isNull()).select(
-        "qid", "conv_id", "q",
+    checked = validate_rows(items.withColumn("q", py_strip("question")), question="q",
+                            context="context").withColumn("chunks", context_chunks("context"))
+    valid = checked.filter(F.col("skip_reason").isNull()).select(
+        "qid", "conv_id", "q", "chunks",
         render(REWRITE_TEMPLATE, context=bullet_list("chunks"), question=F.col("q")).alias("prompt"))
     out = inf.durable(inf.infer(
         valid, "prompt", responder_factory or RewriteResponder(REWRITE_START, REWRITE_END),
-        keep=["qid", "q"], group_col="conv_id", max_retries=0))
-    cleaned = out.select("qid", "q", clean_rewrite("reply").alias("r"))
-    done = cleaned.select("qid", F.lit(None).cast("string").alias("skip_reason"),
-                          rewrite_or_fallback("r", "q").alias("final_question"),
-                          rewrite_status("r", "q").alias("rewrite_status"))
-    skipped = items.filter(F.col("skip_reason").isNotNull()).select(
-        "qid", "skip_reason", F.col("q").alias("final_question"),
-        F.lit("skipped").alias("rewrite_status"))
+        keep=["qid", "q", "chunks"], group_col="conv_id", **retrying(retry)))
+    cleaned = out.select("qid", "q", "chunks", "error", clean_rewrite("reply").alias("r"))
+    done = cleaned.select(
+        "qid", F.lit(None).cast("string").alias("skip_reason"), F.col("chunks").alias("context"),
+        rewrite_or_fallback("r", "q").alias("final_question"),
+        F.when(F.col("error").isNotNull(), F.lit("error")).otherwise(rewrite_status("r", "q"))
+        .alias("rewrite_status"), "error")
+    skipped = checked.filter(F.col("skip_reason").isNotNull()).select(
+        "qid", "skip_reason", F.col("chunks").alias("context"), F.col("q").alias("final_question"),
+        F.lit("skipped").alias("rewrite_status"), F.lit(None).cast("string").alias("error"))
     return done.unionByName(skipped)
 
 
+def rewrite_run(spark: SparkSession, sf_dir: str, responder_factory=None,
+                retry: tuple = inf.BACKOFF_REWRITE) -> DataFrame:
+    """Rewrite each user turn with the following assistant turn as its context."""
+    items = sh.questions(spark, sf_dir).join(sh.answers(spark, sf_dir), on="qid", how="left") \
+        .select("qid", "conv_id", "question", F.col("answer").alias("context"))
+    return rewrite_items(spark, items, responder_factory, retry)
+
+
 # --- Compare single-shot and two-step answers --------------------------------
 
 def compare_modes(spark: SparkSession, sf_dir: str, n: int = 4,
@@ -308,10 +368,11 @@ def compare_modes(spark: SparkSession, sf_dir: str, n: int = 4,
         step1 = inf.durable(inf.infer(p, "prompt", CandidateResponder(n),
                                       keep=list(ca.CACHE_KEY), group_col="conv_id",
                                       salt_on="question"))
-        cands = vo.candidate_rows(step1.withColumn("k", F.to_json(F.struct(*ca.CACHE_KEY))),
-                                  key="k", reply_col="reply")
+        # The vote runs on a 160-bit hash of the key, not on the question's text.
+        step1 = step1.withColumn("k", F.sha1(F.to_json(F.struct(*ca.CACHE_KEY))))
+        cands = vo.candidate_rows(step1, key="k", reply_col="reply")
         v = vo.vote(cands, key="k", none_label="E")
-        keys_k = step1.select(*ca.CACHE_KEY, F.to_json(F.struct(*ca.CACHE_KEY)).alias("k"))
+        keys_k = step1.select(*ca.CACHE_KEY, "k")
         return keys_k.join(v, on="k", how="left").select(*ca.CACHE_KEY,
                                                            F.col("winner").alias("answer"))
 
@@ -328,24 +389,31 @@ def compare_modes(spark: SparkSession, sf_dir: str, n: int = 4,
 
 # --- Three steps: context, rewrite, answer -----------------------------------
 
-def three_step_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Context run, then rewrite run, then the answer input (rewritten question,
-    falling back to the question; a context is required), then the answer."""
+def three_step_run(spark: SparkSession, sf_dir: str, retry: tuple = NO_RETRY) -> DataFrame:
+    """Contexts, then rewrites that read those contexts, then the answers to the
+    rewritten questions (falling back to the question; a context is required)
+    with the context in their prompt, through the answer log with a retry
+    round, in input order."""
+    from quire.functions.prompts import ANSWER_TEMPLATE, render
     from quire.operators.enrich import prepare_answer_input
 
     questions = sh.questions(spark, sf_dir)
-    contexts = context_rounds(spark, questions, scratch_path(spark, "three-step-context"))
+    contexts = context_rounds(spark, questions, scratch_path(spark, "three-step-context"),
+                              retry=retry)
     contexts = contexts.select("qid", F.col("prediction")["context"].alias("context"))
-    rewrites = rewrite_run(spark, sf_dir).select(
-        "qid", F.col("final_question").alias("corrected_question"))
+    rewrites = rewrite_items(spark, questions.join(contexts, on="qid", how="left"), retry=retry) \
+        .select("qid", F.col("final_question").alias("corrected_question"))
     inputs = prepare_answer_input(questions.select("qid", "conv_id", "turn", "question"),
                                   rewrites, contexts, key="qid", strict=True)
-    prompts = inputs.select("qid", "conv_id", "turn",
-                            py_strip("corrected_question").alias("prompt"))
-    out = inf.infer(prompts, "prompt", inf.PrefixResponder("A: ", 20), keep=["qid"],
-                    group_col="conv_id", max_retries=0)
-    return out.select("qid", F.coalesce(py_strip(reply_status("reply", "error")), F.lit(""))
-                      .alias("pred"))
+    prompts = inputs.select("qid", "conv_id", "turn", render(
+        ANSWER_TEMPLATE, context=F.col("context"),
+        question=py_strip("corrected_question")).alias("prompt"))
+    first = inf.PrefixResponder("A: ", 20, fail_when=lambda p: len(p) % 4 == 0)
+    final = answer_rounds(spark, prompts, scratch_path(spark, "three-step-answers"), first,
+                          [inf.PrefixResponder("A: ", 20)], retry)
+    ordered = rs.to_input_order(questions.select("qid", "conv_id", "turn"), final, key="qid",
+                                value_col="prediction", pos=["conv_id", "turn"])
+    return io.submission(ordered)
 
 
 # --- Repeated passes feeding the vote -----------------------------------------

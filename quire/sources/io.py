@@ -7,12 +7,15 @@ stay text.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.text import py_strip
-from quire.operators.ordering import with_source_pos
+from quire.operators.ordering import global_index, with_source_pos
 from quire.schemas import QUESTIONS_CSV
 
 _INDEX_COLUMNS = ("_c0", "Unnamed: 0", "")
@@ -22,15 +25,23 @@ def read_questions_csv(spark: SparkSession, path: str, schema: T.StructType = QU
                        with_pos: bool = True) -> DataFrame:
     """Question table from CSV: quoted fields with doubled quotes and real
     newlines are kept as written (a literal backslash-n stays two characters).
-    The unnamed index column is dropped. ``pos`` follows file order; a
-    multi-line CSV is read unsplit, so convert it once to Parquet at scale.
+    The unnamed index column is dropped. ``pos`` follows the order of rows in a
+    file, and of several files by their names; a multi-line CSV is read
+    unsplit, so convert it once to Parquet at scale.
     """
     df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
           .option("escape", '"').option("mode", "FAILFAST")
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .csv(path))
     df = df.drop(*[c for c in _INDEX_COLUMNS if c in df.columns])
-    return with_source_pos(df) if with_pos else df
+    if not with_pos:
+        return df
+    if len(df.inputFiles()) < 2:
+        return with_source_pos(df)
+    # Spark packs files into tasks by size: order by name, then by place.
+    placed = df.withColumn("_file", F.input_file_name()).withColumn(
+        "_place", F.monotonically_increasing_id())
+    return global_index(placed, ["_file", "_place"], col="pos").drop("_file", "_place")
 
 
 def csv_schema(schema: T.StructType) -> T.StructType:
@@ -72,27 +83,41 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType,
     return rec.filter(ok).select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists, asked of the path's own filesystem (local, HDFS,
-    object store) through Hadoop, without reading it."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _read_if_there(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def load_log(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The answer log; a missing path is an empty log. A corrupt log fails
-    loudly (re-answering everything silently would be worse)."""
-    if not path_exists(spark, path):
+    """The answer log: the rows of all committed batches, and of Parquet files
+    that lie in the folder itself. A missing path is an empty log. A corrupt
+    log fails loudly (re-answering everything silently would be worse)."""
+    flat = _read_if_there(spark, path, schema)
+    if flat is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    commits = _read_if_there(spark, f"{path}/_commits", "batch STRING")
+    if commits is None:
+        return flat
+    kind = schema if isinstance(schema, T.StructType) else flat.schema
+    rows = spark.read.schema(T.StructType([*kind.fields, T.StructField("batch", T.StringType())])) \
+        .parquet(f"{path}/_rows")
+    done = rows.join(commits.distinct(), on="batch", how="left_semi")
+    return flat.unionByName(done.select(*flat.columns))
 
 
 def append_log(rows: DataFrame, path: str) -> None:
-    """Append one batch to the log: a single job commit, so a batch is either
-    wholly in the log or not at all. The rows are computed once, by the write
-    itself (no cache that an executor loss could drop and silently re-run)."""
-    rows.write.mode("append").parquet(path)
+    """Append one batch to the log, wholly or not at all: its rows go to a folder
+    of their own, and one more row in ``_commits`` (a single file) makes them
+    part of the log. What a lost driver leaves behind is never read. The rows
+    are computed once, by the write itself."""
+    spark, batch = rows.sparkSession, uuid.uuid4().hex
+    rows.write.parquet(f"{path}/_rows/batch={batch}")
+    spark.createDataFrame([(batch,)], "batch STRING").coalesce(1) \
+        .write.mode("append").parquet(f"{path}/_commits")
 
 
 def submission(predictions: DataFrame, key: str = "qid", value_col: str = "prediction",

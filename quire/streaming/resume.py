@@ -25,33 +25,49 @@ ARRIVAL_SCHEMA = T.StructType([
     T.StructField("prompt", T.StringType()),
 ])
 STREAM_LOG_SCHEMA = "qid STRING, reply STRING, error STRING, batch_id LONG, bucket INT"
-# The log is partitioned by a hash bucket of the id, so a micro-batch reads
-# only the buckets its ids fall in (partition pruning) instead of the whole log.
+# The log is partitioned by a hash bucket of the id, so a micro-batch reads only
+# the buckets its ids fall in (partition pruning) instead of the whole log. Size
+# the number to the log: a bucket should hold a file or a few.
 LOG_BUCKETS = 64
 
 
-def id_bucket(col: str = "qid"):
-    return F.pmod(F.xxhash64(col), F.lit(LOG_BUCKETS)).cast("int")
+def id_bucket(col: str = "qid", buckets: int = LOG_BUCKETS):
+    return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
+
+
+def stream_answers(log: DataFrame) -> DataFrame:
+    """One answer per id of a stream log: the first that is no failure, else the
+    last failure."""
+    good = F.when(F.col("error").isNull(), F.col("batch_id"))
+    pair = F.struct("reply", "error")
+    agg = log.groupBy("qid").agg(F.min_by(pair, good).alias("g"),
+                                 F.max_by(pair, F.col("batch_id")).alias("l"))
+    return agg.select("qid", F.coalesce("g.reply", "l.reply").alias("reply"),
+                      F.when(F.col("g").isNull(), F.col("l.error")).alias("error"))
 
 
 def resume_stream(spark: SparkSession, source_path: str, log_path: str, checkpoint: str,
                   responder_factory, schema: T.StructType = ARRIVAL_SCHEMA,
-                  files_per_batch: int | None = None, group_col: str | None = "conv_id"):
+                  files_per_batch: int | None = None, group_col: str | None = "conv_id",
+                  log_buckets: int = LOG_BUCKETS, max_retries: int = 3):
     """Start an ``availableNow`` query answering new questions; returns the
-    started query (call ``awaitTermination()``)."""
+    started query (call ``awaitTermination()``). A question whose answer
+    failed is asked again when it arrives again."""
 
     def answer_batch(batch: DataFrame, batch_id: int) -> None:
-        new = batch.dropDuplicates(["qid"])
-        # At most LOG_BUCKETS small ints reach the driver.
-        buckets = [r[0] for r in new.select(id_bucket().alias("b")).distinct().collect()]
+        # Written once: the buckets and the answers read the same rows.
+        new = batch.dropDuplicates(["qid"]).withColumn("bucket", id_bucket("qid", log_buckets)) \
+            .checkpoint(eager=True)
+        # At most log_buckets small ints reach the driver.
+        buckets = [r[0] for r in new.select("bucket").distinct().collect()]
         if not buckets:
             return
         log = io.load_log(spark, log_path, STREAM_LOG_SCHEMA).filter(F.col("bucket").isin(buckets))
-        todo = rs.unanswered(new, log, key="qid")
+        todo = rs.unanswered(new, log.where("error IS NULL"), key="qid")
         out = inf.infer(todo, "prompt", responder_factory, keep=["qid"], group_col=group_col,
-                        max_retries=3)
+                        max_retries=max_retries)
         rows = out.select("qid", "reply", "error", F.lit(batch_id).cast("long").alias("batch_id"),
-                          id_bucket().alias("bucket"))
+                          id_bucket("qid", log_buckets).alias("bucket"))
         # One commit per micro-batch: a replayed batch finds its answers in the
         # log and answers nothing twice.
         # Answers are small: one shuffle by bucket keeps it to one file per
@@ -69,17 +85,22 @@ def resume_stream(spark: SparkSession, source_path: str, log_path: str, checkpoi
 
 
 def demo_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user turns arrive as several files, part of them sent twice; the
-    stream answers each question once. Returns the answer log."""
+    """The user turns arrive as several files, and the opening ones of each
+    conversation again; the stream answers each question once. The first
+    arrivals meet a model that refuses some prompts for good, and of those the
+    ones sent again get their answer."""
     base = scratch_path(spark, "stream")
     source, log_path, ckpt = f"{base}/arrivals", f"{base}/log", f"{base}/checkpoint"
     q = sh.questions(spark, sf_dir).select("qid", "conv_id", py_strip("question").alias("prompt"))
     # Arrival 1: every question, in a few files by conversation range.
     q.repartitionByRange(4, "conv_id").write.mode("append").parquet(source)
+    fails = inf.PrefixResponder("A: ", 20, fail_when=lambda p: len(p) % 4 == 0,
+                                message="403 permission denied")
+    resume_stream(spark, source, log_path, ckpt, fails, files_per_batch=3).awaitTermination()
     # Arrival 2: the opening questions of each conversation are sent again.
     q.join(sh.questions(spark, sf_dir).filter(F.col("turn") == 0).select("qid"), on="qid",
            how="left_semi").repartitionByRange(2, "conv_id").write.mode("append").parquet(source)
-    query = resume_stream(spark, source, log_path, ckpt, inf.PrefixResponder("A: ", 20),
-                          files_per_batch=3)
-    query.awaitTermination()
-    return io.load_log(spark, log_path, STREAM_LOG_SCHEMA).select("qid", "reply")
+    resume_stream(spark, source, log_path, ckpt, inf.PrefixResponder("A: ", 20),
+                  files_per_batch=3).awaitTermination()
+    log = io.load_log(spark, log_path, STREAM_LOG_SCHEMA)
+    return stream_answers(log)

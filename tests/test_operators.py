@@ -204,17 +204,66 @@ def test_progress_and_overlay_counts(spark):
 
 
 def test_spread_for_inference_splits_hot_group(spark):
-    # A third of the rows in one group: sized salting spreads it over tasks.
+    # A third of the rows in one group spreads over all tasks.
     data = [(f"q{i}", 0 if i % 3 == 0 else i % 50 + 1) for i in range(3000)]
     df = spark.createDataFrame(data, "qid string, g long")
-    out = gr.spread_for_inference(df, "g", partitions=16, rows_per_task=100)
+    out = gr.spread_for_inference(df, "g", partitions=16)
     per_task = out.filter("g = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
-    # Range bounds cut the group into slices close to rows_per_task.
     assert len(per_task) >= 8 and max(r["count"] for r in per_task) <= 200
     assert sum(r["count"] for r in per_task) == 1000
     assert out.count() == 3000 and set(out.columns) == {"qid", "g"}
 
 
+def test_infer_bounds_rows_per_task(spark):
+    from quire.operators.infer import task_count
+
+    df = spark.range(20_000).selectExpr("CAST(id AS STRING) AS qid", "id % 3 AS g")
+    n = task_count(df, 100)
+    out = gr.spread_for_inference(df, "g", partitions=n)
+    sizes = out.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()
+    assert n == 200 and sizes[0] <= 160
+
+
+def test_only_ids_takes_lists_of_any_length(spark):
+    df = spark.range(3000).selectExpr("CAST(id AS STRING) AS qid")
+    assert rs.only_ids(df, [str(i) for i in range(500, 1501)], key="qid").count() == 1001
+
+
+def test_overlay_of_many_rounds(spark):
+    # A retry that worked is kept, whatever later rounds hold; seq starts anew in each.
+    log = spark.createDataFrame(
+        [(0, 5, "a", "Error"), (0, 6, "b", "Error"), (0, 7, "c", "ok"), (1, 0, "a", "Error: x"),
+         (1, 9, "b", "B1"), (2, 0, "a", "A2"), (3, 0, "b", "B3"), (3, 1, "d", "new"),
+         (4, 0, "c", "later")], "run_id int, seq long, qid string, prediction string")
+    got = sorted(rows(rs.overlay_runs(log, original=None, won_col="won"), "qid", "prediction", "won"))
+    assert got == [("a", "A2", 2), ("b", "B1", 1), ("c", "ok", 0), ("d", "new", 3)]
+
+
+def test_open_candidates_vote_by_text(spark):
+    lines = spark.createDataFrame([("q", "1. A man\n2.  a man \n3. A dog")], "qid string, reply string")
+    v = vo.vote(vo.open_labels(vo.candidate_rows(lines)))
+    assert rows(v, "winner", "votes", "n_candidates", "status") == [("a man", 2, 3, "ok")]
+
+
+def test_validate_rows_gives_a_reason_for_each(spark):
+    df = spark.createDataFrame([(None, "a."), ("q", None), ("q", " . "), ("q", "a. b")],
+                               "question string, context string")
+    assert [r[0] for r in rows(en.validate_rows(df), "skip_reason")] == [
+        "missing_question", "null_context", "no_chunks", None]
+    other = df.select("question", F.lit(5).alias("context"))
+    assert {r[0] for r in rows(en.validate_rows(other), "skip_reason")} == {"missing_question",
+                                                                            "wrong_type"}
+
+
+def test_cache_keeps_requests_with_null_keys(spark):
+    req = spark.createDataFrame([("1", "m", None, "q"), ("2", "m", "u", None), ("3", "m", "u", "q")],
+                                "qid string, mode string, url string, question string")
+    cache = spark.createDataFrame([("m", None, "q", "x"), ("m", None, "q", "x")],
+                                  "mode string, url string, question string, answer string")
+    hits, misses = ca.split_cached(req, cache, ["mode", "url", "question"])
+    assert rows(hits, "qid", "answer") == [("1", "x")] and misses.count() == 2
+
+
 def test_overlay_runs_matches_two_log_overlay(spark):
     log = spark.createDataFrame(
         [(0, 1, "1", "Error"), (0, 2, "2", "Error"), (0, 3, "3", "A"), (0, 4, "4", "B"),
@@ -250,6 +299,6 @@ def test_index_in_group(spark):
 def test_spread_for_inference_splits_null_group(spark):
     data = [(f"q{i}", None if i % 2 else i % 7) for i in range(2000)]
     df = spark.createDataFrame(data, "qid string, g long")
-    out = gr.spread_for_inference(df, "g", partitions=16, rows_per_task=100)
+    out = gr.spread_for_inference(df, "g", partitions=16)
     per_task = out.filter("g IS NULL").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_task) >= 4 and sum(r["count"] for r in per_task) == 1000

@@ -6,13 +6,16 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from quire.plans.catalog import QUERIES
 
 from conftest import SF_SMALL
 
 # Queries that call the model (mapInPandas) or run a stream.
 MODEL_QUERIES = {"infer_replay", "answer_run", "stream_resume", "two_step_answer", "context_run",
                  "fact_check_run", "rewrite_run", "two_step_model", "repeat_vote", "snapshot_run", "one_group_check",
-                 "compare_modes", "three_step_run"}
+                 "compare_modes", "three_step_run", "three_rounds", "two_step_failures",
+                 "context_failures", "fact_check_failures", "rewrite_failures", "infer_attempts",
+                 "media_answers"}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF")
 
@@ -21,7 +24,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - MODEL_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODEL_QUERIES))
 def test_no_python_in_table_queries(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     assert not any(n in plan for n in PYTHON_NODES), plan

@@ -76,7 +76,7 @@ def test_parse_verdict(spark):
 def test_reply_status(spark):
     df = spark.createDataFrame([(" a ", None), ("  ", None), (None, "x" * 150)], "r string, e string")
     got = [r[0] for r in df.select(rp.reply_status("r", "e")).collect()]
-    assert got == ["a", "Error: No response from step 2",
+    assert got == ["a", "Error: No response from best-answer selection (Step 2).",
                    "Error during processing: " + "x" * 100]
 
 
