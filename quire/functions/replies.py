@@ -161,6 +161,12 @@ def _bool_field(s: Column, parsed: Column, name: str) -> Column:
                   F.coalesce(_json_flag(s, name), F.lit(False))).otherwise(F.lit(False))
 
 
+def _let(value: Column, build) -> Column:
+    """``build(value)`` with ``value`` computed once, however often it is used: a
+    lambda's variable is not inlined."""
+    return F.get(F.transform(F.array(value), build), 0)
+
+
 def parse_reply(reply) -> Column:
     """Parse a context reply into ``STRUCT<context, is_contextual, explanation,
     corrected_question>``.
@@ -169,16 +175,18 @@ def parse_reply(reply) -> Column:
     Missing or NULL ``context`` / ``explanation`` take the error texts;
     ``is_contextual`` is true only for a real JSON boolean true.
     """
-    s = strip_fences(reply)
-    parsed = F.from_json(s, _with_corrupt(CONTEXT_SCHEMA), _JSON_OPTS)
-    good = F.struct(
-        F.coalesce(parsed["context"], F.lit(PARSE_ERROR_CONTEXT)).alias("context"),
-        _bool_field(s, parsed, "is_contextual").alias("is_contextual"),
-        F.coalesce(parsed["explanation"], F.lit(PARSE_ERROR_EXPLANATION)).alias("explanation"),
-        parsed["corrected_question"].alias("corrected_question"),
-    )
-    return F.when(F.coalesce(_is_json_object(parsed), F.lit(False)), good) \
-        .otherwise(parse_error_struct())
+    def fields(s: Column, parsed: Column) -> Column:
+        good = F.struct(
+            F.coalesce(parsed["context"], F.lit(PARSE_ERROR_CONTEXT)).alias("context"),
+            _bool_field(s, parsed, "is_contextual").alias("is_contextual"),
+            F.coalesce(parsed["explanation"], F.lit(PARSE_ERROR_EXPLANATION)).alias("explanation"),
+            parsed["corrected_question"].alias("corrected_question"),
+        )
+        return F.when(F.coalesce(_is_json_object(parsed), F.lit(False)), good) \
+            .otherwise(parse_error_struct())
+
+    return _let(strip_fences(reply), lambda s: _let(
+        F.from_json(s, _with_corrupt(CONTEXT_SCHEMA), _JSON_OPTS), lambda p: fields(s, p)))
 
 
 def error_struct(context: str, explanation) -> Column:
@@ -236,20 +244,20 @@ def parse_verdict(reply, error=None) -> Column:
     takes the default text; text that is not a JSON object gives
     ``(false, 'Error during fact check: ...')`` carrying the raw reply.
     """
-    r = as_col(reply)
-    s = py_strip(r)
-    parsed = F.from_json(s, _with_corrupt(VERDICT_SCHEMA), _JSON_OPTS)
-    ok = F.coalesce(_is_json_object(parsed), F.lit(False))
-    good = F.struct(
-        _bool_field(s, parsed, "is_supported").alias("is_supported"),
-        F.coalesce(parsed["explanation"], F.lit(VERDICT_NO_EXPLANATION)).alias("explanation"),
-    )
-    bad = F.struct(
-        F.lit(False).alias("is_supported"),
-        F.concat(F.lit(VERDICT_ERROR_PREFIX + VERDICT_PARSE_FAILURE),
-                 F.coalesce(s, F.lit(""))).alias("explanation"),
-    )
-    out = F.when(ok, good).otherwise(bad)
+    def fields(s: Column, parsed: Column) -> Column:
+        good = F.struct(
+            _bool_field(s, parsed, "is_supported").alias("is_supported"),
+            F.coalesce(parsed["explanation"], F.lit(VERDICT_NO_EXPLANATION)).alias("explanation"),
+        )
+        bad = F.struct(
+            F.lit(False).alias("is_supported"),
+            F.concat(F.lit(VERDICT_ERROR_PREFIX + VERDICT_PARSE_FAILURE),
+                     F.coalesce(s, F.lit(""))).alias("explanation"),
+        )
+        return F.when(F.coalesce(_is_json_object(parsed), F.lit(False)), good).otherwise(bad)
+
+    out = _let(py_strip(as_col(reply)), lambda s: _let(
+        F.from_json(s, _with_corrupt(VERDICT_SCHEMA), _JSON_OPTS), lambda p: fields(s, p)))
     if error is None:
         return out
     failed = F.struct(F.lit(False).alias("is_supported"),

@@ -16,8 +16,9 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "quire") -> SparkSession:
-    """Return the active session, or build a local one for tests and benches."""
+                app_name: str = "quire", conf: dict | None = None) -> SparkSession:
+    """Return the active session, or build a local one for tests and benches
+    (``conf``: more settings)."""
     active = SparkSession.getActiveSession()
     if active is not None:
         ensure_checkpoint_dir(active)
@@ -35,6 +36,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("QUIRE_DRIVER_MEMORY", "8g"))
     )
+    for name, value in (conf or {}).items():
+        builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
