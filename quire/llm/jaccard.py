@@ -73,11 +73,11 @@ def set_keys(sets: list[np.ndarray]) -> np.ndarray:
 
 # --- first pass: sizes, keys, and how often shingles occur -----------------
 
-FIRST = "doc_id {id}, n long, key long, block int, counts binary"
+FIRST = "doc_id {id}, h long, n long, key long, block int, counts binary"
 
 
 def first_pass(docs: DataFrame, width: int) -> DataFrame:
-    """Rows per document (doc_id, n, key) and per sketch block of a task
+    """Rows per document (doc_id, text hash h, n, key) and per sketch block of a task
     (block, counts). Sets met before in the task are not counted again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, met, kind = np.zeros(SKETCH, dtype=np.int64), set(), None
@@ -96,9 +96,10 @@ def first_pass(docs: DataFrame, width: int) -> DataFrame:
                                           .astype(np.int64), minlength=SKETCH)
                 n = len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    [rows.column("doc_id"), rows.column("h"),
+                     pa.array([len(s) for s in sets], pa.int64()),
                      pa.array(keys), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                    names=["doc_id", "n", "key", "block", "counts"])
+                    names=["doc_id", "h", "n", "key", "block", "counts"])
         if kind is not None:
             yield sketch_rows(counts, kind)
 
@@ -118,9 +119,9 @@ def sketch_rows(counts: np.ndarray, kind) -> pa.RecordBatch:
                       at.astype("<u2").tobytes() + small[b][at].tobytes())
     n = len(blocks)
     return pa.RecordBatch.from_arrays(
-        [pa.nulls(n, kind), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+        [pa.nulls(n, kind), *[pa.nulls(n, pa.int64()) for _ in range(3)],
          pa.array(blocks.astype(np.int32)), pa.array(packed, pa.binary())],
-        names=["doc_id", "n", "key", "block", "counts"])
+        names=["doc_id", "h", "n", "key", "block", "counts"])
 
 
 def unpacked(raw: bytes) -> np.ndarray:
@@ -405,18 +406,18 @@ def near_duplicates(docs: DataFrame, width: int = WORDS) -> DataFrame:
     rows of equal sets that have an id. An empty table gives an empty table.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
     first = first_pass(docs, width)
-    sizes = first.where("block IS NULL").select("doc_id", "n", "key")
+    sizes = first.where("block IS NULL").select("doc_id", "h", "n", "key")
     levels = spark.sparkContext.broadcast(frequency_levels(first.where("block IS NOT NULL")))
     lists = distinct_lists(index_lists(postings(docs, levels, width)))
     pairs = written(first_pairs(lists), "pairs")
     # Texts of the sets that have a partner at all, one document for each set.
-    classes = sizes.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"))
-    ends = keys_of(lists)
-    wanted = classes.join(ends, "key").select("key", F.col("rep").alias("_rep"))
-    texts = written(docs.join(wanted, F.col("doc_id") == F.col("_rep")).select("key", "text"),
-                    "partner-texts")
+    classes = sizes.where("n > 0").groupBy("key").agg(
+        F.min("doc_id").alias("rep"), F.min_by("h", "doc_id").alias("rep_h"))
+    wanted = classes.join(keys_of(lists), "key").select(
+        "key", F.col("rep").alias("doc_id"), F.col("rep_h").alias("h"))
+    texts = written(docs.join(wanted, ["doc_id", "h"]).select("key", "text"), "partner-texts")
     links = linked(pairs, texts, width)
     components = connected_components(links)
     for neighbours in (True, False):
