@@ -62,6 +62,16 @@ def test_rows_without_id_keep_their_set_size(spark):
     assert by_id(map(tuple, got.collect())) == [(None, 2, 4), (4, 2, 4)]
 
 
+def test_texts_that_share_an_id_are_compared_by_their_own_words(spark):
+    base, other = words(60, 31), words(60, 32)
+    rows = [(1, " ".join(base)), (1, " ".join(other)), (2, " ".join(base[:-1])), (3, " ".join(other[1:]))]
+    got = by_id(map(tuple, jaccard.near_duplicates(frame(spark, rows)).collect()))
+    assert got == [(1, 56, 1), (1, 56, 1), (2, 55, 1), (3, 55, 1)]
+    rows = [(1, " ".join(base)), (1, "a b c"), (2, " ".join(base[:-1])), (3, " ".join(other))]
+    got = by_id(map(tuple, jaccard.near_duplicates(frame(spark, rows)).collect()))
+    assert got == [(1, 1, 1), (1, 56, 1), (2, 55, 1), (3, 56, 3)]
+
+
 def test_keep_one_leaves_the_smallest_id_of_each_class(spark):
     rows = corpus()
     docs = frame(spark, extra=True)
