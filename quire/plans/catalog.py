@@ -681,6 +681,42 @@ def q_stream_resume(spark, d):
     return demo_resume(spark, d)
 
 
+def q_run_log(spark, d):
+    """Calls and attempts of each round of the three-round run."""
+    from quire.session import scratch_path
+
+    path = scratch_path(spark, "rounds-log")
+    runs.three_rounds(spark, d, path)
+    return runs.run_log(spark, path).select("run_id", "n_calls", "n_attempts")
+
+
+def q_clamped_candidates(spark, d):
+    """Candidate counts outside the bounds, and unset ones."""
+    e = sh.table(spark, d, "events").select("event_id", "event_type", "user_id")
+    n = F.when(F.col("event_type") != "view", F.col("user_id") - 20)
+    return e.select("event_id", tx.clamp_candidates(n).alias("n"))
+
+
+def q_group_keys(spark, d):
+    """Media addresses, some with blanks around them, as grouping keys."""
+    p = sh.table(spark, d, "pages").select(
+        "page_id", F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("\t"), "url", F.lit(" ")))
+        .otherwise(F.col("url")).alias("url"))
+    return p.select("page_id", gr.group_key("url").alias("group_key"))
+
+
+def q_index_in_group(spark, d):
+    return gr.index_in_group(sh.questions(spark, d).select("qid", "conv_id", "turn"), "conv_id",
+                             pos="turn").select("qid", "idx_in_group")
+
+
+def q_nan_values(spark, d):
+    e = sh.table(spark, d, "events").select(
+        "event_id", F.when(F.col("event_type") == "error", F.lit(float("nan")))
+        .otherwise(F.col("value")).alias("value"))
+    return en.nan_to_null(e)
+
+
 QUERIES = {
     "unanswered": q_unanswered,
     "semi_retry": q_semi_retry,
@@ -754,4 +790,9 @@ QUERIES = {
     "media_answers": q_media_answers,
     "json_tables": q_json_tables,
     "multiple_choice": q_multiple_choice,
+    "run_log": q_run_log,
+    "clamped_candidates": q_clamped_candidates,
+    "group_keys": q_group_keys,
+    "index_in_group": q_index_in_group,
+    "nan_values": q_nan_values,
 }

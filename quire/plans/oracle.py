@@ -347,6 +347,18 @@ SQL = {
         "SELECT qid, CASE WHEN conv_id % 2 = 0 THEN 'file ' || conv_id ELSE 'https://v/' || conv_id END "
         "|| ': ' || left(md5(s), 8) AS reply, CAST(NULL AS VARCHAR) AS error FROM t"),
     "json_tables": f"WITH {Q}, {A} SELECT q.qid, q.question, a.answer FROM q LEFT JOIN a ON a.qid = q.qid",
+    "run_log": (
+        f"WITH {Q}, t AS (SELECT length({strip('question')}) AS n FROM q), "
+        "r AS (SELECT 0 AS run_id FROM t UNION ALL SELECT 1 FROM t WHERE n % 2 = 0 "
+        "UNION ALL SELECT 2 FROM t WHERE n % 4 = 0) "
+        "SELECT run_id, count(*) AS n_calls, count(*) AS n_attempts FROM r GROUP BY 1"),
+    "clamped_candidates": (
+        "SELECT event_id, least(greatest(coalesce(CASE WHEN event_type <> 'view' THEN user_id - 20 END, 8), 1), 32) "
+        "AS n FROM events"),
+    "group_keys": "SELECT page_id, url AS group_key FROM pages",
+    "index_in_group": (
+        f"WITH {Q} SELECT qid, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS idx_in_group FROM q"),
+    "nan_values": "SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value FROM events",
     "open_vote": (
         "WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, "
         "unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents), "

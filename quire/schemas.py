@@ -1,9 +1,7 @@
-"""Schemas of the tables a run reads and writes."""
+"""Schema of the question table; the logs' schemas stand with their runs."""
 
 from pyspark.sql import types as T
 
-from quire.functions.replies import CONTEXT_SCHEMA, VERDICT_SCHEMA
-
 S = T.StringType()
 
 # Question table as shipped in CSV form (index column first, unnamed).
@@ -14,26 +12,3 @@ QUESTIONS_CSV = T.StructType([
     T.StructField("question_prompt", S), T.StructField("answer", S),
     T.StructField("youtube_url", S),
 ])
-
-# Answer log: one row per model answer, append-only.
-ANSWER_LOG = T.StructType([
-    T.StructField("run_id", T.IntegerType()), T.StructField("pass_idx", T.IntegerType()),
-    T.StructField("seq", T.LongType()), T.StructField("qid", S),
-    T.StructField("prediction", S), T.StructField("thoughts", S),
-])
-
-# Context log: the prediction is a struct.
-CONTEXT_LOG = T.StructType([
-    T.StructField("qid", S), T.StructField("prediction", CONTEXT_SCHEMA),
-])
-
-# Rewritten questions.
-REWRITTEN = T.StructType([
-    T.StructField("qid", S), T.StructField("question", S), T.StructField("youtube_url", S),
-    T.StructField("context", T.ArrayType(S)), T.StructField("video_id", S),
-    T.StructField("corrected_question", S),
-])
-
-SUBMISSION = T.StructType([T.StructField("qid", S), T.StructField("pred", S)])
-
-VERDICT = VERDICT_SCHEMA
