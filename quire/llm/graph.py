@@ -13,21 +13,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
     connected to. Every round takes the smallest label around each vertex and
     then the label of that label, so paths shorten by powers of two; a round is
     written to the shared folder before the next reads it."""
+    edges = edges.where("a <> b")
     both = written(edges.select("a", "b").unionByName(
-        edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(),
-        "edges")
+        edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     labels = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component"))
                      .withColumnRenamed("a", "id"), "components")
     while True:
-        near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(
-            F.min("component").alias("near"))
-        hop = labels.join(near, labels["id"] == near["a"]).select(
-            "id", "component", F.least("component", "near").alias("to"))
-        far = labels.select(F.col("id").alias("_id"), F.col("component").alias("far"))
-        new = written(hop.join(far, F.col("to") == F.col("_id"), "left").select(
-            "id", F.least("to", F.coalesce("far", "to")).alias("component"),
-            (F.least("to", F.coalesce("far", "to")) < F.col("component")).alias("changed")),
-            "components")
+        around = both.join(labels, both["b"] == labels["id"]).select(
+            F.col("a").alias("id"), "component", F.lit(None).cast("long").alias("own"))
+        near = around.unionByName(labels.withColumn("own", F.col("component"))).groupBy("id").agg(
+            F.min("component").alias("near"), F.min("own").alias("own"))
+        far = near.select(F.col("id").alias("_id"), F.col("near").alias("far"))
+        new = written(near.join(far, near["near"] == far["_id"], "left").select(
+            "id", F.coalesce("far", "near").alias("component"),
+            (F.coalesce("far", "near") < F.col("own")).alias("changed")), "components")
         labels = new.select("id", "component")
         if not new.where("changed").limit(1).count():
             return labels
