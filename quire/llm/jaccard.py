@@ -4,10 +4,10 @@ Prefix filtering with an inverted index: shingles are ordered rare first, and
 two sets that are similar enough share one among the first quarter of each.
 Index lists are ordered by set size and skipped by it, and entries whose
 position leaves too little room for the needed overlap are skipped too
-(index-level skipping). Inside long lists a set is first compared with its
-neighbours in the list and the list's leader; sets that turn out to be linked
-inherit each other's answers, and only sets still in different components are
-compared further (answer-level skipping).
+(index-level skipping). Inside long lists a set is first compared with the
+list's leader; sets that turn out to be linked inherit each other's answers, and
+only sets still in different components are compared further, where parity
+bitmaps leave room for a link (answer-level skipping).
 """
 
 from __future__ import annotations
@@ -318,10 +318,11 @@ def pair_batch(a: list, b: list) -> pa.RecordBatch:
                                       names=["a", "b"])
 
 
-def mixed_lists(lists: DataFrame, components: DataFrame) -> DataFrame:
+def mixed_lists(lists: DataFrame, components: DataFrame, texts: DataFrame, width: int
+                ) -> DataFrame:
     """Longer lists whose sets are in more than one component, each as an array
-    of (n, key, component). Lists inside one component have all their answers
-    already."""
+    of (n, key, component, bits). Lists inside one component have all their
+    answers already."""
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column("keys").to_pylist()
@@ -338,34 +339,103 @@ def mixed_lists(lists: DataFrame, components: DataFrame) -> DataFrame:
         "list", "key", "n", F.coalesce("component", "key").alias("component"))
     several = members.groupBy("list").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    grouped = members.join(several.select("list"), "list").groupBy("list").agg(
-        F.sort_array(F.collect_list(F.struct("n", "key", "component"))).alias("m"))
+    members = written(members.join(several.select("list"), "list"), "mixed-members")
+    keys = members.select("key").distinct()
+    bits = parity_bitmaps(restricted(texts, keys), width)
+    grouped = members.join(bits, "key").groupBy("list").agg(F.sort_array(F.collect_list(
+        F.struct("n", "key", "component", "bits"))).alias("m"))
     return written(grouped.select("m"), "mixed-lists")
 
 
-def pairs_across(mixed: DataFrame, neighbours: bool) -> DataFrame:
-    """Feasible pairs of sets of different components in the same list: only of
-    sets that stand next to each other there, or all."""
+def parity_bitmap(s: np.ndarray) -> np.ndarray:
+    """One bit per counter, its parity over the set's hashes: the bits in which
+    two sets differ are at most their symmetric difference. Four bits a member,
+    512 at least, a power of two; XOR-ing the halves gives the next smaller one."""
+    size = max(512, 1 << (4 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
+def parity_bitmaps(texts: DataFrame, width: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, part in slices(batch):
+                maps = [parity_bitmap(x).tobytes() for x in shingle_sets(part, width)]
+                yield pa.RecordBatch.from_arrays([rows.column("key"), pa.array(maps, pa.binary())],
+                                                 names=["key", "bits"])
+
+    return texts.mapInArrow(run, "key long, bits binary")
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    while len(bits) > words:
+        bits = bits[:len(bits) // 2] ^ bits[len(bits) // 2:]
+    return bits
+
+
+def feasible_across(n: np.ndarray, c: np.ndarray, bits: list[bytes], first: bool
+                    ) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of members (by rising size) of different components whose
+    bitmaps leave room for a link: all, or each member's first."""
+    maps = [np.frombuffer(b, np.uint64) for b in bits]
+    level = np.array([len(m) for m in maps])
+    hi = np.searchsorted(n, n * DEN // NUM, side="right")
+    tables: dict[int, tuple[int, np.ndarray]] = {}
+    left, right = [], []
+    for i in range(len(n) - 1):
+        a, b = i + 1, int(hi[i])
+        if a >= b:
+            continue
+        words = int(level[i])
+        if words not in tables:
+            # Sizes in range have this many words of bitmap, or twice as many.
+            end = int(np.searchsorted(level, 2 * words, side="right"))
+            tables[words] = i, np.stack([folded(m, words) for m in maps[i:end]])
+        base, rows = tables[words]
+        j = np.arange(a, b)
+        j = j[c[j] != c[i]]
+        if not len(j):
+            continue
+        differ = np.bitwise_count(rows[j - base] ^ rows[i - base]).sum(axis=1, dtype=np.int64)
+        j = j[differ <= n[i] + n[j] - 2 * pair_overlap(n[i], n[j])]
+        j = j[:1] if first else j
+        left.append(np.full(len(j), i))
+        right.append(j)
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(left or none), np.concatenate(right or none)
+
+
+def pairs_across(mixed_: DataFrame, first: bool) -> DataFrame:
+    """Feasible pairs of sets of different components in the same list."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for m in batch.column("m"):
                 flat = m.values
                 n, k, c = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64)
                            for f in ("n", "key", "component"))
-                hi = np.searchsorted(n, n * DEN // NUM, side="right")
-                a, b = [], []
-                for i in range(len(k) - 1):
-                    j = np.arange(i + 1, min(hi[i], i + 2) if neighbours else hi[i])
-                    j = j[c[j] != c[i]]
-                    a.append(np.full(len(j), k[i]))
-                    b.append(k[j])
-                yield pair_batch(a, b)
+                i, j = feasible_across(n, c, flat.field("bits").to_pylist(), first)
+                if len(i):
+                    yield pair_batch([k[i]], [k[j]])
+
+    return mixed_.mapInArrow(run, "a long, b long").distinct()
+
+
+#: Rows of keys up to which a side is broadcast (about 25 MB); beyond, it is shuffled.
+BROADCAST_ROWS = 1_000_000
+
 
-    return mixed.mapInArrow(run, "a long, b long").distinct()
+def restricted(df: DataFrame, keys: DataFrame, on: str | list = "key") -> DataFrame:
+    """``df`` inner-joined with ``keys`` (distinct): without a shuffle of ``df``
+    where the keys are few enough to be broadcast, else with one."""
+    few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return df.join(F.broadcast(keys) if few else keys, on)
 
 
 def linked(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """The pairs of keys whose sets are similar enough, compared in full."""
+    ends = written(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(),
+                   "pair-ends")
+    texts = restricted(texts, ends)
     ta = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("key").alias("b"), F.col("text").alias("tb"))
     both = pairs.join(ta, "a").join(tb, "b")
@@ -417,14 +487,15 @@ def near_duplicates(docs: DataFrame, width: int = WORDS) -> DataFrame:
         F.min("doc_id").alias("rep"), F.min_by("h", "doc_id").alias("rep_h"))
     wanted = classes.join(keys_of(lists), "key").select(
         "key", F.col("rep").alias("doc_id"), F.col("rep_h").alias("h"))
-    texts = written(docs.join(wanted, ["doc_id", "h"]).select("key", "text"), "partner-texts")
+    wanted = written(wanted, "partners")
+    texts = written(restricted(docs, wanted, ["doc_id", "h"]).select("key", "text"), "partner-texts")
     links = linked(pairs, texts, width)
     components = connected_components(links)
-    for neighbours in (True, False):
-        mixed = mixed_lists(lists, components)
-        if not mixed.limit(1).count():
+    for first_only in (True, False):
+        across = mixed_lists(lists, components, texts, width)
+        if not across.limit(1).count():
             break
-        more = written(pairs_across(mixed, neighbours).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        more = written(pairs_across(across, first_only).join(pairs, ["a", "b"], "left_anti"), "pairs")
         found = linked(more, texts, width)
         pairs = pairs.unionByName(more)
         if found.limit(1).count():
