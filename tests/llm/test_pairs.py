@@ -193,3 +193,27 @@ def test_decontamination_without_benchmark_or_documents(spark):
     none = bench(spark).where(F.lit(False))
     assert dc.decontaminate(frame(spark), none).where("n_hit > 0").count() == 0
     assert dc.decontaminate(frame(spark, []), bench(spark)).count() == 0
+
+
+def test_bitmaps_never_rule_out_a_link():
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    for n in (5, 130, 300, 900):
+        base = r.integers(0, 1 << 63, n, dtype=np.uint64)
+        sets = [base]
+        for edits in (1, n // 12, n // 7, n // 5, n // 2):
+            x = base.copy()
+            x[:edits] = r.integers(0, 1 << 63, edits, dtype=np.uint64)
+            sets.append(np.append(x, r.integers(0, 1 << 63, n // 9, dtype=np.uint64)) if edits % 2 else x)
+        sets.sort(key=len)
+        size = np.array([len(s) for s in sets])
+        maps = [jaccard.parity_bitmap(s).tobytes() for s in sets]
+        i, j = jaccard.feasible_across(size, np.arange(len(sets)), maps, first=False)
+        kept = set(zip(i.tolist(), j.tolist(), strict=True))
+        for a in range(len(sets)):
+            for b in range(a + 1, len(sets)):
+                inter = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * inter >= 75 * (size[a] + size[b] - inter):
+                    assert (a, b) in kept
+        assert len(kept) < len(sets) * (len(sets) - 1) // 2
