@@ -318,8 +318,7 @@ def pair_batch(a: list, b: list) -> pa.RecordBatch:
                                       names=["a", "b"])
 
 
-def mixed_lists(lists: DataFrame, components: DataFrame, texts: DataFrame, width: int
-                ) -> DataFrame:
+def mixed_lists(lists: DataFrame, components: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """Longer lists whose sets are in more than one component, each as an array
     of (n, key, component, bits). Lists inside one component have all their
     answers already."""
@@ -341,7 +340,7 @@ def mixed_lists(lists: DataFrame, components: DataFrame, texts: DataFrame, width
         F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     members = written(members.join(several.select("list"), "list"), "mixed-members")
     keys = members.select("key").distinct()
-    bits = parity_bitmaps(restricted(texts, keys), width)
+    bits = restricted(bitmaps.select("key", "bits"), keys)
     grouped = members.join(bits, "key").groupBy("list").agg(F.sort_array(F.collect_list(
         F.struct("n", "key", "component", "bits"))).alias("m"))
     return written(grouped.select("m"), "mixed-lists")
@@ -357,14 +356,36 @@ def parity_bitmap(s: np.ndarray) -> np.ndarray:
 
 
 def parity_bitmaps(texts: DataFrame, width: int) -> DataFrame:
+    """(key, size, bits) of each text's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, part in slices(batch):
-                maps = [parity_bitmap(x).tobytes() for x in shingle_sets(part, width)]
-                yield pa.RecordBatch.from_arrays([rows.column("key"), pa.array(maps, pa.binary())],
-                                                 names=["key", "bits"])
+                sets = shingle_sets(part, width)
+                maps = [parity_bitmap(x).tobytes() for x in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("key"), pa.array([len(x) for x in sets], pa.int32()),
+                     pa.array(maps, pa.binary())], names=["key", "size", "bits"])
+
+    return written(texts.mapInArrow(run, "key long, size int, bits binary"), "parity-bitmaps")
+
+
+def with_room(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """The pairs whose bitmaps leave room for a link."""
+    a, b = (bitmaps.select(F.col("key").alias(k), F.col("size").alias(f"n{k}"),
+                           F.col("bits").alias(f"bits_{k}")) for k in ("a", "b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in
+                                    ("na", "nb", "bits_a", "bits_b")), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                words = min(len(x), len(y))
+                differ = int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
+                keep.append(differ <= n + m - 2 * pair_overlap(n, m))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return texts.mapInArrow(run, "key long, bits binary")
+    return written(pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long"), "pairs-with-room")
 
 
 def folded(bits: np.ndarray, words: int) -> np.ndarray:
@@ -489,10 +510,11 @@ def near_duplicates(docs: DataFrame, width: int = WORDS) -> DataFrame:
         "key", F.col("rep").alias("doc_id"), F.col("rep_h").alias("h"))
     wanted = written(wanted, "partners")
     texts = written(restricted(docs, wanted, ["doc_id", "h"]).select("key", "text"), "partner-texts")
-    links = linked(pairs, texts, width)
+    bitmaps = parity_bitmaps(texts, width)
+    links = linked(with_room(pairs, bitmaps), texts, width)
     components = connected_components(links)
     for first_only in (True, False):
-        across = mixed_lists(lists, components, texts, width)
+        across = mixed_lists(lists, components, bitmaps)
         if not across.limit(1).count():
             break
         more = written(pairs_across(across, first_only).join(pairs, ["a", "b"], "left_anti"), "pairs")
