@@ -1,11 +1,11 @@
 """Document fingerprints by consistent weighted sampling.
 
 A text's terms are its pairs of adjacent words, weighted by how often they
-occur. Each term falls into one of BINS bins by its hash; in each bin the
-sample is the term (and the quantised weight) with the smallest gamma-based
-draw, which two texts share with the probability of the generalised Jaccard
-similarity of their weights in that bin. A fingerprint lists the samples, and
-the share of equal ones estimates the similarity. Column expressions only.
+occur. For each of SAMPLES samples every term has a gamma-based draw of its own,
+and the sample is the term (and its quantised weight) with the smallest one,
+which two texts share with the probability of the generalised Jaccard similarity
+of their weights. A fingerprint lists the samples, and the share of equal ones
+estimates the similarity. Column expressions only.
 """
 
 from __future__ import annotations
@@ -17,19 +17,19 @@ from quire.operators.ordering import global_index
 
 from .common import table, written
 
-BINS, LANES = 64, 4
+#: Samples of a fingerprint, those drawn in one row, and codes in a long.
+SAMPLES, ROW, LANES = 64, 8, 4
 #: Stands for a NULL doc_id in join keys (the smallest long: last in falling order).
 NO_ID = -(1 << 63)
 #: Characters of text per partition of the term counting (bounds its memory).
 PARTITION_CHARS = 4_000_000
 
 
-def uniforms(term: Column, seed: int) -> tuple[Column, Column]:
-    """Two numbers in (0, 1) that depend on the term alone."""
-    h = F.xxhash64(term, F.lit(seed))
-    scale = F.lit(1.0 / (1 << 31))
-    return ((F.shiftrightunsigned(h, 33) + 0.5) * scale,
-            (h.bitwiseAND(F.lit((1 << 31) - 1)) + 0.5) * scale)
+def uniforms(h: str) -> tuple[Column, Column]:
+    """Two numbers in (0, 1) from the halves of a hash."""
+    scale = F.lit(1.0 / (1 << 32))
+    return ((F.shiftrightunsigned(h, 32) + 0.5) * scale,
+            (F.col(h).bitwiseAND(F.lit((1 << 32) - 1)) + 0.5) * scale)
 
 
 def terms(text: Column) -> Column:
@@ -38,49 +38,80 @@ def terms(text: Column) -> Column:
     return F.arrays_zip(words.alias("a"), F.slice(words, 2, F.size(words)).alias("b"))
 
 
-def sampled(counts: DataFrame) -> DataFrame:
-    """Per key and term weight: the term's draw and code, packed in one long
-    that orders by draw. Columns bin and packed are added."""
-    u1, u2 = uniforms(F.col("term"), 1)
-    u3, u4 = uniforms(F.col("term"), 2)
-    beta, _ = uniforms(F.col("term"), 3)
-    step = counts.withColumn("r", -F.log(u1 * u2)).withColumn("beta", beta)
-    step = step.withColumn("t", F.floor(F.log(F.col("weight").cast("double")) / F.col("r")
-                                        + F.col("beta")))
-    draw = F.log(-F.log(u3 * u4)) - F.col("r") * (F.col("t") - F.col("beta") + 1)
-    code = F.pmod(F.xxhash64("term", "t"), F.lit(65535)) + 1
-    packed = F.shiftleft(F.floor((draw + 256) * F.lit(float(1 << 38))), 16) + code
-    return step.withColumn("packed", packed).withColumn(
-        "bin", F.pmod(F.xxhash64("term", F.lit(4)), F.lit(BINS)).cast("int"))
-
-
-def fingerprint_of(samples: DataFrame, keys: list[str], variants: int) -> DataFrame:
-    """One row per ``keys`` with fingerprint strings f0 .. of each variant: BINS
-    codes of four hex digits, 0000 for an empty bin."""
-    code = F.col("packed").bitwiseAND(F.lit(65535))
-    lane = code  # the last of the lanes of a long
-    for i in range(LANES - 1):
-        lane = F.when(F.col("bin") % LANES == i,
-                      F.shiftleft(code, 16 * (LANES - 1 - i))).otherwise(lane)
-    words = BINS // LANES
-    sums = [F.sum(F.when((F.col("variant") == v) & (F.floor(F.col("bin") / LANES) == j),
-                         F.col("lane")).otherwise(F.lit(0).cast("long"))).alias(f"s{v}_{j}")
-            for v in range(variants) for j in range(words)]
-    out = samples.withColumn("lane", lane).groupBy(*keys).agg(*sums)
+def code_of(term: Column, t: Column) -> Column:
+    """1 to 65535 for a term and its quantised weight."""
+    return F.pmod(F.xxhash64(term, t), F.lit(65535)) + 1
+
+
+def packed(draw: Column, code: Column) -> Column:
+    """A draw (below 46) and a code in one long that orders by draw."""
+    return F.shiftleft(F.floor(draw * F.lit(float(1 << 40))), 16) + code
+
+
+def drawn(counts: DataFrame) -> DataFrame:
+    """``counts`` with a row per ROW samples, ``row``, and for sample i of it what
+    does not depend on the weight: u{i} = u1 u2, v{i} = u2 and the draw of weight 1,
+    x{i}, also packed with its code, p{i}."""
+    rows = counts.withColumn("row", F.explode(F.array(*map(F.lit, range(SAMPLES // ROW)))))
+    hashed = rows.select("*", code_of(F.col("term"), F.lit(0).cast("long")).alias("code"), *[
+        F.xxhash64("term", "row", F.lit(j)).alias(f"h{j}") for j in range(2 * ROW)])
+    draws = []
+    for i in range(ROW):
+        u1, u2 = uniforms(f"h{2 * i}")
+        u3, u4 = uniforms(f"h{2 * i + 1}")
+        draws += [(u1 * u2).alias(f"u{i}"), u2.alias(f"v{i}"),
+                  (-F.log(u3 * u4) * u1).alias(f"x{i}")]
+    step = hashed.select(*rows.columns, "code", *draws)
+    return step.select(*rows.columns, *[f"{c}{i}" for c in "uvx" for i in range(ROW)], *[
+        packed(F.col(f"x{i}"), F.col("code")).alias(f"p{i}") for i in range(ROW)])
+
+
+def weighted_draw(weight: Column, i: int) -> Column:
+    """A weighted term's draw for sample i of a row, packed with the code of the
+    term and its quantised weight; NULL for weight 0.
+
+    With r = -ln(u1 u2) of Gamma(2, 1), beta = ln(u2) / ln(u1 u2), which is
+    uniform and independent of it, and c = -ln(u3 u4), the quantised weight is
+    t = floor(ln(w) / r + beta) and the draw c exp(-r (t - beta + 1)), which is
+    c u1 (u1 u2)^t; t is 0 for weight 1.
+    """
+    t = F.floor(F.log(weight / F.col(f"v{i}")) / -F.log(f"u{i}"))
+    heavy = packed(F.col(f"x{i}") * F.pow(F.col(f"u{i}"), t), code_of(F.col("term"), t))
+    return F.when(weight == 1, F.col(f"p{i}")).when(weight > 1, heavy)
+
+
+def fingerprint_of(counts: DataFrame, keys: list[str], variants: int) -> DataFrame:
+    """One row per ``keys`` with fingerprint strings f0 .. of each variant: SAMPLES
+    codes of four hex digits. ``counts`` has each term's weights w0 .."""
+    samples = drawn(counts).groupBy(*keys, "row").agg(*[
+        F.min(weighted_draw(F.col(f"w{v}"), i)).alias(f"s{v}_{i}")
+        for v in range(variants) for i in range(ROW)])
+
+    def lane(v, first):
+        word = F.lit(0).cast("long")
+        for i in range(LANES):
+            code = F.col(f"s{v}_{first + i}").bitwiseAND(F.lit(65535))
+            word = word.bitwiseOR(F.shiftleft(code, 16 * (LANES - 1 - i)))
+        return word
+
+    lanes = samples.select(*keys, "row", *[
+        lane(v, i).alias(f"l{v}_{i}") for v in range(variants) for i in range(0, ROW, LANES)])
+    out = lanes.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("row") == r, F.col(f"l{v}_{i}"))).alias(f"l{v}_{r * ROW + i}")
+        for v in range(variants) for r in range(SAMPLES // ROW) for i in range(0, ROW, LANES)])
     return out.select(*keys, *[
-        F.lower(F.concat(*[F.lpad(F.hex(f"s{v}_{j}"), 16, "0") for j in range(words)])).alias(f"f{v}")
+        F.lower(F.concat(*[F.lpad(F.hex(f"l{v}_{i}"), 16, "0")
+                           for i in range(0, SAMPLES, LANES)])).alias(f"f{v}")
         for v in range(variants)])
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal samples among the bins that either has."""
+    """Share of equal samples."""
     def at(c, i):
         return F.substring(c, i * 4 + 1, F.lit(4))
 
-    bins = F.sequence(F.lit(0), F.lit(BINS - 1))
-    either = F.size(F.filter(bins, lambda i: (at(a, i) != "0000") | (at(b, i) != "0000")))
-    both = F.size(F.filter(bins, lambda i: (at(a, i) != "0000") & (at(a, i) == at(b, i))))
-    return both / F.greatest(either, F.lit(1))
+    samples = F.sequence(F.lit(0), F.lit(SAMPLES - 1))
+    return F.size(F.filter(samples, lambda i: at(a, i) == at(b, i))) / F.lit(SAMPLES)
 
 
 def fingerprints(texts: DataFrame, keys: list[str], variants: list[str]) -> DataFrame:
@@ -92,10 +123,10 @@ def fingerprints(texts: DataFrame, keys: list[str], variants: list[str]) -> Data
         for i, c in enumerate(variants)])).alias("v")).select(*keys, "v.variant", "v.text")
     rows = exploded.select(*keys, "variant", F.inline(terms(F.col("text"))).alias("a", "b"))
     counts = (rows.select(*keys, "variant", F.xxhash64("a", "b").alias("term"))
-              .groupBy(*keys, "variant", "term").agg(F.count(F.lit(1)).alias("weight")))
-    samples = (sampled(counts).groupBy(*keys, "variant", "bin")
-               .agg(F.min("packed").alias("packed")))
-    return fingerprint_of(samples, keys, len(variants))
+              .groupBy(*keys, "term").agg(*[
+                  F.count(F.when(F.col("variant") == i, 1)).alias(f"w{i}")
+                  for i in range(len(variants))]))
+    return fingerprint_of(counts, keys, len(variants))
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:

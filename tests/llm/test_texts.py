@@ -371,3 +371,31 @@ def test_fingerprints_run_no_python(spark):
     df = fingerprints.compare_with_next(frame(spark, corpus()[:4]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_fingerprints_weigh_a_heavy_term_like_the_others(spark):
+    """One word pair of weight 999 beside 200 light ones, shared or not."""
+    def text(heavy, light):
+        return " ".join([heavy] * 1000 + [f"{light}{i}" for i in range(200)])
+
+    rows = [(4, text("same", "a")), (3, text("same", "b")), (2, text("one", "c")), (1, text("two", "c"))]
+    got = {x["doc_id"]: x["near_next"] for x in fingerprints.compare_with_next(frame(spark, rows)).collect()}
+    for i in (4, 2):
+        true = jaccard(bag(dict(rows)[i]), bag(dict(rows)[i - 1]))
+        assert abs(got[i] - true) < 0.2
+
+
+def test_every_sample_is_drawn_over_all_terms(spark):
+    """A short text fills all samples, and the mean over many pairs of texts with
+    repeated lines is the generalised Jaccard similarity."""
+    one = fingerprints.compare_with_next(frame(spark, [(1, "just three words")])).first()
+    codes = [one["fingerprint"][i:i + 4] for i in range(0, 256, 4)]
+    assert len(codes) == 64 and "0000" not in codes
+    rows = []
+    for i in range(80):
+        line = words(5, 8000 + i // 2)
+        rows.append((i, " ".join(line * (30 if i % 2 else 12) + words(40, 8100 + i))))
+    got = {x["doc_id"]: x["near_next"] for x in fingerprints.compare_with_next(frame(spark, rows)).collect()}
+    pairs = [(jaccard(bag(rows[i][1]), bag(rows[i - 1][1])), got[i]) for i in range(1, 80, 2)]
+    assert all(abs(t - g) < 0.25 for t, g in pairs)
+    assert abs(sum(t - g for t, g in pairs) / len(pairs)) < 0.03
