@@ -26,8 +26,12 @@ from .common import Windows, hashed_words, inside, mixed, slices, table, text_by
 K, MINIMIZER = 20, 6
 #: Text a task turns into windows at a time; repeats inside are settled there.
 CHUNK_BYTES = 6 << 20
-#: Bytes of a window's hash that travel beside its minimizer's 8.
-WINDOW_BYTES = 5
+#: Bytes of a window's hash: all 64 bits, which alone tell windows of one
+#: minimizer apart.
+WINDOW_BYTES = 8
+#: Minimizers with this many different windows in one of HOT_SHARE documents are
+#: dealt by window instead.
+HOT_WINDOWS, HOT_SHARE = 1000, 64
 
 #: settled = 0: windows first seen in their chunk, as hashes; settled = n: a path
 #: of n repeated windows whose source is known already.
@@ -82,8 +86,10 @@ def first_of_equal(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def chunk_rows(ids: list[int], texts: list, k: int, m: int) -> pa.RecordBatch | None:
-    """SUPERKMERS rows of a chunk of documents (sorted by id here)."""
+def chunk_rows(ids: list[int], texts: list, k: int, m: int, hot: np.ndarray
+               ) -> pa.RecordBatch | None:
+    """SUPERKMERS rows of a chunk of documents (sorted by id here). Windows of a
+    ``hot`` minimizer are rows of their own, dealt by their own hash."""
     order = np.argsort(np.array(ids, dtype=np.int64), kind="stable")
     ids = np.array(ids, dtype=np.int64)[order]
     hashes, lens = hashed_words([texts[i] for i in order.tolist()])
@@ -97,7 +103,8 @@ def chunk_rows(ids: list[int], texts: list, k: int, m: int) -> pa.RecordBatch |
     begin = (np.cumsum(lens) - lens)[doc]
     whole, short = windows.of(k), windows.of(m)
     # Windows that share the place of their minimizer form a run.
-    run, size = split_runs((np.diff(places) != 0) | (np.diff(starts) != 1))
+    alone = np.isin(short[places], hot)
+    run, size = split_runs((np.diff(places) != 0) | (np.diff(starts) != 1) | alone[1:] | alone[:-1])
     minimizer = short[places[run]]
     # Windows of minimizers seen more than once may repeat inside the chunk.
     head = first_of_equal(minimizer)
@@ -110,7 +117,7 @@ def chunk_rows(ids: list[int], texts: list, k: int, m: int) -> pa.RecordBatch |
         same = (ids[doc] == ids[doc[source]]) & (starts - begin == (starts - begin)[source])
         source[same] = np.flatnonzero(same)
     repeated = source != np.arange(len(starts))
-    key = np.repeat(minimizer, size)
+    key = np.where(alone, whole[starts], np.repeat(minimizer, size))
     position = (starts - begin).astype(np.int32)
     step = np.diff(np.repeat(np.arange(len(run)), size)) != 0
     turn = np.diff(repeated.astype(np.int8)) != 0
@@ -134,11 +141,12 @@ def chunk_rows(ids: list[int], texts: list, k: int, m: int) -> pa.RecordBatch |
         names=[f.split()[0] for f in SUPERKMERS.split(", ")])
 
 
-def super_kmers(batches: Iterator[pa.RecordBatch], k: int, m: int) -> Iterator[pa.RecordBatch]:
+def super_kmers(batches: Iterator[pa.RecordBatch], k: int, m: int, hot: np.ndarray
+                ) -> Iterator[pa.RecordBatch]:
     ids, texts, size = [], [], 0
 
     def chunk():
-        out = chunk_rows(ids, texts, k, m) if ids else None
+        out = chunk_rows(ids, texts, k, m, hot) if ids else None
         return [] if out is None else [out]
 
     for batch in batches:
@@ -220,10 +228,22 @@ class FirstSeen:
         return both, np.full(len(h), doc[-1]), start[-1] + np.arange(len(h))
 
 
+def hot_minimizers(docs: DataFrame, k: int, m: int) -> np.ndarray:
+    """The minimizers that have many different windows, by a share of the
+    documents. Any set gives the same paths; it settles who compares them."""
+    share = docs.where(F.pmod(F.xxhash64("doc", "text"), F.lit(HOT_SHARE)) == 0)
+    none = np.zeros(0, np.uint64)
+    rows = share.mapInArrow(lambda b: super_kmers(b, k, m, none), SUPERKMERS).where("settled = 0")
+    found = (rows.groupBy("minimizer").agg(F.sum(F.length("windows") / WINDOW_BYTES).alias("n"))
+             .where(F.col("n") >= HOT_WINDOWS).select("minimizer").collect())
+    return np.sort(np.array([r[0] for r in found], dtype=np.int64).view(np.uint64))
+
+
 def repeated_paths(docs: DataFrame, k: int = K, m: int = MINIMIZER) -> DataFrame:
     """Paths (PATHS) of windows of ``k`` words that also start earlier: in a
     smaller doc_id or earlier in the same one. ``docs`` has doc and text."""
-    rows = docs.mapInArrow(lambda b: super_kmers(b, k, m), SUPERKMERS)
+    hot = hot_minimizers(docs, k, m)
+    rows = docs.mapInArrow(lambda b: super_kmers(b, k, m, hot), SUPERKMERS)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(n, "minimizer").sortWithinPartitions("minimizer", "doc", "start")
 

@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +129,28 @@ def test_a_passage_in_many_documents_stays_once(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_windows_are_told_apart_by_all_bits_of_their_hashes():
+    h = np.array([1, 1 + (1 << 40), 1 + (1 << 63)], dtype=np.uint64)
+    assert substrings.unpack_hashes(substrings.pack_hashes(h).ravel()).tolist() == h.tolist()
+
+
+def test_windows_of_hot_minimizers_are_dealt_by_their_own_hash(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "HOT_WINDOWS", 10)
+    monkeypatch.setattr(substrings, "HOT_SHARE", 1)
+    phrase = words(6, 41)
+    rows = [(i, " ".join(words(30, 1500 + i % 20) + phrase + words(30, 1600 + i % 20)))
+            for i in range(30)]
+    docs = frame(spark, rows)
+    hot = substrings.hot_minimizers(docs.selectExpr("doc_id AS doc", "text"), 20, 6)
+    assert len(hot)
+    out = substrings.chunk_rows([0, 1], [rows[0][1].encode(), rows[1][1].encode()], 20, 6, hot)
+    assert not np.isin(out.column("minimizer").to_numpy().view(np.uint64), hot).any()
+    got = substrings.dedup_substrings(docs).select("doc_id", "text")
+    want = [(i, rows[i][1] if len(kept) == n else b" ".join(kept).decode())
+            for i, kept, n in model_of_spans(rows, 20)]
+    assert by_id(map(tuple, got.collect())) == by_id(want)
+
+
 def test_repeated_spans_of_an_empty_table(spark):
     assert substrings.dedup_substrings(frame(spark, [])).count() == 0
 
