@@ -21,7 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import Windows, hashed_words, inside, mixed, slices, table, text_bytes
+from quire.operators.ordering import global_index
+
+from .common import (Windows, hashed_words, inside, mixed, slices, table, text_bytes,
+                     written)
 
 K, MINIMIZER = 20, 6
 #: Text a task turns into windows at a time; repeats inside are settled there.
@@ -264,13 +267,26 @@ def covered_words(n: int, starts: np.ndarray, counts: np.ndarray, k: int) -> np.
     return np.cumsum(edge)[:n] > 0
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_doc``: its doc_id, or where several rows have one id (or
+    none) the place of (doc_id, hash of the text) in their order, so that rows
+    that share an id keep their own paths."""
+    ids = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long")))
+    if ids.groupBy("_doc").count().where("count > 1").isEmpty():
+        return ids
+    hashed = ids.withColumnRenamed("_doc", "_id").withColumn("_hash", F.xxhash64("text"))
+    order = written(global_index(hashed.select("_id", "_hash").distinct(),
+                                 [F.col("_id"), F.col("_hash")], "_doc"), "repeated-span-order")
+    return hashed.join(order, ["_id", "_hash"]).select(*docs.columns, "_doc")
+
+
 def with_paths(docs: DataFrame, k: int, m: int) -> DataFrame:
     """``docs`` with its paths as an array column ``_paths`` (NULL without any)."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long"))
-    paths = repeated_paths(docs.select(key.alias("doc"), "text"), k, m)
+    own = numbered(docs)
+    paths = repeated_paths(own.select(F.col("_doc").alias("doc"), "text"), k, m)
     grouped = (paths.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("_paths"))
                .withColumnRenamed("doc", "_doc"))
-    return docs.join(grouped, key == F.col("_doc"), "left").drop("_doc")
+    return own.join(grouped, "_doc", "left").select(*docs.columns, "_paths")
 
 
 def dedup_substrings(docs: DataFrame, k: int = K, m: int = MINIMIZER) -> DataFrame:
@@ -280,9 +296,11 @@ def dedup_substrings(docs: DataFrame, k: int = K, m: int = MINIMIZER) -> DataFra
     (NULL too). ``n_chars``, where there is one, follows the text.
 
     The earliest occurrence stays: smallest doc_id (NULL before all), then
-    smallest start. Rows that repeat a doc_id count as the same document, so an
-    equal start in them is not an earlier one. Texts of fewer than ``k`` words
-    have no windows; an empty table gives an empty table.
+    smallest start. Different texts that share a doc_id (or have none) are
+    ordered by a hash of the text and each loses its own words only; rows that
+    repeat both count as the same document, so an equal start in them is not an
+    earlier one. Texts of fewer than ``k`` words have no windows; an empty table
+    gives an empty table.
     """
     columns = docs.columns
     kept = docs.select(*columns)

@@ -151,6 +151,31 @@ def test_windows_of_hot_minimizers_are_dealt_by_their_own_hash(spark, monkeypatc
     assert by_id(map(tuple, got.collect())) == by_id(want)
 
 
+def test_different_texts_that_share_an_id_lose_their_own_words_only(spark):
+    """Rows without id and rows of one id: a passage repeated in one of them, and
+    the same window at the same start in two."""
+    passage = words(25, 42)
+    head = words(30, 43)
+    for shared in (None, 7):
+        rows = [(-5 if shared else 1, " ".join(passage)),
+                (shared, " ".join(words(10, 44) + passage + words(10, 45))),
+                (shared, " ".join(words(60, 46))),
+                (shared, " ".join(head + words(10, 47))), (shared, " ".join(head + words(10, 48))),
+                (shared, " ".join(words(40, 49))), (shared, " ".join(words(40, 49)))]
+        got = [r["text"] for r in substrings.dedup_substrings(frame(spark, rows, extra=True)).collect()]
+        assert len(got) == len(rows) and " ".join(words(60, 46)) in got
+        assert got.count(" ".join(words(40, 49))) == 2
+        tails = sorted([" ".join(words(10, 47)), " ".join(words(10, 48))])
+        whole = [" ".join(head) + " " + t for t in tails]
+        assert sum(t in got for t in tails) == 1 and sum(t in got for t in whole) == 1
+        kept = " ".join(passage)
+        cut = " ".join(words(10, 44) + words(10, 45))
+        if shared:
+            assert kept in got and cut in got
+        else:  # rows without id come first
+            assert "" in got and rows[1][1] in got
+
+
 def test_repeated_spans_of_an_empty_table(spark):
     assert substrings.dedup_substrings(frame(spark, [])).count() == 0
 
