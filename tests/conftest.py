@@ -3,11 +3,8 @@ import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(scope="session")
@@ -16,9 +13,3 @@ def spark():
 
     s = get_session(master="local[*]", shuffle_partitions=8, app_name="quire-tests")
     yield s
-
-
-def rows(df, *cols):
-    """Rows as plain tuples (in the frame's order)."""
-    sel = df.select(*cols) if cols else df
-    return [tuple(r) for r in sel.collect()]

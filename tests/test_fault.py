@@ -7,7 +7,7 @@ import subprocess
 import sys
 import tempfile
 
-from conftest import ROOT, SF_SMALL
+from support import ROOT, SF_SMALL
 
 
 def test_answer_run_survives_task_failures():

@@ -10,7 +10,7 @@ from quire.operators import resume as rs
 from quire.operators import vote as vo
 from quire.operators.ordering import global_index, group_index
 
-from conftest import rows
+from support import rows
 
 
 def test_unanswered_and_only_ids(spark):

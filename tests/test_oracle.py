@@ -8,7 +8,7 @@ import __spark_entry__ as E
 from quire.plans.catalog import QUERIES
 from tools.compare import TABLES, digest
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 NAMES = sorted(QUERIES)
 
@@ -38,5 +38,5 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.columns == ["qid", "conv_id", "turn", "pred"]
+    assert df.columns == ["qid", "pred", "conv_id", "turn"]
     assert df.count() > 0

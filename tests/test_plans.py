@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from quire.plans.catalog import QUERIES
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 # Queries that call the model (mapInPandas) or run a stream.
 MODEL_QUERIES = {"infer_replay", "answer_run", "stream_resume", "two_step_answer", "context_run",

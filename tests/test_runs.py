@@ -9,7 +9,7 @@ from quire.session import scratch_path
 from quire.sources import io
 from quire.streaming.resume import STREAM_LOG_SCHEMA, resume_stream
 
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 
 
 def _echo(text, n=20):
