@@ -37,6 +37,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns, *names: str) -> list[str]:
+    """For each name one like it that is none of ``columns``, so that a step's own
+    columns never clash with the caller's (names differ by more than case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def process_cache(name: str, make):
     """One object per Python worker process: code shipped by value is unpickled
     anew for every task, what is kept on ``sys`` outlives the task."""

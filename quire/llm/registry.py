@@ -10,6 +10,7 @@ from .hilbert import op3_hilbert
 from .jaccard import OP7_SQL, op7_jaccard
 from .packing import op4_bm25_packing
 from .quality import op1_quality
+from .rules import OP13_SQL, op13_quality_rules
 from .substrings import OP10_SQL, op10_substrings
 from .toxicity import op6_toxicity
 from .warc import OP8_SQL, op8_warc
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_fingerprints": op9_fingerprints,
     "op10_substrings": op10_substrings,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 SQL = {
@@ -33,4 +35,5 @@ SQL = {
     "op7_jaccard": OP7_SQL,
     "op8_warc": OP8_SQL,
     "op10_substrings": OP10_SQL,
+    "op13_quality_rules": OP13_SQL,
 }
