@@ -3,6 +3,7 @@ express over the driver tables."""
 
 from __future__ import annotations
 
+from .align import op12_alignment
 from .chat import OP5_SQL, op5_chat
 from .decontaminate import OP2_SQL, op2_decontamination
 from .fingerprints import op9_fingerprints
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_fingerprints": op9_fingerprints,
     "op10_substrings": op10_substrings,
+    "op12_alignment": op12_alignment,
     "op13_quality_rules": op13_quality_rules,
 }
 
