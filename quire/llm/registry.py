@@ -15,6 +15,7 @@ from .rules import OP13_SQL, op13_quality_rules
 from .substrings import OP10_SQL, op10_substrings
 from .toxicity import op6_toxicity
 from .warc import OP8_SQL, op8_warc
+from .whiten import op11_whitening
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_fingerprints": op9_fingerprints,
     "op10_substrings": op10_substrings,
+    "op11_whitening": op11_whitening,
     "op12_alignment": op12_alignment,
     "op13_quality_rules": op13_quality_rules,
 }

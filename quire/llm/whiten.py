@@ -140,7 +140,8 @@ def rayleigh(matrix: np.ndarray, shift: float, known: list[np.ndarray], small: f
                 return out / np.linalg.norm(out)
         return v
 
-    v = apart(np.random.default_rng(d).standard_normal(d))
+    # Another start for each pair: one start has one direction of an eigenspace.
+    v = apart(np.random.default_rng([d, len(known)]).standard_normal(d))
     for _ in range(2):
         v = apart(solved(shift, v))
     value, last = float(v @ matrix @ v), np.inf
@@ -255,8 +256,8 @@ def summed(fit: DataFrame, width: int, each, rows: int, columns: int) -> np.ndar
 # --- whitening ---------------------------------------------------------------
 
 class Whitening(NamedTuple):
-    """What a fit list gives: its size, sums by dimension, whether they are whole
-    (``deviation`` is exact), components and the trace of its covariance."""
+    """What a fit list gives: its size, sums by dimension, components, the trace of
+    its covariance and how far the whitened covariance is from the identity."""
     n: int
     sums: np.ndarray
     components: list[Component]
@@ -280,7 +281,8 @@ class Whitening(NamedTuple):
     def deviation(self, x: np.ndarray) -> list[int | None]:
         """Sum over dimensions of (n x - sums)^2, exact; None beyond a long."""
         rough = ((self.n * x.astype(float) - self.sums.astype(float)) ** 2).sum(axis=1)
-        if rough.max(initial=0) < 2.0 ** 61:
+        most = float(np.abs(x).max(initial=0)) * self.n
+        if rough.max(initial=0) < 2.0 ** 61 and most < 2.0 ** 62 and self.sums.dtype != object:
             return ((self.n * x - self.sums) ** 2).sum(axis=1).tolist()
         sums = [int(s) for s in self.sums.tolist()]
         exact = (sum((self.n * v - s) ** 2 for v, s in zip(row, sums, strict=True))
