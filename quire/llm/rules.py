@@ -164,21 +164,21 @@ def op13_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 OP13_SQL = rf"""
-WITH d AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
                   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
            FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
-m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+m AS (SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n_words,
              CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
              CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              length(t) - length(replace(t, '!', '')) AS n_exclamations,
              len(list_filter(w, lambda x: lower(x) IN ({_STOP}))) AS n_stop_words, len(l) AS n_lines,
              CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines FROM d),
-g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, list_slice(w, i, i + 2)) AS k
-      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
-r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
-        SELECT doc_id, unnest(range(i, i + 3)) AS p FROM g WHERE k > 1) GROUP BY doc_id),
+g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, list_slice(w, i, i + 2)) AS k
+      FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+r AS (SELECT rid, count(DISTINCT p) AS n FROM (
+        SELECT rid, unnest(range(i, i + 3)) AS p FROM g WHERE k > 1) GROUP BY rid),
 a AS (SELECT m.*, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
-      FROM m LEFT JOIN r ON r.doc_id = m.doc_id),
+      FROM m LEFT JOIN r ON r.rid = m.rid),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words

@@ -71,11 +71,11 @@ def test_sql_agrees_on_awkward_texts(spark, name):
     from quire.session import scratch_path
 
     folder = scratch_path(spark, "rules-docs")
-    frame(spark, [r for r in table_of() if r[0] != 3000]).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    frame(spark, table_of()).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
     con = duckdb.connect()
     con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet/*.parquet')")
-    want = con.sql("SELECT DISTINCT * FROM (" + ru.OP13_SQL + ")").fetchall()
-    got = ru.op13_quality_rules(spark, folder).distinct()
+    want = con.sql(ru.OP13_SQL).fetchall()
+    got = ru.op13_quality_rules(spark, folder)
     assert by_id([tuple(r) for r in got.collect()]) == by_id(want)
 
 
