@@ -15,6 +15,7 @@ those counts.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -22,23 +23,34 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, table, written
+from .common import release_memory, slices, table, written
 
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Distinct stretches of text, and their ids, that a task remembers.
-CACHED, CACHED_IDS = 200_000, 2_000_000
+CACHED, CACHED_IDS = 150_000, 1_000_000
+#: Stretches tokenized at a time.
+LEARN = 2048
 #: Text bytes tokenized and divided at a time.
-SLICE = 1 << 20
-#: Linked pairs up to which their counts are broadcast (12 bytes each); beyond
+SLICE = 1 << 19
+#: Linked pairs up to which their counts are broadcast (17 bytes each); beyond
 #: that the documents' pairs are joined with them.
 BROADCAST_PAIRS = 2_000_000
 
 _PLAIN = re.compile(rb"[ \t-\r]*[^ \t-\r]*")
 #: White space beyond ASCII, which may stand at a stretch's edge.
 _WIDE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Bytes that begin it in UTF-8, and runs of white space.
+_CAREFUL = (b"  ", b" \n", b"\n ", b"\n\n", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a", b"\xe1\xa0",
+            b"\xe2\x80", b"\xe2\x81", b"\xe3\x80")
+_CONTROL = b"\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+#: Characters whose classes no version of Unicode has changed.
+_SETTLED = re.compile("[\x00-\x1b\x20-\x7f\xa1-\u024f]*")
+#: Fixed value: how byte-level vocabularies of this kind part a text before merging.
+_PARTS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
 def tokenizer_path(name: str) -> str:
@@ -48,24 +60,53 @@ def tokenizer_path(name: str) -> str:
 
 
 class ByteLevel:
-    """Tokenizer A: ids of a text and the number of bytes of each id."""
+    """Tokenizer A: ids of a text and the bytes of each id."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        bytes_of = byte_values()
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.path, self.slow = path, None
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        bytes_of, vocabulary = byte_values(), spec["model"]["vocab"]
+        vocabulary |= {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
         self.size = max(vocabulary.values()) + 1
         self.bytes = [b""] * self.size
         for token, i in vocabulary.items():
             if all(c in bytes_of for c in token):
                 self.bytes[i] = bytes(bytes_of[c] for c in token)
+        self.quick = self._quick(spec)
+
+    def _quick(self, spec: dict):
+        """The same merges in a faster library, where the file's ids are in the
+        order of its merges; None where they are not."""
+        import tiktoken
+
+        parts, model = spec["pre_tokenizer"] or {}, spec["model"]
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        usual = (parts.get("type") == "ByteLevel" and parts.get("use_regex")
+                 and not parts.get("add_prefix_space") and not spec["normalizer"])
+        if not usual or [model["vocab"][m] for m in merged] != [*range(256, 256 + len(merged))]:
+            return None
+        return tiktoken.Encoding("merges", pat_str=_PARTS, special_tokens={}, mergeable_ranks={
+            self.bytes[i]: i for i in range(256 + len(merged))})
+
+    def _own(self, texts: list[str]) -> list[list[int]]:
+        """By the file's own library, loaded when first needed."""
+        if self.slow is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self.slow = Tokenizer.from_file(self.path)
+            self.slow.encode_special_tokens = True
+        return [e.ids for e in self.slow.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        out = [self.quick.encode_ordinary(t) if self.quick and _SETTLED.fullmatch(t) else None
+               for t in texts]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        if rest:
+            for i, ids in zip(rest, self._own([texts[i] for i in rest]), strict=True):
+                out[i] = ids
+        return out
 
 
 def byte_values() -> dict[str, int]:
@@ -126,6 +167,39 @@ class Pair:
         self.start = [np.zeros(1, np.int64) for _ in "ab"]
         self.known = np.zeros(0, bool)
 
+    def _parted(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """The stretches of the texts, as codes one text after the other; how many
+        each text has; and the distinct ones in the order of their codes. Where
+        single spaces and line feeds are all the white space, the texts are
+        parted together."""
+        plain, others, counts = [], {}, np.zeros(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            if (any(c in t for c in _CAREFUL) or t[:1] in b" \n" or t[-1:] in b" \n"
+                    or len(t.translate(None, _CONTROL)) != len(t)):
+                others[i] = self._stretches(b" " + t)
+            else:
+                plain.append(i)
+        column = pa.array([texts[i].replace(b"\n", b" \n") for i in plain], pa.binary())
+        parts = pc.split_pattern(column.cast(pa.large_string()), " ")
+        coded = parts.values.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        words = [w if w[:1] == b"\n" else b" " + w
+                 for w in coded.dictionary.cast(pa.large_binary()).to_pylist()]
+        counts[plain] = np.diff(parts.offsets.to_numpy())
+        if others:
+            code = dict(zip(words, range(len(words)), strict=True))
+            for i, p in others.items():
+                counts[i] = len(p)
+            start, out = np.cumsum(counts) - counts, np.empty(counts.sum(), np.int64)
+            size = counts[plain]
+            out[np.arange(len(codes)) + np.repeat(start[plain] - (np.cumsum(size) - size), size)] = codes
+            for i, p in others.items():
+                out[start[i]:start[i] + len(p)] = [code.setdefault(w, len(code)) for w in p]
+            codes, words = out, [*code]
+        return codes, counts, words
+
     def _stretches(self, text: bytes) -> list[bytes]:
         s = text.decode()
         if (self.joining and self.joining.search(s, 1)) or _WIDE_SPACE.search(s):
@@ -137,9 +211,11 @@ class Pair:
         known = np.ones(len(new), bool)
         for k, tokenizer in enumerate((self.a, self.b)):
             ids = tokenizer.encode(texts)
-            known &= [b"".join(map(tokenizer.bytes.__getitem__, i)) == n
-                      for i, n in zip(ids, new, strict=True)]
-            self.flat[k] = np.concatenate([self.flat[k], np.array([*chain(*ids)], np.int64)])
+            flat = [*chain(*ids)]
+            if b"".join(map(tokenizer.bytes.__getitem__, flat)) != b"".join(new):
+                known &= [b"".join(map(tokenizer.bytes.__getitem__, i)) == n
+                          for i, n in zip(ids, new, strict=True)]
+            self.flat[k] = np.concatenate([self.flat[k], np.array(flat, np.int64)])
             self.start[k] = np.concatenate([self.start[k],
                                             self.start[k][-1] + np.cumsum([*map(len, ids)])])
         self.rows.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
@@ -148,16 +224,17 @@ class Pair:
     def encode(self, texts: list[bytes | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """The ids of both tokenizers, all texts one after the other, and the ids
         per text: none where the text is empty or a tokenizer changes it."""
+        codes, counts, words = self._parted(texts)
         if len(self.rows) > CACHED or len(self.flat[0]) > CACHED_IDS:
             self._reset()
-        parts = [self._stretches(b" " + t) if t else [] for t in texts]
-        new = dict.fromkeys(p for text in parts for p in text if p not in self.rows)
-        if new:
-            self._learn([*new])
-        rows = np.fromiter(map(self.rows.__getitem__, chain(*parts)), np.int64)
-        text = np.repeat(np.arange(len(texts)), [*map(len, parts)])
+        new = [w for w in words if w not in self.rows]
+        for i in range(0, len(new), LEARN):
+            self._learn(new[i:i + LEARN])
+        rows = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))[codes]
+        text = np.repeat(np.arange(len(texts)), counts)
         good = np.bincount(text, weights=~self.known[rows], minlength=len(texts)) == 0
-        rows, text = rows[good[text]], text[good[text]]
+        if not good.all():
+            rows, text = rows[good[text]], text[good[text]]
         ids, lens = [], []
         for flat, start in zip(self.flat, self.start, strict=True):
             begin, size = start[rows], start[rows + 1] - start[rows]
@@ -272,6 +349,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 pair = Pair(path_a, path_b)
                 writer = Writer(pair.a.size, pair.b.size)
                 kind = link_type(pair.a.size * pair.b.size)
+                release_memory()
             for rows, texts in slices(batch, max_bytes=SLICE):
                 ids, lens = pair.encode(texts)
                 # Ends count on over the texts, as the bytes of both are the same.
@@ -288,6 +366,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                      pa.array([raw[x:y] for x, y in zip(at[:-1], at[1:], strict=True)],
                               pa.binary())],
                     names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links"])
+        pair = writer = None
+        release_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return written(docs.select("doc_id", "text").mapInArrow(run, ALIGNED.format(id=kind)),
@@ -367,17 +447,16 @@ def scored_by_broadcast(rows: DataFrame, pairs: DataFrame, kind: np.dtype) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, best = shared.value
         for batch in batches:
-            links = batch.column("links")
-            raws = [x.as_buffer() for x in links]
-            at = np.searchsorted(pair, np.frombuffer(b"".join(raws), kind))
-            ends = np.concatenate([[0], np.cumsum([len(r) for r in raws])]) // kind.itemsize
-            out = []
-            for values in (best[at].astype(np.int64), n[at]):
-                sums = np.concatenate([[0], np.cumsum(values)])
-                out.append(pa.array(sums[ends[1:]] - sums[ends[:-1]]))
-            keep = [c for c in batch.schema.names if c != "links"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *out],
-                                             names=[*keep, "n_best", "count_sum"])
+            for part, raws in slices(batch, "links", SLICE):
+                at = np.searchsorted(pair, np.frombuffer(b"".join(raws), kind))
+                ends = np.concatenate([[0], np.cumsum([len(r) for r in raws])]) // kind.itemsize
+                out = []
+                for values in (best[at].astype(np.int64), n[at]):
+                    sums = np.concatenate([[0], np.cumsum(values)])
+                    out.append(pa.array(sums[ends[1:]] - sums[ends[:-1]]))
+                keep = [c for c in batch.schema.names if c != "links"]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *out],
+                                                 names=[*keep, "n_best", "count_sum"])
 
     kept = rows.drop("links")
     return rows.mapInArrow(run, f"{schema_of(kept)}, n_best long, count_sum long")

@@ -58,6 +58,26 @@ def process_cache(name: str, make):
     return store[name]
 
 
+def release_memory() -> None:
+    """Give what the worker process has freed back to the system: a worker lives
+    on after its task, beside those of the next stage."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def drop_caches() -> None:
+    """Forget what :func:`process_cache` keeps: a step that needs none of it runs
+    in workers that earlier steps have filled."""
+    if sys.__dict__.pop("_quire_process_cache", None):
+        release_memory()
+
+
 def text_bytes(column) -> list:
     """A text column as a list of UTF-8 bytes (NULL: None)."""
     return column.cast(pa.binary()).to_pylist()
