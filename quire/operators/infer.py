@@ -4,21 +4,20 @@ The model is an injected *responder factory*: a picklable callable that
 returns a responder (``prompt -> reply text``) once per task. Rows travel to
 Python as Arrow batches (``mapInPandas``); inside a task at most
 ``max_in_flight`` calls run at once, a token bucket keeps the task's share of
-``rate_per_sec``, and retryable failures are retried with exponential
-backoff. A failure becomes a row (``error`` set), never a failed job.
+``rate_per_sec``, and retryable failures are put back in the task's queue with
+exponential backoff (:mod:`quire.operators.calls`). A failure becomes a row
+(``error`` set), never a failed job.
 
 Spark may run a task twice (speculation, executor loss): callers write the
-output to the log before using it, and dedupe the log last-wins.
+output to the log before using it, and dedupe the log last-wins. With a ledger
+a task that runs again does not ask again for what it had finished.
 """
 
 from __future__ import annotations
 
-import random
 import re
-import threading
 import time
 from collections.abc import Callable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,7 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.replies import FATAL_RE, RETRYABLE_RE
+from quire.operators.calls import Answer, Calls, retry_schedule
 from quire.operators.grouping import spread_for_inference
+from quire.operators.ledger import Ledger
 
 _FATAL = re.compile(FATAL_RE)
 _RETRYABLE = re.compile(RETRYABLE_RE)
@@ -70,53 +71,14 @@ def backoff_delays(initial: float, retries: int) -> list[float]:
     return [backoff_delay(initial, k) for k in range(retries)]
 
 
-class _TokenBucket:
-    def __init__(self, rate: float | None):
-        self.rate = rate
-        self.lock = threading.Lock()
-        self.next_at = time.monotonic()
-
-    def take(self) -> None:
-        if not self.rate:
-            return
-        with self.lock:
-            now = time.monotonic()
-            wait = self.next_at - now
-            self.next_at = max(now, self.next_at) + 1.0 / self.rate
-        if wait > 0:
-            time.sleep(wait)
-
-
-def _call_with_retry(responder: Responder, args: tuple, bucket: _TokenBucket,
-                     max_retries: int, initial_backoff: float, jitter: float,
-                     retry_other: bool) -> tuple[str | None, str | None, int, float]:
-    start = time.monotonic()
-    attempts = 0
-    while True:
-        attempts += 1
-        bucket.take()
-        try:
-            reply = responder(*args)
-            return (None if reply is None else str(reply)), None, attempts, time.monotonic() - start
-        except Exception as exc:  # the row records the failure
-            msg = f"{type(exc).__name__}: {exc}"
-            kind = classify_failure(msg)
-            retry = kind == "retryable" or (retry_other and kind == "other")
-            if not retry or attempts > max_retries:
-                return None, msg, attempts, time.monotonic() - start
-            delay = backoff_delay(initial_backoff, attempts - 1)
-            if jitter:
-                delay += random.uniform(0, jitter)
-            time.sleep(delay)
-
-
 def infer(df: DataFrame, prompt_col: str, responder_factory: ResponderFactory,
           keep: Sequence[str] = ("qid",), partitions: int | None = None,
           group_col: str | None = None, salt_on: str = "qid",
           rows_per_task: int | None = 1000, context_cols: Sequence[str] = (),
           max_in_flight: int = 5, rate_per_sec: float | None = None, max_retries: int = 3,
           initial_backoff: float = BACKOFF_REWRITE[0], jitter: float = BACKOFF_REWRITE[1],
-          retry_other: bool = False) -> DataFrame:
+          retry_other: bool = False, max_tasks: int | None = None,
+          ledger: Ledger | None = None, key: Sequence[str] | None = None) -> DataFrame:
     """Answer ``prompt_col`` for every row; output ``keep`` columns plus
     ``reply, error, attempts, elapsed_s``.
 
@@ -125,6 +87,12 @@ def infer(df: DataFrame, prompt_col: str, responder_factory: ResponderFactory,
     many tasks as ``rows_per_task`` asks for (model time per row dwarfs the
     count), or to ``partitions``; with ``group_col`` a group's rows of a task
     stand together. ``rate_per_sec`` is shared by the tasks that can run at once.
+
+    ``max_tasks`` bounds the calls of the whole cluster: the rows go to that many
+    tasks at most, so no more than ``max_tasks * max_in_flight`` calls run at any
+    time, however many slots there are. Rows leave a task as they are finished,
+    not in their order. ``ledger`` keeps finished rows in the shared folder, by
+    ``key`` (columns of ``keep``, by default the first), while the job runs.
     """
     keep = list(keep)
     spark = df.sparkSession
@@ -132,6 +100,7 @@ def infer(df: DataFrame, prompt_col: str, responder_factory: ResponderFactory,
                                *([group_col] if group_col else [])]))
     src = df.select(*cols)
     n = partitions or task_count(src, rows_per_task)
+    n = min(n, max_tasks) if max_tasks else n
     if group_col:
         src = spread_for_inference(src, group_col, n, salt_on)
     else:
@@ -141,38 +110,111 @@ def infer(df: DataFrame, prompt_col: str, responder_factory: ResponderFactory,
     slots = max(1, min(n, spark.sparkContext.defaultParallelism))
     per_task_rate = (rate_per_sec / slots) if rate_per_sec else None
 
+    key = list(key or keep[:1])
+    retry_in = retry_schedule(classify_failure, max_retries, initial_backoff, jitter, retry_other)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        responder = None
-        bucket = _TokenBucket(per_task_rate)
-        pool = None
+        # Nothing is built before the first row: no rows, no client.
+        rows = (pdf for pdf in batches if not pdf.empty)
+        first = next(rows, None)
+        if first is None:
+            return
+        book = ledger.task(out_schema, key) if ledger else None
+        task = _Task(keep, key, book, ledger.rows if ledger else FLUSH_ROWS,
+                     ledger.seconds if ledger else FLUSH_SECONDS)
+        calls = Calls(responder_factory(), max_in_flight, retry_in, per_task_rate)
+        room = 4 * max(1, max_in_flight)
         try:
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                if responder is None:  # built lazily: no rows, no client
-                    responder = responder_factory()
-                    pool = ThreadPoolExecutor(max_workers=max(1, max_in_flight))
-                calls = [(p,) for p in pdf[prompt_col].tolist()]
-                if context_cols:
-                    media = pdf[list(context_cols)].to_dict("records")
-                    calls = [(*p, m) for p, m in zip(calls, media, strict=True)]
-                results = list(pool.map(
-                    lambda args: _call_with_retry(responder, args, bucket, max_retries,
-                                                  initial_backoff, jitter, retry_other),
-                    calls))
-                out = pdf[keep].copy()
-                out["reply"] = [r[0] for r in results]
-                out["error"] = [r[1] for r in results]
-                out["attempts"] = [r[2] for r in results]
-                out["elapsed_s"] = [float(r[3]) for r in results]
-                yield out
+            more = True
+            while more or calls.open or calls.answers:
+                while more and calls.open < room:
+                    pdf = first if first is not None else next(rows, None)
+                    first, more = None, pdf is not None
+                    if more:
+                        prompts = pdf[prompt_col].tolist()
+                        context = pdf[list(context_cols)].to_dict("records") if context_cols else None
+                        for ref, i in task.open(pdf):
+                            calls.put(ref, (prompts[i], context[i]) if context else (prompts[i],))
+                        if task.known is not None:
+                            yield task.known
+                yield from task.close(calls.take(task.rows, room if more else 1, task.seconds))
+            task.save(True)
+        except BaseException:
+            calls.close()
+            for _ in task.close(calls.answers):
+                pass
+            task.save(True)
+            raise
         finally:
-            if pool is not None:
-                pool.shutdown(wait=True)
+            calls.close()
 
     return src.mapInPandas(run, out_schema)
 
 
+#: Finished rows that leave a task together, and how long they wait for others.
+FLUSH_ROWS, FLUSH_SECONDS = 1000, 5.0
+
+
+class _Task:
+    """The rows of one task: input frames whose rows are being answered, output
+    frames of those that are, and what of it the ledger has yet to get."""
+
+    def __init__(self, keep: list[str], key: list[str], book, rows: int, seconds: float):
+        self.keep, self.key, self.book, self.rows, self.seconds = keep, key, book, rows, seconds
+        self.frames: dict[int, list] = {}
+        self.opened, self.unsaved, self.saved_at = 0, [], time.monotonic()
+        #: Rows of the frame opened last that an earlier attempt had finished.
+        self.known: pd.DataFrame | None = None
+
+    def open(self, pdf: pd.DataFrame) -> list[tuple[tuple[int, int], int]]:
+        """References of the frame's rows to be asked, with their places in it."""
+        ask, done = list(range(len(pdf))), []
+        if self.book and self.book.finished:
+            keys = list(zip(*(pdf[k].tolist() for k in self.key), strict=True))
+            done = [i for i in ask if keys[i] in self.book.finished]
+            ask = [i for i in ask if keys[i] not in self.book.finished]
+        self.known = None
+        if done:
+            found = [self.book.finished[keys[i]] for i in done]
+            self.known = self._frame(pdf, done, [Answer(None, *(
+                f[c.name] for c in OUTPUT_FIELDS)) for f in found])
+        self.opened += 1
+        if ask:
+            self.frames[self.opened] = [pdf, len(ask)]
+        return [((self.opened, i), i) for i in ask]
+
+    def _frame(self, pdf: pd.DataFrame, places: list[int], answers: list[Answer]) -> pd.DataFrame:
+        out = pdf[self.keep].iloc[places].reset_index(drop=True)
+        for name, values in zip((c.name for c in OUTPUT_FIELDS),
+                                zip(*(a[1:] for a in answers), strict=True), strict=True):
+            out[name] = list(values)
+        return out
+
+    def close(self, answers: list[Answer]) -> Iterator[pd.DataFrame]:
+        """The answered rows as output frames."""
+        by_frame: dict[int, list[Answer]] = {}
+        for a in answers:
+            by_frame.setdefault(a.ref[0], []).append(a)
+        for number, own in by_frame.items():
+            held = self.frames[number]
+            out = self._frame(held[0], [a.ref[1] for a in own], own)
+            held[1] -= len(own)
+            if not held[1]:
+                del self.frames[number]
+            if self.book:
+                self.unsaved.append(out)
+            yield out
+        self.save(False)
+
+    def save(self, now: bool) -> None:
+        """Hand finished rows to the ledger, once there are enough of them."""
+        waited = time.monotonic() - self.saved_at
+        if self.unsaved and (now or waited >= self.seconds
+                             or sum(map(len, self.unsaved)) >= self.rows):
+            self.book.write(pd.concat(self.unsaved, ignore_index=True))
+            self.unsaved, self.saved_at = [], time.monotonic()
+
+
 def task_count(df: DataFrame, rows_per_task: int | None) -> int:
     """Tasks for a model step: one per ``rows_per_task`` rows, but enough to use
     the session's shuffle partitions while there are rows for them."""

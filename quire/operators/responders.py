@@ -169,3 +169,25 @@ class MediaResponder:
             return f"{row['media_path'] or row['url']}: {prompt_digest(prompt)[:8]}"
 
         return respond
+
+
+class GoesDown:
+    """A model that cannot go on once ``when(prompt)`` holds: from then on its
+    task fails (see :class:`quire.operators.calls.ModelDown`)."""
+
+    MESSAGE = "the model is down"
+
+    def __init__(self, inner, when):
+        self.inner, self.when = inner, when
+
+    def __call__(self):
+        from quire.operators.calls import ModelDown
+
+        respond, when, message = self.inner(), self.when, self.MESSAGE
+
+        def answer(prompt: str) -> str:
+            if when(prompt):
+                raise ModelDown(message)
+            return respond(prompt)
+
+        return answer

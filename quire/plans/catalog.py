@@ -562,6 +562,10 @@ def q_three_rounds(spark, d):
     return runs.three_rounds(spark, d)
 
 
+def q_interrupted_run(spark, d):
+    return runs.interrupted_run(spark, d)
+
+
 # Runs against a model that refuses some prompts for good.
 
 
@@ -780,6 +784,7 @@ QUERIES = {
     "csv_roundtrip": q_csv_roundtrip,
     "replay_recorded": q_replay_recorded,
     "three_rounds": q_three_rounds,
+    "interrupted_run": q_interrupted_run,
     "two_step_failures": q_two_step_failures,
     "context_failures": q_context_failures,
     "fact_check_failures": q_fact_check_failures,

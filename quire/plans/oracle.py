@@ -320,6 +320,8 @@ SQL = {
         f"1 AS attempts FROM q"),
     "answer_run": (
         f"WITH {Q} SELECT qid, conv_id, turn, {echo(strip('question'))} AS pred FROM q"),
+    "interrupted_run": (
+        f"WITH {Q} SELECT qid, {echo(strip('question'))} AS prediction, CAST(1 AS BIGINT) AS n_logged FROM q"),
     "stream_resume": (
         f"WITH {Q}, t AS (SELECT *, length({strip('question')}) % 4 = 0 AND turn <> 0 AS lost FROM q) "
         f"SELECT qid, CASE WHEN NOT lost THEN {echo(strip('question'))} END AS reply, "

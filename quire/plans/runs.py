@@ -9,14 +9,18 @@ over the same log infers only what is still missing.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions.replies import NO_CANDIDATES_THOUGHTS, NO_RESPONSE_BEST, reply_status
 from quire.functions.text import py_strip
 from quire.operators import infer as inf
+from quire.operators import ledger as led
 from quire.operators import resume as rs
 from quire.operators import vote as vo
+from quire.operators.responders import GoesDown
 from quire.plans import shapes as sh
 from quire.session import scratch_path
 from quire.sources import io
@@ -41,21 +45,80 @@ def next_round(log: DataFrame) -> int:
     return 0 if last is None else last + 1
 
 
-def answer_round(spark: SparkSession, questions: DataFrame, log_path: str, responder_factory,
-                 ids: DataFrame | None = None, group_col: str | None = "conv_id",
-                 retry: tuple = inf.BACKOFF_REWRITE, no_response: str = NO_RESPONSE_BEST) -> None:
-    """One model round over the questions not yet in the log (or only ``ids``);
-    the answers are appended to the log under the next round number."""
-    log = io.load_log(spark, log_path, LOG_SCHEMA)
+def logged_round(spark: SparkSession, questions: DataFrame, log_path: str, schema: str,
+                 responder_factory, to_rows, ids: DataFrame | None = None,
+                 group_col: str | None = "conv_id", retry: tuple = inf.BACKOFF_REWRITE,
+                 keep: tuple[str, ...] = ("qid",), save: tuple[int, float] = (1000, 60.0)) -> None:
+    """One model round over the ``questions`` not yet in the log (or only
+    ``ids``), appended to the log under the next round number.
+
+    While the round runs its tasks save what they finish (every ``save`` rows or
+    seconds); what a lost round had saved becomes part of the log first, so only
+    the rest is asked again. ``to_rows(output of infer, round)`` gives the log's
+    rows.
+    """
+    raw = T.StructType([*(questions.schema[k] for k in keep), *inf.OUTPUT_FIELDS])
+    recover_rounds(spark, log_path, schema, raw, to_rows)
+    log = io.load_log(spark, log_path, schema)
     run_id = next_round(log)
     todo = rs.only_ids(questions, ids, key="qid") if ids is not None else \
         rs.unanswered(questions, log, key="qid")
-    out = inf.infer(todo, "prompt", responder_factory, keep=["qid"], group_col=group_col,
-                    **retrying(retry))
-    io.append_log(out.select(
-        F.lit(run_id).alias("run_id"), F.monotonically_increasing_id().alias("seq"), "qid",
-        reply_status("reply", "error", no_response).alias("prediction"), "attempts", "elapsed_s"),
-        log_path)
+    ledger = led.new_ledger(log_path, *save)
+    out = inf.infer(todo, "prompt", responder_factory, keep=keep, group_col=group_col,
+                    ledger=ledger, key=["qid"], **retrying(retry))
+    io.append_log(to_rows(out, run_id), log_path, ledger.batch)
+    led.forget(log_path, ledger.batch)
+
+
+def recover_rounds(spark: SparkSession, log_path: str, schema: str, raw: T.StructType, to_rows
+                   ) -> list[str]:
+    """Make what the tasks of lost rounds have saved a round of the log each."""
+    def append(rows: DataFrame, batch: str) -> None:
+        run_id = next_round(io.load_log(spark, log_path, schema))
+        io.append_log(to_rows(rows, run_id), log_path, batch)
+
+    done = io.committed(spark, log_path, led.batches_in_progress(log_path))
+    return led.recovered(spark, log_path, raw, ["qid"], append, done)
+
+
+def answer_rows(no_response: str = NO_RESPONSE_BEST):
+    """Output of ``infer`` as rows of the answer log."""
+    def rows(out: DataFrame, run_id: int) -> DataFrame:
+        return out.select(
+            F.lit(run_id).alias("run_id"), F.monotonically_increasing_id().alias("seq"), "qid",
+            reply_status("reply", "error", no_response).alias("prediction"), "attempts", "elapsed_s")
+
+    return rows
+
+
+def answer_round(spark: SparkSession, questions: DataFrame, log_path: str, responder_factory,
+                 ids: DataFrame | None = None, group_col: str | None = "conv_id",
+                 retry: tuple = inf.BACKOFF_REWRITE, no_response: str = NO_RESPONSE_BEST,
+                 save: tuple[int, float] = (1000, 60.0)) -> None:
+    """A :func:`logged_round` of the answer log."""
+    logged_round(spark, questions, log_path, LOG_SCHEMA, responder_factory,
+                 answer_rows(no_response), ids, group_col, retry, save=save)
+
+
+def interrupted_run(spark: SparkSession, sf_dir: str, log_path: str | None = None,
+                    down_when=None) -> DataFrame:
+    """An answer run that is lost on its way and begun again. The first model
+    goes down at some prompts, which fails its tasks and with them the job; what
+    the tasks had finished is recovered into the log, and the second model is
+    asked for the rest only. Every question with its answer and how many rows of
+    the log are its."""
+    log_path = log_path or scratch_path(spark, "interrupted-log")
+    q = sh.questions(spark, sf_dir).select("qid", "conv_id", py_strip("question").alias("prompt"))
+    first = GoesDown(inf.PrefixResponder("A: ", 20), down_when or (lambda p: len(p) % 8 == 0))
+    try:
+        answer_round(spark, q, log_path, first, retry=NO_RETRY, save=(1, 0.0))
+    except PySparkException as exc:
+        if GoesDown.MESSAGE not in str(exc):
+            raise
+    answer_round(spark, q, log_path, inf.PrefixResponder("A: ", 20), retry=NO_RETRY)
+    log = io.load_log(spark, log_path, LOG_SCHEMA)
+    return current_answers(spark, log_path).select("qid", "prediction").join(
+        log.groupBy("qid").agg(F.count(F.lit(1)).alias("n_logged")), on="qid", how="inner")
 
 
 def answer_rounds(spark: SparkSession, questions: DataFrame, log_path: str, first, retries,
@@ -179,16 +242,22 @@ CONTEXT_LOG_SCHEMA = ("run_id INT, seq LONG, qid STRING, prediction STRUCT<conte
                       "is_contextual: BOOLEAN, explanation: STRING, corrected_question: STRING>")
 
 
-def _context_round(spark: SparkSession, todo: DataFrame, factory, log_path: str, retry: tuple
-                   ) -> None:
+def context_rows(retries: int):
+    """Output of ``infer`` as rows of the context log."""
     from quire.functions.replies import context_prediction
 
-    run_id = next_round(io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA))
-    out = inf.infer(todo, "prompt", factory, keep=["qid"], group_col="conv_id", **retrying(retry))
-    io.append_log(out.select(F.lit(run_id).alias("run_id"),
-                             F.monotonically_increasing_id().alias("seq"), "qid",
-                             context_prediction("reply", "error", retry[2]).alias("prediction")),
-                  log_path)
+    def rows(out: DataFrame, run_id: int) -> DataFrame:
+        return out.select(F.lit(run_id).alias("run_id"),
+                          F.monotonically_increasing_id().alias("seq"), "qid",
+                          context_prediction("reply", "error", retries).alias("prediction"))
+
+    return rows
+
+
+def _context_round(spark: SparkSession, questions: DataFrame, factory, log_path: str, retry: tuple,
+                   ids: DataFrame | None = None) -> None:
+    logged_round(spark, questions, log_path, CONTEXT_LOG_SCHEMA, factory, context_rows(retry[2]),
+                 ids, retry=retry)
 
 
 def current_contexts(spark: SparkSession, log_path: str) -> DataFrame:
@@ -211,13 +280,10 @@ def context_rounds(spark: SparkSession, questions: DataFrame, log_path: str,
 
     q = questions.select("qid", "conv_id",
                          render(CONTEXT_TEMPLATE, question=py_strip("question")).alias("prompt"))
-    log = io.load_log(spark, log_path, CONTEXT_LOG_SCHEMA)
-    _context_round(spark, rs.unanswered(q, log), first_factory or ContextResponder(fail_mod=7),
-                   log_path, retry)
+    _context_round(spark, q, first_factory or ContextResponder(fail_mod=7), log_path, retry)
     state = current_contexts(spark, log_path)
     failed = state.filter(context_failed(F.col("prediction")["context"])).select("qid")
-    _context_round(spark, rs.only_ids(q, failed), retry_factory or ContextResponder(), log_path,
-                   retry)
+    _context_round(spark, q, retry_factory or ContextResponder(), log_path, retry, failed)
     return current_contexts(spark, log_path)
 
 

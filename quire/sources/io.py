@@ -109,17 +109,26 @@ def load_log(spark: SparkSession, path: str, schema) -> DataFrame:
     return flat.unionByName(done.select(*flat.columns))
 
 
-def append_log(rows: DataFrame, path: str) -> None:
+def append_log(rows: DataFrame, path: str, batch: str | None = None) -> None:
     """Append one batch to the log, wholly or not at all: its rows go to a folder
     of their own, and one more row in ``_commits`` (a single file) makes them
-    part of the log. What a lost driver leaves behind is never read. The rows
-    are computed once, by the write itself."""
-    spark, batch = rows.sparkSession, uuid.uuid4().hex
-    rows.write.parquet(f"{path}/_rows/batch={batch}")
+    part of the log. What a lost driver leaves behind is never read (the rows of
+    a ``batch`` named again replace it). The rows are computed once, by the
+    write itself."""
+    spark, batch = rows.sparkSession, batch or uuid.uuid4().hex
+    rows.write.mode("overwrite").parquet(f"{path}/_rows/batch={batch}")
     spark.createDataFrame([(batch,)], "batch STRING").coalesce(1) \
         .write.mode("append").parquet(f"{path}/_commits")
 
 
+def committed(spark: SparkSession, path: str, batches: list[str]) -> set[str]:
+    """Those of ``batches`` that are part of the log."""
+    commits = _read_if_there(spark, f"{path}/_commits", "batch STRING") if batches else None
+    if commits is None:
+        return set()
+    return {r[0] for r in commits.where(F.col("batch").isin(batches)).distinct().collect()}
+
+
 def submission(predictions: DataFrame, key: str = "qid", value_col: str = "prediction",
                keep: tuple[str, ...] = ()) -> DataFrame:
     """``qid, pred``: both stripped; a missing prediction is the empty string.

@@ -187,7 +187,9 @@ def test_corrupt_log_fails_loudly(spark):
 def test_rate_limit_spreads_calls():
     import time as _t
 
-    bucket = inf._TokenBucket(20.0)
+    from quire.operators.calls import TokenBucket
+
+    bucket = TokenBucket(20.0)
     t0 = _t.monotonic()
     for _ in range(6):
         bucket.take()
