@@ -566,6 +566,25 @@ def q_interrupted_run(spark, d):
     return runs.interrupted_run(spark, d)
 
 
+def q_batch_failures(spark, d):
+    """Contexts in six batches of conversations, one of which dies."""
+    from quire.plans.batches import batched_context_run
+
+    return batched_context_run(spark, d, retry=runs.NO_RETRY)
+
+
+def q_rewrite_resume(spark, d):
+    from quire.plans.logged import rewrite_resume
+
+    return rewrite_resume(spark, d).withColumn("context", F.array_join("context", "|"))
+
+
+def q_retry_old_run(spark, d):
+    from quire.plans.logged import retried_contexts
+
+    return retried_contexts(spark, d)
+
+
 # Runs against a model that refuses some prompts for good.
 
 
@@ -785,6 +804,9 @@ QUERIES = {
     "replay_recorded": q_replay_recorded,
     "three_rounds": q_three_rounds,
     "interrupted_run": q_interrupted_run,
+    "batch_failures": q_batch_failures,
+    "rewrite_resume": q_rewrite_resume,
+    "retry_old_run": q_retry_old_run,
     "two_step_failures": q_two_step_failures,
     "context_failures": q_context_failures,
     "fact_check_failures": q_fact_check_failures,

@@ -507,6 +507,17 @@ def _run_sql():
         "ELSE context END AS context, NOT lost AND is_contextual AS is_contextual, "
         "CASE WHEN lost THEN 'Failed after 2 retries. Last error: RuntimeError: 529 overloaded' "
         "ELSE explanation END AS explanation FROM y")
+    batch_failures = (
+        f"WITH {Q}, {seen}, g AS (SELECT conv_id, row_number() OVER (ORDER BY min(turn), conv_id) - 1 AS rn, "
+        "count(*) OVER () AS n FROM q GROUP BY conv_id), "
+        f"y AS (SELECT x.*, {_context_sql('dg')}, rn // CAST(ceil(n / 6.0) AS BIGINT) = 2 AS died "
+        "FROM x JOIN g ON g.conv_id = x.conv_id) "
+        "SELECT qid, conv_id, turn, CASE WHEN died THEN 'Error: Batch processing failed' ELSE context END "
+        "AS context, NOT died AND is_contextual AS is_contextual, CASE WHEN died THEN "
+        "'Error during batch processing: RuntimeError: the model client cannot start' ELSE explanation END "
+        "AS explanation FROM y")
+    retry_old_run = (
+        f"WITH {Q}, {seen} SELECT qid, conv_id, turn, {_context_sql('dg')}, {lost} AS asked_again FROM x")
     fc = template_sql(FACT_CHECK_TEMPLATE, question=qs, answer=strip("a.answer"))
 
     def fact(refused: str) -> str:
@@ -523,6 +534,11 @@ def _run_sql():
     def rewrite(failing: bool) -> str:
         return f"WITH {Q}, {A}, " + _rewrite_sql(answered, failing) + " SELECT * FROM rewritten"
 
+    rewrite_resume = (
+        f"WITH {Q}, {A}, " + _rewrite_sql(answered, False) +
+        " SELECT r.qid, 'https://v/' || conv_id AS youtube_url, CAST(conv_id AS VARCHAR) AS video_id, "
+        f"{qs} AS question, skip_reason, r.context, final_question AS corrected_question, rewrite_status, error "
+        "FROM rewritten r JOIN q ON q.qid = r.qid")
     combined = (f"CASE WHEN s.question_prompt IS NOT NULL AND {strip('s.question_prompt')} <> '' THEN "
                 f"coalesce({qs}, '') || chr(10) || {strip('s.question_prompt')} ELSE coalesce({qs}, '') END")
     snapshot = (
@@ -551,7 +567,8 @@ def _run_sql():
         f"SELECT qid, {strip(echo(strip('s')))} AS pred FROM o")
     return {"two_step_answer": two_step, "two_step_model": model("false"),
             "two_step_failures": model(lost), "context_run": context,
-            "context_failures": context_failures, "fact_check_run": fact("false"),
+            "context_failures": context_failures, "batch_failures": batch_failures,
+            "retry_old_run": retry_old_run, "rewrite_resume": rewrite_resume, "fact_check_run": fact("false"),
             "fact_check_failures": fact(lost), "rewrite_run": rewrite(False),
             "rewrite_failures": rewrite(True), "snapshot_run": snapshot,
             "one_group_check": one_group, "compare_modes": compare, "three_step_run": three}

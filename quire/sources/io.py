@@ -8,6 +8,7 @@ stay text.
 from __future__ import annotations
 
 import uuid
+from contextlib import nullcontext
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -109,16 +110,18 @@ def load_log(spark: SparkSession, path: str, schema) -> DataFrame:
     return flat.unionByName(done.select(*flat.columns))
 
 
-def append_log(rows: DataFrame, path: str, batch: str | None = None) -> None:
+def append_log(rows: DataFrame, path: str, batch: str | None = None, lock=None) -> None:
     """Append one batch to the log, wholly or not at all: its rows go to a folder
     of their own, and one more row in ``_commits`` (a single file) makes them
     part of the log. What a lost driver leaves behind is never read (the rows of
     a ``batch`` named again replace it). The rows are computed once, by the
-    write itself."""
+    write itself. Threads that append to one log share a ``lock``: commits are
+    added one after the other, as writers to one folder share temporary files."""
     spark, batch = rows.sparkSession, batch or uuid.uuid4().hex
     rows.write.mode("overwrite").parquet(f"{path}/_rows/batch={batch}")
-    spark.createDataFrame([(batch,)], "batch STRING").coalesce(1) \
-        .write.mode("append").parquet(f"{path}/_commits")
+    with lock or nullcontext():
+        spark.createDataFrame([(batch,)], "batch STRING").coalesce(1) \
+            .write.mode("append").parquet(f"{path}/_commits")
 
 
 def committed(spark: SparkSession, path: str, batches: list[str]) -> set[str]:
