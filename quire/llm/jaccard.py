@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Windows, hashed_words, mixed, slices, table, written
+from .common import Windows, drop_caches, hashed_words, mixed, release_memory, slices, table, written
 from .graph import connected_components
 
 WORDS = 5
@@ -80,6 +80,7 @@ def first_pass(docs: DataFrame, width: int) -> DataFrame:
     """Rows per document (doc_id, text hash h, n, key) and per sketch block of a task
     (block, counts). Sets met before in the task are not counted again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         counts, met, kind = np.zeros(SKETCH, dtype=np.int64), set(), None
         for batch in batches:
             kind = batch.schema.field("doc_id").type
@@ -102,6 +103,8 @@ def first_pass(docs: DataFrame, width: int) -> DataFrame:
                     names=["doc_id", "h", "n", "key", "block", "counts"])
         if kind is not None:
             yield sketch_rows(counts, kind)
+        counts = met = None
+        release_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return written(docs.mapInArrow(run, FIRST.format(id=kind)), "shingle-sizes")
@@ -174,6 +177,7 @@ def postings(docs: DataFrame, levels, width: int) -> DataFrame:
     """(shingle, key, n, pos): the prefix of every set, rarest shingle first;
     equal sets of a task give one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         level, met = levels.value, set()
         for batch in batches:
             for _, texts in slices(batch):
@@ -193,6 +197,8 @@ def postings(docs: DataFrame, levels, width: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c[0].view(np.int64)), *map(pa.array, c[1:])],
                         names=["shingle", "key", "n", "pos"])
+        met = None
+        release_memory()
 
     return docs.select("text").mapInArrow(run, "shingle long, key long, n int, pos int")
 
