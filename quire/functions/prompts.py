@@ -17,27 +17,18 @@ from pyspark.sql import functions as F
 CANDIDATES_TEMPLATE = (
     "Watch the clip and answer the question below.\n"
     "Question:\n{question}\n\n"
-    "Write {n} different candidate answers, one per line. For a multiple-choice "
-    "question start each line with the option letter; use E only when no other "
-    "option fits.\n"
-    "Answer within what the clip means, not only what a frame shows: someone held up to "
-    "a hoop is pretending to score. Look for causes outside the picture before calling "
-    "something a trick. Tie every word of the question to what is going on: a shot that "
-    "flies past has not hit. Use details beyond the question when they change the answer: "
-    "a costumed person does not count as an animal. Repeat a candidate if it is the most "
-    "likely one again."
+    "Write {n} candidate answers, one per line, the likeliest first. Where the question "
+    "lists options, begin each line with an option letter; E stands for none of them. "
+    "Base every candidate on what happens in the clip. A line may be repeated if nothing "
+    "else is as likely."
 )
 
 AGGREGATE_TEMPLATE = (
     "Question:\n{question}\n\n"
     "Candidate answers ({n} were requested):\n{candidates}\n\n"
-    "Pick or write the single best answer. For a multiple-choice question: if only one "
-    "option was proposed, watch the clip and return it if you agree; if every candidate "
-    "says E, ignore the candidates and answer from the clip; before settling on E look "
-    "again, and prefer the next plausible option; otherwise choose among the candidates "
-    "that are not E after checking the clip; if several options hold at once, E is the "
-    "answer. For an open question: combine the candidates, take the most logical one, or "
-    "build the answer from them. Reply with the answer only, without reasons."
+    "Compare the candidates with the clip and give one final answer: an option letter "
+    "where the question lists options (E only if the clip rules out all others), else a "
+    "short sentence. Reply with the answer only, without reasons."
 )
 
 REWRITE_TEMPLATE = (
