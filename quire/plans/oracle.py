@@ -325,7 +325,9 @@ SQL = {
     "stream_resume": (
         f"WITH {Q}, t AS (SELECT *, length({strip('question')}) % 4 = 0 AND turn <> 0 AS lost FROM q) "
         f"SELECT qid, CASE WHEN NOT lost THEN {echo(strip('question'))} END AS reply, "
-        "CASE WHEN lost THEN 'RuntimeError: 403 permission denied' END AS error FROM t"),
+        "CASE WHEN lost THEN 'RuntimeError: 403 permission denied' END AS error, "
+        f"CAST(CASE WHEN length({strip('question')}) % 4 = 0 AND turn = 0 THEN 2 ELSE 1 END AS BIGINT) AS asked "
+        "FROM t"),
     "infer_attempts": (
         f"WITH {Q} SELECT qid, {echo(strip('question'))} AS reply, CAST(NULL AS VARCHAR) AS error, "
         f"CASE WHEN unicode(left(md5({strip('question')}), 1)) % 2 = 0 THEN 2 ELSE 1 END AS attempts FROM q"),

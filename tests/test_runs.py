@@ -7,7 +7,6 @@ from quire.operators import infer as inf
 from quire.plans.runs import LOG_SCHEMA, answer_run
 from quire.session import scratch_path
 from quire.sources import io
-from quire.streaming.resume import STREAM_LOG_SCHEMA, resume_stream
 
 from support import SF_SMALL, rows
 
@@ -90,24 +89,6 @@ def test_answer_run_retries_and_is_idempotent(spark):
     assert sorted(map(tuple, again)) == sorted(map(tuple, res))
 
 
-def test_stream_resume_answers_each_question_once(spark):
-    base = scratch_path(spark, "test-stream")
-    src, log_path, ckpt = f"{base}/in", f"{base}/log", f"{base}/ckpt"
-    a = spark.createDataFrame([("1", 1, "p1"), ("2", 1, "p2")], "qid string, conv_id long, prompt string")
-    a.write.parquet(src)
-    resume_stream(spark, src, log_path, ckpt, inf.PrefixResponder()).awaitTermination()
-    # T1-R: an id re-sent in a later file is answered once.
-    b = spark.createDataFrame([("2", 1, "p2"), ("3", 2, "p3")], "qid string, conv_id long, prompt string")
-    b.write.mode("append").parquet(src)
-    resume_stream(spark, src, log_path, ckpt, inf.PrefixResponder()).awaitTermination()
-    log = io.load_log(spark, log_path, STREAM_LOG_SCHEMA)
-    assert sorted(rows(log, "qid", "reply")) == [("1", _echo("p1")), ("2", _echo("p2")),
-                                                 ("3", _echo("p3"))]
-    # No new files → no new rows.
-    resume_stream(spark, src, log_path, ckpt, inf.PrefixResponder()).awaitTermination()
-    assert io.load_log(spark, log_path, STREAM_LOG_SCHEMA).count() == 3
-
-
 def test_csv_roundtrip(spark):
     d = tempfile.mkdtemp(prefix="quire-csv-")
     path = os.path.join(d, "q.csv")
