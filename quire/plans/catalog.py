@@ -790,6 +790,7 @@ QUERIES = {
     "infer_replay": q_infer_replay,
     "answer_run": q_answer_run,
     "stream_resume": q_stream_resume,
+    "compacted_log": lambda spark, d: runs.compacted_rounds(spark, d),
     "two_step_answer": q_two_step_answer,
     "two_step_model": q_two_step_model,
     "repeat_vote": q_repeat_vote,

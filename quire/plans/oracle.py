@@ -336,6 +336,12 @@ SQL = {
         "r AS (SELECT *, CASE WHEN length(s) % 2 <> 0 THEN 0 WHEN length(s) % 4 <> 0 THEN 1 ELSE 2 END "
         "AS round_no FROM t) SELECT qid, substr('ABC', round_no + 1, 1) || substr("
         f"{echo('s')}, 2) AS prediction, round_no FROM r"),
+    "compacted_log": (
+        f"WITH {Q}, t AS (SELECT qid, {strip('question')} AS s FROM q), "
+        "r AS (SELECT *, CASE WHEN length(s) % 2 <> 0 THEN 0 WHEN length(s) % 4 <> 0 THEN 1 ELSE 2 END "
+        "AS round_no FROM t) SELECT qid, substr('ABC', round_no + 1, 1) || substr("
+        f"{echo('s')}, 2) AS prediction, round_no, "
+        "CAST(CASE round_no WHEN 0 THEN 1 ELSE 2 END AS BIGINT) AS n_kept FROM r"),
     "error_structs": (
         f"WITH e AS (SELECT event_id, {MESSAGE} AS m, event_id % 5 AS k FROM events) "
         "SELECT event_id, CASE k WHEN 0 THEN 'Error: Processing failed after retries' "

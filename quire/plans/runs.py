@@ -176,6 +176,28 @@ def three_rounds(spark: SparkSession, sf_dir: str, log_path: str | None = None)
     return current_answers(spark, log_path).select("qid", "prediction", "round_no")
 
 
+def compacted_rounds(spark: SparkSession, sf_dir: str, log_path: str | None = None) -> DataFrame:
+    """Three rounds over one log that is compacted after each of them, so every
+    round reads a base and no batch before it. Every id with its answer, the round
+    that gave it, and how many rows of the log are left of it."""
+    from quire.sources.compact import compact
+
+    log_path = log_path or scratch_path(spark, "compacted-log")
+    q = sh.questions(spark, sf_dir).select("qid", "conv_id", py_strip("question").alias("prompt"))
+    first = inf.PrefixResponder("A: ", 20, fail_when=lambda p: len(p) % 2 == 0)
+    second = inf.PrefixResponder("B: ", 20, fail_when=lambda p: len(p) % 4 == 0)
+    answer_round(spark, q, log_path, first, retry=NO_RETRY)
+    for factory in (second, inf.PrefixResponder("C: ", 20)):
+        compact(spark, log_path, LOG_SCHEMA)
+        failed = rs.error_ids(current_answers(spark, log_path), "prediction", key="qid")
+        answer_round(spark, q, log_path, factory, ids=failed, retry=NO_RETRY)
+    compact(spark, log_path, LOG_SCHEMA)
+    kept = io.load_log(spark, log_path, LOG_SCHEMA).groupBy("qid").agg(
+        F.count(F.lit(1)).alias("n_kept"))
+    return current_answers(spark, log_path).select("qid", "prediction", "round_no") \
+        .join(kept, on="qid", how="inner")
+
+
 def run_log(spark: SparkSession, log_path: str) -> DataFrame:
     """Calls, attempts and elapsed time per round of an answer log."""
     return io.load_log(spark, log_path, LOG_SCHEMA).groupBy("run_id").agg(

@@ -93,21 +93,57 @@ def _read_if_there(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
+#: A compacted log's bases (:mod:`quire.sources.compact`): the last ``no`` counts,
+#: and stands for the batches it covers.
+BASES_SCHEMA = "no LONG, generation STRING, buckets INT, key STRING, covers ARRAY<STRING>"
+
+
+def current_base(spark: SparkSession, path: str):
+    """The row of the base a log has, or None."""
+    bases = _read_if_there(spark, f"{path}/_bases", BASES_SCHEMA)
+    return None if bases is None else bases.orderBy(F.desc("no")).first()
+
+
+def open_batches(spark: SparkSession, path: str) -> DataFrame | None:
+    """The committed batches of a log that its base does not cover (column
+    ``batch``); None where nothing was committed."""
+    commits = _read_if_there(spark, f"{path}/_commits", "batch STRING")
+    if commits is None:
+        return None
+    base = current_base(spark, path)
+    # Names of the rounds between two compactions: a short list.
+    return (commits if base is None else commits.where(~F.col("batch").isin(base["covers"]))).distinct()
+
+
+def committed_rows(spark: SparkSession, path: str, schema, base: bool = True) -> DataFrame:
+    """The rows of the base (unless ``base`` is false) and of the batches since."""
+    empty = spark.createDataFrame([], schema)
+    out = empty
+    last = current_base(spark, path) if base else None
+    if last is not None:
+        out = spark.read.schema(empty.schema).parquet(f"{path}/_base/{last['generation']}")
+    commits = open_batches(spark, path)
+    rows = None if commits is None else _read_if_there(
+        spark, f"{path}/_rows", T.StructType([*empty.schema.fields,
+                                              T.StructField("batch", T.StringType())]))
+    if rows is None:
+        return out
+    done = rows.join(commits, on="batch", how="left_semi").select(*empty.columns)
+    return done if last is None else out.unionByName(done)
+
+
 def load_log(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The answer log: the rows of all committed batches, and of Parquet files
-    that lie in the folder itself. A missing path is an empty log. A corrupt
-    log fails loudly (re-answering everything silently would be worse)."""
+    """The answer log: the rows of all committed batches (of the base and the
+    batches since, where the log was compacted), and of Parquet files that lie in
+    the folder itself. A missing path is an empty log. A corrupt log fails loudly
+    (re-answering everything silently would be worse)."""
+    path = path.rstrip("/")
     flat = _read_if_there(spark, path, schema)
     if flat is None:
         return spark.createDataFrame([], schema)
-    commits = _read_if_there(spark, f"{path}/_commits", "batch STRING")
-    if commits is None:
+    if _read_if_there(spark, f"{path}/_commits", "batch STRING") is None:
         return flat
-    kind = schema if isinstance(schema, T.StructType) else flat.schema
-    rows = spark.read.schema(T.StructType([*kind.fields, T.StructField("batch", T.StringType())])) \
-        .parquet(f"{path}/_rows")
-    done = rows.join(commits.distinct(), on="batch", how="left_semi")
-    return flat.unionByName(done.select(*flat.columns))
+    return flat.unionByName(committed_rows(spark, path, schema).select(*flat.columns))
 
 
 def append_log(rows: DataFrame, path: str, batch: str | None = None, lock=None) -> None:
@@ -129,7 +165,9 @@ def committed(spark: SparkSession, path: str, batches: list[str]) -> set[str]:
     commits = _read_if_there(spark, f"{path}/_commits", "batch STRING") if batches else None
     if commits is None:
         return set()
-    return {r[0] for r in commits.where(F.col("batch").isin(batches)).distinct().collect()}
+    base = current_base(spark, path)
+    found = {r[0] for r in commits.where(F.col("batch").isin(batches)).distinct().collect()}
+    return found | (set(base["covers"]) & set(batches) if base else set())
 
 
 def submission(predictions: DataFrame, key: str = "qid", value_col: str = "prediction",
