@@ -12,6 +12,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions import prompts as pr
 from quire.functions import replies as rp
@@ -671,6 +672,48 @@ def q_json_tables(spark, d):
     return spark.read.schema(q.schema).json(path)
 
 
+def q_json_array(spark, d):
+    """Turns stored as JSON arrays of mixed items: the rows that are read, and the
+    items that are none with what is wrong with them."""
+    import json
+
+    import pandas as pd
+
+    from quire.session import scratch_path
+    from quire.sources import io, json_array
+
+    def arrays(batches):
+        """A file per partition: user turns as records, assistant turns as bare
+        texts, the others as records whose turn is a text."""
+        first = "["
+        for pdf in batches:
+            lines = []
+            for c in pdf.itertuples(index=False):
+                row = {"qid": f"{c.conv_id}-{c.turn}", "question": c.text,
+                       "turn": c.turn if c.role == "user" else f"turn {c.turn}"}
+                lines.append(first + json.dumps(c.text if c.role == "assistant" else row))
+                first = ","
+            yield pd.DataFrame({"value": lines}, dtype="str")
+        yield pd.DataFrame({"value": ["[]" if first == "[" else "]"]})
+
+    path = scratch_path(spark, "json-array")
+    turns = sh.table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    turns.repartition(4, "conv_id").mapInPandas(arrays, "value STRING").write.text(path)
+    schema = T.StructType([T.StructField("qid", T.StringType()),
+                           T.StructField("question", T.StringType()),
+                           T.StructField("turn", T.LongType())])
+    none = F.lit(None)
+    good = io.read_json_array(spark, path, schema).select(
+        "qid", "question", "turn", none.cast("string").alias("reject"))
+    item = F.col("item")
+    bare = F.get_json_object(F.concat(F.lit("["), item, F.lit("]")), "$[0]")
+    bad = json_array.rejects(spark, path, schema).select(
+        F.get_json_object(item, "$.qid").alias("qid"),
+        F.when(F.col("reject") == "wrong type", F.get_json_object(item, "$.question"))
+        .otherwise(bare).alias("question"), none.cast("long").alias("turn"), "reject")
+    return good.unionByName(bad)
+
+
 def q_multiple_choice(spark, d):
     """Which candidate replies list options, and their answers' format."""
     r = _candidate_replies(spark, d)
@@ -817,6 +860,7 @@ QUERIES = {
     "open_vote": q_open_vote,
     "media_answers": q_media_answers,
     "json_tables": q_json_tables,
+    "json_array_items": q_json_array,
     "multiple_choice": q_multiple_choice,
     "run_log": q_run_log,
     "clamped_candidates": q_clamped_candidates,

@@ -356,6 +356,11 @@ SQL = {
         f"WITH {Q}, t AS (SELECT qid, conv_id, {strip('question')} AS s FROM q) "
         "SELECT qid, CASE WHEN conv_id % 2 = 0 THEN 'file ' || conv_id ELSE 'https://v/' || conv_id END "
         "|| ': ' || left(md5(s), 8) AS reply, CAST(NULL AS VARCHAR) AS error FROM t"),
+    "json_array_items": (
+        "SELECT CASE WHEN role <> 'assistant' THEN conv_id || '-' || turn END AS qid, "
+        "text AS question, CASE WHEN role = 'user' THEN CAST(turn AS BIGINT) END AS turn, "
+        "CASE role WHEN 'user' THEN NULL WHEN 'assistant' THEN 'not an object' "
+        "ELSE 'wrong type' END AS reject FROM conversations"),
     "json_tables": f"WITH {Q}, {A} SELECT q.qid, q.question, a.answer FROM q LEFT JOIN a ON a.qid = q.qid",
     "run_log": (
         f"WITH {Q}, t AS (SELECT length({strip('question')}) AS n FROM q), "

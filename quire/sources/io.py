@@ -61,27 +61,22 @@ def write_questions_csv(df: DataFrame, path: str) -> None:
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType,
                     required: tuple[str, ...] = ("qid",)) -> DataFrame:
-    """A table stored as JSON array files. Items that are not objects are
-    skipped; a file that is not an array, or a schema without the required
-    columns, is an error.
+    """A table stored as JSON array files, read item by item
+    (:mod:`quire.sources.json_array`). Items that are not objects, or whose values
+    do not fit the schema, are skipped (``json_array.rejects`` lists them); a file
+    that is not an array fails the job that reads it, and a schema without the
+    required columns is an error.
 
     A JSON array file cannot be split, so each file is read by one task; at
     scale convert such inputs once to JSON lines or Parquet.
     """
+    from quire.sources.json_array import json_items, parsed_items
+
     missing = [c for c in required if c not in schema.fieldNames()]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
-    raw = spark.read.text(path, wholetext=True)
-    arrays = raw.select(F.from_json("value", T.ArrayType(T.StringType())).alias("items"))
-    if arrays.filter(F.col("items").isNull()).limit(1).count():
-        raise ValueError(f"{path}: not a JSON array")
-    corrupt = "_corrupt_record"
-    s = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
-    items = arrays.select(F.explode("items").alias("item"))
-    rec = items.select(F.from_json("item", s, {"mode": "PERMISSIVE",
-                                               "columnNameOfCorruptRecord": corrupt}).alias("r"))
-    ok = F.col("r").isNotNull() & F.col(f"r.{corrupt}").isNull()
-    return rec.filter(ok).select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
+    items = parsed_items(json_items(spark, path), schema).where("reject IS NULL")
+    return items.select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
 
 def _read_if_there(spark: SparkSession, path: str, schema) -> DataFrame | None:

@@ -10,12 +10,12 @@ from quire.plans.catalog import QUERIES
 
 from support import SF_SMALL
 
-# Queries that call the model (mapInPandas) or run a stream.
+# Queries that call the model (mapInPandas), run a stream or walk files.
 MODEL_QUERIES = {"infer_replay", "answer_run", "stream_resume", "two_step_answer", "context_run",
                  "fact_check_run", "rewrite_run", "two_step_model", "repeat_vote", "snapshot_run", "one_group_check",
                  "compare_modes", "three_step_run", "three_rounds", "two_step_failures",
                  "context_failures", "fact_check_failures", "rewrite_failures", "infer_attempts",
-                 "media_answers", "run_log"}
+                 "media_answers", "run_log", "json_array_items"}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF")
 
