@@ -733,6 +733,20 @@ def q_csv_roundtrip(spark, d):
     return back.select("qid", "question")
 
 
+def q_csv_blocks(spark, d):
+    """The user turns written in order as question CSV and read in blocks of
+    64 KiB, cut at the true ends of records; each with its place in the files."""
+    from quire.operators.ordering import global_index
+    from quire.session import scratch_path
+    from quire.sources import csv_blocks, io
+
+    path = scratch_path(spark, "blocks-csv")
+    q = sh.questions(spark, d).select("qid", "conv_id", "turn", "question")
+    io.write_questions_csv(q.orderBy("conv_id", "turn"), path)
+    back = csv_blocks.read_csv(spark, path, io.csv_schema(q.schema), block=1 << 16)
+    return global_index(back.select("qid", "question", "pos"), ["pos"], col="place").drop("pos")
+
+
 def q_replay_recorded(spark, d):
     """Offline inference: the assistant turns are the recorded replies of the
     user turns; questions without a recording get an error row."""
@@ -845,6 +859,7 @@ QUERIES = {
     "compare_modes": q_compare_modes,
     "three_step_run": q_three_step_run,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_blocks": q_csv_blocks,
     "replay_recorded": q_replay_recorded,
     "three_rounds": q_three_rounds,
     "interrupted_run": q_interrupted_run,

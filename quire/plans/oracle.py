@@ -601,6 +601,8 @@ def _prompt_sql() -> str:
 SQL["render_prompt"] = _prompt_sql()
 
 
+SQL["csv_blocks"] = (f"WITH {Q} SELECT qid, question, "
+                     "row_number() OVER (ORDER BY conv_id, turn) - 1 AS place FROM q")
 SQL["csv_roundtrip"] = f"WITH {Q} SELECT qid, question FROM q"
 SQL["replay_recorded"] = (
     f"WITH {Q}, {A} SELECT q.qid, a.answer AS reply, CASE WHEN a.qid IS NULL THEN "

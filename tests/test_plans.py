@@ -15,7 +15,7 @@ MODEL_QUERIES = {"infer_replay", "answer_run", "stream_resume", "two_step_answer
                  "fact_check_run", "rewrite_run", "two_step_model", "repeat_vote", "snapshot_run", "one_group_check",
                  "compare_modes", "three_step_run", "three_rounds", "two_step_failures",
                  "context_failures", "fact_check_failures", "rewrite_failures", "infer_attempts",
-                 "media_answers", "run_log", "json_array_items"}
+                 "media_answers", "run_log", "json_array_items", "csv_blocks"}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF")
 
