@@ -24,6 +24,7 @@ from quire.operators.responders import GoesDown
 from quire.plans import shapes as sh
 from quire.session import scratch_path
 from quire.sources import io
+from quire.sources.compact import compact, unanswered
 
 #: ``run_id`` counts the rounds of a log; ``seq`` orders the rows of one round.
 LOG_SCHEMA = ("run_id INT, seq LONG, qid STRING, prediction STRING, attempts INT, "
@@ -62,7 +63,7 @@ def logged_round(spark: SparkSession, questions: DataFrame, log_path: str, schem
     log = io.load_log(spark, log_path, schema)
     run_id = next_round(log)
     todo = rs.only_ids(questions, ids, key="qid") if ids is not None else \
-        rs.unanswered(questions, log, key="qid")
+        unanswered(spark, questions, log_path, schema)
     ledger = led.new_ledger(log_path, *save)
     out = inf.infer(todo, "prompt", responder_factory, keep=keep, group_col=group_col,
                     ledger=ledger, key=["qid"], **retrying(retry))
@@ -180,8 +181,6 @@ def compacted_rounds(spark: SparkSession, sf_dir: str, log_path: str | None = No
     """Three rounds over one log that is compacted after each of them, so every
     round reads a base and no batch before it. Every id with its answer, the round
     that gave it, and how many rows of the log are left of it."""
-    from quire.sources.compact import compact
-
     log_path = log_path or scratch_path(spark, "compacted-log")
     q = sh.questions(spark, sf_dir).select("qid", "conv_id", py_strip("question").alias("prompt"))
     first = inf.PrefixResponder("A: ", 20, fail_when=lambda p: len(p) % 2 == 0)
@@ -192,6 +191,7 @@ def compacted_rounds(spark: SparkSession, sf_dir: str, log_path: str | None = No
         failed = rs.error_ids(current_answers(spark, log_path), "prediction", key="qid")
         answer_round(spark, q, log_path, factory, ids=failed, retry=NO_RETRY)
     compact(spark, log_path, LOG_SCHEMA)
+    answer_round(spark, q, log_path, first, retry=NO_RETRY)  # finds nothing left to ask
     kept = io.load_log(spark, log_path, LOG_SCHEMA).groupBy("qid").agg(
         F.count(F.lit(1)).alias("n_kept"))
     return current_answers(spark, log_path).select("qid", "prediction", "round_no") \

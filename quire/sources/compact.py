@@ -125,8 +125,8 @@ def base_table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
 
 def unanswered(spark: SparkSession, questions: DataFrame, path: str, schema: str,
                key: str = "qid") -> DataFrame:
-    """``rs.unanswered`` against a compacted log: its base is joined bucket by
-    bucket, only the ids asked about and the batches since are shuffled."""
+    """``rs.unanswered`` against a log: its base, where it has one, is joined bucket
+    by bucket, only the ids asked about and the batches since are shuffled."""
     base = base_table(spark, path, schema)
     todo = questions if base is None else rs.unanswered(questions, base, key=key)
-    return rs.unanswered(todo, io.committed_rows(spark, path, schema, base=False), key=key)
+    return rs.unanswered(todo, io.load_log(spark, path, schema, base=False), key=key)

@@ -127,10 +127,10 @@ def committed_rows(spark: SparkSession, path: str, schema, base: bool = True) ->
     return done if last is None else out.unionByName(done)
 
 
-def load_log(spark: SparkSession, path: str, schema) -> DataFrame:
+def load_log(spark: SparkSession, path: str, schema, base: bool = True) -> DataFrame:
     """The answer log: the rows of all committed batches (of the base and the
-    batches since, where the log was compacted), and of Parquet files that lie in
-    the folder itself. A missing path is an empty log. A corrupt log fails loudly
+    batches since, where the log was compacted; only of the latter with ``base``
+    false), and of Parquet files that lie in the folder itself. A missing path is an empty log. A corrupt log fails loudly
     (re-answering everything silently would be worse)."""
     path = path.rstrip("/")
     flat = _read_if_there(spark, path, schema)
@@ -138,7 +138,7 @@ def load_log(spark: SparkSession, path: str, schema) -> DataFrame:
         return spark.createDataFrame([], schema)
     if _read_if_there(spark, f"{path}/_commits", "batch STRING") is None:
         return flat
-    return flat.unionByName(committed_rows(spark, path, schema).select(*flat.columns))
+    return flat.unionByName(committed_rows(spark, path, schema, base).select(*flat.columns))
 
 
 def append_log(rows: DataFrame, path: str, batch: str | None = None, lock=None) -> None:
