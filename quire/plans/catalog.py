@@ -232,6 +232,20 @@ def q_render_prompt(spark, d):
     return q.select("qid", F.length(p).alias("prompt_len"), F.md5(p).alias("prompt_md5"))
 
 
+def q_context_prompts(spark, d):
+    """The prompts of the context steps for every answered question: asking for its
+    context, checking a context (here the recorded answer), answering with it."""
+    q = sh.questions(spark, d).join(sh.answers(spark, d), on="qid", how="inner")
+    text, notes = tx.py_strip("question"), F.coalesce(F.col("answer"), F.lit(""))
+    kinds = [("context", pr.render(pr.CONTEXT_TEMPLATE, question=text)),
+             ("validation", pr.render(pr.VALIDATION_TEMPLATE, question=text, context=notes)),
+             ("answer", pr.render(pr.ANSWER_TEMPLATE, question=text, context=notes))]
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), p.alias("prompt"))
+                               for k, p in kinds])).alias("p")
+    return q.select("qid", each).select("qid", "p.kind", F.length("p.prompt").alias("prompt_len"),
+                                        F.md5("p.prompt").alias("prompt_md5"))
+
+
 def _rewrite_replies(spark, d):
     b = sh.table(spark, d, "benchmark").select("item_id", "text")
     k = F.col("item_id") % 4
@@ -816,6 +830,7 @@ QUERIES = {
     "context_chunks": q_context_chunks,
     "bullet_context": q_bullet_context,
     "render_prompt": q_render_prompt,
+    "context_prompts": q_context_prompts,
     "clean_rewrite": q_clean_rewrite,
     "rewrite_or_fallback": q_rewrite_or_fallback,
     "rewrite_summary": q_rewrite_summary,

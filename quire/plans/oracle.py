@@ -601,6 +601,20 @@ def _prompt_sql() -> str:
 SQL["render_prompt"] = _prompt_sql()
 
 
+
+
+def _context_prompts_sql() -> str:
+    from quire.functions.prompts import ANSWER_TEMPLATE, CONTEXT_TEMPLATE, VALIDATION_TEMPLATE
+
+    kinds = {"context": CONTEXT_TEMPLATE, "validation": VALIDATION_TEMPLATE, "answer": ANSWER_TEMPLATE}
+    parts = [f"SELECT qid, '{k}' AS kind, {template_sql(t, question='qs', context='answer')} AS prompt "
+             "FROM t" for k, t in kinds.items()]
+    return (f"WITH {Q}, {A}, t AS (SELECT q.qid, {strip('q.question')} AS qs, a.answer FROM q JOIN a "
+            f"ON a.qid = q.qid), p AS ({' UNION ALL '.join(parts)}) "
+            "SELECT qid, kind, length(prompt) AS prompt_len, md5(prompt) AS prompt_md5 FROM p")
+
+
+SQL["context_prompts"] = _context_prompts_sql()
 SQL["csv_blocks"] = (f"WITH {Q} SELECT qid, question, "
                      "row_number() OVER (ORDER BY conv_id, turn) - 1 AS place FROM q")
 SQL["csv_roundtrip"] = f"WITH {Q} SELECT qid, question FROM q"
