@@ -19,17 +19,19 @@ from .common import table, written
 
 #: Samples of a fingerprint, those drawn in one row, and codes in a long.
 SAMPLES, ROW, LANES = 64, 8, 4
+#: Bits of a draw beside a code of 16 in a positive long.
+BITS = 47
+#: Tells the hashes of one term and row apart (times their number, below 2**63).
+SPREAD = 0x02545F4914F6CDD1
 #: Stands for a NULL doc_id in join keys (the smallest long: last in falling order).
 NO_ID = -(1 << 63)
 #: Characters of text per partition of the term counting (bounds its memory).
 PARTITION_CHARS = 4_000_000
 
 
-def uniforms(h: str) -> tuple[Column, Column]:
-    """Two numbers in (0, 1) from the halves of a hash."""
-    scale = F.lit(1.0 / (1 << 32))
-    return ((F.shiftrightunsigned(h, 32) + 0.5) * scale,
-            (F.col(h).bitwiseAND(F.lit((1 << 32) - 1)) + 0.5) * scale)
+def uniform(number: Column, bits: int) -> Column:
+    """A number in (0, 1) from a whole one of so many bits."""
+    return (number + 0.5) * F.lit(1.0 / (1 << bits))
 
 
 def terms(text: Column) -> Column:
@@ -43,48 +45,55 @@ def code_of(term: Column, t: Column) -> Column:
     return F.pmod(F.xxhash64(term, t), F.lit(65535)) + 1
 
 
-def packed(draw: Column, code: Column) -> Column:
-    """A draw (below 46) and a code in one long that orders by draw."""
-    return F.shiftleft(F.floor(draw * F.lit(float(1 << 40))), 16) + code
+def packed(number: Column, code: Column) -> Column:
+    """A number of BITS bits and a code in one long that orders by the number."""
+    return F.shiftleft(number, 63 - BITS).bitwiseOR(code)
 
 
 def drawn(counts: DataFrame) -> DataFrame:
     """``counts`` with a row per ROW samples, ``row``, and for sample i of it what
-    does not depend on the weight: u{i} = u1 u2, v{i} = u2 and the draw of weight 1,
-    x{i}, also packed with its code, p{i}."""
-    rows = counts.withColumn("row", F.explode(F.array(*map(F.lit, range(SAMPLES // ROW)))))
-    hashed = rows.select("*", code_of(F.col("term"), F.lit(0).cast("long")).alias("code"), *[
-        F.xxhash64("term", "row", F.lit(j)).alias(f"h{j}") for j in range(2 * ROW)])
-    draws = []
-    for i in range(ROW):
-        u1, u2 = uniforms(f"h{2 * i}")
-        u3, u4 = uniforms(f"h{2 * i + 1}")
-        draws += [(u1 * u2).alias(f"u{i}"), u2.alias(f"v{i}"),
-                  (-F.log(u3 * u4) * u1).alias(f"x{i}")]
-    step = hashed.select(*rows.columns, "code", *draws)
-    return step.select(*rows.columns, *[f"{c}{i}" for c in "uvx" for i in range(ROW)], *[
-        packed(F.col(f"x{i}"), F.col("code")).alias(f"p{i}") for i in range(ROW)])
+    does not depend on the weight: ``seed``, the number n{i} that draws weight 1,
+    and the same packed with its code, p{i}."""
+    rows = counts.withColumn("code", code_of(F.col("term"), F.lit(0).cast("long"))).withColumn(
+        "row", F.explode(F.array(*map(F.lit, range(SAMPLES // ROW)))))
+    seeded = rows.withColumn("seed", F.xxhash64("term", "row"))
+    numbers = seeded.select("*", *[
+        F.shiftrightunsigned(F.xxhash64(F.col("seed").bitwiseXOR(F.lit((i + 1) * SPREAD))),
+                             64 - BITS).alias(f"n{i}") for i in range(ROW)])
+    return numbers.select(*counts.columns, "row", "seed", *[f"n{i}" for i in range(ROW)], *[
+        packed(F.col(f"n{i}"), F.col("code")).alias(f"p{i}") for i in range(ROW)])
 
 
 def weighted_draw(weight: Column, i: int) -> Column:
     """A weighted term's draw for sample i of a row, packed with the code of the
-    term and its quantised weight; NULL for weight 0.
-
-    With r = -ln(u1 u2) of Gamma(2, 1), beta = ln(u2) / ln(u1 u2), which is
-    uniform and independent of it, and c = -ln(u3 u4), the quantised weight is
-    t = floor(ln(w) / r + beta) and the draw c exp(-r (t - beta + 1)), which is
-    c u1 (u1 u2)^t; t is 0 for weight 1.
+    term and its quantised weight; NULL for weight 0. The smallest draw is the
+    largest value here, as a draw d is kept as exp(-d).
+
+    Consistent sampling takes r and c of Gamma(2, 1) and a uniform beta, quantises
+    to t = floor(ln(w) / r + beta) and draws c exp(-r (t - beta + 1)). Let e and x
+    be of Exp(1): c = e + x is of Gamma(2, 1), u1 = e / c uniform and independent
+    of it. With another uniform u2, r = -ln(u1 u2) is of Gamma(2, 1) and beta =
+    ln(u2) / ln(u1 u2) uniform and independent of r. The draw is then
+    c u1 (u1 u2)^t = e (u1 u2)^t. For weight 1, t is 0 and the draw e, of which
+    exp(-e) is the uniform number n itself: only heavier terms take logarithms.
     """
-    t = F.floor(F.log(weight / F.col(f"v{i}")) / -F.log(f"u{i}"))
-    heavy = packed(F.col(f"x{i}") * F.pow(F.col(f"u{i}"), t), code_of(F.col("term"), t))
-    return F.when(weight == 1, F.col(f"p{i}")).when(weight > 1, heavy)
+    h = F.xxhash64(F.col("seed").bitwiseXOR(F.lit((ROW + i + 1) * SPREAD)))
+    e = -F.log(uniform(F.col(f"n{i}"), BITS))
+    x = -F.log(uniform(F.shiftrightunsigned(h, 32), 32))
+    u2 = uniform(h.bitwiseAND(F.lit((1 << 32) - 1)), 32)
+    u = e / (e + x) * u2
+    t = F.floor(F.log(weight / u2) / -F.log(u))
+    number = F.least(F.floor(F.exp(-e * F.pow(u, t)) * F.lit(float(1 << BITS))),
+                     F.lit((1 << BITS) - 1))
+    return F.when(weight == 1, F.col(f"p{i}")).when(
+        weight > 1, packed(number, code_of(F.col("term"), t)))
 
 
 def fingerprint_of(counts: DataFrame, keys: list[str], variants: int) -> DataFrame:
     """One row per ``keys`` with fingerprint strings f0 .. of each variant: SAMPLES
     codes of four hex digits. ``counts`` has each term's weights w0 .."""
     samples = drawn(counts).groupBy(*keys, "row").agg(*[
-        F.min(weighted_draw(F.col(f"w{v}"), i)).alias(f"s{v}_{i}")
+        F.max(weighted_draw(F.col(f"w{v}"), i)).alias(f"s{v}_{i}")
         for v in range(variants) for i in range(ROW)])
 
     def lane(v, first):
