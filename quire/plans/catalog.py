@@ -674,6 +674,22 @@ def q_media_answers(spark, d):
     return out.select("qid", "reply", "error")
 
 
+def q_media_tree(spark, d):
+    """Texts of all documents written as files below folders of language and
+    source; the tree is listed by tasks, and file sizes are summed by folder."""
+    from quire.session import scratch_path
+    from quire.sources.media_tree import media_tree
+
+    folder = scratch_path(spark, "media-tree")
+    sh.table(spark, d, "documents").select("lang", "source", "text") \
+        .write.partitionBy("lang", "source").text(folder)
+    files = media_tree(spark, folder, "*.txt")
+    part = r"/lang=([^/]+)/source=([^/]+)/[^/]+$"
+    return (files.groupBy(F.regexp_extract("media_path", part, 1).alias("lang"),
+                          F.regexp_extract("media_path", part, 2).alias("source"))
+            .agg(F.sum("length").alias("total_bytes")))
+
+
 def q_json_tables(spark, d):
     """User turns written as JSON rows with explicit nulls and read back."""
     from quire.session import scratch_path
@@ -889,6 +905,7 @@ QUERIES = {
     "error_structs": q_error_structs,
     "open_vote": q_open_vote,
     "media_answers": q_media_answers,
+    "media_tree": q_media_tree,
     "json_tables": q_json_tables,
     "json_array_items": q_json_array,
     "multiple_choice": q_multiple_choice,

@@ -356,6 +356,9 @@ SQL = {
         f"WITH {Q}, t AS (SELECT qid, conv_id, {strip('question')} AS s FROM q) "
         "SELECT qid, CASE WHEN conv_id % 2 = 0 THEN 'file ' || conv_id ELSE 'https://v/' || conv_id END "
         "|| ': ' || left(md5(s), 8) AS reply, CAST(NULL AS VARCHAR) AS error FROM t"),
+    "media_tree": (
+        "SELECT lang, source, CAST(sum(coalesce(strlen(text), 0) + 1) AS BIGINT) AS total_bytes "
+        "FROM documents GROUP BY 1, 2"),
     "json_array_items": (
         "SELECT CASE WHEN role <> 'assistant' THEN conv_id || '-' || turn END AS qid, "
         "text AS question, CASE WHEN role = 'user' THEN CAST(turn AS BIGINT) END AS turn, "
