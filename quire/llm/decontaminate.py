@@ -97,16 +97,20 @@ def cut_spans(text: bytes, hit: np.ndarray) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def benchmark_blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[WindowSet]:
-    """The benchmark as window sets of bounded size. The number of blocks comes
-    from its total size, so each collect below is bounded."""
+def benchmark_blocks(benchmark: DataFrame, window: int, block_words: int
+                     ) -> tuple[int, Iterator[WindowSet]]:
+    """The number of blocks, from the benchmark's total size, and the blocks as
+    window sets of bounded size, each collected when it is asked for."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
                              F.col("text")).where("text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // (4 * block_words)))
-    for b in range(blocks):
+
+    def block(b: int) -> WindowSet:
         rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()
-        yield WindowSet([(r["item"], r["text"].encode()) for r in rows], window)
+        return WindowSet([(r["item"], r["text"].encode()) for r in rows], window)
+
+    return blocks, map(block, range(blocks))
 
 
 SCHEMA = ("n_words long, n_hit long, n_items long, items array<string>, contaminated boolean")
@@ -160,11 +164,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "mark",
     several benchmark blocks hits are summed up over blocks by document row.
     """
     spark = docs.sparkSession
-    sets = benchmark_blocks(benchmark, window, block_words)
-    first, more = next(sets), next(sets, None)
-    if more is None:
-        return _apply(docs, spark.sparkContext.broadcast(first), mode)
-    return _blockwise(docs, [first, more, *sets], mode)
+    blocks, sets = benchmark_blocks(benchmark, window, block_words)
+    if blocks == 1:
+        return _apply(docs, spark.sparkContext.broadcast(next(sets)), mode)
+    return _blockwise(docs, sets, mode)
 
 
 def _apply(docs: DataFrame, windows, mode: str) -> DataFrame:
@@ -192,15 +195,17 @@ def _apply(docs: DataFrame, windows, mode: str) -> DataFrame:
     return docs.mapInArrow(rewrite, docs.schema)
 
 
-def _blockwise(docs: DataFrame, blocks: list[WindowSet], mode: str) -> DataFrame:
+def _blockwise(docs: DataFrame, blocks: Iterator[WindowSet], mode: str) -> DataFrame:
     """One scan per block; the rows keep a running set of hit word numbers and
-    items, so the order of blocks does not matter."""
+    items, so the order of blocks does not matter. A block is collected when the
+    scan of the one before is written, and taken off the executors after its own."""
     spark = docs.sparkSession
     rows = docs.select("*", F.array().cast("array<int>").alias("_hit"),
                        F.array().cast("array<string>").alias("_items"))
     schema = rows.schema
-    for block in blocks:
+    while (block := next(blocks, None)) is not None:
         windows = spark.sparkContext.broadcast(block)
+        del block
 
         def scan(batches, windows=windows):
             for batch in batches:
@@ -217,6 +222,7 @@ def _blockwise(docs: DataFrame, blocks: list[WindowSet], mode: str) -> DataFrame
                         [new.get(c, part.column(c)) for c in names], names=names)
 
         rows = written(rows.mapInArrow(scan, schema), "decontamination-block")
+        windows.unpersist()
 
     def finish(batches):
         for batch in batches:
