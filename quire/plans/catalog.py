@@ -653,18 +653,16 @@ def q_open_vote(spark, d):
 def q_media_answers(spark, d):
     """The model is given the address of each question's media, and the path of
     the local file where the listing has one (files written here, one per
-    even conversation)."""
+    even conversation, and listed, both by tasks)."""
     from quire.session import scratch_path
     from quire.sources import io
+    from quire.sources.media_tree import write_media_tree
 
     folder = scratch_path(spark, "media")
     q = sh.questions(spark, d).withColumn("video_id", F.col("conv_id").cast("string"))
-    (q.where("conv_id % 2 = 0").select("video_id").distinct()
-     .select(F.col("video_id").alias("id"), F.col("video_id").alias("v"))
-     .write.partitionBy("id").parquet(folder))
-    media = io.media_files(spark, f"{folder}/*", "*.parquet")
-    media = media.select(F.regexp_extract("media_path", r"/id=(\d+)/", 1).alias("media_id"),
-                         "media_path").groupBy("media_id").agg(F.min("media_path").alias("media_path"))
+    write_media_tree(q.where("conv_id % 2 = 0").select("video_id"), folder)
+    media = io.media_files(spark, folder, "*.parquet", levels=1)
+    media = media.groupBy("media_id").agg(F.min("media_path").alias("media_path"))
     asked = io.attach_media(q, media).select(
         "qid", "conv_id", F.concat(F.lit("https://v/"), "video_id").alias("url"),
         F.when(F.col("has_media"), F.concat(F.lit("file "), "video_id")).alias("media_path"),

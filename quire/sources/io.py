@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from quire.functions.text import py_strip
 from quire.operators.ordering import global_index, with_source_pos
 from quire.schemas import QUESTIONS_CSV
+from quire.session import scratch_path
 
 _INDEX_COLUMNS = ("_c0", "Unnamed: 0", "")
 
@@ -194,9 +195,23 @@ def read_template(spark: SparkSession, path: str) -> str:
     return rows[0][0]
 
 
-def media_files(spark: SparkSession, directory: str, pattern: str = "*.mp4") -> DataFrame:
+def media_files(spark: SparkSession, directory: str, pattern: str = "*.mp4",
+                levels: int | None = None) -> DataFrame:
     """Listing of local media files as ``(media_id, media_path, length)``;
-    only file metadata is read, never the content."""
+    only file metadata is read, never the content.
+
+    The driver lists ``directory`` and holds all its files, each of them a piece
+    of the scan. With ``levels`` tasks list it, and all folders below
+    (:func:`quire.sources.media_tree.media_tree`, which deals the folders of the
+    first ``levels`` levels); the listing is written once, for whatever reads it.
+    """
+    if levels is not None:
+        from quire.sources.media_tree import media_tree
+
+        path = scratch_path(spark, "media-files")
+        files = media_tree(spark, directory, pattern, levels)
+        files.write.parquet(path)
+        return spark.read.schema(files.schema).parquet(path)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
              .select("path", "length"))
     name = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)

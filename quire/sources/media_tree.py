@@ -1,11 +1,15 @@
-"""Listing of deep media folders by tasks; the driver looks at the root alone."""
+"""Listing and writing of media folders by tasks; the driver looks at the root
+alone."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from fnmatch import fnmatchcase
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +19,8 @@ from quire.operators.ledger import filesystem
 #: Paths that leave a task together.
 CHUNK = 10_000
 ENTRIES = "path string, folder boolean, length long"
+#: Folders that written files are spread over.
+FOLDERS = 256
 
 
 def media_tree(spark: SparkSession, root: str, pattern: str = "*.mp4", split_levels: int = 2,
@@ -68,3 +74,36 @@ def media_tree(spark: SparkSession, root: str, pattern: str = "*.mp4", split_lev
     entries = entries.mapInPandas(lister(True), ENTRIES)
     return entries.select(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("media_id"),
                           F.concat(F.lit(prefix), "path").alias("media_path"), "length")
+
+
+def write_media_tree(ids: DataFrame, root: str, partitions: int | None = None) -> None:
+    """A Parquet file ``<id>.parquet`` with the id as its only value for every
+    distinct non-null id of the one string column ``ids``, below ``root`` in
+    folders by a hash of the id.
+
+    Tasks write their own files, so no commit by the driver goes through them
+    one by one. A file is there whole or not at all, and a task that runs again
+    writes the same ones.
+    """
+    [col] = ids.columns
+    n = partitions or int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fs, top = filesystem(root)
+    fs.create_dir(top, recursive=True)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, _ = filesystem(root)
+        made = set()
+        for pdf in batches:
+            for name, folder in zip(pdf[col], pdf["_folder"], strict=True):
+                if folder not in made:
+                    files.create_dir(f"{top}/{folder}", recursive=True)
+                    made.add(folder)
+                aside = f"{top}/{folder}/_{name}-{uuid.uuid4().hex[:8]}.writing"
+                with files.open_output_stream(aside) as out:
+                    pq.write_table(pa.table({"v": [name]}), out)
+                files.move(aside, f"{top}/{folder}/{name}.parquet")
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    folder = F.lower(F.lpad(F.hex(F.pmod(F.xxhash64(col), F.lit(FOLDERS))), 2, "0"))
+    own = ids.where(F.col(col).isNotNull()).distinct().repartition(n, col)
+    own.withColumn("_folder", folder).mapInPandas(run, "n long").agg(F.sum("n")).collect()
