@@ -19,11 +19,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from quire.operators.ordering import global_index
 
-from .common import (Windows, hashed_words, inside, mixed, slices, table, text_bytes,
+from .common import (SLICE_BYTES, Windows, hashed_words, inside, mixed, slices, table,
                      written)
 
 K, MINIMIZER = 20, 6
@@ -35,6 +35,11 @@ WINDOW_BYTES = 8
 #: Minimizers with this many different windows in one of HOT_SHARE documents are
 #: dealt by window instead.
 HOT_WINDOWS, HOT_SHARE = 1000, 64
+#: Rows of a chunk, one after the other, whose settled paths travel together.
+SETTLED_BLOCK = 512
+#: Level of zstd for texts that are shuffled to their paths: about two thirds of
+#: the bytes that Spark's own compression of shuffles leaves.
+TEXT_LEVEL = 1
 
 #: settled = 0: windows first seen in their chunk, as hashes; settled = n: a path
 #: of n repeated windows whose source is known already.
@@ -133,7 +138,9 @@ def chunk_rows(ids: list[int], texts: list, k: int, m: int, hot: np.ndarray
     offsets = (cuts * WINDOW_BYTES).astype(np.int32)
     binary = pa.Array.from_buffers(pa.binary(), len(first),
                                    [None, pa.py_buffer(offsets), pa.py_buffer(kept.tobytes())])
-    scattered = mixed(np.arange(len(first), dtype=np.uint64) + np.uint64(ids[0] & 0xFFFFFFFF))
+    # Any key will do for settled paths; in blocks they repeat most of their bytes.
+    scattered = mixed(np.arange(len(first), dtype=np.uint64) // np.uint64(SETTLED_BLOCK)
+                      + np.uint64(ids[0] & 0xFFFFFFFF))
     from_ = source[first]
     return pa.RecordBatch.from_arrays(
         [pa.array(np.where(settled, scattered, key[first]).view(np.int64)),
@@ -280,13 +287,49 @@ def numbered(docs: DataFrame) -> DataFrame:
     return hashed.join(order, ["_id", "_hash"]).select(*docs.columns, "_doc")
 
 
+def packed_text(text: bytes | None) -> bytes | None:
+    """A text by zstd, behind its size in 8 bytes."""
+    return None if text is None else len(text).to_bytes(8, "little") + pa.Codec(
+        "zstd", TEXT_LEVEL).compress(text, asbytes=True)
+
+
+def unpacked_text(raw: bytes | None) -> bytes | None:
+    return None if raw is None else pa.decompress(
+        raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
+
+
+def unpacked_slices(batch: pa.RecordBatch, max_bytes: int = SLICE_BYTES
+                    ) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Cut a batch of packed texts into row ranges of about ``max_bytes`` of text
+    (one row at least), each with its texts."""
+    raws = batch.column("text").to_pylist()
+    start, size, texts = 0, 0, []
+    for i, raw in enumerate(raws):
+        texts.append(unpacked_text(raw))
+        size += len(texts[-1] or b"")
+        if size >= max_bytes or i == len(raws) - 1:
+            yield batch.slice(start, i + 1 - start), texts
+            start, size, texts = i + 1, 0, []
+
+
 def with_paths(docs: DataFrame, k: int, m: int) -> DataFrame:
-    """``docs`` with its paths as an array column ``_paths`` (NULL without any)."""
+    """``docs`` with its paths as an array column ``_paths`` (NULL without any);
+    its texts are packed (:func:`unpacked_slices` reads them)."""
     own = numbered(docs)
     paths = repeated_paths(own.select(F.col("_doc").alias("doc"), "text"), k, m)
     grouped = (paths.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("_paths"))
                .withColumnRenamed("doc", "_doc"))
-    return own.join(grouped, "_doc", "left").select(*docs.columns, "_paths")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            for rows, texts in slices(batch):
+                yield rows.set_column(at, "text", pa.array(list(map(packed_text, texts)), pa.binary()))
+
+    schema = StructType([StructField("text", BinaryType()) if f.name == "text" else f
+                         for f in own.schema.fields])
+    return (own.mapInArrow(pack, schema).join(grouped, "_doc", "left")
+            .select(*docs.columns, "_paths"))
 
 
 def dedup_substrings(docs: DataFrame, k: int = K, m: int = MINIMIZER) -> DataFrame:
@@ -309,22 +352,20 @@ def dedup_substrings(docs: DataFrame, k: int = K, m: int = MINIMIZER) -> DataFra
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            paths = batch.column("_paths").to_pylist()
-            texts = batch.column("text").to_pylist()
-            changed = {}
-            for i, (p, t) in enumerate(zip(paths, texts, strict=True)):
-                if p and t:
-                    changed[i] = " ".join(w.decode() for w in keep_words(t.encode(), p, k)[0])
-            out = batch.drop_columns(["_paths"])
-            if changed:
+            for rows, texts in unpacked_slices(batch):
+                changed = {}
+                for i, (p, t) in enumerate(zip(rows.column("_paths").to_pylist(), texts, strict=True)):
+                    if p and t:
+                        changed[i] = b" ".join(keep_words(t, p, k)[0])
+                out = rows.drop_columns(["_paths"])
                 texts = [changed.get(i, t) for i, t in enumerate(texts)]
-                out = out.set_column(at, out.schema.field(at), pa.array(texts, out.schema.field(at).type))
-                if lengths:
+                out = out.set_column(at, "text", pa.array(texts, pa.binary()).cast(pa.string()))
+                if changed and lengths:
                     c = out.schema.get_field_index("n_chars")
                     old = out.column(c).to_pylist()
-                    new = [len(changed[i]) if i in changed else v for i, v in enumerate(old)]
+                    new = [len(changed[i].decode()) if i in changed else v for i, v in enumerate(old)]
                     out = out.set_column(c, out.schema.field(c), pa.array(new, out.schema.field(c).type))
-            yield out
+                yield out
 
     return with_paths(kept, k, m).mapInArrow(cut, kept.schema)
 
@@ -345,19 +386,19 @@ def op10_substrings(spark, sf_dir: str) -> DataFrame:
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, removed, digests = [], [], []
-            for t, p in zip(text_bytes(batch.column("text")), batch.column("_paths").to_pylist(),
-                            strict=True):
-                t = t or b""
-                kept, n = keep_words(t, p, K) if p else (t.split(), None)
-                n = len(kept) if n is None else n
-                n_words.append(n)
-                removed.append(n - len(kept))
-                digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_words, pa.int64()),
-                 pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
-                names=schema.names)
+            for rows, texts in unpacked_slices(batch):
+                n_words, removed, digests = [], [], []
+                for t, p in zip(texts, rows.column("_paths").to_pylist(), strict=True):
+                    t = t or b""
+                    kept, n = keep_words(t, p, K) if p else (t.split(), None)
+                    n = len(kept) if n is None else n
+                    n_words.append(n)
+                    removed.append(n - len(kept))
+                    digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_id"), pa.array(n_words, pa.int64()),
+                     pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
+                    names=schema.names)
 
     return with_paths(docs, K, MINIMIZER).mapInArrow(report, schema)
 

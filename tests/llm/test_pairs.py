@@ -265,3 +265,27 @@ def test_bitmaps_never_rule_out_a_link():
                 if 100 * inter >= 75 * (size[a] + size[b] - inter):
                     assert (a, b) in kept
         assert len(kept) < len(sets) * (len(sets) - 1) // 2
+
+
+def test_texts_travel_packed_to_their_paths(spark):
+    words = [f"word{i * 7919 % 1000}" for i in range(600)]
+    texts = {1: " ".join(words), 2: " ".join(words[100:400]), 3: "", 4: None, 5: "ä\x00 ß", 6: "x" * 5000}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = substrings.with_paths(docs, 20, 6).toArrow().combine_chunks()
+    size = sum(map(len, filter(None, found["text"].to_pylist())))
+    assert size < 0.6 * sum(len(t.encode()) for t in texts.values() if t)
+    got = {}
+    for batch in found.to_batches():
+        for rows_, parts in substrings.unpacked_slices(batch, max_bytes=1000):
+            assert rows_.num_rows == len(parts)
+            got.update(zip(rows_["doc_id"].to_pylist(), parts, strict=True))
+    assert got == {k: None if t is None else t.encode() for k, t in texts.items()}
+    assert [r["doc_id"] for r in found.to_pylist() if r["_paths"]] == [2]
+
+
+def test_settled_paths_of_a_chunk_share_keys():
+    words = " ".join(f"w{i}" for i in range(40)).encode()
+    out = substrings.chunk_rows(list(range(300)), [words] * 300, 20, 6, np.zeros(0, np.uint64))
+    settled = [r for r in out.to_pylist() if r["settled"]]
+    assert len(settled) >= 299
+    assert len({r["minimizer"] for r in settled}) <= 1 + len(out) // substrings.SETTLED_BLOCK
