@@ -676,12 +676,12 @@ def q_media_tree(spark, d):
     """Texts of all documents written as files below folders of language and
     source; the tree is listed by tasks, and file sizes are summed by folder."""
     from quire.session import scratch_path
-    from quire.sources.media_tree import media_tree
+    from quire.sources import io
 
     folder = scratch_path(spark, "media-tree")
     sh.table(spark, d, "documents").select("lang", "source", "text") \
         .write.partitionBy("lang", "source").text(folder)
-    files = media_tree(spark, folder, "*.txt")
+    files = io.media_files(spark, folder, "*.txt", levels=2)
     part = r"/lang=([^/]+)/source=([^/]+)/[^/]+$"
     return (files.groupBy(F.regexp_extract("media_path", part, 1).alias("lang"),
                           F.regexp_extract("media_path", part, 2).alias("source"))

@@ -24,6 +24,7 @@ PIECE = 1 << 20
 #: The longest item, in characters, that a task will hold; a longer one is an
 #: error and not dropped (Arrow and Spark hold a text of at most 2 GB).
 MAX_ITEM = 1 << 28
+_NUMBER_GOES_ON = (".", "e", "E", "e+", "e-", "E+", "E-")
 _BLANK = " \t\r\n"
 
 
@@ -67,8 +68,9 @@ def array_items(read, piece: int = PIECE, longest: int = MAX_ITEM) -> Iterator[t
             while True:
                 try:
                     end = scan(text, at)[1]
-                    # A number at the end of a piece may go on in the next.
-                    if end < len(text) or ended:
+                    # A number at the end of a piece may go on in the next, and so
+                    # may its fraction or exponent that has begun.
+                    if ended or end < len(text) and text[end:end + 3] not in _NUMBER_GOES_ON:
                         break
                 except (json.JSONDecodeError, RecursionError) as exc:
                     if ended or isinstance(exc, RecursionError):

@@ -77,3 +77,12 @@ def test_rejects_have_a_place_and_a_reason(spark, tmp_path):
         io.read_json_array(spark, path, SCHEMA).collect()
     with pytest.raises(ValueError, match="missing columns"):
         io.read_json_array(spark, path, T.StructType([SCHEMA["n"]]))
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 4])
+def test_numbers_cut_at_their_fraction_or_exponent(piece):
+    text = "[0.0, -1.5e+30, 2E-7 ,1e5]"
+    assert [item for item, _ in _walk(text, piece)] == ["0.0", "-1.5e+30", "2E-7", "1e5"]
+    for wrong in ("[1.]", "[1.,2]", "[1e+]", "[1 .5]"):
+        with pytest.raises(ValueError):
+            _walk(wrong, piece)
