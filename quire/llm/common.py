@@ -51,9 +51,13 @@ def fresh(columns, *names: str) -> list[str]:
 
 def process_cache(name: str, make):
     """One object per Python worker process: code shipped by value is unpickled
-    anew for every task, what is kept on ``sys`` outlives the task."""
+    anew for every task, what is kept on ``sys`` outlives the task. A worker serves
+    one step after the other, so the object of an earlier name goes first."""
     store = sys.__dict__.setdefault("_quire_process_cache", {})
     if name not in store:
+        if store:
+            store.clear()
+            release_memory()
         store[name] = make()
     return store[name]
 

@@ -22,13 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .common import process_cache, slices, split_words, table, written
+from .common import process_cache, release_memory, slices, split_words, table, written
 from .labelled import SAMPLE_ROWS, held_out, training_sample
 
 #: Entries of the mined lexicon, documents an entry must occur in, and the
 #: lengths of word beginnings.
 LEXICON_TERMS, MIN_DOCUMENTS, STEMS = 256, 8, (4, 5, 6)
 TREES, DEPTH = 24, 4
+#: Words whose codes a reader keeps: most words of a large corpus come once, the
+#: frequent ones are soon back.
+CACHED_WORDS = 200_000
 #: Share of the sample (in tenths) that calibrates.
 CALIBRATION_TENTHS = 3
 
@@ -119,7 +122,7 @@ class Reader:
         return code | int(min(weight, 20.0) * 100) << 7
 
     def of(self, texts: list[bytes | None]) -> np.ndarray:
-        if len(self.codes) > 400_000:
+        if len(self.codes) > CACHED_WORDS:
             self.codes.clear()
         codes, lens, words = split_words(texts)
         known = self.codes
@@ -167,6 +170,7 @@ def with_features(docs: DataFrame, lexicon: dict[str, float], col: str) -> DataF
                 column = pa.ListArray.from_arrays(pa.array(bounds), pa.array(values.ravel()))
                 yield pa.RecordBatch.from_arrays([*rows.columns, column],
                                                  names=[*rows.schema.names, col])
+        release_memory()
 
     schema = StructType([*docs.schema.fields, StructField(col, ArrayType(DoubleType()))])
     return docs.mapInArrow(run, schema)

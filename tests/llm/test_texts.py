@@ -399,3 +399,26 @@ def test_every_sample_is_drawn_over_all_terms(spark):
     pairs = [(jaccard(bag(rows[i][1]), bag(rows[i - 1][1])), got[i]) for i in range(1, 80, 2)]
     assert all(abs(t - g) < 0.25 for t, g in pairs)
     assert abs(sum(t - g for t, g in pairs) / len(pairs)) < 0.03
+
+
+def test_a_worker_keeps_the_cache_of_one_step():
+    import sys
+
+    from quire.llm import common
+
+    common.drop_caches()
+    first = common.process_cache("toxicity:1", lambda: toxicity.Reader({"a": 2.0}))
+    assert common.process_cache("toxicity:1", lambda: None) is first
+    common.process_cache("toxicity:2", lambda: toxicity.Reader({"b": 2.0}))
+    assert list(sys.__dict__["_quire_process_cache"]) == ["toxicity:2"]
+    common.drop_caches()
+
+
+def test_a_reader_forgets_words(monkeypatch):
+    whole = toxicity.Reader({"word1": 3.0})
+    monkeypatch.setattr(toxicity, "CACHED_WORDS", 50)
+    bounded = toxicity.Reader({"word1": 3.0})
+    for k in range(10):
+        texts = [" ".join(f"word{i}" for i in range(30 * k, 30 * k + 30)).encode(), b"you word1 idiot", None]
+        assert (bounded.of(texts) == whole.of(texts)).all()
+        assert len(bounded.codes) <= 50 + 32
